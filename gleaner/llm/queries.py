@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality, secrets, tokcount
+from . import bpe, neardup, quality, secrets, tokcount
 from .common import table
 
 
@@ -26,6 +26,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokcount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return neardup.deduplicate(spark, table(spark, sf_dir, "documents"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents."""
     spans = F.col("spans")
@@ -38,5 +43,5 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op5_bpe_roundtrip, op6_token_counts, op9_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op5_bpe_roundtrip, op6_token_counts, op7_minhash_neardup, op9_secret_scan)}
 SQL: dict[str, str] = {}
