@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, neardup, quality, secrets, tokcount
+from . import bpe, neardup, quality, rnnlm, secrets, tokcount
 from .common import table
 
 
@@ -43,5 +43,10 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op5_bpe_roundtrip, op6_token_counts, op7_minhash_neardup, op9_secret_scan)}
+def op10_gru_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-likelihoods of all documents under a recurrent network and under the unigram model."""
+    return rnnlm.score(spark, table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op5_bpe_roundtrip, op6_token_counts, op7_minhash_neardup, op9_secret_scan, op10_gru_scores)}
 SQL: dict[str, str] = {}
