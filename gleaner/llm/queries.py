@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, neardup, quality, rnnlm, secrets, tokcount
+from . import bpe, neardup, quality, rnnlm, secrets, tokcount, urlfilter
 from .common import table
 
 
@@ -16,6 +16,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_failed")
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts of rules and path templates on all pages."""
+    return urlfilter.judge(spark, table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op5_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of all documents and the texts that they decode to, as digests."""
     return bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), ("n_tokens", "ids_sha256", "decoded_sha256"))
@@ -48,5 +53,5 @@ def op10_gru_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rnnlm.score(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op5_bpe_roundtrip, op6_token_counts, op7_minhash_neardup, op9_secret_scan, op10_gru_scores)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op4_url_filter, op5_bpe_roundtrip, op6_token_counts, op7_minhash_neardup, op9_secret_scan, op10_gru_scores)}
+SQL: dict[str, str] = {"op4_url_filter": urlfilter.sql()}
