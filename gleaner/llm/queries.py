@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, neardup, quality, rnnlm, secrets, tokcount, urlfilter
+from . import bpe, langid, neardup, quality, rnnlm, secrets, tokcount, urlfilter
 from .common import table
 
 
@@ -16,6 +16,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_failed")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learned from the labelled ones outside fold 0."""
+    return langid.identify(spark, table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts of rules and path templates on all pages."""
     return urlfilter.judge(spark, table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
@@ -53,5 +58,5 @@ def op10_gru_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rnnlm.score(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op4_url_filter, op5_bpe_roundtrip, op6_token_counts, op7_minhash_neardup, op9_secret_scan, op10_gru_scores)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op4_url_filter, op5_bpe_roundtrip, op6_token_counts, op7_minhash_neardup, op9_secret_scan, op10_gru_scores)}
 SQL: dict[str, str] = {"op4_url_filter": urlfilter.sql()}
