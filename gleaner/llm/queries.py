@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, neardup, quality, rnnlm, secrets, tokcount, urlfilter
+from . import bpe, decontam, langid, neardup, quality, rnnlm, secrets, tokcount, urlfilter, warc
 from .common import table
 
 
@@ -21,6 +21,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(spark, table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item, the place and the edits."""
+    return decontam.contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts of rules and path templates on all pages."""
     return urlfilter.judge(spark, table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
@@ -41,6 +46,11 @@ def op7_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.deduplicate(spark, table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages, written as WARC archives with their index and read back through it."""
+    return warc.archive(spark, table(spark, sf_dir, "pages")).records().select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents."""
     spans = F.col("spans")
@@ -58,5 +68,5 @@ def op10_gru_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rnnlm.score(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op4_url_filter, op5_bpe_roundtrip, op6_token_counts, op7_minhash_neardup, op9_secret_scan, op10_gru_scores)}
-SQL: dict[str, str] = {"op4_url_filter": urlfilter.sql()}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_decontamination, op4_url_filter, op5_bpe_roundtrip, op6_token_counts, op7_minhash_neardup, op8_warc, op9_secret_scan, op10_gru_scores)}
+SQL: dict[str, str] = {"op4_url_filter": urlfilter.sql(), "op8_warc": warc.sql()}
