@@ -11,7 +11,10 @@ round, in which pairs inside one component are skipped and long lists are first
 The order uses a frequency sketch of fixed size. Any common order gives the same candidates' guarantee; the
 sketch only decides how long the lists get.
 
-A pair of similarity 0.75 agrees in fewer than MATCHES = 34 of 64 coordinates once in about 70,000 times.
+A pair of similarity 0.75 agrees in fewer than MATCHES = 34 of 64 coordinates once in about 70,000 times. A passage
+that many texts share makes its pairs frequent. If a set has at most PASSAGE = 38 frequent pairs, its passages are at
+most three fifths of it, and a set that is linked with it must share other pairs too: that none of the others agrees is
+as seldom. So it isn't posted under frequent pairs. Sets with more, as in groups of near copies, are posted under all.
 
 Edge cases: texts without words (null ones too) have an empty set, are linked with nothing and kept; equal
 texts and repeated rows share a component; rows without an id are grouped by their set but never name a
@@ -35,8 +38,11 @@ SHINGLE, COORDINATES, MATCHES = 5, 64, 34
 PREFIX = COORDINATES - MATCHES + 1
 #: Similarity of linked sets: 100 * shared >= PERCENT * united.
 PERCENT = 75
-#: Counters of the frequency sketch, and the least count at which a pair of coordinate and value is put later.
-SKETCH, OFTEN = 1 << 20, 32
+#: Counters of the frequency sketch, the least count at which a pair of coordinate and value is put later, and how
+#: many times the mean count makes it so too (the counters' noise).
+SKETCH, OFTEN, NOISE = 1 << 20, 32, 4
+#: Sets with at most so many frequent pairs are posted under their other pairs only.
+PASSAGE = 38
 #: Members beyond which a list of the second round is split, and the most splits.
 LONG_LIST, SPLITS = 64, 3
 #: Most rows that are broadcast after they have been counted.
@@ -119,7 +125,8 @@ def frequency_sketch(sets: DataFrame) -> dict[int, int]:
         at = np.flatnonzero(total > 1)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["bucket", "n"])
 
-    counted = sets.select("sig").mapInArrow(run, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= OFTEN)
+    least = max(OFTEN, NOISE * COORDINATES * sets.count() // SKETCH)
+    counted = sets.select("sig").mapInArrow(run, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     return {r["bucket"]: int(np.log2(r["n"])) for r in counted.toLocalIterator()}
 
 
@@ -148,8 +155,10 @@ def postings(sets: DataFrame, often) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
-                names = prefixes(matrix(part.column(1)), order)
-                yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64).ravel()), pa.array(np.repeat(part.column(0).to_numpy(zero_copy_only=False), PREFIX))], names=["token", "rep"])
+                signs = matrix(part.column(1))
+                names, frequent = prefixes(signs, order), (order[buckets(tokens(signs))] > 0).sum(axis=1)
+                used = ((order[buckets(names)] == 0) | (frequent > PASSAGE)[:, None]).ravel()
+                yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64).ravel()[used]), pa.array(np.repeat(part.column(0).to_numpy(), PREFIX)[used])], names=["token", "rep"])
 
     return sets.select("rep", "sig").mapInArrow(run, "token bigint, rep bigint")
 
