@@ -3,10 +3,10 @@
 Every distinct set of word shingles gets a signature of COORDINATES minima. A set is posted under its
 coordinate-value pairs, but only under a prefix: two sets that agree in MATCHES coordinates or more must
 share one of the first COORDINATES - MATCHES + 1 pairs of any common order, so pairs that many sets hold
-are put last and most postings of shared passages are skipped. Each posting list links its members to
-its smallest one; collisions are counted on whole signatures, pairs below MATCHES are dropped, and the
-rest are confirmed on the full sets. What the lists' smallest members leave apart is compared in a second
-round, in which pairs inside one component are skipped and long lists are first split by a further pair.
+are put last and most postings of shared passages are skipped. Each posting list proposes its central
+member to the others; collisions are counted on whole signatures, pairs below MATCHES are dropped, and each
+member's best one is confirmed on the full sets. What is left apart is compared in a second round, group by
+group in blocks, in which pairs inside one component are skipped.
 
 The order uses a frequency sketch of fixed size. Any common order gives the same candidates' guarantee; the
 sketch only decides how long the lists get.
@@ -43,8 +43,8 @@ PERCENT = 75
 SKETCH, OFTEN, NOISE = 1 << 20, 32, 4
 #: Sets with at most so many frequent pairs are posted under their other pairs only.
 PASSAGE = 38
-#: Members beyond which a list of the second round is split, and the most splits.
-LONG_LIST, SPLITS = 64, 3
+#: Members of a block of the second round; a unit holds two blocks.
+UNIT = 512
 #: Most rows that are broadcast after they have been counted.
 BROADCAST_ROWS = 100_000
 
@@ -130,13 +130,10 @@ def frequency_sketch(sets: DataFrame) -> dict[int, int]:
     return {r["bucket"]: int(np.log2(r["n"])) for r in counted.toLocalIterator()}
 
 
-def prefixes(signatures: np.ndarray, often: np.ndarray, without: np.ndarray | None = None) -> np.ndarray:
-    """The first PREFIX pairs of each signature by the common order: seldom ones first. ``without``: pairs to leave out."""
+def prefixes(signatures: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """The first PREFIX pairs of each signature by the common order: seldom ones first."""
     names = tokens(signatures)
-    rank = often[buckets(names)]
-    if without is not None:
-        rank = np.where((names[:, None, :] == without[:, :, None]).any(axis=1), 127, rank)
-    order = np.lexsort((names, rank), axis=1)[:, :PREFIX]
+    order = np.lexsort((names, often[buckets(names)]), axis=1)[:, :PREFIX]
     return np.take_along_axis(names, order, axis=1)
 
 
@@ -148,7 +145,7 @@ def table_of(sketch: dict[int, int]) -> np.ndarray:
 
 
 def postings(sets: DataFrame, often) -> DataFrame:
-    """(token, rep): each set under its prefix."""
+    """(token, rep, frequent): each set under its prefix, with the number of its pairs that are frequent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = often.value
@@ -158,9 +155,10 @@ def postings(sets: DataFrame, often) -> DataFrame:
                 signs = matrix(part.column(1))
                 names, frequent = prefixes(signs, order), (order[buckets(tokens(signs))] > 0).sum(axis=1)
                 used = ((order[buckets(names)] == 0) | (frequent > PASSAGE)[:, None]).ravel()
-                yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64).ravel()[used]), pa.array(np.repeat(part.column(0).to_numpy(), PREFIX)[used])], names=["token", "rep"])
+                counts = np.repeat(frequent.astype(np.int32), PREFIX)[used]
+                yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64).ravel()[used]), pa.array(np.repeat(part.column(0).to_numpy(), PREFIX)[used]), pa.array(counts)], names=["token", "rep", "frequent"])
 
-    return sets.select("rep", "sig").mapInArrow(run, "token bigint, rep bigint")
+    return sets.select("rep", "sig").mapInArrow(run, "token bigint, rep bigint, frequent int")
 
 
 def matched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -215,47 +213,53 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     return label
 
 
-def apart(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    """Members (rep, path, component) of lists that lie in more than one component, with their list's size n."""
-    lists = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
-    lists = keep(spark, lists.where("low != high").select("path", "n"), "lists")
-    return keep(spark, rows.join(lists, "path"), "apart")
+def second_round(spark: SparkSession, posted: DataFrame, sets: DataFrame, label: DataFrame, texts_of) -> DataFrame:
+    """Links (a, b) between members of different components that share a list.
 
-
-def second_round(spark: SparkSession, posted: DataFrame, sets: DataFrame, label: DataFrame, often) -> DataFrame:
-    """Pairs (a, b), of different components, that share a list but not its smallest member's component.
-
-    Long lists are split: members that agree in MATCHES coordinates share a further pair of their remaining prefix.
+    Lists with one central member are taken together, so each set stands in a few groups only. A group is cut into
+    blocks, each pair of blocks is a unit of bounded size, and a unit compares signatures, skips what is already
+    connected, and confirms the rest on the full sets. Only links leave it.
     """
-    found = []
-    rows = posted.join(label, "rep", "left").select("rep", F.array("token").alias("path"), F.coalesce("component", "rep").alias("component"))
-    rows = apart(spark, keep(spark, rows, "members"))
-
-    for level in range(SPLITS + 1):
-        short = rows if level == SPLITS else rows.where(F.col("n") <= LONG_LIST)
-        a, b = (short.select("path", F.col("rep").alias(x), F.col("component").alias(f"c{x}")) for x in "ab")
-        found.append(a.join(b, "path").where("ca < cb").select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a")))
-        long = rows.where(F.col("n") > LONG_LIST)
-        if level == SPLITS or not long.limit(1).count():
-            break
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            order = often.value
-            for batch in batches:
-                for at in range(0, batch.num_rows, 500):
-                    part = batch.slice(at, 500)
-                    paths = np.array(part.column(1).to_pylist(), np.int64)
-                    names = prefixes(matrix(part.column(3)), order, paths.view(np.uint64)).view(np.int64)
-                    grown = np.concatenate([np.repeat(paths, PREFIX, axis=0), names.reshape(-1, 1)], axis=1)
-                    grown.sort(axis=1)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column(0).to_numpy(), PREFIX)), pa.array(list(grown), pa.list_(pa.int64())), pa.array(np.repeat(part.column(2).to_numpy(), PREFIX))], names=["rep", "path", "component"])
-
-        split = long.join(sets.select("rep", "sig"), "rep").select("rep", "path", "component", "sig").mapInArrow(run, "rep bigint, path array<bigint>, component bigint")
-        rows = apart(spark, keep(spark, split.distinct(), "members"))
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.unionByName(more)
-    return pairs.select("a", "b")
+    members = posted.select("a", "rep").distinct().join(label, "rep", "left").select("a", "rep", F.coalesce("component", "rep").alias("component"))
+    members = keep(spark, members, "members")
+    groups = members.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).where("low != high and n > 2")
+    groups = keep(spark, groups.select("a", F.ceil(F.col("n") / UNIT).cast("int").alias("blocks")), "groups")
+    rows = members.join(groups, "a").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    rows = keep(spark, rows, "open")
+    texts = texts_of(rows.select("rep"))
+    full = rows.join(sets.select("rep", "sig"), "rep").join(texts.withColumnRenamed("doc_id", "rep"), "rep")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    units = full.select("a", "rep", "component", "sig", "text", "block", other).select("a", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "component", "sig", "text")
+
+    def run(unit: pa.Table) -> pa.Table:
+        unit = unit.combine_chunks()
+        rep, component, block = (unit[c].to_numpy() for c in ("rep", "component", "block"))
+        i, j = unit["i"][0].as_py(), unit["j"][0].as_py()
+        signs, found, cache = matrix(unit["sig"]), [], {}
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        root = {int(c): int(c) for c in component}
+
+        def top(c: int) -> int:
+            while root[c] != c:
+                c = root[c]
+            return c
+
+        def of(k: int) -> np.ndarray:
+            if k not in cache:
+                cache[k] = shingle_set(unit["text"][k].as_py())
+            return cache[k]
+
+        for x in left:
+            same = (signs[x][None, :] == signs[right]).sum(axis=1)
+            near = right[(same >= MATCHES) & (component[right] != component[x]) & (right > x if i == j else True)]
+            for y in near:
+                p, q = top(int(component[x])), top(int(component[y]))
+                if p != q and linked(of(int(x)), of(int(y))):
+                    root[max(p, q)] = min(p, q)
+                    found.append((int(rep[x]), int(rep[y])))
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
+    return units.groupBy("a", "i", "j").applyInArrow(run, "a bigint, b bigint")
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -265,34 +269,29 @@ def deduplicate(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     often = spark.sparkContext.broadcast(table_of(frequency_sketch(sets)))
     path = fresh_path(spark, "postings")
     postings(sets, often).write.parquet(path)
-    posted = spark.read.schema("token bigint, rep bigint").parquet(path)
+    posted = spark.read.schema("token bigint, rep bigint, frequent int").parquet(path)
 
+    # the central member of a list has most frequent pairs: copies of a text keep its pairs, and add their own.
     # kept, so that Spark can split a long list's rows on either side of the join
-    lists = keep(spark, posted.groupBy("token").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1"), "lists")
-    posted = keep(spark, posted.join(lists, "token"), "shared")  # most pairs of coordinate and value belong to one set
+    lists = keep(spark, posted.groupBy("token").agg(F.max_by("rep", F.struct("frequent", -F.col("rep"))).alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").select("token", "a"), "lists")
+    posted = keep(spark, posted.select("token", "rep").join(lists, "token").select("a", "rep"), "shared")  # most pairs of coordinate and value belong to one set
     drop_path(spark, path)
-    near = keep(spark, matched(posted.where("a != rep").select("a", F.col("rep").alias("b")).distinct(), sets), "near")
+    near = matched(posted.where("a != rep").select("a", F.col("rep").alias("b")).distinct(), sets)
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_bytes(text_col).alias("text"))
 
-    def texts_of(pairs: DataFrame) -> DataFrame:
-        """Texts of the sets' representatives that the pairs name, each once."""
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    def texts_of(ids: DataFrame) -> DataFrame:
+        """Texts of the given sets' representatives, each once."""
+        wanted = ids.toDF("doc_id").distinct()
         if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
             wanted = F.broadcast(wanted)
         return keep(spark, texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
 
-    best = keep(spark, near.groupBy("b").agg(F.min_by("a", F.struct(-F.col("matches"), "a")).alias("a")).select("a", "b"), "best")
-    links = keep(spark, confirmed(best, texts_of(best)), "confirmed")
+    best = keep(spark, near.groupBy("b").agg(F.max_by("a", F.struct("matches", -F.col("a"))).alias("a")).select("a", "b"), "best")
+    links = keep(spark, confirmed(best, texts_of(best.select(F.explode(F.array("a", "b"))))), "confirmed")
     label = components(spark, links)
-
-    more = matched(second_round(spark, posted.select("token", "rep").where("n > 2"), sets, label, often).distinct(), sets).select("a", "b")
-    more = more.unionByName(near.select("a", "b")).distinct().join(best, ["a", "b"], "left_anti")
-    of = lambda x: label.select(F.col("rep").alias(x), F.col("component").alias(f"c{x}"))
-    more = keep(spark, more.join(of("a"), "a", "left").join(of("b"), "b", "left").where("coalesce(ca, a) != coalesce(cb, b)").select("a", "b"), "more")
-    if more.limit(1).count():
-        again = keep(spark, confirmed(more, texts_of(more)), "confirmed")
-        if again.limit(1).count():
-            label = components(spark, links.unionByName(again))
+    again = keep(spark, second_round(spark, posted, sets, label, texts_of), "again")
+    if again.limit(1).count():
+        label = components(spark, links.unionByName(again))
     groups = sets.join(label, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
     out = facts.select("doc_id", "n_shingles", "set_key").join(groups, "set_key", "left")
     component = F.coalesce("component", "doc_id")
