@@ -193,11 +193,15 @@ def rescue_score(ocr_text: Column) -> Column:
     return F.when((F.length(X.strip(ocr_text)) >= 200) & enough, F.least(n * 5, F.lit(100)))
 
 
+def _named(names: Column, word: str) -> Column:
+    return F.exists(names, lambda f: f.contains(word))
+
+
 def layout_score(field_names: Column, rectangles: Column, text: Column) -> Column:
     """Score of a page's structure: known field names, any fields, rectangles where text or fields allow; capped."""
     names = F.transform(F.coalesce(field_names, F.array().cast("array<string>")), F.lower)
     has, size = F.size(names) > 0, F.length(X.strip(F.coalesce(text, F.lit(""))))
-    fields = reduce(lambda a, b: a + b, [F.when(F.exists(names, lambda f, n=n: f.contains(n)), 10).otherwise(0) for n in FIELD_NAMES]) + F.when(has, 15).otherwise(0)
+    fields = reduce(lambda a, b: a + b, [F.when(_named(names, n), 10).otherwise(0) for n in FIELD_NAMES]) + F.when(has, 15).otherwise(0)
     boxes = F.when(has | (size >= 500), F.when(rectangles >= 20, 50).when(rectangles >= 10, 30).when(rectangles >= 5, 15).otherwise(0)).otherwise(0)
     score = fields + boxes
     return F.least(F.lit(100), F.when(~has & (size < 500), F.least(score, F.lit(20))).otherwise(score))
