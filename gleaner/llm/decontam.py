@@ -1,12 +1,12 @@
 """Benchmark decontamination by the q-gram lemma.
 
-A text that holds an item of m bytes with k edits shares at least m - Q + 1 - k * Q of the item's Q-grams with
+A text that holds an item of m characters with k edits shares at least m - Q + 1 - k * Q of the item's Q-grams with
 it, and their diagonals (place in the text less place in the item) lie in k + 1 neighbours. Shared Q-grams are
 counted in overlapping bands of 2 * (k + 1) diagonals; bands that reach the bound are verified by an alignment
 inside the band. Texts and items are compared with A-Z lower-cased and runs of white space as one blank.
 
 The edit budget of an item is a tenth of its length, but never so much that the bound falls below one. Items
-shorter than Q bytes contaminate only texts that equal them. The items are taken in blocks of bounded size, each
+shorter than Q characters contaminate only texts that equal them. The items are taken in blocks of bounded size, each
 of which all texts pass once; nothing of the texts is shuffled.
 
 Edge cases: null and empty texts and items match nothing; an empty table on either side gives no rows; rows that
@@ -24,22 +24,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import text_bytes
 
 Q, BUDGET = 8, 0.1
-#: Bytes of items in a block, bytes of text that are searched at once, slots of the tables that sift grams and cells.
+#: Characters of items in a block, characters of text that are searched at once, slots of the tables that sift grams and cells.
 BLOCK, SEARCHED, SLOTS, CELLS = 1 << 22, 1 << 22, 1 << 20, 1 << 22
 #: Most contaminated ids that are broadcast after they have been counted.
 BROADCAST_ROWS = 100_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_LOWER[[9, 10, 11, 12, 13]] = 32
+_LOWER[9:14] = 32
 
 
-def normal(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Lower-cased bytes with single blanks, none at either end, and the place of each in ``raw``."""
-    low = _LOWER[np.frombuffer(raw, np.uint8)]
+def normal(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Code points with A-Z lower-cased and single blanks, none at either end, and the place of each in ``text``."""
+    try:
+        low = _LOWER[np.frombuffer(text.encode("latin-1"), np.uint8)]  # one byte each, where that is enough
+    except UnicodeEncodeError:
+        low = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4").copy()
+        plain = low < 256
+        low[plain] = _LOWER[low[plain]]
     blank = low == 32
     keep = ~blank
     if len(low):
@@ -50,12 +56,17 @@ def normal(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return low[at], at
 
 
-def grams(low: np.ndarray) -> np.ndarray:
-    """The Q-gram at each place, as a number."""
-    if len(low) < Q:
+def coded(low: np.ndarray) -> np.ndarray:
+    """One byte for each character, so that rare ones may share it."""
+    return low if low.dtype == np.uint8 else (low ^ (low >> 8) * 31).astype(np.uint8)
+
+
+def grams(short: np.ndarray) -> np.ndarray:
+    """The Q-gram of coded characters at each place, as a number."""
+    if len(short) < Q:
         return np.empty(0, np.uint64)
-    low = np.ascontiguousarray(low)
-    return np.ndarray((len(low) - Q + 1,), "<u8", low.data, strides=(1,)).copy()
+    short = np.ascontiguousarray(short)
+    return np.ndarray((len(short) - Q + 1,), "<u8", short.data, strides=(1,)).copy()
 
 
 def budget(m: int) -> int:
@@ -65,11 +76,11 @@ def budget(m: int) -> int:
 class Items:
     """One block of items: their Q-grams, sorted, with the items and places that hold each."""
 
-    def __init__(self, rows: list[tuple[int, bytes]]):
+    def __init__(self, rows: list[tuple[int, str]]):
         self.ids, self.texts = [], []
         whole: dict[bytes, list[int]] = {}
-        for item_id, raw in rows:
-            low = normal(raw)[0]
+        for item_id, text in rows:
+            low = normal(text)[0].astype(np.uint32)
             if len(low) >= Q:
                 self.ids.append(item_id)
                 self.texts.append(low)
@@ -79,7 +90,7 @@ class Items:
         self.size = np.array([len(x) for x in self.texts], np.int64)
         self.k = np.array([budget(m) for m in self.size], np.int64)
         self.bound = self.size - Q + 1 - self.k * Q
-        every = [grams(x) for x in self.texts]
+        every = [grams(coded(x)) for x in self.texts]
         gram = np.concatenate([np.empty(0, np.uint64), *every])
         item = np.repeat(np.arange(len(every)), [len(g) for g in every])
         at = np.concatenate([np.empty(0, np.int64), *(np.arange(len(g)) for g in every)])
@@ -94,9 +105,9 @@ class Items:
     def slot(gram: np.ndarray) -> np.ndarray:
         return ((gram * _MIX) >> np.uint64(44)).astype(np.int64)
 
-    def candidates(self, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(item, first diagonal of a band) for the bands that reach their item's bound. ``low`` may hold many texts."""
-        g = grams(low)
+    def candidates(self, short: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(item, first diagonal of a band) for the bands that reach their item's bound. ``short`` may hold many coded texts."""
+        g = grams(short)
         place = np.flatnonzero(self.sift[self.slot(g)]) if len(self.grams) else np.empty(0, np.int64)
         at = np.minimum(np.searchsorted(self.grams, g[place]), len(self.grams) - 1)
         there = self.grams[at] == g[place] if len(place) else np.empty(0, bool)
@@ -133,10 +144,12 @@ class Items:
         """(edits, start, end) of the item's best place in a text near a band of diagonals, if within its budget."""
         own, k = self.texts[item], int(self.k[item])
         start = max(0, diagonal - k)
-        window = low[start : max(0, diagonal + 2 * (k + 1) + k + len(own))]
-        exact = window.tobytes().find(own.tobytes())
-        if exact >= 0:
-            return 0, start + exact, start + exact + len(own)
+        window = low[start : max(0, diagonal + 2 * (k + 1) + k + len(own))].astype(np.uint32)
+        raw, sought, exact = window.tobytes(), own.tobytes(), 0
+        while (exact := raw.find(sought, exact)) >= 0:
+            if exact % 4 == 0:
+                return 0, start + exact // 4, start + exact // 4 + len(own)
+            exact += 1
         edits, end = align(own, window, k)
         if edits > k:
             return None
@@ -152,7 +165,7 @@ def align(item: np.ndarray, window: np.ndarray, k: int) -> tuple[int, int]:
     m, n = len(item), len(window)
     width = max(0, n - m) + 2 * k + 1
     step, far = np.arange(width), np.int64(k + 1)
-    padded = np.full(m + width + k + 1, 256, np.int64)
+    padded = np.full(m + width + k + 1, 1 << 32, np.int64)
     padded[k : k + n][: len(padded) - k] = window[: len(padded) - k]
     place = step - k
     cost = np.where((place >= 0) & (place <= n), 0, far).astype(np.int64)
@@ -168,13 +181,13 @@ def align(item: np.ndarray, window: np.ndarray, k: int) -> tuple[int, int]:
     return int(cost[best]), m + int(place[best])
 
 
-def search(items: Items, texts: list[bytes]) -> list[list[tuple[int, int, int, int]]]:
-    """For each text the items that it holds: (item id, first byte, end, edits), in its own bytes."""
+def search(items: Items, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
+    """For each text the items that it holds: (item id, start, end, edits), in its own code points."""
     found: list[list[tuple[int, int, int, int]]] = []
     lows = [normal(t) for t in texts]
     gap = np.zeros(1, np.uint8)
     borders = np.cumsum([0, *(len(x) + 1 for x, _ in lows)])
-    item, diagonal = items.candidates(np.concatenate([part for x, _ in lows for part in (x, gap)])) if lows else (np.empty(0, np.int64),) * 2
+    item, diagonal = items.candidates(np.concatenate([part for x, _ in lows for part in (coded(x), gap)])) if lows else (np.empty(0, np.int64),) * 2
     # a band belongs to the text in which its middle places of the item lie
     middle = diagonal + items.k[item] + items.size[item] // 2 if len(item) else diagonal
     owner = np.clip(np.searchsorted(borders, middle, side="right") - 1, 0, max(0, len(lows) - 1))
@@ -186,7 +199,7 @@ def search(items: Items, texts: list[bytes]) -> list[list[tuple[int, int, int, i
         if got and got < best.get((d, i), (1 << 30,)):
             best[d, i] = got
     for d, (low, at) in enumerate(lows):
-        own = [(x, 0, len(texts[d]), 0) for x in items.whole.get(low.tobytes(), [])] if items.whole and len(low) < Q else []
+        own = [(x, 0, len(texts[d]), 0) for x in items.whole.get(low.astype(np.uint32).tobytes(), [])] if items.whole and len(low) < Q else []
         found.append(own)
     for (d, i), (edits, start, end) in best.items():
         at = lows[d][1]
@@ -194,19 +207,19 @@ def search(items: Items, texts: list[bytes]) -> list[list[tuple[int, int, int, i
     return [sorted(x, key=lambda r: (r[1], str(r[0]))) for x in found]
 
 
-def blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int, bytes]]]:
-    """The items in blocks of about BLOCK bytes."""
-    items = benchmark.select(F.col(id_col), text_bytes(text_col)).where(F.length(text_col) > 0)
+def blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
+    """The items in blocks of about BLOCK characters."""
+    items = benchmark.select(id_col, text_col).where(F.length(text_col) > 0)
     size = items.agg(F.sum(F.length(text_col))).first()[0] or 0
     n = -(-size // BLOCK)
     for b in range(n):
         own = items.where(F.pmod(F.xxhash64(id_col, text_col), F.lit(n)) == b) if n > 1 else items
-        yield [(r[0], bytes(r[1])) for r in own.toLocalIterator()]
+        yield [(r[0], r[1]) for r in own.toLocalIterator()]
 
 
 def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row per document and item that it holds: ids, start and end in code points, and edits."""
-    source = docs.select(id_col, text_bytes(text_col))
+    source = docs.select(id_col, F.coalesce(text_col, F.lit("")).alias(text_col))
     kind, item_kind = dict(source.dtypes)[id_col], dict(benchmark.dtypes)[item_col]
     schema = f"{id_col} {kind}, {item_col} {item_kind}, start int, end int, edits int"
     results = []
@@ -224,10 +237,9 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_
                         texts.append(batch.column(1)[to].as_py())
                         size += len(texts[-1])
                         to += 1
-                    for k, (raw, own) in enumerate(zip(texts, search(items, texts))):
+                    for k, own in enumerate(search(items, texts)):
                         for item, start, end, edits in own:
-                            place = [len(raw[:x].decode("utf-8", "replace")) for x in (start, end)]
-                            for column, value in zip(out, (at + k, item, *place, edits)):
+                            for column, value in zip(out, (at + k, item, start, end, edits)):
                                 column.append(value)
                     at = to
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(out[0], pa.int32())), pa.array(out[1]).cast(pa_kind(item_kind)), *(pa.array(c, pa.int32()) for c in out[2:])], names=[id_col, item_col, "start", "end", "edits"])
@@ -252,7 +264,7 @@ def clean_documents(spark: SparkSession, docs: DataFrame, benchmark: DataFrame,
                 while first < batch.num_rows:
                     texts, size, to = [], 0, first
                     while to < batch.num_rows and size < SEARCHED:
-                        texts.append((batch.column(at)[to].as_py() or "").encode())
+                        texts.append(batch.column(at)[to].as_py() or "")
                         size += len(texts[-1])
                         to += 1
                     good = pa.array([not own for own in search(held.value, texts)], pa.bool_())
