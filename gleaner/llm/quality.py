@@ -113,3 +113,30 @@ def kept_documents(spark: SparkSession, docs: DataFrame, text_col: str = "text",
     """The rows of ``docs`` that are kept, with all their columns. Texts are measured twice and never shuffled."""
     hosts = host_verdicts(spark, measured(docs.select(host_col, text_bytes(text_col))).drop(text_col), host_col)
     return with_verdicts(spark, measured(docs), hosts, host_col).where("kept").select(*docs.columns)
+
+
+def sql() -> str:
+    """The rows of ``judge`` (without the host) as DuckDB SQL, over the view ``documents``."""
+    names = tuple(HOST_LIMITS)
+    moments = ", ".join(f"avg(f_{r} / n) AS m_{r}, var_pop(f_{r} / n) AS v_{r}" for r in names)
+    weights = ", ".join(f"CASE WHEN v_{r} > 0 THEN least(10000.0, greatest(2.0, m_{r} * (1 - m_{r}) / v_{r} - 1)) ELSE 10000.0 END AS w_{r}" for r in names)
+    bad = " OR ".join(f"(f_{r} + m_{r} * w_{r}) / (n + w_{r}) > {limit}" for r, limit in HOST_LIMITS.items())
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS ws FROM d),
+lines AS (SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT line) AS dup FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY rid),
+windows AS (SELECT rid, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS three FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+often AS (SELECT rid, i FROM windows QUALIFY count(*) OVER (PARTITION BY rid, three) > 1),
+repeats AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM often) GROUP BY rid),
+m AS (
+  SELECT doc_id, source, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars, CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(dup, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines
+  FROM w LEFT JOIN lines USING (rid) LEFT JOIN repeats USING (rid)),
+f AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base, 10 * n_symbols > n_words AS symbols, 10 * n_dup_lines > 3 * n_lines AS lines, word_chars < 2 * n_words OR word_chars > 12 * n_words AS length FROM m),
+h AS (SELECT source, count(*) AS n, {", ".join(f"count(*) FILTER ({r}) AS f_{r}" for r in names)} FROM f WHERE source IS NOT NULL GROUP BY source),
+one AS (SELECT *, {weights} FROM (SELECT {moments} FROM h)),
+bad AS (SELECT source FROM h, one WHERE {bad})
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base AS base_failed, NOT base AND NOT (b.source IS NOT NULL AND (symbols OR lines OR length)) AS kept, b.source IS NOT NULL AS host_failed
+FROM f LEFT JOIN bad b ON f.source = b.source
+"""

@@ -69,4 +69,4 @@ def op10_gru_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_decontamination, op4_url_filter, op5_bpe_roundtrip, op6_token_counts, op7_minhash_neardup, op8_warc, op9_secret_scan, op10_gru_scores)}
-SQL: dict[str, str] = {"op4_url_filter": urlfilter.sql(), "op8_warc": warc.sql()}
+SQL: dict[str, str] = {"op1_quality_rules": quality.sql(), "op4_url_filter": urlfilter.sql(), "op8_warc": warc.sql()}
