@@ -152,7 +152,7 @@ def write_index(spark: SparkSession, captures: DataFrame, folder: str) -> DataFr
 
     Captures are dealt by ranges of key, page and place, so that many captures of one url don't meet in one task.
     """
-    ranged = captures.repartitionByRange(max(1, captures.rdd.getNumPartitions()), "key", "page_id", "file", "offset")
+    ranged = captures.repartitionByRange("key", "page_id", "file", "offset")
     ordered = ranged.sortWithinPartitions("key", "page_id", "file", "offset").select("key", F.to_json(F.struct("key", "page_id", "payload_digest", "record_type", "file", "offset", "length")).alias("line"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,7 +210,7 @@ class Archive:
         Captures are sorted by file and place, so that neighbouring records are read in one range.
         """
         folder = self.folder
-        wanted = self.captures().repartitionByRange(max(1, self.directory.rdd.getNumPartitions()), "file", "offset").sortWithinPartitions("file", "offset")
+        wanted = self.captures().repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             archives = Ranges(folder)
