@@ -1,7 +1,7 @@
 """Rule classifiers of documents, as one projection of flags and one ordered decision.
 
-``detect`` is the form detector; the other functions are the tests of the second docket. Every flag is a native
-expression; nothing here needs a Python worker.
+``detect`` is the form detector; the other functions are the tests of the second docket, which take texts that
+``text.decode_garbled`` has been over, once, in a column of its own. Every flag is a native expression.
 """
 
 from __future__ import annotations
@@ -61,12 +61,12 @@ def detect(docs: DataFrame, first_col: str = "first2", full_col: str = "full") -
 
     Exclusions come first and in order; then the form rules; codes in messages are the smallest found.
     """
-    held = docs.withColumns({"_first": F.coalesce(first_col, F.lit("")), "_full": F.coalesce(full_col, F.lit(""))})
+    held = X.fenced(docs, {"_first": F.coalesce(first_col, F.lit("")), "_full": F.coalesce(full_col, F.lit(""))})
     clean_first, clean_full = clean_texts(F.col("_first"), F.col("_full"))
-    held = held.withColumns({"_cf": clean_first, "_cl": clean_full})
+    held = X.fenced(held, {"_cf": clean_first, "_cl": clean_full})
     # one copy of each joined text and its lower case, so that no rule builds its own
-    held = held.withColumns({"_a": F.concat("_first", "_cf"), "_b": F.concat("_first", "_cl"), "_c": F.concat("_full", "_cl")})
-    held = held.withColumns({"_la": F.lower("_a"), "_lall": F.lower(F.concat("_a", "_cl")), "_lfull": F.lower("_full"), "_lclean": F.lower("_cl"), "_codes": K.codes(F.concat_ws(" ", "_full", "_cl"))})
+    held = X.fenced(held, {"_a": F.concat("_first", "_cf"), "_b": F.concat("_first", "_cl"), "_c": F.concat("_full", "_cl")})
+    held = X.fenced(held, {"_la": F.lower("_a"), "_lall": F.lower(F.concat("_a", "_cl")), "_lfull": F.lower("_full"), "_lclean": F.lower("_cl"), "_codes": K.codes(F.concat_ws(" ", "_full", "_cl"))})
     a, b, c, la, lall = (F.col(x) for x in ("_a", "_b", "_c", "_la", "_lall"))
     numbers = F.array_distinct(F.concat(*[F.regexp_extract_all(b, F.lit(q), 1) for q in QUESTIONS]))
     pairs = (("section", "301"), ("requestor", "organization"), ("public", "bci"), ("version", "continued"))
@@ -75,7 +75,7 @@ def detect(docs: DataFrame, first_col: str = "first2", full_col: str = "full") -
     government = [guarded(lall, w, p) for w, p in GOVERNMENT] + [F.regexp_count(F.col("_cl"), F.lit(r"(?U)\b\d+\.\s*[A-Za-z]")) >= 5]
     filled = [c.rlike(r"(?U)\b\d{4}\.\d{2}\.\d{2}\.\d{2}\b"), *[X.has_any(c, w) for w in FILLED_WORDS], c.rlike("[A-Z][a-z]+,[A-Z][a-z]+"), X.has_any(c, ("Inc.", "LLC")), F.length(c) < 2000]
     everywhere = lambda words: X.has_any(F.col("_lfull"), words) | X.has_any(F.col("_lclean"), words)
-    held = held.withColumns({
+    held = X.fenced(held, {
         "_narrative": X.total([la.contains(p) for p in NARRATIVE]),
         "_head": X.total([guarded(a, w, p) for w, p in LETTERHEAD]),
         "_questions": F.size(F.array_intersect(numbers, F.array(*[F.lit(str(n)) for n in range(1, 13)]))),
@@ -105,12 +105,11 @@ def detect(docs: DataFrame, first_col: str = "first2", full_col: str = "full") -
         .when((n > 0) & (f >= 1), told(True, F.format_string("Minimal (HTSUS: %s)", first_code), 10 + n * 2 + f * 5))
         .otherwise(no("Not Section 301", 0))
     )
-    return held.withColumn("_r", result).select(*docs.columns, "_r.is_form", "_r.msg", "_r.score")
+    return X.fenced(held, {"_r": result}).select(*docs.columns, "_r.is_form", "_r.msg", "_r.score")
 
 
 def new_pattern(text: Column) -> Column:
     """Letters of the new layout: a code or item with the company or section, or two of four marks."""
-    text = X.decode_garbled(text)
     t = F.lower(text)
     code, item = t.rlike(r"(?U)hts\s+subheading\s*:\s*\d{4}\.\d{2}\.\d{4}"), t.rlike(r"(?U)item\s*:\s*\d+\w*\s+")
     company, section = X.has_any(t, ("primex", "ecm industries", "ecm ")), t.rlike(r"(?U)i\.\s*\n?\s*product\s+description")
@@ -119,13 +118,12 @@ def new_pattern(text: Column) -> Column:
 
 def response_letter(text: Column) -> Column:
     """Letters of the office to a requester (text of two pages)."""
-    return F.coalesce(reduce(lambda a, b: a | b, any_case(X.decode_garbled(text), RESPONSE_MARKERS)), F.lit(False))
+    return F.coalesce(reduce(lambda a, b: a | b, any_case(text, RESPONSE_MARKERS)), F.lit(False))
 
 
 def cover_letter(text3: Column, text5: Column) -> Column:
     """Cover letters that aren't the form (texts of three and of five pages); never new-pattern letters."""
-    text = X.decode_garbled(text3)
-    t = F.lower(text)
+    text, t = text3, F.lower(text3)
     letters, forms = X.total(any_case(t, LETTER_MARKERS)), X.total(any_case(t, FORM_MARKERS))
     verdict = (
         F.when(new_pattern(text5), False)
@@ -141,7 +139,6 @@ def cover_letter(text3: Column, text5: Column) -> Column:
 
 def product_attachment(text: Column) -> Column:
     """Product sheets of little text (text of three pages)."""
-    text = X.decode_garbled(text)
     size, t = F.length(X.strip(text)), F.lower(text)
     return F.coalesce(((size < 600) & text.rlike(r"(?iU)Attachment\s+[A-Z]\s*[-–]")) | ((size < 400) & t.contains("public document") & t.contains("attachment")), F.lit(False))
 
@@ -187,8 +184,7 @@ def _page_text(pages: Column) -> Column:
 
 def rescue_score(ocr_text: Column) -> Column:
     """Score of a recognised text by form marks; null if it is too short or below its threshold."""
-    text = X.decode_garbled(ocr_text)
-    n = X.total(any_case(F.lower(text), FORM_MARKERS))
+    n = X.total(any_case(F.lower(ocr_text), FORM_MARKERS))
     enough = n * 5 >= F.when(n >= 5, 25).otherwise(FORM_SCORE)
     return F.when((F.length(X.strip(ocr_text)) >= 200) & enough, F.least(n * 5, F.lit(100)))
 

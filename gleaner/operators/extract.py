@@ -178,7 +178,7 @@ def completed(values: dict[str, Column]) -> dict[str, Column]:
 def finished(docs: DataFrame, method: Column) -> DataFrame:
     """Rows with FIELDS and extraction_method, with filled and status added."""
     filled = X.total([F.col(f) != "" for f in FIELDS])
-    return docs.withColumn("extraction_method", method).withColumn("filled", filled).withColumn("status", F.when(F.col("filled") >= ENOUGH, "Success").otherwise("Low"))
+    return X.fenced(docs, {"extraction_method": method, "filled": filled}).withColumn("status", F.when(F.col("filled") >= ENOUGH, "Success").otherwise("Low"))
 
 
 def merged_widgets(docs: DataFrame, widgets: DataFrame, doc_col: str = "doc_id") -> tuple[DataFrame, DataFrame]:
@@ -197,8 +197,8 @@ def extract_v1(docs: DataFrame, widgets: DataFrame, doc_col: str = "doc_id") ->
 
     forms, rest = merged_widgets(docs, widgets, doc_col)
     plain = F.array_join(F.slice(F.coalesce("pages", F.array()), 1, 3), "\n")
-    rest = rest.withColumn("_text", F.when(C.scanned_v1(F.col("pages")) & F.col("ocr_text").isNotNull(), F.col("ocr_text")).otherwise(plain))
-    rest = rest.withColumns(completed(from_text_v1(F.col("_text")))).drop("_text")
+    rest = X.fenced(rest, {"_text": F.when(C.scanned_v1(F.col("pages")) & F.col("ocr_text").isNotNull(), F.col("ocr_text")).otherwise(plain)})
+    rest = X.fenced(rest, completed(from_text_v1(F.col("_text")))).drop("_text")
     return forms.unionByName(finished(rest, F.lit("Scanned (OCR)")))
 
 
@@ -209,15 +209,15 @@ def extract_v2(docs: DataFrame, widgets: DataFrame, doc_col: str = "doc_id", kee
     forms, rest = merged_widgets(docs, widgets, doc_col)
     pages = F.array_join(F.slice(F.coalesce("pages", F.array()), 1, 5), "\n")
     raw = F.when(F.length(X.strip(F.coalesce("raw_text", F.lit("")))) < 100, pages).otherwise(F.col("raw_text"))
-    rest = rest.withColumn("_raw", raw)
+    rest = X.fenced(rest, {"_raw": raw})
     scanned = C.scanned_v2(F.col("pages"), F.col("_raw"))
     read = F.length(X.strip(X.decode_garbled(F.coalesce("ocr_text", F.lit(""))))) >= 200
-    rest = rest.withColumn("_kind", F.when(scanned & read, "Scanned+OCR").when(scanned, "Scanned").otherwise("Text"))
-    rest = rest.withColumn("_text", X.prepare_v2(F.when(F.col("_kind") == "Text", F.col("_raw")).otherwise(F.col("ocr_text")), keep_newlines))
+    rest = X.fenced(rest, {"_kind": F.when(scanned & read, "Scanned+OCR").when(scanned, "Scanned").otherwise("Text")})
+    rest = X.fenced(rest, {"_text": X.prepare_v2(F.when(F.col("_kind") == "Text", F.col("_raw")).otherwise(F.col("ocr_text")), keep_newlines)})
     kind = F.when(F.col("_kind") == "Scanned", "none").when(likely_form(F.col("_text")), "form").when(likely_new_pattern(F.col("_text")), "letter").otherwise("none")
-    rest = rest.withColumn("_rule", kind)
+    rest = X.fenced(rest, {"_rule": kind})
     # frames, not branches of one expression: each rule set runs only over its own rows
-    parts = [rest.where(F.col("_rule") == k).withColumns(completed(f(F.col("_text")))) for k, f in (("form", from_form_v2), ("letter", from_letter), ("none", lambda _: {}))]
+    parts = [X.fenced(rest.where(F.col("_rule") == k), completed(f(F.col("_text")))) for k, f in (("form", from_form_v2), ("letter", from_letter), ("none", lambda _: {}))]
     rest = reduce(DataFrame.unionByName, parts)
     return forms.unionByName(finished(rest, F.col("_kind")).drop("_raw", "_kind", "_text", "_rule"))
 

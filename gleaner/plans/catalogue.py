@@ -502,8 +502,8 @@ def classify_messages(spark, sf_dir):
 @query()
 def document_kinds(spark, sf_dir):
     """The second docket's tests over texts with injected phrases (checked by golden rows)."""
-    t = F.col("full")
-    return _injected(spark, sf_dir).select("doc_id", C.new_pattern(t).alias("new_pattern"), C.response_letter(t).alias("response"), C.cover_letter(t, t).alias("cover"), C.product_attachment(t).alias("product"), C.wrong_type(t, t, t).alias("wrong"), C.rescue_score(t).alias("rescue"))
+    t = F.col("t")
+    return X.fenced(_injected(spark, sf_dir), {"t": X.decode_garbled(F.col("full"))}).select("doc_id", C.new_pattern(t).alias("new_pattern"), C.response_letter(t).alias("response"), C.cover_letter(t, t).alias("cover"), C.product_attachment(t).alias("product"), C.wrong_type(t, t, t).alias("wrong"), C.rescue_score(t).alias("rescue"))
 
 
 # -- fields --------------------------------------------------------------------------------------------------------------------

@@ -212,3 +212,53 @@ def listing_source(fetch: Callable[[str, int, int], tuple[int, dict | None]]) ->
 
 def safe_name(doc_id: str) -> str:
     return re.sub(r"[^A-Za-z0-9._-]", "_", doc_id)
+
+
+def until_empty(pages: DataFrame, most: int = 51, by: str = "folder") -> DataFrame:
+    """Captured pages of each category before two in a row hold no card, and ``most`` at the utmost (the site's own safety limit)."""
+    from pyspark.sql import Window as W
+
+    # a category has at most a few dozen pages
+    order = W.partitionBy(by).orderBy("page_no")
+    text = F.regexp_replace("html", r"(?s)<[^>]*>", " ")
+    empty = ~F.coalesce(text.rlike(CARD), F.lit(False))
+    rows = pages.where(F.col("page_no") <= most).withColumn("_e", empty).withColumn("_stop", F.col("_e") & F.coalesce(F.lag("_e").over(order), F.lit(False)))
+    return rows.withColumn("_ended", F.max("_stop").over(order)).where("not _ended").drop("_e", "_stop", "_ended")
+
+
+def pdf_widgets(files: DataFrame) -> DataFrame:
+    """Form widgets (WIDGETS, with the path as doc_id) of PDF files, where PyMuPDF is installed on the executors."""
+
+    def run(batches: Iterator) -> Iterator:
+        import fitz
+        import pandas as pd
+
+        for batch in batches:
+            rows = []
+            for path, content in zip(batch["path"], batch["content"]):
+                with fitz.open(stream=content, filetype="pdf") as pdf:
+                    rows += [(path, p.number + 1, i, w.field_name, None if w.field_value is None else str(w.field_value)) for p in pdf for i, w in enumerate(p.widgets() or ())]
+            yield pd.DataFrame(rows, columns=["doc_id", "page_no", "widget_no", "field_name", "field_value"])
+
+    return files.select("path", "content").mapInPandas(run, WIDGETS)
+
+
+def contains_template(page, template, least: float = 0.65, scales: tuple[float, ...] = (0.5, 0.75, 1.0, 1.25)) -> bool:
+    """Whether a gray page holds a gray template at one of several scales, by normalised cross-correlation (numpy arrays)."""
+    import numpy as np
+
+    page = np.asarray(page, float)
+    for scale in scales:
+        h, w = int(template.shape[0] * scale), int(template.shape[1] * scale)
+        if min(h, w) < 20 or h > page.shape[0] or w > page.shape[1]:
+            continue
+        small = np.asarray(template, float)[(np.arange(h) / scale).astype(int)][:, (np.arange(w) / scale).astype(int)]
+        small -= small.mean()
+        size = [page.shape[0] + h, page.shape[1] + w]
+        cross = np.fft.irfft2(np.fft.rfft2(page, size) * np.fft.rfft2(small[::-1, ::-1], size), size)[h - 1 : page.shape[0], w - 1 : page.shape[1]]
+        sums = [np.pad(np.cumsum(np.cumsum(x, 0), 1), ((1, 0), (1, 0))) for x in (page, page * page)]
+        one, two = (s[h:, w:] - s[:-h, w:] - s[h:, :-w] + s[:-h, :-w] for s in sums)
+        spread = np.sqrt(np.maximum(two - one * one / (h * w), 1e-9) * max((small * small).sum(), 1e-9))
+        if (cross / spread).max() > least:
+            return True
+    return False
