@@ -14,34 +14,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.llm import bpe, decontam, neardup, quality, secrets
-from gleaner.llm.common import keep, table
+from gleaner.llm.common import keep, small_batches, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the base or host rules reject."""
+    small_batches(spark)
     return quality.kept_documents(spark, docs.select(*COLUMNS))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates: that of the smallest id."""
+    small_batches(spark)
     return neardup.kept_documents(spark, docs).select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark item."""
+    small_batches(spark)
     return decontam.clean_documents(spark, docs, table(spark, sf_dir, "benchmark"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace secrets in texts by their kind."""
+    small_batches(spark)
     clean = secrets.redacted(docs)
     return clean.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of the texts, with digests of the ids and of what they decode to."""
+    small_batches(spark)
     return bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.json"), ("n_tokens", "ids", "ids_sha256", "decoded_sha256"))
 
 

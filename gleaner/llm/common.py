@@ -29,6 +29,16 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Let at most ``rows`` rows go to a Python worker at once, for work that carries whole texts there and back.
+
+    A session setting, since it is read when a plan runs; a smaller one stays.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/gleaner/{name}-{uuid.uuid4().hex}"
 
