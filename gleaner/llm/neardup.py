@@ -6,7 +6,7 @@ share one of the first COORDINATES - MATCHES + 1 pairs of any common order, so p
 are put last and most postings of shared passages are skipped. Each posting list proposes its central
 member to the others; collisions are counted on whole signatures, pairs below MATCHES are dropped, and each
 member's best one is confirmed on the full sets. What is left apart is compared in a second round, group by
-group in blocks, in which pairs inside one component are skipped.
+group in blocks, in which pairs inside one component are skipped; a group of two is confirmed by its pair.
 
 The order uses a frequency sketch of fixed size. Any common order gives the same candidates' guarantee; the
 sketch only decides how long the lists get.
@@ -213,17 +213,20 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     return label
 
 
-def second_round(spark: SparkSession, posted: DataFrame, sets: DataFrame, label: DataFrame, texts_of) -> DataFrame:
+def second_round(spark: SparkSession, posted: DataFrame, sets: DataFrame, near: DataFrame, best: DataFrame, label: DataFrame, texts_of) -> DataFrame:
     """Links (a, b) between members of different components that share a list.
 
     Lists with one central member are taken together, so each set stands in a few groups only. A group is cut into
     blocks, each pair of blocks is a unit of bounded size, and a unit compares signatures, skips what is already
-    connected, and confirms the rest on the full sets. Only links leave it.
+    connected, and confirms the rest on the full sets. Only links leave it. A group of two has one pair, which is
+    confirmed if it is ``near`` and wasn't its member's ``best`` one.
     """
     members = posted.select("a", "rep").distinct().join(label, "rep", "left").select("a", "rep", F.coalesce("component", "rep").alias("component"))
     members = keep(spark, members, "members")
-    groups = members.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).where("low != high and n > 2")
-    groups = keep(spark, groups.select("a", F.ceil(F.col("n") / UNIT).cast("int").alias("blocks")), "groups")
+    groups = members.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
+    groups = keep(spark, groups.select("a", "n"), "apart")
+    single = keep(spark, near.select("a", "b").join(groups.where("n = 2").select("a"), "a", "left_semi").join(best, ["a", "b"], "left_anti"), "single")
+    groups = keep(spark, groups.where("n > 2").select("a", F.ceil(F.col("n") / UNIT).cast("int").alias("blocks")), "groups")
     rows = members.join(groups, "a").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     rows = keep(spark, rows, "open")
     texts = texts_of(rows.select("rep"))
@@ -259,7 +262,8 @@ def second_round(spark: SparkSession, posted: DataFrame, sets: DataFrame, label:
                     found.append((int(rep[x]), int(rep[y])))
         return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
 
-    return units.groupBy("a", "i", "j").applyInArrow(run, "a bigint, b bigint")
+    found = units.groupBy("a", "i", "j").applyInArrow(run, "a bigint, b bigint")
+    return found.unionByName(confirmed(single, texts_of(single.select(F.explode(F.array("a", "b"))))))
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -276,7 +280,7 @@ def deduplicate(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     lists = keep(spark, posted.groupBy("token").agg(F.max_by("rep", F.struct("frequent", -F.col("rep"))).alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").select("token", "a"), "lists")
     posted = keep(spark, posted.select("token", "rep").join(lists, "token").select("a", "rep"), "shared")  # most pairs of coordinate and value belong to one set
     drop_path(spark, path)
-    near = matched(posted.where("a != rep").select("a", F.col("rep").alias("b")).distinct(), sets)
+    near = keep(spark, matched(posted.where("a != rep").select("a", F.col("rep").alias("b")).distinct(), sets), "near")
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_bytes(text_col).alias("text"))
 
     def texts_of(ids: DataFrame) -> DataFrame:
@@ -289,7 +293,7 @@ def deduplicate(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     best = keep(spark, near.groupBy("b").agg(F.max_by("a", F.struct("matches", -F.col("a"))).alias("a")).select("a", "b"), "best")
     links = keep(spark, confirmed(best, texts_of(best.select(F.explode(F.array("a", "b"))))), "confirmed")
     label = components(spark, links)
-    again = keep(spark, second_round(spark, posted, sets, label, texts_of), "again")
+    again = keep(spark, second_round(spark, posted, sets, near, best, label, texts_of), "again")
     if again.limit(1).count():
         label = components(spark, links.unionByName(again))
     groups = sets.join(label, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))

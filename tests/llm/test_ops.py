@@ -259,6 +259,23 @@ def test_near_duplicates_equal_brute_force(spark, rows, monkeypatch):
     assert got == brute_components(texts)
 
 
+def run_of(name, n):
+    return " ".join(f"{name}{i}" for i in range(n))
+
+
+def test_near_duplicates_that_bridge_two_lists_of_two(spark):
+    """u + p + v is linked with u + p and with p + v, in two lists of two, since a crowd holds p; those aren't linked."""
+    p = run_of("p", 230)
+    texts = [(1000 + i, f"{p} {run_of(f'q{i}x', 58)}") for i in range(60)]
+    for i in range(12):
+        u, v = run_of(f"u{i}x", 110), run_of(f"v{i}x", 110)
+        texts += [(3 * i, f"{u} {p}"), (3 * i + 1, f"{p} {v}"), (3 * i + 2, f"{u} {p} {v}")]
+    want = brute_components(texts)
+    assert all(want[3 * i + k][1] == 3 * i for i in range(12) for k in range(3)) and len({c for _, c, _ in want.values()}) == 72
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in neardup.deduplicate(spark, df).collect()} == want
+
+
 def test_near_duplicates_of_repeated_rows_and_nothing(spark):
     df = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, "x")], "doc_id long, text string")
     got = neardup.deduplicate(spark, df).collect()
