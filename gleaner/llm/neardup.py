@@ -11,10 +11,10 @@ group in blocks, in which pairs inside one component are skipped; a group of two
 The order uses a frequency sketch of fixed size. Any common order gives the same candidates' guarantee; the
 sketch only decides how long the lists get.
 
-A pair of similarity 0.75 agrees in fewer than MATCHES = 34 of 64 coordinates once in about 70,000 times. A passage
-that many texts share makes its pairs frequent. If a set has at most PASSAGE = 38 frequent pairs, its passages are at
-most three fifths of it, and a set that is linked with it must share other pairs too: that none of the others agrees is
-as seldom. So it isn't posted under frequent pairs. Sets with more, as in groups of near copies, are posted under all.
+A pair of similarity 0.75 agrees in fewer than MATCHES = 34 of 64 coordinates with probability 4.4e-5 (binomial), once
+in about 23,000 times. Every set is posted under its whole prefix, so a pair that agrees in MATCHES or more always shares
+a list. A passage that many texts share makes its pairs frequent; a set with fewer than MATCHES frequent pairs has none of
+them in its prefix.
 
 Edge cases: texts without words (null ones too) have an empty set, are linked with nothing and kept; equal
 texts and repeated rows share a component; rows without an id are grouped by their set but never name a
@@ -41,8 +41,6 @@ PERCENT = 75
 #: Counters of the frequency sketch, the least count at which a pair of coordinate and value is put later, and how
 #: many times the mean count makes it so too (the counters' noise).
 SKETCH, OFTEN, NOISE = 1 << 20, 32, 4
-#: Sets with at most so many frequent pairs are posted under their other pairs only.
-PASSAGE = 38
 #: Members of a block of the second round; a unit holds two blocks.
 UNIT = 512
 #: Most rows that are broadcast after they have been counted.
@@ -154,9 +152,8 @@ def postings(sets: DataFrame, often) -> DataFrame:
                 part = batch.slice(at, 2000)
                 signs = matrix(part.column(1))
                 names, frequent = prefixes(signs, order), (order[buckets(tokens(signs))] > 0).sum(axis=1)
-                used = ((order[buckets(names)] == 0) | (frequent > PASSAGE)[:, None]).ravel()
-                counts = np.repeat(frequent.astype(np.int32), PREFIX)[used]
-                yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64).ravel()[used]), pa.array(np.repeat(part.column(0).to_numpy(), PREFIX)[used]), pa.array(counts)], names=["token", "rep", "frequent"])
+                counts = np.repeat(frequent.astype(np.int32), PREFIX)
+                yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64).ravel()), pa.array(np.repeat(part.column(0).to_numpy(), PREFIX)), pa.array(counts)], names=["token", "rep", "frequent"])
 
     return sets.select("rep", "sig").mapInArrow(run, "token bigint, rep bigint, frequent int")
 

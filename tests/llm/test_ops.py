@@ -276,6 +276,22 @@ def test_near_duplicates_that_bridge_two_lists_of_two(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in neardup.deduplicate(spark, df).collect()} == want
 
 
+def test_pairs_with_enough_matches_share_a_posting(spark):
+    """A text of frequent pairs, and texts with some of them: all pairs with MATCHES matches share a posted pair."""
+    rng = np.random.default_rng(6)
+    signs = rng.integers(0, 1 << 32, (300, neardup.COORDINATES), dtype=np.uint32)
+    signs[:40] = signs[0]
+    for i in range(40, 300):  # the first of 34 to 45 coordinates are as in the frequent text
+        signs[i, : 34 + i % 12] = signs[0, : 34 + i % 12]
+    sets = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(signs)], "rep long, sig binary")
+    often = spark.sparkContext.broadcast(neardup.table_of(neardup.frequency_sketch(sets)))
+    held = {}
+    for r in neardup.postings(sets, often).collect():
+        held.setdefault(r.rep, set()).add(r.token)
+    same = (signs[:, None, :] == signs[None, :, :]).sum(axis=2)
+    assert all(held.get(a, set()) & held.get(b, set()) for a, b in np.argwhere(same >= neardup.MATCHES).tolist())
+
+
 def test_near_duplicates_of_repeated_rows_and_nothing(spark):
     df = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, "x")], "doc_id long, text string")
     got = neardup.deduplicate(spark, df).collect()
