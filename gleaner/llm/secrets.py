@@ -27,8 +27,9 @@ BASE = (
     ("hex", re.compile(rb"[0-9a-f]{16,}"), 0, 16),
 )
 KINDS = ("assign", "access", "hex", "guess")
-#: Names of credentials, what may stand between them and a value, and the value.
-CONTEXT = re.compile(rb"""(?:passwords?|passwd|passphrase|passcode|pwd|secrets?|tokens?|bearer|credentials?|[a-z]*[_-]?key)["']?(?:\x20*(?::=|=>|->|[:=])\x20*|\x20+is:?\x20+|\x20+)["'`]?([^\x00-\x20"'`<>,;(){}\[\]]{8,200})""", re.I)
+#: Names of credentials and what may stand between them and a value of 8 bytes or more; the value.
+CONTEXT = re.compile(rb"""(?:passwords?|passwd|passphrase|passcode|pwd|secrets?|tokens?|bearer|credentials?|[a-z]*[_-]?key)["']?(?:\x20*(?::=|=>|->|[:=])\x20*|\x20+is:?\x20+|\x20+)["'`]?(?=[^\x00-\x20"'`<>,;(){}\[\]]{8})""", re.I)
+VALUE = re.compile(rb"""[^\x00-\x20"'`<>,;(){}\[\]]+""")
 HINTS = (b"passw", b"passp", b"passc", b"pwd", b"secret", b"token", b"bearer", b"credential", b"key")
 #: Values from this decimal log of guesses on are secrets.
 DEAR = 10.0
@@ -48,6 +49,8 @@ ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./", "abcdefghi
 STEPS = {pair for row in ROWS for line in (row, row[::-1]) for pair in zip(line, line[1:])} | {
     pair for upper, lower in zip(ROWS[:3], ROWS[1:4]) for a, b in zip(upper[1:] if upper is ROWS[0] else upper, lower) for pair in ((a, b), (b, a))
 }
+#: Keys of a walk all of whose parts are costed.
+WALK = 256
 DATE = re.compile(r"(?:19|20)\d\d(?:[-/._]?(?:0[1-9]|1[0-2])(?:[-/._]?(?:0[1-9]|[12]\d|3[01]))?)?|(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)?\d\d")
 
 
@@ -57,8 +60,20 @@ def alphabet(text: str) -> int:
     return size + 33 * any(not c.isalnum() for c in text) or 33
 
 
-def guess_cost(value: str) -> tuple[float, list[tuple[str, int, int]]]:
-    """The least decimal log of guesses of a value, and the segments (kind, start, end) that give it."""
+def repeats(value: str, unit: int) -> list[int]:
+    """How many times in a row the ``unit`` characters at each place stand there."""
+    n, run = len(value), [0] * (len(value) + 1)
+    for i in range(n - unit - 1, -1, -1):
+        run[i] = run[i + 1] + 1 if value[i] == value[i + unit] else 0
+    return [1 + r // unit for r in run]
+
+
+def guess_cost(value: str, enough: float = float("inf")) -> tuple[float, list[tuple[str, int, int]]]:
+    """The least decimal log of guesses of a value, and the segments (kind, start, end) that give it.
+
+    Once all ways to go on cost ``enough``, a lower bound of the cost is returned, without segments. A walk of more
+    than WALK keys counts from each place to its end only.
+    """
     n, low = len(value), value.lower()
     plain, brute = low.translate(LEET), log10(alphabet(value))
     best, how = [0.0] + [float("inf")] * n, [("", 0)] * (n + 1)
@@ -67,7 +82,13 @@ def guess_cost(value: str) -> tuple[float, list[tuple[str, int, int]]]:
         if best[start] + cost < best[end]:
             best[end], how[end] = best[start] + cost, (kind, start)
 
+    times_of: dict[int, list[int]] = {}
+    walk_end = 0
     for i in range(n):
+        if i >= 8 and i & (i - 1) == 0 and (least := min(best[i:])) >= enough:  # at powers of two: linear in all
+            return least, []
+        if i == 16:  # most values end before, or are dear by then
+            times_of = {unit: repeats(value, unit) for unit in range(1, min(16, n // 2) + 1)}
         offer(i, i + 1, "brute", brute)
         for end in range(i + 3, min(n, i + LONGEST_WORD) + 1):
             rank = RANK.get(plain[i:end])
@@ -80,14 +101,15 @@ def guess_cost(value: str) -> tuple[float, list[tuple[str, int, int]]]:
                     for end in {m.end(), i + 4} if m.end() - i > 4 else {m.end()}:
                         if end <= n:
                             offer(i, end, "date", log10(120) if end - i == 4 else log10(120 * 366))
-        end = i + 1
-        while end < n and (low[end - 1], low[end]) in STEPS:
-            end += 1
-            if end - i >= 3:
-                offer(i, end, "walk", log10(47 * (end - i) * 4))
+        if walk_end <= i:
+            walk_end = i + 1
+            while walk_end < n and (low[walk_end - 1], low[walk_end]) in STEPS:
+                walk_end += 1
+        for end in range(i + 3, walk_end + 1) if walk_end - i <= WALK else (walk_end,):
+            offer(i, end, "walk", log10(47 * (end - i) * 4))
         for unit in range(1, min(16, (n - i) // 2) + 1):
-            times = 1
-            while value.startswith(value[i : i + unit], i + unit * times):
+            times = times_of[unit][i] if times_of else 1
+            while not times_of and value.startswith(value[i : i + unit], i + unit * times):
                 times += 1
             if times > 1 and unit * times >= 3:
                 offer(i, i + unit * times, "repeat", brute * unit + log10(times))
@@ -103,7 +125,7 @@ def dear(value: str) -> bool:
     """Whether a value in a credential context is a secret: of letters with digits or both cases, and dear to guess."""
     if not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value) or any(c.islower() for c in value) and any(c.isupper() for c in value[1:])):
         return False
-    return guess_cost(value)[0] >= DEAR
+    return guess_cost(value, DEAR)[0] >= DEAR
 
 
 def find(raw: bytes) -> list[tuple[str, int, int, int]]:
@@ -117,9 +139,14 @@ def find(raw: bytes) -> list[tuple[str, int, int, int]]:
         spans += [(m.start(), kind, m.end(), m.start(group)) for m in pattern.finditer(raw) if m.end(group) - m.start(group) >= least]
     if named:
         taken = [(s, e) for s, _, e, _ in spans]
-        for m in CONTEXT.finditer(raw):
-            start, end = m.span(1)
-            value = m[1].rstrip(b".:!?|")
+        place = 0
+        while m := CONTEXT.search(raw, place):
+            start = place = m.end()
+            if CONTEXT.match(raw, start):  # the value is the name of the next credential
+                continue
+            value = VALUE.match(raw, start)[0]
+            place = start + len(value)
+            value = value.rstrip(b".:!?|")
             end = start + len(value)
             if len(value) >= 8 and all(e <= start or s >= end for s, e in taken) and dear(value.decode("utf-8", "replace")):
                 spans.append((start, "guess", end, start))

@@ -360,6 +360,21 @@ def test_guess_cost_tells_secrets_from_words():
     assert [s[0] for s in secrets.find(b"pwd: kX9#vQ2!pLm4 ok")] == ["guess"] and secrets.find(b"the password is changeme and the key thing") == []
 
 
+def test_secret_values_are_whole_and_names_are_no_values():
+    rng = random.Random(8)
+    long = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789-_.") for _ in range(400)).strip(".")
+    assert secrets.find(f"Authorization: Bearer {long} end".encode()) == [("guess", 22, 22 + len(long), 22)]
+    for text in ("the secret password: aB3$xE5g", "api key password = aB3$xE5g", "token secret pwd aB3$xE5g"):
+        assert [text[s:e] for _, s, e, _ in secrets.find(text.encode())] == ["aB3$xE5g"]
+    for value in ("z" * 30_000, "zx" * 30_000, "qwertyuiop" * 2_000):  # cheap and long: in linear time
+        assert secrets.find(f"key: {value}".encode()) == []
+    values = ["".join(rng.choice("ab1Q!") for _ in range(rng.randint(1, 40))) for _ in range(300)] + ["qwertyuiop12", "aaaa1111bbbb", "Summer2019-05-06" * 3]
+    for v in values:
+        whole = secrets.guess_cost(v)[0]
+        least = secrets.guess_cost(v, secrets.DEAR)[0]
+        assert least <= whole + 1e-9 and (least >= secrets.DEAR) == (whole >= secrets.DEAR)
+
+
 def test_redaction_keeps_the_rest(spark):
     text = 'é say token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" and done'
     df = spark.createDataFrame([(1, text), (2, None), (3, "clean")], "doc_id long, text string")
