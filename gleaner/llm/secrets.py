@@ -2,7 +2,9 @@
 
 A value that stands where a credential is named is cut, by dynamic programming, into the cheapest
 sequence of dictionary words, dates, repeats, keyboard walks and brute-force spans; the sum of their
-decimal log guesses is its cost, and a value that is dear to guess is taken for a secret.
+decimal log guesses is its cost, and a value that is dear to guess is taken for a secret. Where only a blank
+or "is" stands before it, a value of one kind of characters must be dear by a larger word list too, since it
+is mostly prose.
 
 Edge cases: a null text is an empty one (no spans); an empty table gives no rows; rows that repeat are
 scanned each; other columns of the input are not carried. Spans are in code points, the end exclusive.
@@ -10,10 +12,13 @@ scanned each; other columns of the input are not carried. Spans are in code poin
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from math import log10
 
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +47,6 @@ world money house happy cookie banana orange apple silver golden purple yellow g
 matrix mustang cheese pepper ginger charlie jessica ashley andrew daniel joshua george harley maggie
 your here insert replace none null true false value string dummy placeholder the and for with this that""".split()
 RANK = {w: i + 1 for i, w in enumerate(WORDS)}
-LONGEST_WORD = max(map(len, WORDS))
 LEET = str.maketrans("@430157$!", "aaeoistsi")
 #: Rows of keys, whose neighbours make walks.
 ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./", "abcdefghijklmnopqrstuvwxyz", "0123456789")
@@ -68,13 +72,26 @@ def repeats(value: str, unit: int) -> list[int]:
     return [1 + r // unit for r in run]
 
 
-def guess_cost(value: str, enough: float = float("inf")) -> tuple[float, list[tuple[str, int, int]]]:
+@lru_cache(maxsize=1)
+def many_words() -> dict[str, int]:
+    """Ranks of WORDS and, after them, of the whole words of the byte-level vocabulary in its order."""
+    found = dict(RANK)
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        vocabulary = json.load(f)["model"]["vocab"]
+    for word in sorted(vocabulary, key=vocabulary.get):
+        low = word[1:].lower()
+        if word[0] == "\u0120" and len(low) >= 3 and low.isascii() and low.isalpha():
+            found.setdefault(low, len(found) + 1)
+    return found
+
+
+def guess_cost(value: str, enough: float = float("inf"), ranks: dict[str, int] = RANK) -> tuple[float, list[tuple[str, int, int]]]:
     """The least decimal log of guesses of a value, and the segments (kind, start, end) that give it.
 
     Once all ways to go on cost ``enough``, a lower bound of the cost is returned, without segments. A walk of more
     than WALK keys counts from each place to its end only.
     """
-    n, low = len(value), value.lower()
+    n, low, longest = len(value), value.lower(), max(map(len, ranks))
     plain, brute = low.translate(LEET), log10(alphabet(value))
     best, how = [0.0] + [float("inf")] * n, [("", 0)] * (n + 1)
 
@@ -90,8 +107,8 @@ def guess_cost(value: str, enough: float = float("inf")) -> tuple[float, list[tu
         if i == 16:  # most values end before, or are dear by then
             times_of = {unit: repeats(value, unit) for unit in range(1, min(16, n // 2) + 1)}
         offer(i, i + 1, "brute", brute)
-        for end in range(i + 3, min(n, i + LONGEST_WORD) + 1):
-            rank = RANK.get(plain[i:end])
+        for end in range(i + 3, min(n, i + longest) + 1):
+            rank = ranks.get(plain[i:end])
             if rank:
                 leet, upper = plain[i:end] != low[i:end], value[i:end] != low[i:end]
                 offer(i, end, "word", log10(rank) + 0.5 + 0.5 * leet + (0.3 if upper and value[i].isupper() and value[i + 1 : end].islower() else 1.0 * upper))
@@ -121,11 +138,12 @@ def guess_cost(value: str, enough: float = float("inf")) -> tuple[float, list[tu
     return best[n], parts[::-1]
 
 
-def dear(value: str) -> bool:
-    """Whether a value in a credential context is a secret: of letters with digits or both cases, and dear to guess."""
-    if not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value) or any(c.islower() for c in value) and any(c.isupper() for c in value[1:])):
+def dear(value: str, blank: bool = False) -> bool:
+    """Whether a value in a credential context is a secret: dear to guess. ``blank``: no sign stands before it."""
+    if guess_cost(value, DEAR)[0] < DEAR:
         return False
-    return guess_cost(value, DEAR)[0] >= DEAR
+    mixed = any(c.isdigit() for c in value) and any(c.isalpha() for c in value) or any(c.islower() for c in value) and any(c.isupper() for c in value[1:])
+    return not blank or mixed or guess_cost(value, DEAR, many_words())[0] >= DEAR
 
 
 def find(raw: bytes) -> list[tuple[str, int, int, int]]:
@@ -148,7 +166,8 @@ def find(raw: bytes) -> list[tuple[str, int, int, int]]:
             place = start + len(value)
             value = value.rstrip(b".:!?|")
             end = start + len(value)
-            if len(value) >= 8 and all(e <= start or s >= end for s, e in taken) and dear(value.decode("utf-8", "replace")):
+            blank = raw[m.start() : start].rstrip(b"\x20\"'`")[-1:] not in (b":", b"=", b">")
+            if len(value) >= 8 and all(e <= start or s >= end for s, e in taken) and dear(value.decode("utf-8", "replace"), blank):
                 spans.append((start, "guess", end, start))
     if not raw.isascii() and spans:
         at = {}

@@ -375,6 +375,13 @@ def test_secret_values_are_whole_and_names_are_no_values():
         assert least <= whole + 1e-9 and (least >= secrets.DEAR) == (whole >= secrets.DEAR)
 
 
+def test_guess_cost_decides_for_all_values():
+    for text in ("pwd: qzkxvwjh$mtplbn", "passphrase: kqzvwxjhtmplbnrd", "passcode: 8392017463528", "passphrase kqzvwxjhtmplbnrd", "pwd battery2024x7"):
+        value = text.split()[-1]
+        assert [text[s:e] for _, s, e, _ in secrets.find(text.encode())] == [value], text
+    assert secrets.find(b"the key considerations, a secret international agreement and token development") == []
+
+
 def test_redaction_keeps_the_rest(spark):
     text = 'é say token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" and done'
     df = spark.createDataFrame([(1, text), (2, None), (3, "clean")], "doc_id long, text string")
