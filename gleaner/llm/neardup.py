@@ -307,4 +307,7 @@ def kept_documents(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
         gone = F.broadcast(gone)
     kept = docs.join(gone, id_col, "left_anti")
     twice = verdicts.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return kept.dropDuplicates([id_col]) if twice else kept
+    if not twice:
+        return kept
+    known = F.col(id_col).isNotNull()  # null ids are no repeated id
+    return kept.where(known).dropDuplicates([id_col]).unionByName(kept.where(~known))

@@ -300,6 +300,12 @@ def test_near_duplicates_of_repeated_rows_and_nothing(spark):
     assert neardup.deduplicate(spark, empty(spark)).count() == 0
 
 
+def test_documents_without_an_id_stay_beside_repeated_rows(spark):
+    df = spark.createDataFrame([(1, run_of("a", 9)), (1, run_of("a", 9)), (None, run_of("b", 9)), (None, run_of("c", 9)), (2, run_of("d", 9))], "doc_id long, text string")
+    got = neardup.kept_documents(spark, df).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter({(1, run_of("a", 9)): 1, (None, run_of("b", 9)): 1, (None, run_of("c", 9)): 1, (2, run_of("d", 9)): 1})
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(100, 90), (95, 90)], "a long, b long")
     got = {r.rep: r.component for r in neardup.components(spark, links).collect()}
