@@ -21,12 +21,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import text_bytes
+from .common import frugal, text_bytes
 
 #: The pattern by which byte-level BPE vocabularies of this kind cut texts.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: Most distinct words and pairs of tokens that a worker remembers; then it starts anew.
-MEMO_WORDS, MEMO_PAIRS, LONGEST_KEPT = 300_000, 1_000_000, 200
+#: Most distinct words and pairs of tokens that a worker remembers since it last forgot. About 250 bytes for each word
+#: and 150 for each pair: at most some 150 MB with the pieces and what was remembered before.
+MEMO_WORDS, MEMO_PAIRS, LONGEST_KEPT = 160_000, 100_000, 200
 NEVER = 1 << 60
 
 
@@ -38,15 +39,19 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class Memo(dict):
-    """A dict that makes missing values, and forgets all when it holds ``limit``."""
+    """A dict that makes missing values. When it holds ``limit``, what wasn't asked for since the last time is forgotten."""
 
     def __init__(self, make, limit: int):
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.old = make, limit, {}
 
     def __missing__(self, key):
         if len(self) >= self.limit:
+            self.old = self.copy()
             self.clear()
-        value = self[key] = self.make(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
         return value
 
 
@@ -73,9 +78,11 @@ class ByteBpe:
             if i not in self.halves or not self.meet(*self.halves[i], before=self.born[i]):
                 self.machine.add_word(self.surface[i].decode("latin-1"), (len(t), i))
         self.machine.make_automaton()
+        self.alone = {t.decode("latin-1"): i for i, t in self.surface.items() if t.decode("latin-1") in self.machine}
+        self.number = {i: str(i).encode() for i in self.surface}
         self.pairs = Memo(lambda pair: not self.meet(*pair), MEMO_PAIRS)
-        self.known = Memo(lambda p: self.piece(p.encode()), MEMO_WORDS)
-        self.csv, self.text = {}, {}
+        self.pieces = Memo(lambda p: self.written(self.piece(p)), MEMO_WORDS // 2)
+        self.words = Memo(lambda w: self.made(" " + w), MEMO_WORDS)
 
     def meet(self, left: int, right: int, before: int = NEVER) -> bool:
         """Whether a merge across the border of two neighbours comes before rank ``before``.
@@ -97,24 +104,28 @@ class ByteBpe:
             else:
                 right_until, right = born[right], halves[right][0]
 
-    def piece(self, raw: bytes) -> list[int]:
+    def piece(self, piece: str) -> list[int]:
         """Ids of one piece."""
+        raw = piece if piece.isascii() else piece.encode().decode("latin-1")  # a character for each byte
+        if raw in self.alone:  # a token that ends the whole piece and begins it
+            return [self.alone[raw]]
         last: list = [None] * len(raw)
         pairs = self.pairs
-        for end, (length, token) in self.machine.iter(raw.decode("latin-1")):
+        for end, (length, token) in self.machine.iter(raw):
             if last[end] is None and (length > end or pairs[last[end - length], token]):
                 last[end] = token
-        ids, at = [], len(raw) - 1
+        ids, at, surface = [], len(raw) - 1, self.surface
         while at >= 0:
-            ids.append(last[at])
-            at -= len(self.surface[last[at]])
+            ids.append(token := last[at])
+            at -= len(surface[token])
         return ids[::-1]
 
+    def written(self, ids: list[int]) -> tuple[bytes, bytes]:
+        """Comma-joined ids and the bytes that they decode to."""
+        return b",".join([self.number[i] for i in ids]), b"".join([self.surface[i] for i in ids])
+
     def ordinary(self, text: str) -> list[int]:
-        ids: list[int] = []
-        for p in PIECES.findall(text):
-            ids += self.known[p] if len(p) <= LONGEST_KEPT else self.piece(p.encode())
-        return ids
+        return [i for p in PIECES.findall(text) for i in self.piece(p)]
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text; strings of special tokens become those tokens."""
@@ -129,15 +140,10 @@ class ByteBpe:
     def decode(self, ids) -> str:
         return b"".join(map(self.surface.__getitem__, ids)).decode("utf-8", "replace")
 
-    def remember(self, words: str) -> bytes:
-        """Encode words that a blank precedes, and remember them."""
-        ids = self.ordinary(" " + words)
-        if len(self.csv) >= MEMO_WORDS:
-            self.csv.clear()
-            self.text.clear()
-        self.csv[words] = ",".join(map(str, ids)).encode()
-        self.text[words] = b"".join(map(self.surface.__getitem__, ids))
-        return self.csv[words]
+    def made(self, text: str) -> tuple[bytes, bytes]:
+        """What ``written`` gives for a text without special tokens."""
+        found = [self.pieces[p] if len(p) <= LONGEST_KEPT else self.written(self.piece(p)) for p in PIECES.findall(text)]
+        return found[0] if len(found) == 1 else (b",".join([x[0] for x in found]), b"".join([x[1] for x in found]))
 
     def digest(self, text: str) -> tuple[bytes, bytes]:
         """Comma-joined ids of a text and the bytes that they decode to.
@@ -146,38 +152,31 @@ class ByteBpe:
         such blanks is encoded once and remembered. Blanks beside other white space stay inside.
         """
         if self.cut is not None and self.cut.search(text):
-            ids = self.encode(text)
-            return ",".join(map(str, ids)).encode(), b"".join(map(self.surface.__getitem__, ids))
+            return self.written(self.encode(text))
         words = iter(text.split(" "))
         held = next(words)
-        first, known, said, csv, back = True, self.csv, self.text, [], []
+        first, said, found = True, self.words, []
         for w in words:
-            if w in known and held in known and not first:  # both begin and end visibly: the usual case
-                csv.append(known[held])
-                back.append(said[held])
+            if w in said and not first and (got := said.get(held)) is not None:  # both begin and end visibly: the usual case
+                found.append(got)
                 held = w
             elif w and held and not w[0].isspace() and not held[-1].isspace():
-                self.put(held, first, csv, back)
+                self.put(held, first, found)
                 first, held = False, w
             else:
                 held = f"{held} {w}"
-        self.put(held, first, csv, back)
-        return b",".join(csv), b"".join(back)
+        self.put(held, first, found)
+        return b",".join([x[0] for x in found]), b"".join([x[1] for x in found])
 
-    def put(self, words: str, first: bool, csv: list, back: list) -> None:
+    def put(self, words: str, first: bool, found: list) -> None:
         """Add the ids and bytes of words; the first of a text have no blank before them."""
         if first:
-            if ids := self.ordinary(words):
-                csv.append(",".join(map(str, ids)).encode())
-                back.append(b"".join(map(self.surface.__getitem__, ids)))
+            if words:
+                found.append(self.made(words))
         elif len(words) > LONGEST_KEPT or words[0].isspace() or words[-1].isspace():
-            ids = self.ordinary(" " + words)
-            csv.append(",".join(map(str, ids)).encode())
-            back.append(b"".join(map(self.surface.__getitem__, ids)))
+            found.append(self.made(" " + words))
         else:
-            got = self.csv.get(words)
-            csv.append(self.remember(words) if got is None else got)
-            back.append(self.text[words])
+            found.append(self.words[words])
 
 
 @lru_cache(4)
@@ -216,4 +215,4 @@ def encode_decode(docs: DataFrame, path: str, outputs=("n_tokens", "ids", "decod
                         into.append(hashlib.sha256(back.decode("utf-8", "replace").encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(v, KINDS[o]) for o, v in made.items())], names=[id_col, *outputs])
 
-    return source.mapInArrow(run, f"{id_col} {kind}, " + ", ".join(f"{o} {SQL_KINDS[o]}" for o in outputs))
+    return source.mapInArrow(frugal(run), f"{id_col} {kind}, " + ", ".join(f"{o} {SQL_KINDS[o]}" for o in outputs))

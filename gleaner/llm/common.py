@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,19 +23,51 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where that is unset (tests in one JVM) a temporary folder takes its place.
+    Where it is unset, one JVM that is both driver and executor (tests, benches) gets a temporary folder; a cluster
+    must name its own.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext._jsc.sc().isLocal():
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="gleaner-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over Arrow data in a worker that hands memory back to the system once the task is over.
+
+    Workers are reused by later stages, so what one task's allocators retain would add up on an executor.
+    """
+
+    def held(batches: Iterator) -> Iterator:
+        pa.set_memory_pool(pa.system_memory_pool())
+        yield from run(batches)
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
+
+    return held
+
+
+def column_function(each: Callable[[Iterator[pa.Array]], Iterator[pa.Array]], kind, steady: bool = True):
+    """A function of one column over Arrow data. Only that column goes to Python workers, not the rows around it.
+
+    ``steady``: Spark may evaluate it where and as often as it likes; else once for a row.
+    """
+    lean = frugal(each)
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from lean(batches)
+
+    function = F.arrow_udf(run, kind)
+    return function if steady else function.asNondeterministic()
+
+
 def small_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Let at most ``rows`` rows go to a Python worker at once, for work that carries whole texts there and back.
+    """Let at most ``rows`` rows go to a Python worker at once, for work that carries whole texts there.
 
-    A session setting, since it is read when a plan runs; a smaller one stays.
+    A setting of the session, since it is read when a plan runs, so it stays for later ones; a smaller one isn't raised.
     """
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name)) <= rows:

@@ -6,16 +6,22 @@ counted in overlapping bands of 2 * (k + 1) diagonals; bands that reach the boun
 inside the band. Texts and items are compared with A-Z lower-cased and runs of white space as one blank.
 
 The edit budget of an item is a tenth of its length, but never so much that the bound falls below one. Items
-shorter than Q characters contaminate only texts that equal them. The items are taken in blocks of bounded size, each
-of which all texts pass once; nothing of the texts is shuffled.
+shorter than Q characters contaminate only texts that equal them. Items that mostly repeat themselves (runs, short
+periods) would count every diagonal; for them the filter counts the text's places that hold any of the item's
+Q-grams in sliding windows, and a bit-parallel alignment searches the windows that reach the bound.
+
+The items are taken in blocks of bounded size, each of which all texts pass once; nothing of the texts is shuffled.
+The driver holds the characters of one block at a time, and the workers build their own tables of it.
 
 Edge cases: null and empty texts and items match nothing; an empty table on either side gives no rows; rows that
 repeat give one result each; an item that occurs more than once in a text is reported once, at its best place;
+very long texts are searched whole, the postings of their Q-grams in slices of bounded size; ids may have any type;
 other columns are not carried.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -24,12 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import column_function, frugal, keep
 
 Q, BUDGET = 8, 0.1
-#: Characters of items in a block, characters of text that are searched at once, slots of the tables that sift grams and cells.
-BLOCK, SEARCHED, SLOTS, CELLS = 1 << 22, 1 << 22, 1 << 20, 1 << 22
-#: Most contaminated ids that are broadcast after they have been counted.
-BROADCAST_ROWS = 100_000
+#: Characters of items in a block, characters of text that are searched at once, slots of the tables that sift grams and
+#: cells, postings that are expanded at once.
+BLOCK, SEARCHED, SLOTS, CELLS, SLICE = 1 << 20, 1 << 20, 1 << 20, 1 << 20, 1 << 20
+#: Mean number of places of an item that hold the same Q-gram, from which on it counts as repeating itself.
+PERIODIC = 8
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -74,18 +82,25 @@ def budget(m: int) -> int:
 
 
 class Items:
-    """One block of items: their Q-grams, sorted, with the items and places that hold each."""
+    """One block of items, known by their place in it: their Q-grams, sorted, with the items and places that hold each.
+
+    ``periodic``: those that repeat themselves, with their distinct Q-grams; they stand outside the postings.
+    """
 
-    def __init__(self, rows: list[tuple[int, str]]):
-        self.ids, self.texts = [], []
+    def __init__(self, texts: list[str]):
+        self.ids, self.texts, self.periodic = [], [], []
         whole: dict[bytes, list[int]] = {}
-        for item_id, text in rows:
+        for item, text in enumerate(texts):
             low = normal(text)[0].astype(np.uint32)
             if len(low) >= Q:
-                self.ids.append(item_id)
-                self.texts.append(low)
+                own, n = np.unique(grams(coded(low)), return_counts=True)
+                if (n * n).sum() > PERIODIC * n.sum():
+                    self.periodic.append((item, low, own))
+                else:
+                    self.ids.append(item)
+                    self.texts.append(low)
             elif len(low):
-                whole.setdefault(low.tobytes(), []).append(item_id)
+                whole.setdefault(low.tobytes(), []).append(item)
         self.whole = whole
         self.size = np.array([len(x) for x in self.texts], np.int64)
         self.k = np.array([budget(m) for m in self.size], np.int64)
@@ -105,40 +120,54 @@ class Items:
     def slot(gram: np.ndarray) -> np.ndarray:
         return ((gram * _MIX) >> np.uint64(44)).astype(np.int64)
 
+    def expanded(self, place: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Cells and items of the postings of the grams ``at``, which stand at ``place``, slice by slice."""
+        n = self.number[at]
+        longest, ends = int(self.size.max()), np.cumsum(n)
+        for lot in range(int(ends[-1] - 1) // SLICE + 1 if len(ends) else 0):
+            own = slice(np.searchsorted(ends, lot * SLICE, side="right"), np.searchsorted(ends, (lot + 1) * SLICE, side="right"))
+            m = n[own]
+            offset = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+            posting = np.repeat(self.first[at[own]], m) + offset
+            item = self.item[posting]
+            yield ((np.repeat(place[own], m) - self.at[posting] + longest) // (self.k[item] + 1)) * len(self.size) + item, item
+
     def candidates(self, short: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(item, first diagonal of a band) for the bands that reach their item's bound. ``short`` may hold many coded texts."""
+        nothing = np.empty(0, np.int64)
         g = grams(short)
-        place = np.flatnonzero(self.sift[self.slot(g)]) if len(self.grams) else np.empty(0, np.int64)
+        place = np.flatnonzero(self.sift[self.slot(g)]) if len(self.grams) else nothing
         at = np.minimum(np.searchsorted(self.grams, g[place]), len(self.grams) - 1)
         there = self.grams[at] == g[place] if len(place) else np.empty(0, bool)
         place, at = place[there], at[there]
-        n = self.number[at] if len(at) else np.empty(0, np.int64)
-        if not n.sum():
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        posting = np.repeat(self.first[at], n) + offset
-        item = self.item[posting]
-        longest = int(self.size.max())
-        cell = (np.repeat(place, n) - self.at[posting] + longest) // (self.k[item] + 1)
-        key = cell * len(self.size) + item
+        if not len(place):
+            return nothing, nothing
         # cells whose hashed neighbourhood can't reach the bound go first
-        spread = lambda x: ((x.astype(np.uint64) * _MIX) >> np.uint64(42)).astype(np.int64)
-        count = np.bincount(spread(key), minlength=CELLS)
-        near = count[spread(key)] + np.maximum(count[spread(key + len(self.size))], count[spread(key - len(self.size))])
-        key, count = np.unique(key[near >= self.bound[item]], return_counts=True)
-        if not len(key):
-            return np.empty(0, np.int64), np.empty(0, np.int64)
+        spread = lambda x: ((x.astype(np.uint64) * _MIX) >> np.uint64(44)).astype(np.int64)
+        near = np.zeros(CELLS, np.int64)
+        for key, _ in self.expanded(place, at):
+            near += np.bincount(spread(key), minlength=CELLS)
+        keys, counts = nothing, nothing
+        for key, item in self.expanded(place, at):
+            reach = near[spread(key)] + np.maximum(near[spread(key + len(self.size))], near[spread(key - len(self.size))])
+            key, count = np.unique(key[reach >= self.bound[item]], return_counts=True)
+            if len(keys):
+                key, back = np.unique(np.concatenate([keys, key]), return_inverse=True)
+                count = np.bincount(back, np.concatenate([counts, count]), len(key)).astype(np.int64)
+            keys, counts = key, count
+        if not len(keys):
+            return nothing, nothing
         # a band is a cell and the one after it; a band may begin in an empty cell
-        band = np.unique(np.concatenate([key, key - len(self.size)]))
+        band = np.unique(np.concatenate([keys, keys - len(self.size)]))
 
         def of(x: np.ndarray) -> np.ndarray:
-            i = np.minimum(np.searchsorted(key, x), len(key) - 1)
-            return np.where(key[i] == x, count[i], 0)
+            i = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
+            return np.where(keys[i] == x, counts[i], 0)
 
         item = band % len(self.size)
         good = of(band) + of(band + len(self.size)) >= self.bound[item]
         band, item = band[good], item[good]
-        return item, band // len(self.size) * (self.k[item] + 1) - longest
+        return item, band // len(self.size) * (self.k[item] + 1) - int(self.size.max())
 
     def verify(self, low: np.ndarray, item: int, diagonal: int) -> tuple[int, int, int] | None:
         """(edits, start, end) of the item's best place in a text near a band of diagonals, if within its budget."""
@@ -150,12 +179,63 @@ class Items:
             if exact % 4 == 0:
                 return 0, start + exact // 4, start + exact // 4 + len(own)
             exact += 1
+        # places of a band may repeat one gram: the item's own places that the window holds must reach the bound too
+        if np.isin(grams(coded(own)), grams(coded(window))).sum() < int(self.bound[item]):
+            return None
         edits, end = align(own, window, k)
         if edits > k:
             return None
         back = align(own[::-1], window[:end][::-1][: len(own) + k], k)[1]
         return edits, start + end - back, start + end
 
+    def scan(self, low: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(item, edits, start, end) of the best place of each periodic item that a text holds within its budget."""
+        g = grams(coded(low)) if self.periodic else None
+        for item, own, held in self.periodic:
+            m, k = len(own), budget(len(own))
+            width, bound = m + k - Q + 1, m - Q + 1 - k * Q
+            if len(g) < max(1, m - k - Q + 1):
+                continue
+            total = np.concatenate([[0], np.cumsum(np.isin(g, held))])
+            start = np.flatnonzero(total[np.minimum(np.arange(len(g)) + width, len(g))] - total[: len(g)] >= bound)
+            best = None
+            for part in np.split(start, np.flatnonzero(np.diff(start) > m + k) + 1) if len(start) else ():
+                first = int(part[0])
+                window = low[first : int(part[-1]) + m + k].astype(np.uint32)
+                got = edits, end = nearest(own, window, k)
+                if edits <= k and (best is None or edits < best[0]):
+                    back = align(own[::-1], window[:end][::-1][: m + k], k)[1]
+                    best = got[0], first + end - back, first + end
+                if edits == 0:
+                    break
+            if best:
+                yield item, *best
+
+
+def nearest(item: np.ndarray, window: np.ndarray, k: int) -> tuple[int, int]:
+    """The fewest edits between an item and a part of a window, and the first end of such a part; k + 1 beyond k edits.
+
+    Bit-parallel: one column of differences as two integers, a step for each character of the window.
+    """
+    m = len(item)
+    full, top = (1 << m) - 1, 1 << (m - 1)
+    where: dict[int, int] = {}
+    for i, c in enumerate(item.tolist()):
+        where[c] = where.get(c, 0) | 1 << i
+    up, down, cost, best = full, 0, m, (k + 1, 0)
+    for j, c in enumerate(window.tolist()):
+        same = where.get(c, 0)
+        level = ((((same & up) + up) ^ up) | same | down) & full
+        right, left = down | ~(level | up) & full, level & up
+        cost += bool(right & top) - bool(left & top)
+        if cost < best[0]:
+            best = cost, j + 1
+            if not cost:
+                break
+        right = right << 1 & full
+        up, down = left << 1 & full | ~(level | right) & full, level & right
+    return best
+
 
 def align(item: np.ndarray, window: np.ndarray, k: int) -> tuple[int, int]:
     """The fewest edits between an item and a part of a window, and the (first) end of that part; stops beyond k edits.
@@ -182,7 +262,7 @@ def align(item: np.ndarray, window: np.ndarray, k: int) -> tuple[int, int]:
 
 
 def search(items: Items, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
-    """For each text the items that it holds: (item id, start, end, edits), in its own code points."""
+    """For each text the items that it holds: (place of the item in its block, start, end, edits), in its own code points."""
     found: list[list[tuple[int, int, int, int]]] = []
     lows = [normal(t) for t in texts]
     gap = np.zeros(1, np.uint8)
@@ -200,76 +280,91 @@ def search(items: Items, texts: list[str]) -> list[list[tuple[int, int, int, int
             best[d, i] = got
     for d, (low, at) in enumerate(lows):
         own = [(x, 0, len(texts[d]), 0) for x in items.whole.get(low.astype(np.uint32).tobytes(), [])] if items.whole and len(low) < Q else []
+        own += [(x, int(at[start]), int(at[end - 1]) + 1, edits) for x, edits, start, end in items.scan(low)]
         found.append(own)
     for (d, i), (edits, start, end) in best.items():
         at = lows[d][1]
         found[d].append((items.ids[i], int(at[start]), int(at[end - 1]) + 1, edits))
-    return [sorted(x, key=lambda r: (r[1], str(r[0]))) for x in found]
+    return [sorted(x, key=lambda r: (r[1], r[0])) for x in found]
 
 
-def blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of about BLOCK characters."""
+def blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[pa.Table]:
+    """The items (id, text) in blocks of about BLOCK characters; the driver holds one at a time."""
     items = benchmark.select(id_col, text_col).where(F.length(text_col) > 0)
     size = items.agg(F.sum(F.length(text_col))).first()[0] or 0
     n = -(-size // BLOCK)
     for b in range(n):
-        own = items.where(F.pmod(F.xxhash64(id_col, text_col), F.lit(n)) == b) if n > 1 else items
-        yield [(r[0], r[1]) for r in own.toLocalIterator()]
+        own = items.where(F.pmod(F.xxhash64(text_col), F.lit(n)) == b) if n > 1 else items
+        yield own.toArrow().combine_chunks()
 
 
-def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """One row per document and item that it holds: ids, start and end in code points, and edits."""
-    source = docs.select(id_col, F.coalesce(text_col, F.lit("")).alias(text_col))
-    kind, item_kind = dict(source.dtypes)[id_col], dict(benchmark.dtypes)[item_col]
-    schema = f"{id_col} {kind}, {item_col} {item_kind}, start int, end int, edits int"
-    results = []
-    for rows in blocks(benchmark, item_col, item_text_col):
-        held = spark.sparkContext.broadcast(Items(rows))
+_built: dict[str, Items] = {}
 
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            items = held.value
-            for batch in batches:
-                ids, at = batch.column(0), 0
-                out: list[list] = [[], [], [], [], []]
-                while at < batch.num_rows:
-                    texts, size, to = [], 0, at
-                    while to < batch.num_rows and size < SEARCHED:
-                        texts.append(batch.column(1)[to].as_py())
-                        size += len(texts[-1])
-                        to += 1
-                    for k, own in enumerate(search(items, texts)):
-                        for item, start, end, edits in own:
-                            for column, value in zip(out, (at + k, item, start, end, edits)):
-                                column.append(value)
-                    at = to
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(out[0], pa.int32())), pa.array(out[1]).cast(pa_kind(item_kind)), *(pa.array(c, pa.int32()) for c in out[2:])], names=[id_col, item_col, "start", "end", "edits"])
-
-        results.append(source.mapInArrow(run, schema))
-    return reduce(DataFrame.unionByName, results) if results else spark.createDataFrame([], schema)
 
+def items_of(name: str, texts: pa.ChunkedArray) -> Items:
+    """The tables of a block, built once in each worker; those of the block before are given up."""
+    if name not in _built:
+        _built.clear()
+        _built[name] = Items(texts.to_pylist())
+    return _built[name]
 
-def pa_kind(kind: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
 
+def lots(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """Texts in lots of about SEARCHED characters, with the place of the first; nulls count as empty."""
+    first, held, size = 0, [], 0
+    for i, t in enumerate(texts):
+        held.append(t.as_py() or "")
+        size += len(held[-1])
+        if size >= SEARCHED:
+            yield first, held
+            first, held, size = i + 1, [], 0
+    if held:
+        yield first, held
 
-def clean_documents(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, that hold no item. No shuffle of the texts."""
-    at = docs.columns.index(text_col)
-    for rows in blocks(benchmark, "item_id", "text"):
-        held = spark.sparkContext.broadcast(Items(rows))
 
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """One row per document and item that it holds: ids, start and end in code points, and edits."""
+    source = docs.select(id_col, text_col)
+    kind, item_kind = source.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
+    schema = f"{id_col} {kind}, {item_col} {item_kind}, start int, end int, edits int"
+    results, last = [], None
+    for block in blocks(benchmark, item_col, item_text_col):
+        if last:  # another block: what the one before found is written, and its items leave the driver
+            results.append(keep(spark, last[0], "contaminated"))
+            last[1].destroy()
+        held, name = spark.sparkContext.broadcast(block), uuid.uuid4().hex
+
+        def run(batches: Iterator[pa.RecordBatch], held=held, name=name) -> Iterator[pa.RecordBatch]:
+            items, item_ids = items_of(name, held.value.column(1)), held.value.column(0).combine_chunks()
             for batch in batches:
-                first = 0
-                while first < batch.num_rows:
-                    texts, size, to = [], 0, first
-                    while to < batch.num_rows and size < SEARCHED:
-                        texts.append(batch.column(at)[to].as_py() or "")
-                        size += len(texts[-1])
-                        to += 1
-                    good = pa.array([not own for own in search(held.value, texts)], pa.bool_())
-                    yield pa.RecordBatch.from_arrays([c.filter(good) for c in batch.slice(first, to - first).columns], schema=batch.schema)
-                    first = to
-
-        docs = docs.mapInArrow(run, docs.schema)
+                out: list[list] = [[], [], [], [], []]
+                for first, texts in lots(batch.column(1)):
+                    for i, own in enumerate(search(items, texts)):
+                        for found in own:
+                            for column, value in zip(out, (first + i, *found)):
+                                column.append(value)
+                columns = [batch.column(0).take(pa.array(out[0], pa.int32())), item_ids.take(pa.array(out[1], pa.int32())), *(pa.array(c, pa.int32()) for c in out[2:])]
+                yield pa.RecordBatch.from_arrays(columns, names=[id_col, item_col, "start", "end", "edits"])
+
+        last = source.mapInArrow(frugal(run), schema), held
+    if not last:
+        return spark.createDataFrame([], schema)
+    return reduce(DataFrame.unionByName, [*results, last[0]])
+
+
+def clean_documents(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no item. No shuffle; only texts go to Python workers."""
+    last = None
+    for block in blocks(benchmark, "item_id", "text"):
+        if last:
+            docs = keep(spark, docs, "clean")
+            last.destroy()
+        last, name = spark.sparkContext.broadcast(block), uuid.uuid4().hex
+
+        def each(batches: Iterator[pa.Array], held=last, name=name) -> Iterator[pa.Array]:
+            items = items_of(name, held.value.column(1))
+            for batch in batches:
+                yield pa.array([not own for _, texts in lots(batch) for own in search(items, texts)], pa.bool_())
+
+        docs = docs.where(column_function(each, "boolean")(F.col(text_col)))
     return docs

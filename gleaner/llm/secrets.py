@@ -2,12 +2,15 @@
 
 A value that stands where a credential is named is cut, by dynamic programming, into the cheapest
 sequence of dictionary words, dates, repeats, keyboard walks and brute-force spans; the sum of their
-decimal log guesses is its cost, and a value that is dear to guess is taken for a secret. Where only a blank
-or "is" stands before it, a value of one kind of characters must be dear by a larger word list too, since it
-is mostly prose.
+decimal log guesses is its cost, and a value that is dear to guess is taken for a secret. The cheapest ways to all
+prefixes are settled in order of their cost, so a value costs a bounded number of steps, however long it is, once
+its next cheapest prefix costs more than a secret must. Where only a blank or "is" stands before it, a value of one kind
+of characters is mostly prose: it must be dear as well when all words of a public byte-level vocabulary count, ranked
+by its order after the usual words of passwords.
 
 Edge cases: a null text is an empty one (no spans); an empty table gives no rows; rows that repeat are
-scanned each; other columns of the input are not carried. Spans are in code points, the end exclusive.
+scanned each; very long texts and values are scanned whole, in time that grows with their length; other columns of
+the input are not carried by ``scan``. Spans are in code points, the end exclusive.
 """
 
 from __future__ import annotations
@@ -16,14 +19,16 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heappop, heappush
 from math import log10
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_bytes
+from .common import column_function, frugal, text_bytes
 
 #: The base patterns, the group that holds the secret, and the least length of that group.
 BASE = (
@@ -33,7 +38,9 @@ BASE = (
 )
 KINDS = ("assign", "access", "hex", "guess")
 #: Names of credentials and what may stand between them and a value of 8 bytes or more; the value.
-CONTEXT = re.compile(rb"""(?:passwords?|passwd|passphrase|passcode|pwd|secrets?|tokens?|bearer|credentials?|[a-z]*[_-]?key)["']?(?:\x20*(?::=|=>|->|[:=])\x20*|\x20+is:?\x20+|\x20+)["'`]?(?=[^\x00-\x20"'`<>,;(){}\[\]]{8})""", re.I)
+CONTEXT = re.compile(rb"""(?:passwords?|passwd|passphrase|passcode|pwd|secrets?|tokens?|bearer|credentials?|key)["']?(?:\x20*(?::=|=>|->|[:=])\x20*|\x20+is:?\x20+|\x20+)["'`]?(?=[^\x00-\x20"'`<>,;(){}\[\]]{8})""", re.I)
+#: A value that is the name of the next credential. Only tried where a value begins, and of bounded length.
+NAMED = re.compile(rb"[a-z_-]{0,32}?" + CONTEXT.pattern, re.I)
 VALUE = re.compile(rb"""[^\x00-\x20"'`<>,;(){}\[\]]+""")
 HINTS = (b"passw", b"passp", b"passc", b"pwd", b"secret", b"token", b"bearer", b"credential", b"key")
 #: Values from this decimal log of guesses on are secrets.
@@ -53,7 +60,7 @@ ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./", "abcdefghi
 STEPS = {pair for row in ROWS for line in (row, row[::-1]) for pair in zip(line, line[1:])} | {
     pair for upper, lower in zip(ROWS[:3], ROWS[1:4]) for a, b in zip(upper[1:] if upper is ROWS[0] else upper, lower) for pair in ((a, b), (b, a))
 }
-#: Keys of a walk all of whose parts are costed.
+#: Keys of a walk all of whose parts are costed; a longer one counts from each place to its end only.
 WALK = 256
 DATE = re.compile(r"(?:19|20)\d\d(?:[-/._]?(?:0[1-9]|1[0-2])(?:[-/._]?(?:0[1-9]|[12]\d|3[01]))?)?|(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)?\d\d")
 
@@ -64,16 +71,8 @@ def alphabet(text: str) -> int:
     return size + 33 * any(not c.isalnum() for c in text) or 33
 
 
-def repeats(value: str, unit: int) -> list[int]:
-    """How many times in a row the ``unit`` characters at each place stand there."""
-    n, run = len(value), [0] * (len(value) + 1)
-    for i in range(n - unit - 1, -1, -1):
-        run[i] = run[i + 1] + 1 if value[i] == value[i + unit] else 0
-    return [1 + r // unit for r in run]
-
-
 @lru_cache(maxsize=1)
-def many_words() -> dict[str, int]:
+def ranks() -> dict[str, int]:
     """Ranks of WORDS and, after them, of the whole words of the byte-level vocabulary in its order."""
     found = dict(RANK)
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
@@ -85,57 +84,96 @@ def many_words() -> dict[str, int]:
     return found
 
 
-def guess_cost(value: str, enough: float = float("inf"), ranks: dict[str, int] = RANK) -> tuple[float, list[tuple[str, int, int]]]:
-    """The least decimal log of guesses of a value, and the segments (kind, start, end) that give it.
-
-    Once all ways to go on cost ``enough``, a lower bound of the cost is returned, without segments. A walk of more
-    than WALK keys counts from each place to its end only.
-    """
-    n, low, longest = len(value), value.lower(), max(map(len, ranks))
-    plain, brute = low.translate(LEET), log10(alphabet(value))
-    best, how = [0.0] + [float("inf")] * n, [("", 0)] * (n + 1)
-
-    def offer(start: int, end: int, kind: str, cost: float) -> None:
-        if best[start] + cost < best[end]:
-            best[end], how[end] = best[start] + cost, (kind, start)
-
-    times_of: dict[int, list[int]] = {}
-    walk_end = 0
-    for i in range(n):
-        if i >= 8 and i & (i - 1) == 0 and (least := min(best[i:])) >= enough:  # at powers of two: linear in all
-            return least, []
-        if i == 16:  # most values end before, or are dear by then
-            times_of = {unit: repeats(value, unit) for unit in range(1, min(16, n // 2) + 1)}
-        offer(i, i + 1, "brute", brute)
-        for end in range(i + 3, min(n, i + longest) + 1):
-            rank = ranks.get(plain[i:end])
+class Value:
+    """A value and the segments that may begin at each of its places."""
+
+    UNITS = range(1, 17)
+
+    def __init__(self, value: str, words: dict[str, int] | None = None):
+        self.value, self.low, self.words = value, value.lower(), RANK if words is None else words
+        if len(self.low) != len(value):  # characters whose lower case is longer
+            self.low = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
+        self.plain, self.brute = self.low.translate(LEET), log10(alphabet(value))
+        self.longest = max(map(len, self.words), default=0)
+        self._same: dict[int, np.ndarray] = {}
+        self._walk: np.ndarray | None = None
+        self._unit: dict[str, float] = {}
+
+    @staticmethod
+    def ends(holds: np.ndarray) -> np.ndarray:
+        """For each place the first one from it on at which ``holds`` is false."""
+        at = np.where(holds, len(holds), np.arange(len(holds)))
+        return np.minimum.accumulate(at[::-1])[::-1]
+
+    def same(self, unit: int) -> np.ndarray:
+        """Where the period of ``unit`` characters that begins at each place breaks."""
+        if unit not in self._same:
+            points = np.frombuffer(self.value.encode("utf-32-le", "surrogatepass"), "<u4")
+            self._same[unit] = self.ends(points[:-unit] == points[unit:])
+        return self._same[unit]
+
+    def walk(self, start: int) -> int:
+        """Where the keyboard walk that begins at a place ends."""
+        if self._walk is None:
+            self._walk = self.ends(np.fromiter((pair in STEPS for pair in zip(self.low, self.low[1:])), bool, len(self.low) - 1))
+        return int(self._walk[start]) + 1 if start < len(self._walk) else start + 1
+
+    def unit(self, part: str) -> float:
+        """Cost of what a repeat repeats."""
+        if part not in self._unit:
+            self._unit[part] = min(self.brute * len(part), guess_cost(part, words=self.words)[0])
+        return self._unit[part]
+
+    def segments(self, i: int) -> Iterator[tuple[int, str, float]]:
+        """(end, kind, decimal log of guesses) of the segments that begin at place ``i``."""
+        value, low, plain, n = self.value, self.low, self.plain, len(self.value)
+        yield i + 1, "brute", self.brute
+        for end in range(i + 3, min(n, i + self.longest) + 1):
+            rank = self.words.get(plain[i:end])
             if rank:
                 leet, upper = plain[i:end] != low[i:end], value[i:end] != low[i:end]
-                offer(i, end, "word", log10(rank) + 0.5 + 0.5 * leet + (0.3 if upper and value[i].isupper() and value[i + 1 : end].islower() else 1.0 * upper))
-        if value[i].isdigit():
-            for m in (DATE.match(value, i),):
-                if m:
-                    for end in {m.end(), i + 4} if m.end() - i > 4 else {m.end()}:
-                        if end <= n:
-                            offer(i, end, "date", log10(120) if end - i == 4 else log10(120 * 366))
-        if walk_end <= i:
-            walk_end = i + 1
-            while walk_end < n and (low[walk_end - 1], low[walk_end]) in STEPS:
-                walk_end += 1
-        for end in range(i + 3, walk_end + 1) if walk_end - i <= WALK else (walk_end,):
-            offer(i, end, "walk", log10(47 * (end - i) * 4))
-        for unit in range(1, min(16, (n - i) // 2) + 1):
-            times = times_of[unit][i] if times_of else 1
-            while not times_of and value.startswith(value[i : i + unit], i + unit * times):
-                times += 1
+                yield end, "word", log10(rank) + 0.5 + 0.5 * leet + (0.3 if upper and value[i].isupper() and value[i + 1 : end].islower() else 1.0 * upper)
+        if value[i].isdigit() and (m := DATE.match(value, i)):
+            for end in {m.end(), i + 4} if m.end() - i > 4 else {m.end()}:
+                yield end, "date", log10(120) if end - i == 4 else log10(120 * 366)
+        far = self.walk(i)
+        for end in range(i + 3, far + 1) if far - i <= WALK else (far,):
+            yield end, "walk", log10(47 * (end - i) * 4)
+        for unit in self.UNITS:
+            if i + 2 * unit > n:
+                break
+            times = 1 + (int(self.same(unit)[i]) - i) // unit
             if times > 1 and unit * times >= 3:
-                offer(i, i + unit * times, "repeat", brute * unit + log10(times))
-    parts, at = [], n
+                yield i + unit * times, "repeat", self.unit(value[i : i + unit]) + log10(times)
+
+
+def guess_cost(value: str, enough: float = float("inf"), words: dict[str, int] | None = None) -> tuple[float, list[tuple[str, int, int]]]:
+    """The least decimal log of guesses of a value, and the segments (kind, start, end) that give it.
+
+    Prefixes are settled cheapest first, each once with its least cost. When the next one costs ``enough``, that
+    lower bound of the whole value's cost is returned, without segments.
+    """
+    own, n = Value(value, words), len(value)
+    best, how, settled, queue = {0: 0.0}, {}, set(), [(0.0, 0)]
+    while queue:
+        cost, at = heappop(queue)
+        if at == n or cost >= enough:
+            break
+        if at in settled:
+            continue
+        settled.add(at)
+        for end, kind, more in own.segments(at):
+            if cost + more < best.get(end, float("inf")):
+                best[end], how[end] = cost + more, (kind, at)
+                heappush(queue, (cost + more, end))
+    if at != n:
+        return cost, []
+    parts = []
     while at:
         kind, start = how[at]
         parts.append((kind, start, at))
         at = start
-    return best[n], parts[::-1]
+    return cost, parts[::-1]
 
 
 def dear(value: str, blank: bool = False) -> bool:
@@ -143,7 +181,7 @@ def dear(value: str, blank: bool = False) -> bool:
     if guess_cost(value, DEAR)[0] < DEAR:
         return False
     mixed = any(c.isdigit() for c in value) and any(c.isalpha() for c in value) or any(c.islower() for c in value) and any(c.isupper() for c in value[1:])
-    return not blank or mixed or guess_cost(value, DEAR, many_words())[0] >= DEAR
+    return not blank or mixed or guess_cost(value, DEAR, ranks())[0] >= DEAR
 
 
 def find(raw: bytes) -> list[tuple[str, int, int, int]]:
@@ -160,7 +198,7 @@ def find(raw: bytes) -> list[tuple[str, int, int, int]]:
         place = 0
         while m := CONTEXT.search(raw, place):
             start = place = m.end()
-            if CONTEXT.match(raw, start):  # the value is the name of the next credential
+            if NAMED.match(raw, start):  # the value is the name of the next credential
                 continue
             value = VALUE.match(raw, start)[0]
             place = start + len(value)
@@ -196,26 +234,24 @@ SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The spans of every whole text. One narrow pass, no shuffle."""
     source = docs.select(id_col, text_bytes(text_col))
-    kind = dict(source.dtypes)[id_col]
+    kind = source.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [[dict(zip(("kind", "start", "end", "secret_start"), s)) for s in find(raw.as_py())] for raw in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(SPAN))], names=[id_col, "spans"])
 
-    return source.mapInArrow(run, f"{id_col} {kind}, spans array<struct<kind:string,start:int,end:int,secret_start:int>>")
+    return source.mapInArrow(frugal(run), f"{id_col} {kind}, spans array<struct<kind:string,start:int,end:int,secret_start:int>>")
 
 
 def redacted(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with every secret in its texts replaced; other columns and null texts stay as they are. No shuffle."""
-    at = docs.columns.index(text_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def each(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            texts = [None if t is None else (redact(t, s) if (s := find(t.encode())) else t) for t in batch.column(at).to_pylist()]
-            yield batch.set_column(at, batch.schema.field(at).name, pa.array(texts, batch.schema.field(at).type))
+            yield pa.array([None if t is None else (redact(t, s) if (s := find(t.encode())) else t) for t in batch.to_pylist()], pa.string())
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.withColumn(text_col, column_function(each, "string", steady=False)(F.col(text_col)))
 
 
 def joined(spans: Column, *kinds: str) -> Column:

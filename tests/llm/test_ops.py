@@ -133,6 +133,66 @@ def test_decontamination_finds_edited_items_only(spark, rows):
     assert decontam.contaminated(spark, d.limit(0), b).count() == 0 and decontam.contaminated(spark, d, b.limit(0)).count() == 0
 
 
+def spread_edits(rng, s, n):
+    """``s`` with n insertions, deletions and substitutions."""
+    s = list(s)
+    for _ in range(n):
+        p, kind = rng.randrange(len(s)), rng.choice("ids")
+        s[p : p + (kind != "i")] = [] if kind == "d" else [rng.choice("abcdefgh")]
+    return "".join(s)
+
+
+def least_edits(item, text):
+    """The fewest edits between an item and any part of a text, by the whole table."""
+    prev = np.zeros(len(text) + 1, np.int64)
+    t, step = np.frombuffer(text.encode("utf-32-le"), "<u4"), np.arange(len(text) + 1)
+    for i, c in enumerate(item):
+        row = np.concatenate([[i + 1], np.minimum(prev[:-1] + (t != ord(c)), prev[1:] + 1)])
+        prev = np.minimum.accumulate(row - step) + step
+    return int(prev.min())
+
+
+def test_decontamination_equals_an_exhaustive_search():
+    """Insertions, deletions, substitutions; items of running text, of short periods, and of single characters."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7)))
+    texts = [" ".join(word() for _ in range(rng.randint(8, 30))) for _ in range(12)] + ["a" * 90, "ab" * 60, ("abc" * 30 + "d") * 2]
+    items = decontam.Items(texts)
+    assert len(items.periodic) >= 2
+    found = missed = 0
+    for n in range(400):
+        k = n % len(texts)
+        m = len(texts[k])
+        own = spread_edits(rng, texts[k], rng.randint(0, decontam.budget(m) + 3))
+        text = f"{word()} {word()} {own} {word()}"
+        want = {i for i, x in enumerate(texts) if least_edits(x, " ".join(text.split())) <= decontam.budget(len(x))}
+        got = {r[0] for r in decontam.search(items, [text])[0]}
+        found, missed = found + len(want), missed + len(want ^ got)
+    assert found > 200 and missed == 0
+
+
+def test_decontamination_of_long_runs(spark):
+    import time
+
+    began = time.time()
+    items = decontam.Items(["a" * 1000, "the quick brown fox " * 3 + "a" * 30 + " jumps over it all", "ab" * 400])
+    runs = ["a" * 1_000_000, "ab" * 300_000, "a b " * 250_000, "xyz" * 100_000 + "a" * 990]
+    got = [{r[0] for r in x} for x in decontam.search(items, runs)]
+    assert got[0] == {0} and got[1] == {2} and got[3] == {0} and time.time() - began < 60
+
+
+def test_benchmark_of_many_blocks(spark, rows, monkeypatch):
+    items = table(spark, SF, "benchmark")
+    docs = table(spark, SF, "documents").select("doc_id", "text", F.lit(1).alias("start"))
+    whole = {tuple(r) for r in decontam.contaminated(spark, docs, items).collect()}
+    kept = decontam.clean_documents(spark, docs, items).count()
+    monkeypatch.setattr(decontam, "BLOCK", 1 << 13)
+    assert {tuple(r) for r in decontam.contaminated(spark, docs, items).collect()} == whole
+    assert decontam.clean_documents(spark, docs, items).count() == kept == docs.count() - len({r[0] for r in whole})
+    text = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").unionByName(docs.limit(3).select(F.col("doc_id").cast("string").alias("doc_id"), "text"))
+    assert {int(r.doc_id) for r in decontam.contaminated(spark, text, items.withColumn("item_id", F.col("item_id").cast("decimal(9,0)"))).collect()} == {r[0] for r in whole}
+
+
 def test_banded_alignment_is_the_edit_distance():
     rng = random.Random(2)
     for _ in range(300):
@@ -381,6 +441,33 @@ def test_secret_values_are_whole_and_names_are_no_values():
         assert least <= whole + 1e-9 and (least >= secrets.DEAR) == (whole >= secrets.DEAR)
 
 
+def test_guess_cost_is_the_least_of_all_segmentations():
+    rng = random.Random(3)
+    pieces = ["pass", "word", "love", "2019", "0506", "qwe", "aaa", "ab", "Z", "!", "7", "sun", "p4ss"]
+    for _ in range(150):
+        value = "".join(rng.choice(pieces) for _ in range(rng.randint(1, 4)))[:11]
+        own = secrets.Value(value, secrets.RANK)
+        n, edges = len(value), {i: list(own.segments(i)) for i in range(len(value))}
+
+        def every(at, total):
+            if at == n:
+                yield total
+            for end, _, more in edges.get(at, ()):
+                yield from every(end, total + more)
+
+        cost, parts = secrets.guess_cost(value, words=secrets.RANK)
+        assert cost == pytest.approx(min(every(0, 0.0))) and "".join(value[a:b] for _, a, b in parts) == value
+
+
+def test_long_runs_are_scanned_in_linear_time():
+    import time
+
+    began = time.time()
+    for text in (b"secret " + b"x" * 1_000_000, b"key: " + b"z" * 1_000_000, b"token " + b"abcdef_" * 100_000 + b" key", b"key " * 200_000):
+        secrets.find(text)
+    assert time.time() - began < 30
+
+
 def test_guess_cost_decides_for_all_values():
     for text in ("pwd: qzkxvwjh$mtplbn", "passphrase: kqzvwxjhtmplbnrd", "passcode: 8392017463528", "passphrase kqzvwxjhtmplbnrd", "pwd battery2024x7"):
         value = text.split()[-1]
