@@ -5,11 +5,16 @@ coordinate-value pairs, but only under a prefix: two sets that agree in MATCHES
 share one of the first COORDINATES - MATCHES + 1 pairs of any common order, so pairs that many sets hold
 are put last and most postings of shared passages are skipped. Each posting list proposes its central
 member to the others; collisions are counted on whole signatures, pairs below MATCHES are dropped, and each
-member's best one is confirmed on the full sets. What is left apart is compared in a second round, group by
-group in blocks, in which pairs inside one component are skipped; a group of two is confirmed by its pair.
+member's best one is confirmed on the full sets.
 
-The order uses a frequency sketch of fixed size. Any common order gives the same candidates' guarantee; the
-sketch only decides how long the lists get.
+What is left apart goes to a second round with a finer posting: the sets of such groups are posted under their
+seldomest shingles, so many that two linked sets must share one (a quarter of the larger set, a seventh of the
+smaller). Sets that share none with another component are done: a widespread passage alone keeps nobody, since its
+shingles are frequent and come last. The rest is compared group by group in blocks, in which pairs inside one
+component are skipped; blocks are bounded by sets and by shingles. A group of two is confirmed by its pair.
+
+The orders use frequency sketches of fixed size. Any common order gives the same guarantee; a sketch only decides how
+long the lists get.
 
 A pair of similarity 0.75 agrees in fewer than MATCHES = 34 of 64 coordinates with probability 4.4e-5 (binomial), once
 in about 23,000 times. Every set is posted under its whole prefix, so a pair that agrees in MATCHES or more always shares
@@ -17,8 +22,9 @@ a list. A passage that many texts share makes its pairs frequent; a set with few
 them in its prefix.
 
 Edge cases: texts without words (null ones too) have an empty set, are linked with nothing and kept; equal
-texts and repeated rows share a component; rows without an id are grouped by their set but never name a
-component; an empty table gives no rows; other columns are not carried.
+texts and repeated rows share a component; texts that share an id stay apart unless they are linked; rows without an
+id are linked like others, but never name a component (its id is null where no member has one); very long texts are
+read whole; an empty table gives no rows; other columns are not carried by ``deduplicate``.
 """
 
 from __future__ import annotations
@@ -32,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop_path, fresh_path, keep, text_bytes
+from .common import column_function, drop_path, fresh_path, frugal, keep, text_bytes
 
 SHINGLE, COORDINATES, MATCHES = 5, 64, 34
 PREFIX = COORDINATES - MATCHES + 1
@@ -41,8 +47,9 @@ PERCENT = 75
 #: Counters of the frequency sketch, the least count at which a pair of coordinate and value is put later, and how
 #: many times the mean count makes it so too (the counters' noise).
 SKETCH, OFTEN, NOISE = 1 << 20, 32, 4
-#: Members of a block of the second round; a unit holds two blocks.
-UNIT = 512
+#: Sets of a block of the second round while a group has few and many blocks, blocks that count as many, and shingles
+#: of a block on the average; a unit holds two blocks.
+UNIT, LARGE, MANY, SHINGLES = 512, 4096, 16, 1 << 20
 #: Most rows that are broadcast after they have been counted.
 BROADCAST_ROWS = 100_000
 
@@ -95,6 +102,11 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * both >= PERCENT * (len(a) + len(b) - both) and both > 0
 
 
+def key_of(found: np.ndarray) -> bytes | None:
+    """Digest of a set; none for an empty one."""
+    return hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None
+
+
 def fingerprints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Per row: id, n_shingles, set_key (digest of the set) and signature; the last two null for an empty set."""
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_bytes(text_col))
@@ -105,26 +117,38 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             for raw in batch.column(1):
                 found = shingle_set(raw.as_py())
                 sizes.append(len(found))
-                keys.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
+                keys.append(key_of(found))
                 signs.append(signature(found).tobytes() if len(found) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(signs, pa.binary())], names=["doc_id", "n_shingles", "set_key", "sig"])
 
-    return source.mapInArrow(run, "doc_id bigint, n_shingles bigint, set_key binary, sig binary")
+    return source.mapInArrow(frugal(run), "doc_id bigint, n_shingles bigint, set_key binary, sig binary")
+
 
+def pair_names(signatures: pa.Array) -> np.ndarray:
+    return tokens(matrix(signatures))
 
-def frequency_sketch(sets: DataFrame) -> dict[int, int]:
-    """Bucket and rough binary log of the count, for the buckets of pairs that are held often. At most SKETCH entries."""
+
+def shingle_names(sets: pa.Array) -> np.ndarray:
+    return np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(x.as_py(), np.uint64) * _STEP for x in sets)])
+
+
+def frequency_sketch(sets: DataFrame, column: str = "sig", names=pair_names) -> dict[int, int]:
+    """Bucket and rough binary log of the count, for the buckets of what is held often. At most SKETCH entries.
+
+    ``names`` gives the 64-bit names of what values of the column hold.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SKETCH, np.int64)
         for batch in batches:
-            if batch.num_rows:
-                total += np.bincount(buckets(tokens(matrix(batch.column(0)))).ravel(), minlength=SKETCH)
-        at = np.flatnonzero(total > 1)
+            for at in range(0, batch.num_rows, 500):
+                total += np.bincount(buckets(names(batch.column(0).slice(at, 500))).ravel(), minlength=SKETCH)
+        at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["bucket", "n"])
 
-    least = max(OFTEN, NOISE * COORDINATES * sets.count() // SKETCH)
-    counted = sets.select("sig").mapInArrow(run, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    counted = keep(sets.sparkSession, sets.select(column).mapInArrow(frugal(run), "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")), "sketch")
+    least = max(OFTEN, NOISE * (counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) // SKETCH)
+    counted = counted.where(F.col("n") >= least)
     return {r["bucket"]: int(np.log2(r["n"])) for r in counted.toLocalIterator()}
 
 
@@ -155,7 +179,7 @@ def postings(sets: DataFrame, often) -> DataFrame:
                 counts = np.repeat(frequent.astype(np.int32), PREFIX)
                 yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64).ravel()), pa.array(np.repeat(part.column(0).to_numpy(), PREFIX)), pa.array(counts)], names=["token", "rep", "frequent"])
 
-    return sets.select("rep", "sig").mapInArrow(run, "token bigint, rep bigint, frequent int")
+    return sets.select("rep", "sig").mapInArrow(frugal(run), "token bigint, rep bigint, frequent int")
 
 
 def matched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -170,25 +194,19 @@ def matched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 good = pa.array(same >= MATCHES)
                 yield pa.RecordBatch.from_arrays([batch.column(0).filter(good), batch.column(1).filter(good), pa.array(same, pa.int32()).filter(good)], names=["a", "b", "matches"])
 
-    return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a bigint, b bigint, matches int")
+    return both.select("a", "b", "sig_a", "sig_b").mapInArrow(frugal(run), "a bigint, b bigint, matches int")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) that are linked on their full sets. texts: (doc_id, text), of any superset of the pairs' members."""
-    both = pairs.select("a", "b").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+def confirmed(pairs: DataFrame, held: DataFrame) -> DataFrame:
+    """Pairs (a, b) that are linked on their full sets. held: (rep, shingles), of any superset of the pairs' members."""
+    both = pairs.select("a", "b").join(held.select(F.col("rep").alias("b"), F.col("shingles").alias("set_b")), "b").join(held.select(F.col("rep").alias("a"), F.col("shingles").alias("set_a")), "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held = None, None
         for batch in batches:
-            good = []
-            for a, ta, tb in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3)):
-                if a != last or held is None:
-                    last, held = a, shingle_set(ta.as_py())
-                good.append(linked(held, shingle_set(tb.as_py())))
-            good = pa.array(good, pa.bool_())
+            good = pa.array([linked(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)) for x, y in zip(batch.column(2), batch.column(3))], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(good), batch.column(1).filter(good)], names=["a", "b"])
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
+    return both.select("a", "b", "set_a", "set_b").mapInArrow(frugal(run), "a bigint, b bigint")
 
 
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
@@ -210,32 +228,74 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     return label
 
 
-def second_round(spark: SparkSession, posted: DataFrame, sets: DataFrame, near: DataFrame, best: DataFrame, label: DataFrame, texts_of) -> DataFrame:
+def seldom_postings(held: DataFrame, often) -> DataFrame:
+    """(h, component): each set of held (rep, component, shingles) under its seldomest shingles.
+
+    Of two linked sets the smaller one shares 6/7 of its shingles at least, the larger one 3/4, so they share one of the
+    first of the smaller's seventh and the larger's quarter; ``small`` marks the seventh.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = often.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                names, reps, marks, sizes = [], [], [], []
+                for rep, x in zip(part.column(0).to_pylist(), part.column(2)):
+                    own = shingle_names([x])
+                    n = len(own)
+                    first, seventh = n - -(-3 * n // 4) + 1, n - -(-6 * n // 7) + 1
+                    names.append(own[np.lexsort((own, order[buckets(own)]))[:first]])
+                    reps.append(np.full(first, rep, np.int64))
+                    marks.append(np.arange(first) < seventh)
+                    sizes.append(first)
+                if names:
+                    parents = np.repeat(part.column(1).to_numpy(), sizes)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(names).view(np.int64)), pa.array(np.concatenate(reps)), pa.array(parents), pa.array(np.concatenate(marks))], names=["h", "rep", "component", "small"])
+
+    return held.select("rep", "component", "shingles").mapInArrow(frugal(run), "h bigint, rep bigint, component bigint, small boolean")
+
+
+def left_apart(spark: SparkSession, held: DataFrame) -> DataFrame:
+    """(rep): the sets of held (rep, component, shingles) that may be linked with one of another component."""
+    often = spark.sparkContext.broadcast(table_of(frequency_sketch(held, "shingles", shingle_names)))
+    posted = keep(spark, seldom_postings(held, often), "seldom")
+    # a list counts if a set of it in its seventh meets one of another component
+    lists = posted.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("small").alias("small")).where("low != high and small").select("h")
+    return posted.select("h", "rep").join(keep(spark, lists, "seldom_lists"), "h").select("rep").distinct()
+
+
+def second_round(spark: SparkSession, posted: DataFrame, sets: DataFrame, near: DataFrame, best: DataFrame, label: DataFrame, shingles_of) -> DataFrame:
     """Links (a, b) between members of different components that share a list.
 
-    Lists with one central member are taken together, so each set stands in a few groups only. A group is cut into
-    blocks, each pair of blocks is a unit of bounded size, and a unit compares signatures, skips what is already
-    connected, and confirms the rest on the full sets. Only links leave it. A group of two has one pair, which is
-    confirmed if it is ``near`` and wasn't its member's ``best`` one.
+    Lists with one central member are taken together, so each set stands in a few groups only, and sets that the finer
+    posting shows to be done leave them. A group is cut into blocks, each pair of blocks is a unit of bounded size, and a
+    unit compares signatures, skips what is already connected, and confirms the rest on the full sets. Only links leave
+    it. A group of two has one pair, which is confirmed if it is ``near`` and wasn't its member's ``best`` one.
     """
     members = posted.select("a", "rep").distinct().join(label, "rep", "left").select("a", "rep", F.coalesce("component", "rep").alias("component"))
     members = keep(spark, members, "members")
     groups = members.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
     groups = keep(spark, groups.select("a", "n"), "apart")
     single = keep(spark, near.select("a", "b").join(groups.where("n = 2").select("a"), "a", "left_semi").join(best, ["a", "b"], "left_anti"), "single")
-    groups = keep(spark, groups.where("n > 2").select("a", F.ceil(F.col("n") / UNIT).cast("int").alias("blocks")), "groups")
-    rows = members.join(groups, "a").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    rows = keep(spark, rows, "open")
-    texts = texts_of(rows.select("rep"))
-    full = rows.join(sets.select("rep", "sig"), "rep").join(texts.withColumnRenamed("doc_id", "rep"), "rep")
+    rows = keep(spark, members.join(groups.where("n > 2").select("a"), "a"), "open")
+    held = shingles_of(rows.select("rep")).join(rows.select("rep", "component").distinct(), "rep").select("rep", "component", "shingles")
+    held = keep(spark, held, "held")
+    still = keep(spark, left_apart(spark, held), "still")
+    rows = keep(spark, rows.join(still, "rep").join(sets.select("rep", "n_shingles"), "rep").select("a", "rep", "component", "n_shingles"), "still_open")
+    blocks = F.greatest(F.least(F.ceil(F.col("n") / UNIT), F.lit(MANY)), F.ceil(F.col("n") / LARGE), F.ceil(F.col("s") / SHINGLES)).cast("int")
+    groups = rows.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"), F.min("component").alias("low"), F.max("component").alias("high"))
+    groups = keep(spark, groups.where("low != high").select("a", blocks.alias("blocks")), "groups")
+    rows = rows.join(groups, "a").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    full = rows.drop("component").join(sets.select("rep", "sig"), "rep").join(held, "rep")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    units = full.select("a", "rep", "component", "sig", "text", "block", other).select("a", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "component", "sig", "text")
+    units = full.select("a", "rep", "component", "sig", "shingles", "block", other).select("a", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "component", "sig", "shingles")
 
     def run(unit: pa.Table) -> pa.Table:
         unit = unit.combine_chunks()
         rep, component, block = (unit[c].to_numpy() for c in ("rep", "component", "block"))
         i, j = unit["i"][0].as_py(), unit["j"][0].as_py()
-        signs, found, cache = matrix(unit["sig"]), [], {}
+        signs, found = matrix(unit["sig"]), []
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         root = {int(c): int(c) for c in component}
 
@@ -245,9 +305,7 @@ def second_round(spark: SparkSession, posted: DataFrame, sets: DataFrame, near:
             return c
 
         def of(k: int) -> np.ndarray:
-            if k not in cache:
-                cache[k] = shingle_set(unit["text"][k].as_py())
-            return cache[k]
+            return np.frombuffer(unit["shingles"][k].as_py(), np.uint64)
 
         for x in left:
             same = (signs[x][None, :] == signs[right]).sum(axis=1)
@@ -260,13 +318,17 @@ def second_round(spark: SparkSession, posted: DataFrame, sets: DataFrame, near:
         return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
 
     found = units.groupBy("a", "i", "j").applyInArrow(run, "a bigint, b bigint")
-    return found.unionByName(confirmed(single, texts_of(single.select(F.explode(F.array("a", "b"))))))
+    return found.unionByName(confirmed(single, shingles_of(single.select(F.explode(F.array("a", "b"))))))
 
 
-def deduplicate(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id (bigint), n_shingles, component_id (smallest id reachable over links), kept (it is its own component_id)."""
+def grouped(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints of all rows, and every distinct set: set_key, first_id (its smallest id), component and component_id.
+
+    A component is known by a number of its own; its component_id is its smallest id.
+    """
     facts = keep(spark, fingerprints(docs, id_col, text_col), "fingerprints")
-    sets = keep(spark, facts.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "sets")
+    sets = facts.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"))
+    sets = keep(spark, sets.withColumn("rep", F.monotonically_increasing_id()), "sets")
     often = spark.sparkContext.broadcast(table_of(frequency_sketch(sets)))
     path = fresh_path(spark, "postings")
     postings(sets, often).write.parquet(path)
@@ -280,34 +342,86 @@ def deduplicate(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     near = keep(spark, matched(posted.where("a != rep").select("a", F.col("rep").alias("b")).distinct(), sets), "near")
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_bytes(text_col).alias("text"))
 
-    def texts_of(ids: DataFrame) -> DataFrame:
-        """Texts of the given sets' representatives, each once."""
-        wanted = ids.toDF("doc_id").distinct()
+    nameless = sets.where("first_id is null").limit(1).count() > 0
+
+    def shingles_of(reps: DataFrame) -> DataFrame:
+        """(rep, shingles) of the given sets, each once, from the text of a row that has the set's smallest id."""
+        wanted = keep(spark, sets.select("rep", "first_id", "set_key").join(reps.toDF("rep").distinct(), "rep"), "wanted")
         if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
             wanted = F.broadcast(wanted)
-        return keep(spark, texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+        # ids may repeat with other texts: the digest tells the right one
+        both = texts.join(wanted, texts["doc_id"] == wanted["first_id"]).select("rep", "set_key", "text")
+        if nameless:
+            both = both.unionByName(texts.where("doc_id is null").select(F.lit(-1).cast("bigint").alias("rep"), F.lit(None).cast("binary").alias("set_key"), "text"))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, 500):
+                    part = batch.slice(at, 500)
+                    found = [shingle_set(t.as_py()) for t in part.column(2)]
+                    keys = [key_of(x) for x in found]
+                    good = pa.array([len(x) > 0 and sought in (None, k) for x, k, sought in zip(found, keys, part.column(1).to_pylist())], pa.bool_())
+                    yield pa.RecordBatch.from_arrays([c.filter(good) for c in (part.column(0), pa.array(keys, pa.binary()), pa.array([x.tobytes() for x in found], pa.binary()))], names=["rep", "set_key", "shingles"])
+
+        found = both.mapInArrow(frugal(run), "rep bigint, set_key binary, shingles binary")
+        if nameless:  # their sets are known by the digest only
+            found = keep(spark, found, "found")
+            own = found.where("rep = -1").drop("rep").join(wanted.where("first_id is null").select("rep", "set_key"), "set_key")
+            found = found.where("rep != -1").unionByName(own.select("rep", "set_key", "shingles"))
+        return keep(spark, found.select("rep", "shingles").dropDuplicates(["rep"]), "shingles")
 
     best = keep(spark, near.groupBy("b").agg(F.max_by("a", F.struct("matches", -F.col("a"))).alias("a")).select("a", "b"), "best")
-    links = keep(spark, confirmed(best, texts_of(best.select(F.explode(F.array("a", "b"))))), "confirmed")
+    links = keep(spark, confirmed(best, shingles_of(best.select(F.explode(F.array("a", "b"))))), "confirmed")
     label = components(spark, links)
-    again = keep(spark, second_round(spark, posted, sets, near, best, label, texts_of), "again")
+    again = keep(spark, second_round(spark, posted, sets, near, best, label, shingles_of), "again")
     if again.limit(1).count():
         label = components(spark, links.unionByName(again))
-    groups = sets.join(label, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
-    out = facts.select("doc_id", "n_shingles", "set_key").join(groups, "set_key", "left")
-    component = F.coalesce("component", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.col("component").isNull()).alias("kept"))
+    named = sets.join(label, "rep", "left").select("set_key", "rep", "first_id", F.coalesce("component", "rep").alias("component"))
+    named = keep(spark, named, "named")
+    least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    return facts, keep(spark, named.join(least, "component"), "components")
+
+
+def deduplicate(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: doc_id (bigint), n_shingles, component_id (smallest id reachable over links), kept (it is its own component_id).
+
+    A row without an id is kept if no member of its component has one.
+    """
+    facts, sets = grouped(spark, docs, id_col, text_col)
+    out = facts.select("doc_id", "n_shingles", "set_key").join(sets.select("set_key", F.col("component_id").alias("found")), "set_key", "left")
+    component = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("found"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def kept_documents(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, of one document of each component."""
-    verdicts = keep(spark, deduplicate(spark, docs, id_col, text_col), "verdicts")
-    gone = verdicts.where("not kept and doc_id is not null").select(F.col("doc_id").alias(id_col)).distinct()
+    """The rows of ``docs``, with all their columns, of one document of each component, and all without words.
+
+    Of a component the row of the smallest id stays; where that id has several of its texts, that of one set; of rows
+    that repeat, any one; rows without an id only where no row of the component has one.
+    """
+    facts, sets = grouped(spark, docs, id_col, text_col)
+    chosen = sets.where(F.col("first_id").eqNullSafe(F.col("component_id"))).groupBy("component").agg(F.min("rep").alias("rep"))
+    chosen = sets.join(chosen, ["component", "rep"], "left_semi").select("set_key", "first_id")
+    rows = facts.join(chosen.withColumn("one", F.lit(True)), "set_key", "left")
+    stays = F.col("set_key").isNull() | F.coalesce("one", F.lit(False)) & F.col("doc_id").eqNullSafe(F.col("first_id"))
+    rows = keep(spark, rows.select("doc_id", "set_key", stays.alias("stays")), "verdicts")
+    ids = rows.where("doc_id is not null").groupBy("doc_id").agg(F.count_if("stays").alias("stay"), F.count(F.lit(1)).alias("n"))
+    # an id of one row, or none of whose rows stays, decides by itself; the others are told apart by their sets
+    gone = keep(spark, ids.where("stay = 0 or (stay > 0 and n > 1)").select(F.col("doc_id").alias("_id"), (F.col("stay") > 0).alias("_mixed")), "gone")
     if gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
-    kept = docs.join(gone, id_col, "left_anti")
-    twice = verdicts.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    if not twice:
+    number = F.col(id_col).cast("bigint")
+    kept = docs.where(number.isNotNull()).join(gone, number == F.col("_id"), "left_anti")
+    mixed = docs.join(gone.where("_mixed"), number == F.col("_id"), "left_semi").unionByName(docs.where(number.isNull()))
+    if not mixed.limit(1).count():
         return kept
-    known = F.col(id_col).isNotNull()  # null ids are no repeated id
-    return kept.where(known).dropDuplicates([id_col]).unionByName(kept.where(~known))
+
+    def each(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([key_of(shingle_set(t.as_py() or b"")) for t in batch], pa.binary())
+
+    own = mixed.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), number.alias("_id"), column_function(each, "binary", steady=False)(F.col(text_col).cast("binary")).alias("_key"))
+    stay = rows.where("stays").select(F.col("doc_id").alias("_stay_id"), F.col("set_key").alias("_stay_key")).distinct()
+    own = own.join(stay, F.col("_id").eqNullSafe(F.col("_stay_id")) & F.col("_key").eqNullSafe(F.col("_stay_key")), "left_semi")
+    worded = own.where("_key is not null").dropDuplicates(["_id", "_key"]).unionByName(own.where("_key is null"))
+    return kept.unionByName(worded.select("_row.*"))

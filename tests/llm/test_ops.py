@@ -366,6 +366,55 @@ def test_documents_without_an_id_stay_beside_repeated_rows(spark):
     assert Counter((r.doc_id, r.text) for r in got) == Counter({(1, run_of("a", 9)): 1, (None, run_of("b", 9)): 1, (None, run_of("c", 9)): 1, (2, run_of("d", 9)): 1})
 
 
+def test_one_document_of_each_group_stays_whatever_the_ids(spark):
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcde")
+    near = a + " more"
+    rows = [(1, a), (1, a), (2, b), (2, c), (3, near), (4, c), (None, d), (None, e), (None, e), (None, b), (None, ""), (5, ""), (5, ""), (6, near), (6, d)]
+    df = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, rep int").repartition(3)
+    got = Counter((r.doc_id, r.text) for r in neardup.kept_documents(spark, df).collect())
+    assert got == Counter([(1, a), (2, b), (2, c), (None, e), (None, ""), (5, ""), (5, ""), (6, d)])
+    out = Counter((r.doc_id, r.component_id, r.kept) for r in neardup.deduplicate(spark, df).collect())
+    assert out[(2, 2, True)] == 2 and out[(4, 2, False)] == 1 and out[(3, 1, False)] == 1 and out[(6, 1, False)] == 1 and out[(6, 6, True)] == 1
+    assert out[(None, 6, False)] == 1 and out[(None, None, True)] == 3 and out[(None, 2, False)] == 1
+
+
+def components_of(texts):
+    sets = [set(zip(*(w[k:] for k in range(5)))) for w in (t.split() for t in texts)]
+    parent = list(range(len(texts)))
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for x in range(len(sets)):
+        for y in range(x):
+            both = len(sets[x] & sets[y])
+            if 100 * both >= 75 * (len(sets[x]) + len(sets[y]) - both):
+                p, q = top(x), top(y)
+                parent[max(p, q)] = min(p, q)
+    return [top(x) for x in range(len(texts))]
+
+
+def test_second_round_finds_links_beside_a_widespread_passage(spark):
+    """Texts that are mostly one passage, in bridges and in pairs that no central member is linked with."""
+    rng = random.Random(4)
+    words = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+    passage, texts = words(300), []
+    for share in (60, 90, 120):  # own words beside the passage: no two of these are linked by it alone
+        for _ in range(25):
+            own = words(share)
+            texts.append(f"{passage} {own}")
+            if rng.random() < 0.4:
+                texts.append(f"{passage} {own} {words(rng.randint(5, 60))}")
+    for _ in range(10):
+        u, v = words(38), words(38)
+        texts += [f"{passage} {u} {v}", f"{passage} {u}", f"{passage} {v}"]
+    want = components_of(texts)
+    got = {r.doc_id: r.component_id for r in neardup.deduplicate(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)).collect()}
+    assert [got[i] for i in range(len(texts))] == want and len(set(want)) > 40
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(100, 90), (95, 90)], "a long, b long")
     got = {r.rep: r.component for r in neardup.components(spark, links).collect()}
