@@ -4,7 +4,12 @@ Each stage takes (spark, docs, sf_dir) and works on all that the stage before it
 columns of ``documents``: quality rules and decontamination drop rows, near duplicates keep one of each group, and
 the secret scan replaces secrets in the texts (and counts n_chars anew). The last returns the tokens.
 
-Rows with a null text fail the quality rules and go in the first stage. An empty table passes through all stages.
+Rows with a null or empty text fail the quality rules and go in the first stage. Rows that repeat are near duplicates, so
+one of them stays; ties go to the smallest id, and where one id has several texts of a group, to one of them. Rows without
+an id are near duplicates like others and stay only where no row of their group has an id. Very long texts are worked on
+whole. Columns beside those of ``documents`` are left behind at the start. An empty table passes through all stages.
+
+The first four stages send texts alone to Python workers, never whole rows.
 """
 
 from __future__ import annotations
