@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import found, squeeze, strip
+from .text import found, let, squeeze, strip
 
 #: How codes are written, and codes that are only examples.
 CODE_PATTERNS = ((r"(?iU)\b\d{10}\b", 0), (r"(?iU)\b\d{4}\.\d{2}\.\d{2}\.\d{2}\b", 0), (r"(?iU)\b\d{4}\s\d{2}\s\d{2}\s\d{2}\b", 0), (r"(?iU)\b\d{4}\.\d{2}\.\d{4}\b", 0), (r"(?iU)(?:HTSUS|HTS)[\s:#]*(\d{4}[.\s]?\d{2}[.\s]?\d{2,4})", 1))
@@ -35,8 +35,8 @@ def first_code(text: Column) -> Column:
 def dotted_code(text: Column) -> Column:
     """dddd.dd.dddd, else dddd.dd.dd.dd to dddd.dd.dd.dddd with dots or blanks; digits only."""
     one, two = r"(\d{4})\.(\d{2})\.(\d{4})", r"(?U)(\d{4})[.\s](\d{2})[.\s](\d{2})[.\s](\d{2,4})"
-    join = lambda p, n: F.when(found(text, p, 0).isNotNull(), F.concat(*[F.regexp_extract(text, p, g) for g in range(1, n + 1)]))
-    return F.coalesce(join(one, 3), join(two, 4))
+    digits = lambda p: F.regexp_replace(found(text, p, 0), r"(?U)[.\s]", "")
+    return F.coalesce(digits(one), digits(two))
 
 
 def money(value: Column) -> Column:
@@ -46,9 +46,13 @@ def money(value: Column) -> Column:
 def scaled_value(text: Column, year: str) -> Column:
     """The value given for a year; ``Million`` multiplies it (cut to whole), a number that can't be read stays as it is."""
     pattern = rf"(?iU){year}\s*Value[:\s]*\$?\s*([\d,.]+)\s*(Million|Thousand)?"
-    raw = F.when(found(text, pattern, 0).isNotNull(), F.replace(F.regexp_extract(text, pattern, 1), F.lit(","), F.lit("")))
-    million = F.lower(F.regexp_extract(text, pattern, 2)) == "million"
-    return F.when(million, F.coalesce((raw.try_cast("double") * 1_000_000).cast("bigint").cast("string"), raw)).otherwise(raw)
+
+    def scaled(hit: Column) -> Column:
+        raw = F.replace(F.regexp_extract(hit, pattern, 1), F.lit(","), F.lit(""))
+        million = F.lower(F.regexp_extract(hit, pattern, 2)) == "million"
+        return F.when(million, F.coalesce((raw.try_cast("double") * 1_000_000).cast("bigint").cast("string"), raw)).otherwise(raw)
+
+    return let(F.regexp_extract(text, pattern, 0), lambda hit: F.when(hit != "", scaled(hit)))
 
 
 def letter_date(text: Column, strict: bool = False) -> Column:
@@ -73,5 +77,5 @@ def file_name(source: Column, label: Column, version: Column) -> Column:
 def title_code(title: Column) -> Column:
     """Struct of code, company and item of an attachment title like ``3917290090 ECM FLX-3410B P``; null otherwise."""
     pattern = r"(?iU)^(\d{10})\s+(ECM|Primex)\s+([\w-]+)\s+P\s*$"
-    t = strip(title)
-    return F.when(t.rlike(pattern), F.struct(*[F.regexp_extract(t, pattern, i + 1).alias(n) for i, n in enumerate(("code", "company", "item"))]))
+    parts = lambda t: F.struct(*[F.regexp_extract(t, pattern, i + 1).alias(n) for i, n in enumerate(("code", "company", "item"))])
+    return let(strip(title), lambda t: F.when(t.rlike(pattern), parts(t)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import blank, found, strip
+from .text import blank, found, let, strip
 
 #: How a title begins that names a decision.
 DECISIONS = ("exclusion\\s+denied", "exclusion\\s+granted", "exclusion\\s+approved", "exclusion\\s+partially\\s+approved", "exclusion\\s+partially\\s+granted", "exclusion\\s+request\\s+withdrawn", "denied", "approved", "granted")
@@ -14,29 +14,39 @@ CODE = r"(?iU)\bHTS(?:US)?\s*([0-9]{8,10})\b"
 CODE_AT_END = r"(?iU),?\s*HTS(?:US)?\s*[0-9]{8,10}\s*$"
 
 
+def decision_of(title: Column) -> Column:
+    """The decision that a title begins with; null without one."""
+    return F.initcap(found(strip(title), DECISION, 0))
+
+
 def parse_title(title: Column) -> Column:
     """Struct of decision, requester, material and hts. A title of blanks has the requester ''; null and '' have none."""
-    raw = strip(title)
-    decision = F.initcap(found(raw, DECISION, 0))
-    parts = F.transform(F.split(raw, ",", -1), strip)
-    rest = F.when(decision.isNotNull() & F.contains(F.lower(parts[0]), F.lower(decision)), F.slice(parts, 2, F.size(parts))).otherwise(parts)
-    material = strip(F.regexp_replace(F.array_join(F.slice(rest, 2, F.greatest(F.size(rest), F.lit(1))), ", "), CODE_AT_END, ""))
-    return F.struct(
+    return let(strip(title), lambda raw: let(F.initcap(found(raw, DECISION, 0)), lambda decision: let(F.transform(F.split(raw, ",", -1), strip), lambda parts: _cut(title, raw, decision, parts))))
+
+
+def _cut(title: Column, raw: Column, decision: Column, parts: Column) -> Column:
+    # the place of the requester: the first part, or the second after a decision
+    first = F.when(F.contains(F.lower(F.get(parts, F.lit(0))), F.lower(decision)), 1).otherwise(0)
+    last = lambda n: F.greatest(F.size(parts) - n - 1, F.lit(0))
+    material = lambda n: strip(F.regexp_replace(F.array_join(F.slice(parts, n + 2, last(n)), ", "), CODE_AT_END, ""))
+    return let(first, lambda n: F.struct(
         decision.alias("decision"),
-        F.when(~blank(title), F.get(rest, F.lit(0))).alias("requester"),
-        F.when(~blank(title) & (F.size(rest) > 1), F.nullif(material, F.lit(""))).alias("material"),
+        F.when(~blank(title), F.get(parts, n)).alias("requester"),
+        F.when(~blank(title) & (F.size(parts) > n + 1), F.nullif(material(n), F.lit(""))).alias("material"),
         found(raw, CODE).alias("hts"),
-    )
+    ))
 
 
 def normalize_decision(decision: Column) -> Column:
-    d = F.lower(decision)
-    granted = d.contains("approved") | d.contains("granted")
-    return (
-        F.when(blank(decision), None)
-        .when(d.contains("withdrawn"), "Withdrawn")
-        .when(d.contains("denied"), "Denied")
-        .when(d.contains("partially") & granted, "Partially Approved")
-        .when(granted, "Approved")
-        .otherwise(F.initcap(decision))
-    )
+    def kind(d: Column) -> Column:
+        granted = d.contains("approved") | d.contains("granted")
+        return (
+            F.when(blank(d), None)
+            .when(d.contains("withdrawn"), "Withdrawn")
+            .when(d.contains("denied"), "Denied")
+            .when(d.contains("partially") & granted, "Partially Approved")
+            .when(granted, "Approved")
+            .otherwise(F.initcap(d))
+        )
+
+    return let(F.lower(decision), kind)

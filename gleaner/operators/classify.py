@@ -156,15 +156,18 @@ def new_pattern_by_metadata(titles: Column, comment: Column) -> Column:
 def metadata_fields(titles: Column, comment: Column) -> Column:
     """Fields that the first fitting title gives, or else the comment: q3, q2, q4 organization and name, and the title's place."""
     hits = F.filter(F.transform(titles, lambda t, i: F.struct(K.title_code(t).alias("t"), i.alias("i"))), lambda x: x["t"].isNotNull())
-    hit = F.get(hits, F.lit(0))
-    company = F.when(hit.isNotNull(), F.when(F.upper(hit["t"]["company"]) == "ECM", "ECM").otherwise("Primex")).when(comment.contains(NEW_PATTERN_COMMENTS["ECM"]), "ECM").when(comment.contains(NEW_PATTERN_COMMENTS["Primex"]), "Primex")
-    return F.struct(
-        F.coalesce(hit["t"]["code"], X.found(comment, r"(?iU)HTS\s+Code\s+(\d{10})")).alias("q3_htsus"),
-        hit["t"]["item"].alias("q2_product_description"),
-        F.when(company == "ECM", "ECM Industries LLC").when(company == "Primex", "Primex Family of Companies").alias("q4_organization"),
-        F.when(company == "ECM", "ECM Industries LLC").when(company == "Primex", "Primex").alias("q4_requestor_name"),
-        hit["i"].alias("place"),
-    )
+
+    def fields(hit: Column) -> Column:
+        company = F.when(hit.isNotNull(), F.when(F.upper(hit["t"]["company"]) == "ECM", "ECM").otherwise("Primex")).when(comment.contains(NEW_PATTERN_COMMENTS["ECM"]), "ECM").when(comment.contains(NEW_PATTERN_COMMENTS["Primex"]), "Primex")
+        return F.struct(
+            F.coalesce(hit["t"]["code"], X.found(comment, r"(?iU)HTS\s+Code\s+(\d{10})")).alias("q3_htsus"),
+            hit["t"]["item"].alias("q2_product_description"),
+            F.when(company == "ECM", "ECM Industries LLC").when(company == "Primex", "Primex Family of Companies").alias("q4_organization"),
+            F.when(company == "ECM", "ECM Industries LLC").when(company == "Primex", "Primex").alias("q4_requestor_name"),
+            hit["i"].alias("place"),
+        )
+
+    return X.let(F.get(hits, F.lit(0)), fields)
 
 
 def scanned_v1(first_pages: Column) -> Column:

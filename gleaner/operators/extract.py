@@ -82,8 +82,13 @@ def from_widgets(widgets: DataFrame, doc_col: str = "doc_id") -> DataFrame:
     return rows.groupBy(doc_col).agg(*[F.max_by("v", F.when((F.col("field") == f) & F.col("v").isNotNull(), order)).alias(f) for f in FIELDS])
 
 
-def _when(value: Column, ok: Column) -> Column:
-    return F.when(ok, value)
+def kept_if(value: Column, ok) -> Column:
+    """A value that passes a test, computed once for both."""
+    return X.let(value, lambda x: F.when(ok(x), x))
+
+
+def status_of(code: Column) -> Column:
+    return X.let(code, lambda x: F.when(x.isNotNull(), X.bci_status(x)))
 
 
 def from_text_v1(text: Column) -> dict[str, Column]:
@@ -91,31 +96,38 @@ def from_text_v1(text: Column) -> dict[str, Column]:
     clean = X.prepare_v1(text)
     named = lambda p: X.repair_v1(X.found(text, p))
     head = X.found(F.substring(text, 1, 500), r"(?idU)1\..*?(P|PV|B|BCI)")
-    out = {"q1_bci_status": F.when(text.contains("Public Document"), "Public Document").otherwise(F.when(head.isNotNull(), X.bci_status(head)))}
+    out = {"q1_bci_status": F.when(text.contains("Public Document"), "Public Document").otherwise(status_of(head))}
     about = X.strip(X.found(text, r"(?isdU)2\.\s*Please provide.*?concern[:\s]*(.+?)(?=3\.|10-digit)"))
-    out["q2_product_description"] = _when(X.squeeze(about), (F.length(about) > 50) & ~about.rlike(r"^\d+\."))
+    out["q2_product_description"] = X.squeeze(kept_if(about, lambda x: (F.length(x) > 50) & ~x.rlike(r"^\d+\.")))
     out["q3_htsus"] = K.first_code(text)
     name = named(r"(?isdU)4\.\s*Requestor Information.*?Name.*?:\s*([^\n]{3,100})")
-    out["q4_requestor_name"] = _when(name, (F.length(name) > 2) & ~name.rlike("(?iU)organization|public|note"))
+    out["q4_requestor_name"] = kept_if(name, lambda x: (F.length(x) > 2) & ~x.rlike("(?iU)organization|public|note"))
     org = named(r"(?isdU)4\.\s*Requestor Information.*?Organization\s+Name[^\n:]*:\s*([^\n]+)")
-    out["q4_organization"] = _when(org, (F.length(org) > 2) & ~org.rlike("(?iU)note|representative"))
+    out["q4_organization"] = kept_if(org, lambda x: (F.length(x) > 2) & ~x.rlike("(?iU)note|representative"))
     rep = named(r"(?isdU)4\.\s*Requestor Information.*?Representative[^\n:]*:\s*([^\n]+)")
-    out["q4_representative"] = _when(rep, (F.length(rep) > 1) & ~rep.rlike(r"(?iU)^N\s*/?\s*A"))
+    out["q4_representative"] = kept_if(rep, lambda x: (F.length(x) > 1) & ~x.rlike(r"(?iU)^N\s*/?\s*A"))
     relation = named(r"(?isdU)5\..*?relationship.*?product[^\n]*:\s*([^\n]+)")
-    out["q5_relationship"] = _when(relation, (F.length(relation) > 1) & ~relation.rlike(r"CONTINUED|^\d+\."))
+    out["q5_relationship"] = kept_if(relation, lambda x: (F.length(x) > 1) & ~x.rlike(r"CONTINUED|^\d+\."))
+
+    def by_section(part: Column, n: str) -> Column:
+        extra = F.when(part.contains("NJA"), "N/A").otherwise(status_of(X.found(part, r"\b(P|PV|B)\b"))) if n == "7" else None
+        return X.section_answer(part, extra)
+
+    def sectioned(n: str) -> Column:
+        return X.let(clean, lambda c: X.let(X.section(c, int(n)), lambda part: by_section(part, n)))
+
+    def anywhere(raw: Column) -> Column:
+        return F.when(raw.contains("1A") | raw.contains("JA"), "N/A").when(raw.startswith("Y"), "YES").when(raw.isin("P", "PV", "B"), X.bci_status(raw)).otherwise(raw)
+
     for n, field in ANSWERS:
-        part = X.section(clean, int(n))
-        code = X.found(part, r"\b(P|PV|B)\b")
-        extra = F.when(part.contains("NJA"), "N/A").otherwise(F.when(code.isNotNull(), X.bci_status(code))) if n == "7" else None
         # the furthest answer within 40 characters after the number; a number's digits end the search
         raw = F.replace(F.upper(X.found(text, rf"(?iU){n}\D{{0,40}}(YES|NO|N/?A|N\s*1\s*A|NJA|jNJA|P|PV|B)")), F.lit(" "), F.lit(""))
-        fallback = F.when(raw.contains("1A") | raw.contains("JA"), "N/A").when(raw.startswith("Y"), "YES").when(raw.isin("P", "PV", "B"), X.bci_status(raw)).otherwise(raw)
-        out[field] = F.coalesce(X.section_answer(part, extra), fallback)
+        out[field] = F.coalesce(sectioned(n), X.let(raw, anywhere))
     for y in YEARS:
         out[f"q10_{y}_value"] = K.scaled_value(text, y)
         out[f"q10_{y}_quantity"] = X.strip(X.found(text, rf"(?idU){y}\s*Quant[^\n]*\n+([^\n]+)"))
     info = X.squeeze(X.strip(X.found(text, r"(?isdU)11\..*?box\).*?\n+(.{100,}?)(?=VERSION|END)")))
-    out["q11_supporting_info"] = _when(info, ~F.substring(info, 1, 50).rlike("(?iU)please provide information"))
+    out["q11_supporting_info"] = kept_if(info, lambda x: ~F.substring(x, 1, 50).rlike("(?iU)please provide information"))
     return out
 
 
@@ -128,25 +140,25 @@ def from_form_v2(text: Column) -> dict[str, Column]:
     out["q1_bci_status"] = (
         F.when(low.contains("public document") & ~F.substring(low, 1, 800).contains("public version"), "Public Document")
         .when(low.contains("public version") | head.rlike(r"(?U)\bPV\b"), "Public Version of BCI")
-        .otherwise(F.when(code.isNotNull(), X.bci_status(code)))
+        .otherwise(status_of(code))
     )
     about = named(r"(?isdU)2\.\s*(?:Please provide|provide).*?(?:concern|product)[:\s]*(.+?)(?=3\.|10-digit|10 digit)")
-    out["q2_product_description"] = _when(X.squeeze(about), (F.length(about) > 15) & ~about.rlike(r"^\d+\."))
+    out["q2_product_description"] = X.squeeze(kept_if(about, lambda x: (F.length(x) > 15) & ~x.rlike(r"^\d+\.")))
     out["q3_htsus"] = F.coalesce(K.first_code(text), K.dotted_code(text))
     one = named(r"(?isdU)4\.\s*Requestor Information.*?Name.*?:\s*([^\n]{3,100})")
     two = named(r"(?U)([A-Z][a-z]+,\s*[A-Z][a-z]{2,})\s*(?:\n|Organization|$)")
     three = F.nullif(named(r"(?U)\d{4}\.\d{2}\.\d{4}\s*\n\s*([A-Z][a-z]+,\s*[A-Z][a-z]+)"), F.lit(""))
-    out["q4_requestor_name"] = F.coalesce(_when(one, (F.length(one) > 2) & ~one.rlike("(?iU)organization|public|note")), _when(two, (F.length(two) > 5) & ~F.lower(two).contains("organization")), three)
+    out["q4_requestor_name"] = F.coalesce(kept_if(one, lambda x: (F.length(x) > 2) & ~x.rlike("(?iU)organization|public|note")), kept_if(two, lambda x: (F.length(x) > 5) & ~F.lower(x).contains("organization")), three)
     out["q4_organization"] = F.coalesce(F.nullif(named(r"(?isdU)4\.\s*Requestor Information.*?Organization\s+Name[^\n:]*:\s*([^\n]+)"), F.lit("")), F.nullif(named(r"(?U)[A-Z][a-z]+,\s*[A-Z][a-z]+\s*\n\s*([A-Za-z0-9\s,.]+(?:Inc|LLC|Corp|Ltd)\.?)"), F.lit("")))
     listed = reduce(lambda c, r: c.when(F.instr(text, r).between(1, 4000), r), RELATIONS[1:], F.when(F.instr(text, RELATIONS[0]).between(1, 4000), RELATIONS[0]))
     out["q5_relationship"] = F.coalesce(F.nullif(named(r"(?isdU)5\..*?relationship.*?product[^\n]*:\s*([^\n]+)"), F.lit("")), listed)
     for n, field in ANSWERS:
         answer = X.found(text, rf"(?iU){n}\D{{0,40}}(YES|NO|N/?A|N\s*1\s*A)")
-        out[field] = F.when(answer.isNotNull(), X.yes_no(answer))
+        out[field] = X.let(answer, lambda x: F.when(x.isNotNull(), X.yes_no(x)))
     for y in YEARS:
         out[f"q10_{y}_value"] = F.replace(X.found(text, rf"(?iU){y}\s*Value[:\s]*\$?\s*([\d,.]+)"), F.lit(","), F.lit(""))
     info = X.found(text, r"(?isdU)11\..*?box\).*?\n+(.{50,}?)(?=VERSION|END|$)")
-    out["q11_supporting_info"] = F.when(info.isNotNull(), X.repair_v2(X.squeeze(X.strip(info))))
+    out["q11_supporting_info"] = X.let(info, lambda x: F.when(x.isNotNull(), X.repair_v2(X.squeeze(X.strip(x)))))
     return {f: F.when(gate(text, f), c) for f, c in out.items()}
 
 
@@ -154,9 +166,9 @@ def from_letter(text: Column) -> dict[str, Column]:
     """The fields of a prepared new-pattern letter."""
     low = F.lower(text)
     named = lambda p: F.nullif(X.repair_v2(X.strip(X.found(text, p))), F.lit(""))
-    code = lambda p: F.when(X.found(text, p, 0).isNotNull(), F.concat(*[F.regexp_extract(text, p, g) for g in (1, 2, 3)]))
+    code = lambda p: X.let(F.regexp_extract(text, p, 0), lambda hit: F.when(hit != "", F.concat(*[F.regexp_extract(hit, p, g) for g in (1, 2, 3)])))
     org = X.repair_v2(X.strip(X.found(text, r"(?dU)([A-Za-z\s]+(?:Family of Companies|Industries|Inc\.?|LLC|Corp))[^\n]*hereby submits")))
-    org = F.when(F.length(org) > 3, org)
+    org = kept_if(org, lambda x: F.length(x) > 3)
     known = F.when(low.contains("primex"), "Primex").when(low.rlike(r"(?U)ecm\s+industries"), "ECM Industries")
     absent = F.when(text.rlike(r"(?idU)not available in the U\.?S\.?|not available.*outside.*china"), "NO")
     return {

@@ -106,7 +106,7 @@ def keep_existing(existing: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 
 
 def merge_with_default(ids: DataFrame, results: DataFrame, key: str, defaults: dict) -> DataFrame:
-    """Every id in the list, with its result or else the defaults."""
+    """Every id in the list, with its result or else the defaults. Results hold one row per id (``last_rows``, if they repeat)."""
     marked = results.withColumn("_there", F.lit(True))
     out = ids.join(marked, key, "left")
     return out.withColumns({c: F.when(F.col("_there").isNull(), F.lit(v)).otherwise(F.col(c)) for c, v in defaults.items()}).drop("_there")
@@ -169,6 +169,22 @@ def row_range(df: DataFrame, order: list[str], first: int, last: int) -> DataFra
     return df.orderBy(*order).offset(first - 1).limit(max(0, last - first + 1))
 
 
+def in_order(df: DataFrame, *order: Column) -> DataFrame:
+    """The rows in their final order, sorted by ranges over the cluster."""
+    return df.orderBy(*order)
+
+
+def sample(df: DataFrame, n: int = 10) -> DataFrame:
+    """The first rows of an ordered table with their place from 1; only so many are numbered."""
+    few = df.limit(n).withColumn("_place", F.monotonically_increasing_id())
+    return few.withColumn("place", F.row_number().over(W.orderBy("_place"))).drop("_place")
+
+
+def withdrawn_rows(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The given columns of withdrawn documents."""
+    return df.where(F.col("Withdrawn") == 1).select(*columns)
+
+
 def contains_word(c: Column, word: str) -> Column:
     return F.coalesce(c.contains(word), F.lit(False))
 
@@ -236,9 +252,10 @@ def value_counts(df: DataFrame, column: str, name: str = "n") -> DataFrame:
 def breakdown(df: DataFrame, column: str) -> DataFrame:
     """Counts of values that aren't null, with their percentage of all rows to one place, half to even."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    # a row per value: the window over all of them sees few rows
-    every = F.sum("n").over(W.partitionBy(F.lit(0)))
-    return counts.select(column, "n", F.bround(F.col("n") / every * 100, 1).alias("percentage")).where(F.col(column).isNotNull())
+    # the total is one row, so that values, however many, never meet in one task
+    every = counts.agg(F.sum("n").alias("_every"))
+    shares = counts.join(F.broadcast(every)).select(column, "n", F.bround(F.col("n") / F.col("_every") * 100, 1).alias("percentage"))
+    return shares.where(F.col(column).isNotNull())
 
 
 def metrics(df: DataFrame, **columns: Column) -> DataFrame:
@@ -265,3 +282,14 @@ def fill_v2(status: Column, withdrawn: Column) -> Column:
 
 def fill_sibling(status: Column, withdrawn: Column) -> Column:
     return F.when(withdrawn == 1, "FFFF00").when(X.strip(status) == "Scanned", "FFCCCB").when(X.strip(status).isin("pdf not present", "API error"), "E8E8E8")
+
+
+def date_counts(df: DataFrame, column: str) -> DataFrame:
+    """How many rows there are, with a date and without one."""
+    has = F.coalesce(F.col(column) != "", F.lit(False))
+    return metrics(df, total=F.count(F.lit(1)), found=count_where(has), missing=count_where(~has))
+
+
+def run_totals(judged: DataFrame) -> DataFrame:
+    """What a run has processed (is_form, msg), the forms among it, and what the exclusions took."""
+    return metrics(judged, processed=F.count(F.lit(1)), forms_found=count_where(F.col("is_form")), excluded=count_where(F.col("msg").contains("EXCLUDED")))

@@ -100,14 +100,14 @@ def title_parse(spark, sf_dir):
 @query(f"SELECT doc, pos, {NORMAL_SQL} AS decision FROM (SELECT doc, pos, lower({DECISION_SQL}) AS d FROM titles)", "titles")
 def decision_normalize(spark, sf_dir):
     """Decisions by their kind."""
-    return base(spark, sf_dir, "titles").select("doc", "pos", T.normalize_decision(T.parse_title(F.col("title"))["decision"]).alias("decision"))
+    return base(spark, sf_dir, "titles").select("doc", "pos", T.normalize_decision(T.decision_of(F.col("title"))).alias("decision"))
 
 
 @query(f"""SELECT decision, count(*) AS n, round_even(count(*) / (SELECT count(*) FROM titles) * 100, 1) AS percentage
   FROM (SELECT {NORMAL_SQL} AS decision FROM (SELECT lower({DECISION_SQL}) AS d FROM titles)) WHERE decision IS NOT NULL GROUP BY decision""", "titles")
 def decision_breakdown(spark, sf_dir):
     """Decisions with their share of all documents."""
-    return R.breakdown(base(spark, sf_dir, "titles").select(T.normalize_decision(T.parse_title(F.col("title"))["decision"]).alias("decision")), "decision")
+    return R.breakdown(base(spark, sf_dir, "titles").select(T.normalize_decision(T.decision_of(F.col("title"))).alias("decision")), "decision")
 
 
 # -- scans ------------------------------------------------------------------------------------------------------
@@ -493,19 +493,6 @@ def letter_flags(spark, sf_dir):
     return rows.select("doc_id", F.col("full").rlike(C.DEAR).alias("dear"), X.total([F.lower("full").contains(p) for p in C.NARRATIVE]).alias("narrative"))
 
 
-@query()
-def classify_messages(spark, sf_dir):
-    """The form detector over texts with injected phrases (checked by golden rows)."""
-    return C.detect(_injected(spark, sf_dir).withColumn("first2", F.col("full")), "first2", "full").select("doc_id", "is_form", "msg", "score")
-
-
-@query()
-def document_kinds(spark, sf_dir):
-    """The second docket's tests over texts with injected phrases (checked by golden rows)."""
-    t = F.col("t")
-    return X.fenced(_injected(spark, sf_dir), {"t": X.decode_garbled(F.col("full"))}).select("doc_id", C.new_pattern(t).alias("new_pattern"), C.response_letter(t).alias("response"), C.cover_letter(t, t).alias("cover"), C.product_attachment(t).alias("product"), C.wrong_type(t, t, t).alias("wrong"), C.rescue_score(t).alias("rescue"))
-
-
 # -- fields --------------------------------------------------------------------------------------------------------------------
 
 WIDGET_NAMES = ("bci", "hts", "attachments", "organization name", "2015 value", "other")

@@ -10,7 +10,7 @@ import re
 import time
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -51,7 +51,11 @@ def details(answers: DataFrame) -> DataFrame:
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """Ids of a text file: blank lines and lines that begin with # (before stripping) are left out."""
-    lines = spark.read.text(path)
+    return ids_of_lines(spark.read.text(path))
+
+
+def ids_of_lines(lines: DataFrame) -> DataFrame:
+    """Ids of lines (value), as ``read_ids`` takes them from a file."""
     return lines.where(~F.col("value").startswith("#")).select(X.strip(F.col("value")).alias("documentId")).where("documentId != ''")
 
 
@@ -142,24 +146,43 @@ def cards(pages: DataFrame, html_col: str = "html") -> DataFrame:
     return rows.select("*", F.regexp_extract("card", CARD, 1).alias("source"), X.strip(F.regexp_extract("card", CARD, 2)).alias("dateLabel"), F.coalesce(X.found(F.col("card"), VERSION), F.lit("1")).alias("version"), F.col("card").contains("Current").alias("isCurrent")).drop("card")
 
 
+class Unanswered(RuntimeError):
+    """A page that couldn't be had after all tries; Spark then tries the task again."""
+
+
 class Throttle:
-    """At least ``delay`` seconds between calls of a partition; limited calls are tried again after growing waits."""
+    """At least ``delay`` seconds between calls of a partition; calls that fail are tried again after growing waits."""
 
-    def __init__(self, delay: float, tries: int = 5, wait: float = 60.0, sleep: Callable[[float], None] = time.sleep):
-        self.delay, self.tries, self.wait, self.sleep, self.last = delay, tries, wait, sleep, 0.0
+    def __init__(self, delay: float, tries: int = 5, wait: float = 60.0, sleep: Callable[[float], None] = time.sleep, error_wait: float = 30.0):
+        self.delay, self.tries, self.wait, self.sleep, self.last, self.error_wait = delay, tries, wait, sleep, 0.0, error_wait
 
-    def call(self, fetch: Callable[[], tuple[int, dict | None]]) -> dict | None:
-        """The answer's body, or null: status 429 waits ``wait`` times the number of tries; other errors give up."""
+    def call(self, fetch: Callable[[], tuple[int, dict | None]], absent: tuple[int, ...] = (404,)) -> dict | None:
+        """The answer's body; null for the ``absent`` statuses. Status 429 waits ``wait`` times the number of tries, other
+        errors ``error_wait`` times it; without an answer after all tries it raises ``Unanswered``."""
+        status: int | str = "no answer"
         for n in range(self.tries):
             self.sleep(max(0.0, self.last + self.delay - time.monotonic()))
             self.last = time.monotonic()
-            status, body = fetch()
+            try:
+                status, body = fetch()
+            except OSError as e:
+                status, body = repr(e), None
             if status == 200:
                 return body
-            if status != 429:
+            if status in absent:
                 return None
-            self.sleep(self.wait * (n + 1))
-        return None
+            self.sleep((self.wait if status == 429 else self.error_wait) * (n + 1))
+        raise Unanswered(f"no answer after {self.tries} tries: {status}")
+
+
+def acceptable_pdf(length: Column, content_type: Column, head: Column, least: int = 1000) -> Column:
+    """Whether a fetched file counts as a PDF: over ``least`` bytes, its type names pdf or is blank, and it begins like one."""
+    kind = F.lower(F.coalesce(content_type, F.lit("")))
+    return (length > least) & ((kind == "") | kind.contains("pdf")) & F.substring(head, 1, 4).eqNullSafe(F.lit(b"%PDF"))
+
+
+#: Pages that a listing without a total is taken to have at most; an empty or short page ends it before.
+MOST_PAGES = 1000
 
 
 class ListingPartition(InputPartition):
@@ -168,32 +191,48 @@ class ListingPartition(InputPartition):
 
 
 class ListingReader(DataSourceReader):
-    """Pages of one sort order until one is short; each (sort, page range) is a task."""
+    """Pages of one sort order until one is short or ``meta.totalElements`` rows are passed; each (sort, page range) is a task.
+
+    A page without an answer fails its task, which Spark tries again: a listing is complete or an error. ``maxpages`` 0 asks
+    the first page of each sort order for the number of rows and reads as many pages as that takes.
+    """
 
     def __init__(self, options: dict, fetch: Callable[[str, int, int], tuple[int, dict | None]]):
         self.sorts = [s for s in options.get("sorts", "documentId").split(",") if s]
-        self.size, self.pages, self.step = int(options.get("pagesize", 250)), int(options.get("maxpages", 20)), int(options.get("pagespertask", 20))
-        self.delay, self.fetch = float(options.get("delay", 1.0)), fetch
+        self.size, self.pages, self.step = int(options.get("pagesize", 250)), int(options.get("maxpages", 0)), int(options.get("pagespertask", 20))
+        self.delay, self.wait, self.fetch = float(options.get("delay", 1.0)), float(options.get("wait", 60.0)), fetch
+
+    def last_page(self, sort: str) -> int:
+        """The last page to read of a sort order."""
+        if self.pages:
+            return self.pages
+        body = self.throttle().call(lambda: self.fetch(sort, 1, self.size)) or {}
+        total = (body.get("meta") or {}).get("totalElements")
+        return max(1, -(-int(total) // self.size)) if total is not None else MOST_PAGES
+
+    def throttle(self) -> Throttle:
+        return Throttle(self.delay, wait=self.wait, error_wait=self.wait / 2)
 
     def partitions(self) -> list[InputPartition]:
-        return [ListingPartition(s, p, min(self.pages, p + self.step - 1)) for s in self.sorts for p in range(1, self.pages + 1, self.step)]
+        return [ListingPartition(s, p, min(last, p + self.step - 1)) for s in self.sorts for last in (self.last_page(s),) for p in range(1, last + 1, self.step)]
 
     def read(self, partition: ListingPartition) -> Iterator[tuple]:
-        throttle = Throttle(self.delay)
+        throttle = self.throttle()
         for page in range(partition.first, partition.last + 1):
-            body = throttle.call(lambda: self.fetch(partition.sort, page, self.size))
-            rows = (body or {}).get("data") or []
+            body = throttle.call(lambda: self.fetch(partition.sort, page, self.size)) or {}
+            rows = body.get("data") or []
             for i, d in enumerate(rows):
                 a = d.get("attributes") or {}
                 yield d.get("id"), a.get("title"), a.get("postedDate"), a.get("lastModifiedDate"), a.get("documentType"), a.get("withdrawn"), partition.sort, page, i
-            if len(rows) < self.size:
+            total = (body.get("meta") or {}).get("totalElements")
+            if len(rows) < self.size or (total is not None and page * self.size >= int(total)):
                 return
 
 
 def listing_source(fetch: Callable[[str, int, int], tuple[int, dict | None]]) -> type[DataSource]:
     """A data source class named ``listing`` for ``spark.dataSource.register``. fetch: (sort, page, size) to (status, body).
 
-    Options: sorts, pageSize, maxPages, pagesPerTask, delay. The key of the service belongs to ``fetch``, from the environment.
+    Options: sorts, pageSize, maxPages (0: as many as there are), pagesPerTask, delay, wait. The key of the service belongs to ``fetch``, from the environment.
     """
 
     class ListingSource(DataSource):
