@@ -64,14 +64,15 @@ def column_function(each: Callable[[Iterator[pa.Array]], Iterator[pa.Array]], ki
     return function if steady else function.asNondeterministic()
 
 
-def small_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Let at most ``rows`` rows go to a Python worker at once, for work that carries whole texts there.
+def small_batches(spark: SparkSession, rows: int = 500, size: str = "8m") -> None:
+    """Let at most ``rows`` rows or about ``size`` bytes go to a Python worker at once, for work on whole texts.
 
-    A setting of the session, since it is read when a plan runs, so it stays for later ones; a smaller one isn't raised.
+    Settings of the session, since they are read when a plan runs, so they stay for later ones; smaller ones aren't raised.
     """
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name)) <= rows:
         spark.conf.set(name, str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -86,7 +87,14 @@ def keep(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept.kept_path = path
+    return kept
+
+
+def drop_kept(spark: SparkSession, kept: DataFrame) -> None:
+    """Delete the table that ``keep`` gave, once nothing reads it any more."""
+    drop_path(spark, kept.kept_path)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:

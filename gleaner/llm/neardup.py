@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import column_function, drop_path, fresh_path, frugal, keep, text_bytes
+from .common import column_function, drop_kept, drop_path, fresh_path, frugal, keep, text_bytes
 
 SHINGLE, COORDINATES, MATCHES = 5, 64, 34
 PREFIX = COORDINATES - MATCHES + 1
@@ -132,10 +132,11 @@ def shingle_names(sets: pa.Array) -> np.ndarray:
     return np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(x.as_py(), np.uint64) * _STEP for x in sets)])
 
 
-def frequency_sketch(sets: DataFrame, column: str = "sig", names=pair_names) -> dict[int, int]:
+def frequency_sketch(sets: DataFrame, column: str = "sig", names=pair_names, each: int | None = None) -> dict[int, int]:
     """Bucket and rough binary log of the count, for the buckets of what is held often. At most SKETCH entries.
 
-    ``names`` gives the 64-bit names of what values of the column hold.
+    ``names`` gives the 64-bit names of what values of the column hold; each: how many there are (by default COORDINATES
+    for each row).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,12 +144,11 @@ def frequency_sketch(sets: DataFrame, column: str = "sig", names=pair_names) ->
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 total += np.bincount(buckets(names(batch.column(0).slice(at, 500))).ravel(), minlength=SKETCH)
-        at = np.flatnonzero(total)
+        at = np.flatnonzero(total >= max(2, NOISE * total.sum() // SKETCH))  # what is often everywhere is so in most tasks
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["bucket", "n"])
 
-    counted = keep(sets.sparkSession, sets.select(column).mapInArrow(frugal(run), "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")), "sketch")
-    least = max(OFTEN, NOISE * (counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) // SKETCH)
-    counted = counted.where(F.col("n") >= least)
+    least = max(OFTEN, NOISE * (COORDINATES * sets.count() if each is None else each) // SKETCH)
+    counted = sets.select(column).mapInArrow(frugal(run), "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     return {r["bucket"]: int(np.log2(r["n"])) for r in counted.toLocalIterator()}
 
 
@@ -258,11 +258,14 @@ def seldom_postings(held: DataFrame, often) -> DataFrame:
 
 def left_apart(spark: SparkSession, held: DataFrame) -> DataFrame:
     """(rep): the sets of held (rep, component, shingles) that may be linked with one of another component."""
-    often = spark.sparkContext.broadcast(table_of(frequency_sketch(held, "shingles", shingle_names)))
+    total = held.agg(F.coalesce(F.sum(F.octet_length("shingles")), F.lit(0))).first()[0] // 8
+    often = spark.sparkContext.broadcast(table_of(frequency_sketch(held, "shingles", shingle_names, total)))
     posted = keep(spark, seldom_postings(held, often), "seldom")
     # a list counts if a set of it in its seventh meets one of another component
     lists = posted.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("small").alias("small")).where("low != high and small").select("h")
-    return posted.select("h", "rep").join(keep(spark, lists, "seldom_lists"), "h").select("rep").distinct()
+    still = keep(spark, posted.select("h", "rep").join(keep(spark, lists, "seldom_lists"), "h").select("rep").distinct(), "still")
+    drop_kept(spark, posted)
+    return still
 
 
 def second_round(spark: SparkSession, posted: DataFrame, sets: DataFrame, near: DataFrame, best: DataFrame, label: DataFrame, shingles_of) -> DataFrame:
@@ -279,9 +282,8 @@ def second_round(spark: SparkSession, posted: DataFrame, sets: DataFrame, near:
     groups = keep(spark, groups.select("a", "n"), "apart")
     single = keep(spark, near.select("a", "b").join(groups.where("n = 2").select("a"), "a", "left_semi").join(best, ["a", "b"], "left_anti"), "single")
     rows = keep(spark, members.join(groups.where("n > 2").select("a"), "a"), "open")
-    held = shingles_of(rows.select("rep")).join(rows.select("rep", "component").distinct(), "rep").select("rep", "component", "shingles")
-    held = keep(spark, held, "held")
-    still = keep(spark, left_apart(spark, held), "still")
+    held = shingles_of(rows.select("rep", "component"))
+    still = left_apart(spark, held)
     rows = keep(spark, rows.join(still, "rep").join(sets.select("rep", "n_shingles"), "rep").select("a", "rep", "component", "n_shingles"), "still_open")
     blocks = F.greatest(F.least(F.ceil(F.col("n") / UNIT), F.lit(MANY)), F.ceil(F.col("n") / LARGE), F.ceil(F.col("s") / SHINGLES)).cast("int")
     groups = rows.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"), F.min("component").alias("low"), F.max("component").alias("high"))
@@ -317,7 +319,8 @@ def second_round(spark: SparkSession, posted: DataFrame, sets: DataFrame, near:
                     found.append((int(rep[x]), int(rep[y])))
         return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
 
-    found = units.groupBy("a", "i", "j").applyInArrow(run, "a bigint, b bigint")
+    found = keep(spark, units.groupBy("a", "i", "j").applyInArrow(run, "a bigint, b bigint"), "found")
+    drop_kept(spark, held)
     return found.unionByName(confirmed(single, shingles_of(single.select(F.explode(F.array("a", "b"))))))
 
 
@@ -343,35 +346,42 @@ def grouped(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str) ->
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_bytes(text_col).alias("text"))
 
     nameless = sets.where("first_id is null").limit(1).count() > 0
+    repeated = facts.where("doc_id is not null and set_key is not null").groupBy("doc_id").count().where("count > 1").limit(1).count() > 0
 
     def shingles_of(reps: DataFrame) -> DataFrame:
-        """(rep, shingles) of the given sets, each once, from the text of a row that has the set's smallest id."""
-        wanted = keep(spark, sets.select("rep", "first_id", "set_key").join(reps.toDF("rep").distinct(), "rep"), "wanted")
+        """(rep, component, shingles) of the given sets, each once, from the text of a row that has the set's smallest id.
+        reps: rep, and component or null."""
+        reps = reps if len(reps.columns) == 2 else reps.toDF("rep").withColumn("component", F.lit(None).cast("bigint"))
+        wanted = keep(spark, sets.select("rep", "first_id", "set_key").join(reps.toDF("rep", "component").distinct(), "rep"), "wanted")
         if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
             wanted = F.broadcast(wanted)
         # ids may repeat with other texts: the digest tells the right one
-        both = texts.join(wanted, texts["doc_id"] == wanted["first_id"]).select("rep", "set_key", "text")
+        both = texts.join(wanted, texts["doc_id"] == wanted["first_id"]).select("rep", "component", "set_key", "text")
         if nameless:
-            both = both.unionByName(texts.where("doc_id is null").select(F.lit(-1).cast("bigint").alias("rep"), F.lit(None).cast("binary").alias("set_key"), "text"))
+            both = both.unionByName(texts.where("doc_id is null").select(F.lit(-1).cast("bigint").alias("rep"), F.lit(None).cast("bigint").alias("component"), F.lit(None).cast("binary").alias("set_key"), "text"))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for at in range(0, batch.num_rows, 500):
                     part = batch.slice(at, 500)
-                    found = [shingle_set(t.as_py()) for t in part.column(2)]
+                    found = [shingle_set(t.as_py()) for t in part.column(3)]
                     keys = [key_of(x) for x in found]
-                    good = pa.array([len(x) > 0 and sought in (None, k) for x, k, sought in zip(found, keys, part.column(1).to_pylist())], pa.bool_())
-                    yield pa.RecordBatch.from_arrays([c.filter(good) for c in (part.column(0), pa.array(keys, pa.binary()), pa.array([x.tobytes() for x in found], pa.binary()))], names=["rep", "set_key", "shingles"])
+                    good = pa.array([len(x) > 0 and sought in (None, k) for x, k, sought in zip(found, keys, part.column(2).to_pylist())], pa.bool_())
+                    yield pa.RecordBatch.from_arrays([c.filter(good) for c in (part.column(0), part.column(1), pa.array(keys, pa.binary()), pa.array([x.tobytes() for x in found], pa.binary()))], names=["rep", "component", "set_key", "shingles"])
 
-        found = both.mapInArrow(frugal(run), "rep bigint, set_key binary, shingles binary")
+        found = both.mapInArrow(frugal(run), "rep bigint, component bigint, set_key binary, shingles binary")
         if nameless:  # their sets are known by the digest only
             found = keep(spark, found, "found")
-            own = found.where("rep = -1").drop("rep").join(wanted.where("first_id is null").select("rep", "set_key"), "set_key")
-            found = found.where("rep != -1").unionByName(own.select("rep", "set_key", "shingles"))
-        return keep(spark, found.select("rep", "shingles").dropDuplicates(["rep"]), "shingles")
+            own = found.where("rep = -1").drop("rep", "component").join(wanted.where("first_id is null").select("rep", "component", "set_key"), "set_key")
+            found = found.where("rep != -1").unionByName(own.select("rep", "component", "set_key", "shingles"))
+        if nameless or repeated:
+            found = found.dropDuplicates(["rep"])
+        return keep(spark, found.select("rep", "component", "shingles"), "shingles")
 
     best = keep(spark, near.groupBy("b").agg(F.max_by("a", F.struct("matches", -F.col("a"))).alias("a")).select("a", "b"), "best")
-    links = keep(spark, confirmed(best, shingles_of(best.select(F.explode(F.array("a", "b"))))), "confirmed")
+    held = shingles_of(best.select(F.explode(F.array("a", "b"))))
+    links = keep(spark, confirmed(best, held), "confirmed")
+    drop_kept(spark, held)
     label = components(spark, links)
     again = keep(spark, second_round(spark, posted, sets, near, best, label, shingles_of), "again")
     if again.limit(1).count():
