@@ -1,17 +1,19 @@
 """URL filters: explicit rules, and a path-template tree per host judged by labelled purity.
 
 Urls that a rule covers are the labelled ones. Paths are first generalised segment by segment (numbers,
-long hexadecimal names), and equal shapes of a host are counted once. In the tree of shapes a branch
-becomes a wildcard if it is one of many small ones, or if its share of blocked labels, as a beta
-posterior, does not differ from that of its siblings. Shapes that now read alike form a template, and a
+long hexadecimal names), and equal shapes of a host are counted once. The tree of shapes is then merged level by level
+from the top: under each merged parent a branch becomes a wildcard if it has no labels of its own, or if its share of
+blocked labels, as a beta posterior, does not differ from that of its labelled siblings; what stands below the branches
+that became one wildcard is pooled before the next level is judged. Shapes that now read alike form a template, and a
 template is rejected when its smoothed share of blocked labels reaches REJECT.
 
 DataFrame functions only. Pages are aggregated to shapes before anything is exploded, so a host with a
-third of all rows is a few rows; the verdicts come back by an equi-join whose hot keys Spark can split.
+third of all rows is a few rows; the verdicts come back by an equi-join whose hot keys Spark can split. There is a pass
+over the shapes for each level, DEPTH at the most.
 
 Edge cases: a null url or one without ``://`` has an empty host and path and is allowed unless its template is
 rejected; without labels nothing is rejected; an empty table gives no rows; rows that repeat are judged each;
-other columns are not carried.
+what follows a path's first DEPTH segments, however long, is one segment; other columns are not carried.
 """
 
 from __future__ import annotations
@@ -23,8 +25,8 @@ from .common import keep, lower_ascii
 
 #: (verdict, host, path) of the rules for the driver's pages.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
-#: Prior labels of a rate, standard errors that tell branches apart, rejected purity, and when branches are many and small.
-PRIOR, ERRORS, REJECT, MANY, SMALL = 2.0, 2.0, 0.8, 20, 0.05
+#: Prior labels of a rate, standard errors that tell branches apart, rejected purity, levels of the tree.
+PRIOR, ERRORS, REJECT, DEPTH = 2.0, 2.0, 0.8, 8
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
 
@@ -44,14 +46,16 @@ def best_rule(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def shape(path: Column) -> Column:
-    """The segments of a path, with variable ones generalised by how they are written."""
-    return F.transform(
+    """The segments of a path, with variable ones generalised by how they are written; the last one holds all beyond DEPTH."""
+    cut = F.transform(
         F.split(path, "/", -1),
         lambda s: F.when(s.rlike("^[0-9]+$"), F.lit("{n}"))
         .when(s.rlike("^[0-9]+[.][A-Za-z0-9]+$"), F.regexp_replace(s, "^[0-9]+", "{n}"))
         .when(s.rlike("^[0-9a-f-]{16,}$"), F.lit("{h}"))
         .otherwise(s),
     )
+    deep = lambda x: F.concat(F.slice(x, 1, DEPTH), F.array(F.array_join(F.slice(x, DEPTH + 1, F.size(x)), "/")))
+    return F.get(F.transform(F.array(cut), lambda x: F.when(F.size(x) > DEPTH + 1, deep(x)).otherwise(x)), F.lit(0))
 
 
 def posterior(blocked: Column, labels: Column, prior: float) -> tuple[Column, Column]:
@@ -60,21 +64,23 @@ def posterior(blocked: Column, labels: Column, prior: float) -> tuple[Column, Co
     return mean, mean * (1 - mean) / (labels + F.lit(PRIOR + 1))
 
 
-def templates(shapes: DataFrame, prior: float) -> DataFrame:
-    """(host, shape, template): each shape after the tree's similar branches have merged."""
-    steps = shapes.select("host", "shape", "pages", "blocked", "labels", F.posexplode("shape").alias("level", "segment")).where("level > 0")
-    steps = steps.withColumn("parent", F.array_join(F.slice("shape", 1, F.col("level")), "/"))
-    node = steps.groupBy("host", "parent", "segment").agg(*[F.sum(c).alias(c) for c in ("pages", "blocked", "labels")])
-    total = node.groupBy("host", "parent").agg(F.count(F.lit(1)).alias("kids"), *[F.sum(c).alias(f"all_{c}") for c in ("pages", "blocked", "labels")])
-    mean, var = posterior(F.col("blocked"), F.col("labels"), prior)
-    rest, rest_var = posterior(F.col("all_blocked") - F.col("blocked"), F.col("all_labels") - F.col("labels"), prior)
-    alike = (mean - rest) * (mean - rest) <= F.lit(ERRORS * ERRORS) * (var + rest_var)
-    small = (F.col("kids") > MANY) & (F.col("pages") < F.lit(SMALL) * F.col("all_pages"))
-    merged = node.join(total, ["host", "parent"]).select("host", "parent", "segment", F.when((F.col("kids") > 1) & (small | alike), F.lit("*")).otherwise(F.col("segment")).alias("as"))
-    named = steps.select("host", "shape", "level", "parent", "segment").join(merged, ["host", "parent", "segment"])
-    named = named.groupBy("host", "shape").agg(F.array_sort(F.collect_list(F.struct("level", "as"))).alias("steps"))
-    named = named.select("host", "shape", F.array_join(F.transform("steps", lambda s: s["as"]), "/").alias("template"))
-    return shapes.select("host", "shape").join(named, ["host", "shape"], "left").select("host", "shape", F.coalesce("template", F.lit("")).alias("template"))
+def templates(spark: SparkSession, shapes: DataFrame, prior: float) -> DataFrame:
+    """(host, shape, template): each shape after the tree's similar branches have merged, from the top down."""
+    found = shapes.select("host", "shape", "blocked", "labels", F.lit("").alias("template"))
+    deepest = shapes.agg(F.max(F.size("shape"))).first()[0] or 0  # at most DEPTH + 1
+    for level in range(1, deepest):
+        steps = found.withColumn("segment", F.get("shape", F.lit(level)))
+        node = steps.where("segment is not null").groupBy("host", "template", "segment").agg(*[F.sum(c).alias(c) for c in ("blocked", "labels")])
+        total = node.groupBy("host", "template").agg(F.count(F.lit(1)).alias("kids"), *[F.sum(c).alias(f"all_{c}") for c in ("blocked", "labels")])
+        other = F.col("all_labels") - F.col("labels")
+        mean, var = posterior(F.col("blocked"), F.col("labels"), prior)
+        rest, rest_var = posterior(F.col("all_blocked") - F.col("blocked"), other, prior)
+        alike = (other > 0) & ((mean - rest) * (mean - rest) <= F.lit(ERRORS * ERRORS) * (var + rest_var))
+        wild = (F.col("kids") > 1) & ((F.col("labels") == 0) | alike)
+        merged = node.join(total, ["host", "template"]).select("host", "template", "segment", F.when(wild, F.lit("*")).otherwise(F.col("segment")).alias("as"))
+        steps = steps.join(merged, ["host", "template", "segment"], "left")
+        found = keep(spark, steps.select("host", "shape", "blocked", "labels", F.when(F.col("as").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), "as")).alias("template")), "tree")
+    return found.select("host", "shape", "template")
 
 
 def judge(spark: SparkSession, pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -83,10 +89,10 @@ def judge(spark: SparkSession, pages: DataFrame, rules=RULES, id_col: str = "pag
     rows = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
     rows = rows.withColumn("best", best_rule(F.col("host"), F.col("path"), rules)).withColumn("shape", shape(F.col("path")))
     known = F.col("best").isNotNull()
-    shapes = keep(spark, rows.groupBy("host", "shape").agg(F.count(F.lit(1)).alias("pages"), F.count_if(known & (F.col("best")["verdict"] == "block")).alias("blocked"), F.count_if(known).alias("labels")), "shapes")
+    shapes = keep(spark, rows.groupBy("host", "shape").agg(F.count_if(known & (F.col("best")["verdict"] == "block")).alias("blocked"), F.count_if(known).alias("labels")), "shapes")
     blocked, labels = shapes.agg(F.coalesce(F.sum("blocked"), F.lit(0)), F.coalesce(F.sum("labels"), F.lit(0))).first()  # one row
     prior = blocked / labels if labels else 0.0
-    named = keep(spark, templates(shapes, prior), "templates")
+    named = templates(spark, shapes, prior)
     counted = shapes.join(named, ["host", "shape"]).groupBy("host", "template").agg(F.sum("blocked").alias("blocked"), F.sum("labels").alias("labels"))
     judged = counted.select("host", "template", posterior(F.col("blocked"), F.col("labels"), prior)[0].alias("purity"))
     verdicts = keep(spark, named.join(judged, ["host", "template"]), "verdicts")
@@ -111,6 +117,16 @@ def sql() -> str:
         return f"{mean(b, n)} * (1 - {mean(b, n)}) / (({n}) + {PRIOR + 1!r})"
 
     own, rest = ("blocked", "labels"), ("all_blocked - blocked", "all_labels - labels")
+    levels = "".join(f"""
+node{k} AS MATERIALIZED (SELECT host, template, shape[{k + 1}] AS segment, sum(blocked) AS blocked, sum(labels) AS labels FROM tree{k - 1} WHERE len(shape) > {k} GROUP BY ALL),
+total{k} AS MATERIALIZED (SELECT host, template, count(*) AS kids, sum(blocked) AS all_blocked, sum(labels) AS all_labels FROM node{k} GROUP BY ALL),
+merged{k} AS MATERIALIZED (
+  SELECT host, template, segment, CASE WHEN kids > 1 AND (labels = 0 OR (all_labels - labels > 0
+    AND ({mean(*own)} - {mean(*rest)}) * ({mean(*own)} - {mean(*rest)}) <= {ERRORS * ERRORS} * ({var(*own)} + {var(*rest)}))) THEN '*' ELSE segment END AS named
+  FROM node{k} JOIN total{k} USING (host, template), one),
+tree{k} AS MATERIALIZED (
+  SELECT t.host, t.shape, t.blocked, t.labels, CASE WHEN named IS NULL THEN t.template ELSE t.template || '/' || named END AS template
+  FROM tree{k - 1} t LEFT JOIN merged{k} m ON m.host = t.host AND m.template = t.template AND m.segment = t.shape[{k + 1}] AND len(t.shape) > {k}),""" for k in range(1, DEPTH + 1))
     return f"""
 WITH cut AS (
   SELECT page_id, translate(regexp_extract(coalesce(url, ''), '{PARTS}', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -119,25 +135,15 @@ ruled AS (
   SELECT page_id, host, path, list_max([{fits}]) AS best,
          list_transform(string_split(path, '/'), lambda s: CASE WHEN regexp_matches(s, '^[0-9]+$') THEN '{{n}}'
            WHEN regexp_matches(s, '^[0-9]+[.][A-Za-z0-9]+$') THEN regexp_replace(s, '^[0-9]+', '{{n}}')
-           WHEN regexp_matches(s, '^[0-9a-f-]{{16,}}$') THEN '{{h}}' ELSE s END) AS shape FROM cut),
-shapes AS (
-  SELECT host, shape, count(*) AS pages, count(*) FILTER (best.verdict = 'block') AS blocked, count(*) FILTER (best IS NOT NULL) AS labels
-  FROM ruled GROUP BY host, shape),
-one AS (SELECT CASE WHEN sum(labels) > 0 THEN sum(blocked) / sum(labels) ELSE 0.0 END AS prior FROM shapes),
-steps AS (
-  SELECT host, shape, pages, blocked, labels, level, shape[level + 1] AS segment, array_to_string(shape[1:level], '/') AS parent
-  FROM (SELECT *, unnest(range(1, len(shape))) AS level FROM shapes)),
-node AS (SELECT host, parent, segment, sum(pages) AS pages, sum(blocked) AS blocked, sum(labels) AS labels FROM steps GROUP BY ALL),
-total AS (SELECT host, parent, count(*) AS kids, sum(pages) AS all_pages, sum(blocked) AS all_blocked, sum(labels) AS all_labels FROM node GROUP BY ALL),
-merged AS (
-  SELECT host, parent, segment, CASE WHEN kids > 1 AND ((kids > {MANY} AND pages < {SMALL} * all_pages)
-    OR ({mean(*own)} - {mean(*rest)}) * ({mean(*own)} - {mean(*rest)}) <= {ERRORS * ERRORS} * ({var(*own)} + {var(*rest)})) THEN '*' ELSE segment END AS named
-  FROM node JOIN total USING (host, parent), one),
-named AS (
-  SELECT host, shape, string_agg(named, '/' ORDER BY level) AS template FROM steps JOIN merged USING (host, parent, segment) GROUP BY host, shape),
-full_named AS (SELECT host, shape, blocked, labels, coalesce(template, '') AS template FROM shapes LEFT JOIN named USING (host, shape)),
-judged AS (SELECT host, template, {mean("sum(blocked)", "sum(labels)")} AS purity FROM full_named, one GROUP BY host, template, prior)
+           WHEN regexp_matches(s, '^[0-9a-f-]{{16,}}$') THEN '{{h}}' ELSE s END) AS raw FROM cut),
+shaped AS MATERIALIZED (SELECT page_id, host, path, best, CASE WHEN len(raw) > {DEPTH + 1} THEN list_append(raw[1:{DEPTH}], array_to_string(raw[{DEPTH + 1}:], '/')) ELSE raw END AS shape FROM ruled),
+shapes AS MATERIALIZED (
+  SELECT host, shape, count(*) FILTER (best.verdict = 'block') AS blocked, count(*) FILTER (best IS NOT NULL) AS labels
+  FROM shaped GROUP BY host, shape),
+one AS MATERIALIZED (SELECT CASE WHEN sum(labels) > 0 THEN sum(blocked) / sum(labels) ELSE 0.0 END AS prior FROM shapes),
+tree0 AS MATERIALIZED (SELECT host, shape, blocked, labels, '' AS template FROM shapes),{levels}
+judged AS (SELECT host, template, {mean("sum(blocked)", "sum(labels)")} AS purity FROM tree{DEPTH}, one GROUP BY host, template, prior)
 SELECT page_id, host, path, best.rule AS rule,
        coalesce(best.verdict, CASE WHEN purity >= {REJECT} THEN 'block' END, 'allow') AS verdict
-FROM ruled LEFT JOIN (SELECT host, shape, purity FROM full_named JOIN judged USING (host, template)) USING (host, shape)
+FROM shaped LEFT JOIN (SELECT host, shape, purity FROM tree{DEPTH} JOIN judged USING (host, template)) USING (host, shape)
 """

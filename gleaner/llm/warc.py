@@ -1,19 +1,23 @@
 """WARC archives with a two-level capture index.
 
-Writing: of pages with equal payloads the one with the smallest id becomes a response record, the others
-revisit records that refer to it. Every task writes one archive of gzip members, one per record, under a name
-of its own attempt; only archives that a finished task reports belong to the result, so a repeated task leaves
-nothing behind that is read.
-
-Index: capture lines, by reversed host and path, are sorted over the cluster and cut into gzip blocks (level
-one); a sparse directory holds the first key of each block with its file, offset and length (level two). A lookup
-searches the directory by bisection, reads one range of the block file, and then the range of the record.
+Writing takes two passes. The first writes every payload as a record into spool files, where the rows are, and reports
+where each lies, with its digest and length. From those small rows the smallest id of each payload is found; then the
+records that stay are copied, compressed as they are, to the archives, in long reads of neighbouring ones, and the others
+become revisit records, which need no payload. So payloads are never shuffled. Every task writes one file at a time, under
+a name of its own attempt, and only what a finished task reports belongs to the result, so a repeated task leaves nothing
+behind that is read.
+
+Index: capture lines, by reversed host and path, are sorted over the cluster and cut into gzip blocks (level one), a file
+for each task; beside it lies a sparse directory of each block's first key and place (level two), with the places of its
+lines, so that it is searched by bisection with range reads and never held whole. What is collected is one row for each
+index file. A lookup bisects the files, then the directory, and reads ranges of blocks and of records.
 
 Files are opened by the URI of the shared folder (pyarrow's file systems), so they need not be local.
 
 Edge cases: a null html is an empty payload; a null url has the key ``)/`` and an empty target; a null page id is
-written as an empty id and read back as null; equal payloads of any size of at least ``least`` bytes are told
-apart by their SHA-1 and length; an empty table writes no archive and gives no rows.
+written as an empty id, read back as null, and always a response; equal payloads of any size of at least ``least`` bytes
+are told apart by their SHA-1 and length; rows that repeat, with one id and payload, are all responses; very long pages
+are records like others; an empty table writes no archive and gives no rows; other columns are not carried.
 """
 
 from __future__ import annotations
@@ -22,21 +26,25 @@ import base64
 import gzip
 import hashlib
 import json
+import struct
 import uuid
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_path, keep, lower_ascii
+from .common import drop_kept, drop_path, fresh_path, frugal, keep, lower_ascii
 
-#: Capture lines of a block; bytes of adjacent records that one range read takes at most.
-LINES, RANGE = 1000, 1 << 22
+#: Capture lines of a block; bytes of adjacent records that one range read takes at most; bytes of a file after which
+#: another is begun; directory entries that a reader remembers.
+LINES, RANGE, ROLL, ENTRIES = 1000, 1 << 22, 1 << 28, 10_000
 DATE = "2020-01-01T00:00:00Z"
+SPOOLED = "page_id bigint, url string, key string, sha string, size bigint, file string, offset bigint, length bigint"
 STORE = "file string, offset bigint, length bigint, key string, page_id bigint, payload_digest string, record_type string"
 
 
@@ -45,13 +53,34 @@ def opened(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
-def put(folder: str, name: str, data_parts: list[bytes]) -> None:
-    """Write a file under its final name, which no other attempt uses."""
-    store, path = opened(folder)
-    store.create_dir(path, recursive=True)
-    with store.open_output_stream(f"{path}/{name}", compression=None) as out:
-        for part in data_parts:
-            out.write(part)
+class Files:
+    """Writes a task's members one after the other, into files of this attempt's own names."""
+
+    def __init__(self, folder: str, ending: str):
+        (self.store, self.path), self.ending = opened(folder), ending
+        self.name, self.out, self.offset = "", None, 0
+
+    def add(self, member: bytes) -> tuple[str, int]:
+        """The file and offset of a member that is written now."""
+        if self.out is None or self.offset > ROLL:
+            self.close()
+            self.store.create_dir(self.path, recursive=True)
+            self.name, self.offset = f"{uuid.uuid4().hex}.{self.ending}", 0
+            self.out = self.store.open_output_stream(f"{self.path}/{self.name}", compression=None)
+        at = self.offset
+        self.out.write(member)
+        self.offset += len(member)
+        return self.name, at
+
+    def close(self) -> None:
+        if self.out:
+            self.out.close()
+            self.out = None
+
+    def put(self, name: str, raw: bytes) -> None:
+        """A whole file beside the others."""
+        with self.store.open_output_stream(f"{self.path}/{name}", compression=None) as out:
+            out.write(raw)
 
 
 class Ranges:
@@ -81,10 +110,11 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, kind: str, sha: str, refers_to: int | None) -> bytes:
-    """A WARC/1.0 record. A revisit keeps the HTTP headers, with the payload's length, and no payload."""
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
-    block = http + (payload if kind == "response" else b"")
+def record(page_id: int | None, url: str | None, payload: bytes | None, size: int, sha: str, refers_to: int | None = None) -> bytes:
+    """A WARC/1.0 record: a response with its payload, or, without one, a revisit with the HTTP headers and the payload's size."""
+    kind = "revisit" if payload is None else "response"
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
+    block = http + (payload or b"")
     head = [
         "WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>", f"WARC-Date: {DATE}",
         f"WARC-Target-URI: {json.dumps(url or '', ensure_ascii=True)[1:-1]}", f"WARC-Payload-Digest: sha1:{sha}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}",
@@ -108,47 +138,75 @@ def page_of(urn: str | None) -> int | None:
     return int(number) if number else None
 
 
-def classified(spark: SparkSession, pages: DataFrame, least: int = 0, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Pages with their payload, its SHA-1, and the id of the response for those that revisit it.
+def compressed(raw: bytes) -> bytes:
+    return gzip.compress(raw, 4, mtime=0)
 
-    Only ids and digests are shuffled by digest, not payloads; a digest that a third of all pages share is
-    aggregated before the shuffle, and the join back can be split.
-    """
+
+def batch_of(columns: list[list], kinds: str) -> pa.RecordBatch:
+    """Columns as a batch of a schema in Spark's words."""
+    of = {"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary()}
+    fields = [x.split() for x in kinds.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, of[k]) for c, (_, k) in zip(columns, fields)], names=[n for n, _ in fields])
+
+
+def spooled(spark: SparkSession, pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """Write every page as a response record in ``folder``; where each lies, with its digest and size (SPOOLED). No shuffle."""
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
-    rows = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload"))
-    rows = rows.withColumn("sha", F.sha1("payload")).withColumn("size", F.octet_length("payload"))
-    first = keep(spark, rows.where(F.col("size") >= least).groupBy("sha", "size").agg(F.min("page_id").alias("response")), "responses")
-    return rows.join(first, ["sha", "size"], "left").withColumn("refers_to", F.when(F.col("response") != F.col("page_id"), F.col("response"))).withColumn("key", index_key(F.col("url"))).select("page_id", "url", "payload", "key", "refers_to")
+    rows = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).alias("url"), index_key(F.col(url_col)).alias("key"), payload.alias("payload"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files = Files(folder, "spool")
+        for batch in batches:
+            out: list[list] = [[] for _ in range(8)]
+            for page, url, key, raw in zip(*batch.columns):
+                page, url, raw = page.as_py(), url.as_py(), raw.as_py()
+                sha = digest(raw)
+                member = compressed(record(page, url, raw, len(raw), sha))
+                for column, value in zip(out, (page, url, key.as_py(), sha, len(raw), *files.add(member), len(member))):
+                    column.append(value)
+            yield batch_of(out, SPOOLED)
+        files.close()
+
+    return keep(spark, rows.mapInArrow(frugal(run), SPOOLED), "spooled")
 
 
-def write_archives(spark: SparkSession, rows: DataFrame, folder: str, roll: int = 1 << 26) -> DataFrame:
-    """Write classified pages as archives in ``folder``, rolled at ``roll`` bytes; one capture per row (columns of STORE)."""
+def write_archives(spark: SparkSession, pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
+    """Write pages as archives in ``folder``; one capture per row (columns of STORE). Only small rows are shuffled."""
+    place = fresh_path(spark, "spool")
+    rows = spooled(spark, pages, place)
+    first = keep(spark, rows.where(F.col("size") >= least).groupBy("sha", "size").agg(F.min("page_id").alias("response")), "responses")
+    rows = rows.join(first, ["sha", "size"], "left").withColumn("refers_to", F.when(F.col("response") != F.col("page_id"), F.col("response")))
+    rows = rows.select("file", "offset", "length", "key", "page_id", "sha", "refers_to", "size", F.when(F.col("refers_to").isNotNull(), F.col("url")).alias("url"))
+    rows = rows.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        source, files = Ranges(place), Files(folder, "warc.gz")
         for batch in batches:
-            captures: list[list] = [[] for _ in range(7)]
-            parts: list[bytes] = []
-            name, offset = f"{uuid.uuid4().hex}.warc.gz", 0
-            for page, url, payload, key, refers in zip(*(c.to_pylist() for c in batch.columns)):
-                kind, sha = "response" if refers is None else "revisit", digest(payload)
-                member = gzip.compress(record(page, url, payload, kind, sha, refers), 4, mtime=0)
-                for column, value in zip(captures, (name, offset, len(member), key, page, sha, kind)):
+            out: list[list] = [[] for _ in range(7)]
+            stays = batch.filter(batch.column(6).is_null())
+            at = 0
+            for name, offset, members in ranges(stays):
+                raw, place_in = source.read(name, offset, sum(members)), 0
+                for length in members:
+                    _, _, _, key, page, sha, *_ = (c[at].as_py() for c in stays.columns)
+                    for column, value in zip(out, (*files.add(raw[place_in : place_in + length]), length, key, page, sha, "response")):
+                        column.append(value)
+                    at, place_in = at + 1, place_in + length
+            for _, _, _, key, page, sha, refers, size, url in zip(*(c.to_pylist() for c in batch.filter(batch.column(6).is_valid()).columns)):
+                member = compressed(record(page, url, None, size, sha, refers))
+                for column, value in zip(out, (*files.add(member), len(member), key, page, sha, "revisit")):
                     column.append(value)
-                parts.append(member)
-                offset += len(member)
-                if offset > roll:
-                    put(folder, name, parts)
-                    parts, name, offset = [], f"{uuid.uuid4().hex}.warc.gz", 0
-            if parts:
-                put(folder, name, parts)
-            kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(captures, kinds)], names=["file", "offset", "length", "key", "page_id", "payload_digest", "record_type"])
+            yield batch_of(out, STORE)
+        files.close()
 
-    return keep(spark, rows.mapInArrow(run, STORE), "captures")
+    captures = keep(spark, rows.mapInArrow(frugal(run), STORE), "captures")
+    drop_path(spark, place)
+    return captures
 
 
-def write_index(spark: SparkSession, captures: DataFrame, folder: str) -> DataFrame:
-    """Sort captures into compressed blocks in ``folder``; the directory: key, file, offset, length, lines of each block.
+def write_index(spark: SparkSession, captures: DataFrame, folder: str) -> list[tuple[str, str, int]]:
+    """Sort captures into compressed blocks in ``folder``, a file a task, each with its directory; a row for each file in
+    their order: first key, name, blocks.
 
     Captures are dealt by ranges of key, page and place, so that many captures of one url don't meet in one task.
     """
@@ -156,16 +214,17 @@ def write_index(spark: SparkSession, captures: DataFrame, folder: str) -> DataFr
     ordered = ranged.sortWithinPartitions("key", "page_id", "file", "offset").select("key", F.to_json(F.struct("key", "page_id", "payload_digest", "record_type", "file", "offset", "length")).alias("line"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, offset, parts = f"{uuid.uuid4().hex}.cdx.gz", 0, []
-        rows: list[tuple] = []
+        files = Files(folder, "cdx.gz")
         keys, lines = [], []
+        entries: list[bytes] = []
+        first = None
 
         def close() -> None:
-            nonlocal offset
+            nonlocal first
             member = gzip.compress("\n".join(lines).encode(), 6, mtime=0)
-            rows.append((keys[0], name, offset, len(member), len(lines)))
-            parts.append(member)
-            offset += len(member)
+            name, at = files.add(member)
+            entries.append(json.dumps([keys[0], at, len(member)]).encode())
+            first = first or (keys[0], name)
             keys.clear()
             lines.clear()
 
@@ -177,77 +236,133 @@ def write_index(spark: SparkSession, captures: DataFrame, folder: str) -> DataFr
                     close()
         if lines:
             close()
-        if parts:
-            put(folder, name, parts)
-        kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["key", "file", "offset", "length", "lines"])
-
-    return keep(spark, ordered.mapInArrow(run, "key string, file string, offset bigint, length bigint, lines bigint"), "directory")
+        files.close()
+        if first:
+            starts = [0]
+            for e in entries:
+                starts.append(starts[-1] + len(e))
+            files.put(f"{first[1]}.dir", b"".join(entries))
+            files.put(f"{first[1]}.pos", struct.pack(f"<{len(starts)}q", *starts))
+            yield batch_of([[TaskContext.get().partitionId()], [first[0]], [first[1]], [len(entries)]], INDEX)
+
+    rows = keep(spark, ordered.mapInArrow(run, INDEX), "index").collect()  # one for each index file
+    return [(r["key"], r["name"], r["blocks"]) for r in sorted(rows, key=lambda r: r["part"])]
+
+
+INDEX = "part bigint, key string, name string, blocks bigint"
+
+
+class Index:
+    """Reads the index: bisection over its files, then over a file's directory by range reads."""
+
+    def __init__(self, folder: str, files: list[tuple[str, str, int]]):
+        self.files, self.held = files, {}
+        self.places, self.entries, self.blocks = Ranges(folder), Ranges(folder), Ranges(folder)
+
+    def entry(self, file: int, i: int) -> tuple[str, int, int]:
+        """First key, offset and length of a block, by its number in a file."""
+        if (file, i) not in self.held:
+            if len(self.held) >= ENTRIES:
+                self.held.clear()
+            name = self.files[file][1]
+            start, end = struct.unpack("<2q", self.places.read(f"{name}.pos", 8 * i, 16))
+            self.held[file, i] = tuple(json.loads(self.entries.read(f"{name}.dir", start, end - start)))
+        return self.held[file, i]
+
+    def places_of(self, key: str) -> Iterator[tuple[str, int, int]]:
+        """(file name, offset, length) of the blocks that may hold a key, in order."""
+        file = max(0, bisect_left(self.files, key, key=lambda f: f[0]) - 1)
+        # the last block that begins before the key, since the key may begin inside it
+        block = bisect_left(range(self.files[file][2]), key, key=lambda i: self.entry(file, i)[0]) - 1 if self.files else 0
+        block = max(0, block)
+        while file < len(self.files):
+            name, n = self.files[file][1:]
+            while block < n:
+                first, offset, length = self.entry(file, block)
+                if first > key:
+                    return
+                yield name, offset, length
+                block += 1
+            file, block = file + 1, 0
+
+    def block(self, name: str, offset: int, length: int) -> list[dict]:
+        return [json.loads(x) for x in gzip.decompress(self.blocks.read(name, offset, length)).decode().split("\n")]
 
 
 class Archive:
-    """An archive's folder, its captures' directory, and how to read it."""
+    """An archive's folder, its index files, its captures' keys, and how to read it."""
 
-    def __init__(self, spark: SparkSession, folder: str, directory: DataFrame):
-        self.spark, self.folder, self.directory = spark, folder, directory
+    def __init__(self, spark: SparkSession, folder: str, files: list[tuple[str, str, int]], keys: DataFrame):
+        self.spark, self.folder, self.files, self.keys = spark, folder, files, keys
 
-    def captures(self) -> DataFrame:
-        """All captures, read from the index's blocks."""
-        folder = self.folder
+    def find(self, keys: DataFrame) -> DataFrame:
+        """The captures (file, offset, length) of many keys (key, each once), by the index.
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            blocks = Ranges(folder)
-            for batch in batches:
-                for file, offset, length in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                    lines = [json.loads(x) for x in gzip.decompress(blocks.read(file, offset, length)).decode().split("\n")]
-                    yield pa.RecordBatch.from_arrays([pa.array([x["file"] for x in lines]), pa.array([x["offset"] for x in lines], pa.int64()), pa.array([x["length"] for x in lines], pa.int64())], names=["file", "offset", "length"])
+        Each key is looked up by bisection; the blocks that may hold it are then read, each by neighbouring tasks only. A
+        key with very many captures has many blocks, which are dealt over the tasks.
+        """
+        folder, files = self.folder, self.spark.sparkContext.broadcast(self.files)
+        found = "name string, at bigint, size bigint, key string"
 
-        return self.directory.select("file", "offset", "length").mapInArrow(run, "file string, offset bigint, length bigint")
+        def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index = Index(folder, files.value)
+            for batch in batches:
+                for first in range(0, batch.num_rows, 1000):
+                    rows = [(*place, key) for key in batch.column(0).slice(first, 1000).to_pylist() for place in index.places_of(key)]
+                    yield batch_of([list(c) for c in zip(*rows)] or [[]] * 4, found)
 
-    def records(self) -> DataFrame:
-        """Every record, read by the index: page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload.
+        def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index, last, lines, starts = Index(folder, files.value), None, [], []
+            for batch in batches:
+                out: list[list] = [[], [], []]
+                for *place, key in zip(*(c.to_pylist() for c in batch.columns)):
+                    if place != last:
+                        last, lines = place, index.block(*place)
+                        starts = [x["key"] for x in lines]
+                    at = bisect_left(starts, key)
+                    while at < len(lines) and starts[at] == key:
+                        for column, name in zip(out, ("file", "offset", "length")):
+                            column.append(lines[at][name])
+                        at += 1
+                yield batch_of(out, "file string, offset bigint, length bigint")
+
+        sought = keys.sort("key").mapInArrow(look, found)
+        return sought.repartitionByRange("name", "at", "key").sortWithinPartitions("name", "at", "key").mapInArrow(read, "file string, offset bigint, length bigint")
+
+    def records(self, keys: DataFrame | None = None) -> DataFrame:
+        """The records of the given keys (by default of all), by the index: page_id, url, payload_bytes, payload_digest,
+        record_type, refers_to, payload.
 
         Captures are sorted by file and place, so that neighbouring records are read in one range.
         """
         folder = self.folder
-        wanted = self.captures().repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+        wanted = self.find(self.keys if keys is None else keys).repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+        kinds = "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, payload binary"
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             archives = Ranges(folder)
             for batch in batches:
-                out: list[list] = [[] for _ in range(7)]
                 for file, offset, members in ranges(batch):
                     raw, at = archives.read(file, offset, sum(members)), 0
+                    out: list[list] = [[] for _ in range(7)]
                     for length in members:
                         for column, value in zip(out, row_of(raw[at : at + length])):
                             column.append(value)
                         at += length
-                kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"])
+                    yield batch_of(out, kinds)
 
-        return wanted.mapInArrow(run, "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, payload binary")
+        return wanted.mapInArrow(frugal(run), kinds)
 
     def lookup(self, key: str) -> list[dict]:
         """The captures of one key (see ``index_key``): bisection in the directory, one range read per block."""
-        rows = self.directory_rows()
-        keys, blocks = [r["key"] for r in rows], Ranges(self.folder)
-        found = []
-        for r in rows[max(0, bisect_left(keys, key) - 1) : bisect_right(keys, key)]:
-            lines = gzip.decompress(blocks.read(r["file"], r["offset"], r["length"])).decode().split("\n")
-            found += [x for x in map(json.loads, lines) if x["key"] == key]
-        return found
+        index = Index(self.folder, self.files)
+        return [x for place in index.places_of(key) for x in index.block(*place) if x["key"] == key]
 
     def read(self, capture: dict) -> dict:
         """The record of a capture, by one range read."""
         names = ("page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload")
         return dict(zip(names, row_of(Ranges(self.folder).read(capture["file"], capture["offset"], capture["length"]))))
 
-    def directory_rows(self) -> list:
-        """The sparse directory, a row for each LINES captures, sorted."""
-        if not hasattr(self, "_rows"):
-            self._rows = self.directory.orderBy("key", "file", "offset").collect()
-        return self._rows
-
 
 def ranges(batch: pa.RecordBatch) -> Iterator[tuple[str, int, list[int]]]:
     """Runs of neighbouring records: file, offset, lengths."""
@@ -276,8 +391,11 @@ def row_of(member: bytes) -> tuple:
 def archive(spark: SparkSession, pages: DataFrame, least: int = 0) -> Archive:
     """Write pages to a fresh archive with its index in the shared folder."""
     folder = fresh_path(spark, "warc")
-    captures = write_archives(spark, classified(spark, pages, least), folder)
-    return Archive(spark, folder, write_index(spark, captures, folder))
+    captures = write_archives(spark, pages, folder, least)
+    files = write_index(spark, captures, folder)
+    keys = keep(spark, captures.select("key").distinct(), "keys")
+    drop_kept(spark, captures)
+    return Archive(spark, folder, files, keys)
 
 
 def sql() -> str:

@@ -219,6 +219,21 @@ def test_url_rules_and_templates(spark):
     assert urlfilter.judge(spark, df.limit(0)).count() == 0
 
 
+def test_branches_below_a_wildcard_are_pooled(spark):
+    rules = [(v, "h.net", f"/u{i}/{d}/x") for i in range(60) for v, d in (("block", "spam"), ("allow", "ok"))]
+    paths = [f"/u{i}/{d}/x" for i in range(60) for d in ("spam", "ok")] + ["/w9/spam/x", "/w9/ok/x", "/" + "/".join("deep" * (i % 3 + 1) for i in range(40)), "/w9/spam/x"]
+    df = spark.createDataFrame([(i, f"http://h.net{p}") for i, p in enumerate(paths)], "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict, r.template) for r in urlfilter.judge(spark, df, rules).collect()}
+    assert got[120] == got[123] == (None, "block", "/*/spam/x") and got[121] == (None, "allow", "/*/ok/x") and got[122][:2] == (None, "allow")
+
+
+def test_a_blocked_directory_stays_apart_among_many(spark):
+    rules = [("block" if d == 7 else "allow", "h.net", f"/d{d}/1") for d in range(30)]  # 11 of 40 pages each
+    df = spark.createDataFrame([(100 * d + i, f"http://h.net/d{d}/{i}") for d in range(30) for i in range(40)], "page_id long, url string")
+    got = urlfilter.judge(spark, df, rules).where("rule is null").collect()
+    assert {r.page_id // 100 for r in got if r.verdict == "block"} == {7} and sum(r.verdict == "block" for r in got) >= 20
+
+
 def test_template_takes_its_labels_verdict(spark):
     rules = [("block", "h.net", f"/spam/{i}/x") for i in range(40)] + [("allow", "h.net", f"/news/{i}/x") for i in range(40)]
     rows = [(i, f"http://h.net/spam/{i}/x") for i in range(40)] + [(100 + i, f"http://h.net/news/{i}/x") for i in range(40)] + [(200, "http://h.net/spam/999/x"), (201, "http://h.net/news/999/x"), (202, "http://h.net/else")]
@@ -447,6 +462,29 @@ def test_warc_round_trip_and_lookup(spark):
     assert warc.archive(spark, every.limit(0)).records().count() == 0
 
 
+def test_warc_hot_key_repeated_rows_and_null_ids(spark, monkeypatch):
+    monkeypatch.setattr(warc, "LINES", 7)
+    rows = [(i, "http://hot.com/x", f"p{i % 11}") for i in range(300)] + [(i, f"http://hot.com/{'wxyz'[i % 4]}{i}", "q" * (i % 5)) for i in range(300, 420)]
+    rows += [(5, "http://hot.com/x", "p5"), (None, "http://n.com/", "p1"), (None, None, "own")]
+    kept = warc.archive(spark, spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4))
+    got = kept.records().collect()
+    payload_of = {i: p for i, _, p in rows}
+    first = {}
+    for i, _, p in rows:
+        if i is not None:
+            first[p] = min(first.get(p, i), i)
+    assert Counter(r.page_id for r in got) == Counter(i for i, *_ in rows)
+    for r in got:
+        if r.page_id is not None:
+            f = first[payload_of[r.page_id]]
+            assert (r.record_type, r.refers_to) == (("response", None) if f == r.page_id else ("revisit", f))
+        else:
+            assert r.record_type == "response"
+    assert len(kept.lookup("com,hot)/x")) == 301 and len(kept.files) >= 1
+    some = kept.records(spark.createDataFrame([("com,hot)/x",), ("none)/",), ("com,hot)/w300",)], "key string")).collect()
+    assert len(some) == 302
+
+
 # -- 9 ------------------------------------------------------------------------------------------------------------
 
 def brute_spans(text):
