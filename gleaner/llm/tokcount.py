@@ -2,12 +2,16 @@
 
 The tokenizer is compiled, as its states are met, into a deterministic transducer over characters:
 a state holds the suffix of the text that some piece may still continue, with the last token of every
-prefix inside it, and a transition carries the change in the number of tokens. A chunk of text (a word
-with the blanks before it) so becomes a map from the entry state, the number of blanks that wait before
-it, to the exit state and a count; the maps of a text compose associatively and are folded in a scan.
+prefix inside it, and a transition carries the change in the number of tokens. A chunk of text so becomes a map from
+its entry state to its exit state and a count, and the maps of neighbouring chunks compose associatively, level by level
+as in a parallel prefix scan. Where a chunk ends at a blank, all that its entry state can differ in is the number of
+blanks that wait before it, so these maps hold that number alone. Inside a word without blanks, however long, chunks hold
+maps over states: each is computed for the state that the characters just before it lead to, and for any other state
+that the composition then asks for.
 
 Edge cases: a null text is an empty one (0 bytes, 0 tokens); an empty table gives no rows; rows that
-repeat are counted each; other columns of the input are not carried.
+repeat are counted each; very long texts and words are counted whole, with a bounded number of compiled states; other
+columns of the input are not carried.
 """
 
 from __future__ import annotations
@@ -20,14 +24,45 @@ import sentencepiece
 from pyspark.sql import DataFrame
 
 from .bpe import NEVER, Memo
-from .common import text_bytes
+from .common import frugal, text_bytes
 
 BLANK = "▁"
-MEMO_WORDS, MEMO_STATES, LONGEST_KEPT = 400_000, 200_000, 200
+#: Most words, pairs of tokens and states that a worker remembers since it last forgot; characters of a word that is.
+MEMO_WORDS, MEMO_PAIRS, MEMO_STATES, LONGEST_KEPT = 250_000, 300_000, 100_000, 200
+#: Characters of a chunk inside a word, and of those before it that tell its likely entry state.
+CHUNK, BEFORE = 4096, 64
 #: Text characters whose chunk maps one fold composes before it is folded further.
 BLOCK = 1 << 16
 
 
+#: The state in which nothing is read and nothing is to be continued.
+FIRST = ("", ((None, 0, None),))
+
+
+class Map:
+    """The map of a chunk, from entry state to exit state and tokens: of characters, or composed of neighbours' maps."""
+
+    def __init__(self, machine: "Transducer", text: str = "", before: str = "", parts: list["Map"] | None = None):
+        self.machine, self.text, self.parts, self.known = machine, text, parts, {}
+        if parts is None:
+            self(machine.span(FIRST, before)[0])  # the likely entry
+        else:
+            for entry in list(parts[0].known):
+                self(entry)
+
+    def __call__(self, entry: tuple) -> tuple[tuple, int]:
+        if entry not in self.known:
+            if self.parts is None:
+                self.known[entry] = self.machine.span(entry, self.text)
+            else:
+                state, total = entry, 0
+                for part in self.parts:
+                    state, n = part(state)
+                    total += n
+                self.known[entry] = state, total
+        return self.known[entry]
+
+
 class Transducer:
     """The transducer of one piece model file, for models that put blanks only in front of words."""
 
@@ -51,7 +86,7 @@ class Transducer:
                     self.halves[p] = (a, b)
                     break
         self.starts = {p[:k] for p in self.born if self.stands(p) for k in range(1, len(p) + 1)}
-        self.pairs = Memo(lambda x: not self.meet(*x), 1_000_000)
+        self.pairs = Memo(lambda x: not self.meet(*x), MEMO_PAIRS)
         self.clear()
         self.words, self.blanks = Memo(self.word, MEMO_WORDS), Memo(self.run, 4096)
 
@@ -75,8 +110,16 @@ class Transducer:
 
     def clear(self) -> None:
         """Forget the compiled states but the first: nothing read, nothing to be continued."""
-        first = ("", ((None, 0, None),))
-        self.numbers, self.content, self.table = {first: 0}, [first], [{}]
+        self.numbers, self.content, self.table = {FIRST: 0}, [FIRST], [{}]
+
+    def number(self, content: tuple) -> int:
+        """The number of a state by what it holds."""
+        number = self.numbers.get(content)
+        if number is None:
+            number = self.numbers[content] = len(self.content)
+            self.content.append(content)
+            self.table.append({})
+        return number
 
     def step(self, state: int, char: str) -> tuple[int, int]:
         """Compile one transition: the next state and by how many tokens the text has grown.
@@ -99,24 +142,36 @@ class Transducer:
             borders = (*((t, n - grown, a) for t, n, a in borders), (token, 0, token == BLANK if alone is None else alone))
             cut = next((k for k in range(len(suffix)) if suffix[k:] in self.starts), len(suffix))
             after = (suffix[cut:], borders[cut:])
-        number = self.numbers.get(after)
-        if number is None:
-            number = self.numbers[after] = len(self.content)
-            self.content.append(after)
-            self.table.append({})
+        number = self.number(after)
         self.table[state][char] = number, grown
         return number, grown
 
+    def span(self, entry: tuple, text: str) -> tuple[tuple, int]:
+        """Exit state and tokens of characters that are read in an entry state; states by what they hold."""
+        state, total, table = self.number(entry), 0, self.table
+        for c in text:
+            got = table[state].get(c)
+            if got is None:
+                if len(self.content) > MEMO_STATES:  # forget the compiled states, but not where we are
+                    now = self.content[state]
+                    self.clear()
+                    state, table = self.number(now), self.table
+                got = self.step(state, c)
+            state, grown = got
+            total += grown
+        return self.content[state], total
+
     def word(self, word: str) -> tuple[int, bool]:
         """Tokens of a word with one blank before it, and whether that blank is part of a longer token."""
-        if len(self.content) > MEMO_STATES:
-            self.clear()
-        state = total = 0
-        for c in BLANK + word:
-            got = self.table[state].get(c)
-            state, grown = self.step(state, c) if got is None else got
-            total += grown
-        return total, not self.content[state][1][-1][2]
+        text = BLANK + word
+        if len(text) <= CHUNK:
+            exit_state, total = self.span(FIRST, text)
+        else:
+            maps = [Map(self, text[at : at + CHUNK], text[max(0, at - BEFORE) : at]) for at in range(0, len(text), CHUNK)]
+            while len(maps) > 1:
+                maps = [Map(self, parts=maps[i : i + 2]) for i in range(0, len(maps), 2)]
+            exit_state, total = maps[0](FIRST)
+        return total, not exit_state[1][-1][2]
 
     def run(self, n: int) -> int:
         """Tokens of n blanks that no word takes up: the leftmost pair that makes a piece merges first."""
@@ -198,4 +253,4 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 4096, id_col: str = "d
                 counts.append(machine.count(raw.decode("utf-8", "replace")))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64()), pa.array([n > limit for n in counts], pa.bool_())], names=[id_col, "n_bytes", "n_tokens", "over_limit"])
 
-    return source.mapInArrow(run, f"{id_col} {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")
+    return source.mapInArrow(frugal(run), f"{id_col} {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")

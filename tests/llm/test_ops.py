@@ -289,6 +289,22 @@ def test_token_counts_equal_the_library(spark, awkward, monkeypatch):
     assert tokcount.count_tokens(empty(spark), path).count() == 0
 
 
+def test_long_words_compose_by_maps_over_states(monkeypatch):
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789éß漢") for _ in range(n)) for n in (300, 5000, 40_000)] + ["the" * 9000, "a" * 30_000, "x" * 5000 + " y" * 200 + "international" * 3000]
+    monkeypatch.setattr(tokcount, "MEMO_STATES", 2000)
+    machine = tokcount.Transducer(path)
+    assert [machine.count(t) for t in texts] == [len(library.encode(t)) for t in texts]
+    assert len(machine.content) <= 2002
+    whole = machine.span(tokcount.FIRST, "".join(texts[1]))
+    left, right = tokcount.Map(machine, texts[1][:1234]), tokcount.Map(machine, texts[1][1234:], texts[1][1200:1234])
+    assert tokcount.Map(machine, parts=[left, right])(tokcount.FIRST) == whole
+
+
 # -- 7 ------------------------------------------------------------------------------------------------------------
 
 def brute_components(texts):
