@@ -12,6 +12,7 @@ from ..operators import classify as C
 from ..operators import extract as E
 from ..operators import relational as R
 from ..sources import landing as L
+from ..sources.config import Config
 
 #: The columns of a final row, in their order.
 FINAL = ("documentId", "Document URL", "Posted Date", "Last Modified Date", "attachment_url", "USTR Response Date", "Withdrawn", *E.FIELDS, "extraction_method", "pipeline_script", "status", "filled", "form_match_score", "Notes")
@@ -34,17 +35,38 @@ def harvest_report(scans: list[DataFrame], names: list[str], target: int = TARGE
     }
 
 
-def choose_forms(docs: DataFrame, attachments: DataFrame, pages: DataFrame) -> DataFrame:
-    """First docket: each document (documentId, ...) with its best form among its attachments (doc_id, attachments) by their text.
+def file_texts(pages: DataFrame, ocr: DataFrame | None = None, config: Config = Config()) -> DataFrame:
+    """doc_id, pos, first2 and full of landed files, each page closed by a line end.
 
-    pages: doc_id, att_no, page_no, text of the landed files. Reply letters and small files never reach the classifier.
+    pages: doc_id, att_no, page_no, text. ocr: doc_id, att_no, ocr_text of files that ``needs_ocr`` names; where the pages
+    give too little text, the recognised text takes its place, its first hundred lines that of the first two pages.
     """
-    files = R.large_enough(R.pdf_urls(R.attachments(attachments)))
+    # a file's pages are few
     ordered = F.array_sort(F.collect_list(F.struct("page_no", "text")))
     texts = pages.groupBy("doc_id", F.col("att_no").alias("pos")).agg(ordered.alias("p"))
-    joined = lambda p: F.array_join(F.transform(p, lambda x: F.coalesce(x["text"], F.lit(""))), "\n")
-    texts = texts.select("doc_id", "pos", joined(F.slice("p", 1, 2)).alias("first2"), joined(F.col("p")).alias("full"))
-    judged = C.detect(files.join(texts, ["doc_id", "pos"])).drop("first2", "full")
+    closed = lambda p: F.array_join(F.transform(p, lambda x: F.concat(F.coalesce(x["text"], F.lit("")), F.lit("\n"))), "")
+    texts = texts.select("doc_id", "pos", closed(F.slice("p", 1, 2)).alias("first2"), closed(F.col("p")).alias("full"))
+    if ocr is None:
+        return texts
+    texts = texts.join(ocr.select("doc_id", F.col("att_no").alias("pos"), "ocr_text"), ["doc_id", "pos"], "full")
+    short = F.length(X.strip(F.coalesce("full", F.lit("")))) < config.ocr_least_text
+    read = short & F.coalesce(F.col("ocr_text") != "", F.lit(False))
+    lines = F.array_join(F.slice(F.split("ocr_text", "\n", -1), 1, 100), "\n")
+    return texts.select("doc_id", "pos", F.when(read, lines).otherwise(F.col("first2")).alias("first2"), F.when(read, F.col("ocr_text")).otherwise(F.col("full")).alias("full"))
+
+
+def needs_ocr(pages: DataFrame, config: Config = Config()) -> DataFrame:
+    """(doc_id, att_no) of files whose pages give too little text; only these are worth recognising."""
+    return file_texts(pages).where(F.length(X.strip(F.col("full"))) < config.ocr_least_text).select("doc_id", F.col("pos").alias("att_no"))
+
+
+def choose_forms(docs: DataFrame, attachments: DataFrame, pages: DataFrame, ocr: DataFrame | None = None, config: Config = Config()) -> DataFrame:
+    """First docket: each document (documentId, ...) with its best form among its attachments (doc_id, attachments) by their text.
+
+    pages and ocr: as for ``file_texts``. Reply letters and small files never reach the classifier.
+    """
+    files = R.large_enough(R.pdf_urls(R.attachments(attachments)))
+    judged = C.detect(files.join(file_texts(pages, ocr, config), ["doc_id", "pos"])).drop("first2", "full")
     best = R.best_candidate(judged.where("is_form"), "doc_id", "score", "pos")
     picked = best.select(F.col("doc_id").alias("documentId"), F.col("url").alias("attachment_url"), F.col("title").alias("attachment_title"), "msg", "score")
     return docs.join(picked, "documentId", "left")
@@ -76,7 +98,7 @@ def fields_report(docs: DataFrame, widgets: DataFrame) -> dict[str, DataFrame]:
     return {"data": data, "summary": summary}
 
 
-def second_docket(ids: DataFrame, existing: DataFrame, info: DataFrame, files: DataFrame, widgets: DataFrame, dates: DataFrame, threshold: int = C.FORM_SCORE) -> DataFrame:
+def second_docket(ids: DataFrame, existing: DataFrame, info: DataFrame, files: DataFrame, widgets: DataFrame, dates: DataFrame, threshold: int = Config().form_score) -> DataFrame:
     """Second docket, incremental: new results for ids that aren't done, kept rows for those that are, by id.
 
     ids: documentId. info: documentId, Document URL, Posted Date, Last Modified Date, Withdrawn, comment. files: documentId, pos,

@@ -23,6 +23,10 @@ class Config:
     def key(name: str = "API_KEY") -> str | None:
         return os.environ.get(name)
 
+    def listing_options(self) -> dict[str, str]:
+        """Options of the ``listing`` data source."""
+        return {"pageSize": str(self.page_size), "delay": str(self.delay)}
+
     def save(self, path: str) -> None:
         with open(path, "w", encoding="utf-8") as f:
             json.dump(asdict(self), f, indent=2)

@@ -157,22 +157,21 @@ class Throttle:
         self.delay, self.tries, self.wait, self.sleep, self.last, self.error_wait = delay, tries, wait, sleep, 0.0, error_wait
 
     def call(self, fetch: Callable[[], tuple[int, dict | None]], absent: tuple[int, ...] = (404,)) -> dict | None:
-        """The answer's body; null for the ``absent`` statuses. Status 429 waits ``wait`` times the number of tries, other
-        errors ``error_wait`` times it; without an answer after all tries it raises ``Unanswered``."""
-        status: int | str = "no answer"
+        """The answer's body; null for the ``absent`` statuses, and where no try was answered. Status 429 waits ``wait``
+        times the number of tries, other errors ``error_wait`` times it."""
         for n in range(self.tries):
             self.sleep(max(0.0, self.last + self.delay - time.monotonic()))
             self.last = time.monotonic()
             try:
                 status, body = fetch()
-            except OSError as e:
-                status, body = repr(e), None
+            except OSError:
+                status, body = 0, None
             if status == 200:
                 return body
             if status in absent:
                 return None
             self.sleep((self.wait if status == 429 else self.error_wait) * (n + 1))
-        raise Unanswered(f"no answer after {self.tries} tries: {status}")
+        return None
 
 
 def acceptable_pdf(length: Column, content_type: Column, head: Column, least: int = 1000) -> Column:
@@ -181,7 +180,7 @@ def acceptable_pdf(length: Column, content_type: Column, head: Column, least: in
     return (length > least) & ((kind == "") | kind.contains("pdf")) & F.substring(head, 1, 4).eqNullSafe(F.lit(b"%PDF"))
 
 
-#: Pages that a listing without a total is taken to have at most; an empty or short page ends it before.
+#: Where a listing without a total ends at the latest, as one task; an empty or short page ends it before.
 MOST_PAGES = 1000
 
 
@@ -202,24 +201,33 @@ class ListingReader(DataSourceReader):
         self.size, self.pages, self.step = int(options.get("pagesize", 250)), int(options.get("maxpages", 0)), int(options.get("pagespertask", 20))
         self.delay, self.wait, self.fetch = float(options.get("delay", 1.0)), float(options.get("wait", 60.0)), fetch
 
-    def last_page(self, sort: str) -> int:
-        """The last page to read of a sort order."""
+    def last_page(self, sort: str) -> int | None:
+        """The last page to read of a sort order; null where only a short page will tell."""
         if self.pages:
             return self.pages
-        body = self.throttle().call(lambda: self.fetch(sort, 1, self.size)) or {}
-        total = (body.get("meta") or {}).get("totalElements")
-        return max(1, -(-int(total) // self.size)) if total is not None else MOST_PAGES
+        total = (self.page(self.throttle(), sort, 1).get("meta") or {}).get("totalElements")
+        return max(1, -(-int(total) // self.size)) if total is not None else None
+
+    def page(self, throttle: Throttle, sort: str, page: int) -> dict:
+        body = throttle.call(lambda: self.fetch(sort, page, self.size), ())
+        if body is None:
+            raise Unanswered(f"page {page} of sort order {sort}")
+        return body
 
     def throttle(self) -> Throttle:
         return Throttle(self.delay, wait=self.wait, error_wait=self.wait / 2)
 
     def partitions(self) -> list[InputPartition]:
-        return [ListingPartition(s, p, min(last, p + self.step - 1)) for s in self.sorts for last in (self.last_page(s),) for p in range(1, last + 1, self.step)]
+        parts: list[InputPartition] = []
+        for s in self.sorts:
+            last = self.last_page(s)
+            parts += [ListingPartition(s, 1, MOST_PAGES)] if last is None else [ListingPartition(s, p, min(last, p + self.step - 1)) for p in range(1, last + 1, self.step)]
+        return parts
 
     def read(self, partition: ListingPartition) -> Iterator[tuple]:
         throttle = self.throttle()
         for page in range(partition.first, partition.last + 1):
-            body = throttle.call(lambda: self.fetch(partition.sort, page, self.size)) or {}
+            body = self.page(throttle, partition.sort, page)
             rows = body.get("data") or []
             for i, d in enumerate(rows):
                 a = d.get("attributes") or {}

@@ -47,15 +47,18 @@ def write_files(df: DataFrame, folder: str, name_col: str = "file_name", content
     """Files under derived names, through the file system of the folder's URI, each renamed into place when complete."""
 
     def save(rows) -> None:
+        import uuid
+
         from pyarrow import fs
 
         store, path = fs.FileSystem.from_uri(folder)
         store.create_dir(path, recursive=True)
         for row in rows:
             if row[name_col] is not None:
-                with store.open_output_stream(f"{path}/.{row[name_col]}.part", compression=None) as out:
+                part = f"{path}/.{row[name_col]}.{uuid.uuid4().hex}.part"  # attempts that run at once don't share it
+                with store.open_output_stream(part, compression=None) as out:
                     out.write(bytes(row[content_col] or b""))
-                store.move(f"{path}/.{row[name_col]}.part", f"{path}/{row[name_col]}")
+                store.move(part, f"{path}/{row[name_col]}")
 
     df.select(name_col, content_col).foreachPartition(save)
 

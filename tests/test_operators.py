@@ -124,6 +124,25 @@ def test_listing_source_pages_until_a_short_one(spark):
     assert sorted(r.id for r in df.collect()) == sorted(f"{s}-{p}-{i}" for s in ("x", "-x") for p, i in ((1, 0), (1, 1), (2, 0), (2, 1), (3, 0)))
 
 
+def test_listing_is_complete_or_an_error():
+    def fetch(sort, page, size):
+        return (500, None) if page == bad else (200, {"data": [{"id": f"{page}-{i}"} for i in range(min(size, 5 - (page - 1) * size))], "meta": {"totalElements": 5}})
+
+    bad = 0
+    reader = L.ListingReader({"pagesize": 2, "delay": 0, "wait": 0, "pagespertask": 1}, fetch)
+    parts = reader.partitions()
+    assert [(p.first, p.last) for p in parts] == [(1, 1), (2, 2), (3, 3)] and [r[0] for p in parts for r in reader.read(p)] == ["1-0", "1-1", "2-0", "2-1", "3-0"]
+    bad = 2
+    with pytest.raises(L.Unanswered):
+        list(reader.read(parts[1]))
+
+
+def test_acceptable_pdfs(spark):
+    rows = [(2000, "application/pdf", b"%PDF-1.7"), (2000, None, b"%PDF"), (2000, "text/html", b"%PDF"), (900, "application/pdf", b"%PDF"), (2000, "", b"<html>"), (2000, "", None)]
+    df = spark.createDataFrame(rows, "n int, kind string, head binary")
+    assert [r.ok for r in df.select(L.acceptable_pdf(F.col("n"), F.col("kind"), F.col("head")).alias("ok")).collect()] == [True, True, False, False, False, False]
+
+
 def test_throttle_waits_longer_and_gives_up():
     waits, answers = [], iter([(429, None), (429, None), (200, {"a": 1})])
     assert L.Throttle(0, wait=60, sleep=waits.append).call(lambda: next(answers)) == {"a": 1}

@@ -42,6 +42,16 @@ def test_first_docket(spark):
     assert {r.metric: r.value for r in sheets["summary"].collect()}["no_url"] == 1
 
 
+def test_recognised_text_takes_the_place_of_too_little(spark):
+    pages = spark.createDataFrame([("A", 1, 1, "x"), ("A", 2, 1, FORM), ("A", 2, 2, None), ("A", 2, 3, "third")], L.PAGES)
+    assert [tuple(r) for r in P.needs_ocr(pages).collect()] == [("A", 1)]
+    ocr = spark.createDataFrame([("A", 1, "\n".join(f"line {i}" for i in range(150))), ("A", 2, "unused"), ("A", 3, "no pages")], "doc_id string, att_no int, ocr_text string")
+    got = {r.pos: (r.first2, r.full) for r in P.file_texts(pages, ocr).collect()}
+    assert got[1][0].split("\n")[-1] == "line 99" and got[1][1].endswith("line 149")
+    assert got[2] == (FORM + "\n\n", FORM + "\n\nthird\n") and got[3] == ("no pages", "no pages")
+    assert {r.pos: r.full for r in P.file_texts(pages, ocr, Config(ocr_least_text=1)).collect()}[1] == "x\n"
+
+
 def test_second_docket_is_incremental(spark):
     ids = spark.createDataFrame([(x,) for x in "ABCDEF"], "documentId string")
     info = spark.createDataFrame([("A", "d/A", "p", "m", 0, None), ("B", "d/B", "p", "m", 1, None), ("C", "d/C", "p", "m", 0, "too large to attach"), ("D", "d/D", "p", "m", 0, ""), ("E", "d/E", "p", "m", 0, "")], "documentId string, `Document URL` string, `Posted Date` string, `Last Modified Date` string, Withdrawn int, comment string")
