@@ -55,8 +55,11 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
             first = (lead & 0x0F) << 12 | (tail & 0x3F) << 6
             if first >= 0x800 and any(chr(cp).isalpha() for cp in range(first, first + 64)):
                 script[lead << 8 | tail] = of(first)
-    for lead in range(0xF0, 0xF5):
-        script[lead << 8 : (lead + 1) << 8] = 1 + NAMES.index("Other")
+    for lead in range(0xF0, 0xF5):  # 4,096 characters each: emoji and other signs have no letters among them
+        for tail in range(0x80, 0xC0):
+            first = (lead & 0x07) << 18 | (tail & 0x3F) << 12
+            if 0x10000 <= first < 0x110000 and any(chr(cp).isalpha() for cp in range(first, first + 4096)):
+                script[lead << 8 | tail] = 1 + NAMES.index("Other")
     white = np.zeros(256, bool)
     white[list(b" \t\n\x0b\x0c\r")] = True
     return script, white

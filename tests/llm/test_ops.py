@@ -81,11 +81,11 @@ def test_mixed_language_spans_and_odd_texts(spark, rows, awkward):
     model = langid.learn(spark.createDataFrame([(t, lang) for lang, t in by.items()], "text string, lang string"))
     parts = [by[x].replace("\n", " ")[500:900].rsplit(" ", 1)[0] for x in ("en", "fr", "de")]
     text = " ".join(parts)
-    df = spark.createDataFrame([(1, text, "q"), (2, None, "q"), (3, "123 !!", "q"), (4, "", "q"), (5, "漢", "q")], "doc_id long, text string, lang_pred string")
+    df = spark.createDataFrame([(1, text, "q"), (2, None, "q"), (3, "123 !!", "q"), (4, "", "q"), (5, "漢", "q"), (6, "😀 12 👍🏽!", "q")], "doc_id long, text string, lang_pred string")
     got = {r.doc_id: r for r in langid.label(df, model).collect()}
     assert [s["lang"] for s in got[1].spans] == ["en", "fr", "de"]
     assert abs(got[1].spans[1]["start"] - len(parts[0])) < 40 and got[1].spans[-1]["end"] == len(text)
-    assert [(got[i].lang_pred, got[i].score) for i in (2, 3, 4)] == [("und", 0.0)] * 3 and got[5].lang_pred in by
+    assert [(got[i].lang_pred, got[i].score) for i in (2, 3, 4, 6)] == [("und", 0.0)] * 4 and got[5].lang_pred in by
     assert langid.identify(spark, awkward[0]).count() == len(awkward[1]) and langid.identify(spark, empty(spark)).count() == 0
 
 
