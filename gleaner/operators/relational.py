@@ -252,10 +252,9 @@ def value_counts(df: DataFrame, column: str, name: str = "n") -> DataFrame:
 def breakdown(df: DataFrame, column: str) -> DataFrame:
     """Counts of values that aren't null, with their percentage of all rows to one place, half to even."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    # the total is one row, so that values, however many, never meet in one task
-    every = counts.agg(F.sum("n").alias("_every"))
-    shares = counts.join(F.broadcast(every)).select(column, "n", F.bround(F.col("n") / F.col("_every") * 100, 1).alias("percentage"))
-    return shares.where(F.col(column).isNotNull())
+    # the total is a scalar subquery, so that values, however many, never meet in one task
+    every = counts.agg(F.sum("n")).scalar()
+    return counts.select(column, "n", F.bround(F.col("n") / every * 100, 1).alias("percentage")).where(F.col(column).isNotNull())
 
 
 def metrics(df: DataFrame, **columns: Column) -> DataFrame:
