@@ -84,6 +84,12 @@ class ByteBpe:
         self.pieces = Memo(lambda p: self.written(self.piece(p)), MEMO_WORDS // 2)
         self.words = Memo(lambda w: self.made(" " + w), MEMO_WORDS)
 
+    def forget(self) -> None:
+        """Give up what is remembered of words, pieces and pairs."""
+        for memo in (self.words, self.pieces, self.pairs):
+            memo.clear()
+            memo.old = {}
+
     def meet(self, left: int, right: int, before: int = NEVER) -> bool:
         """Whether a merge across the border of two neighbours comes before rank ``before``.
 
@@ -188,10 +194,11 @@ KINDS = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32()), "decoded": pa.stri
 SQL_KINDS = {"n_tokens": "bigint", "ids": "array<int>", "decoded": "string", "ids_sha256": "string", "decoded_sha256": "string"}
 
 
-def encode_decode(docs: DataFrame, path: str, outputs=("n_tokens", "ids", "decoded"), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_decode(docs: DataFrame, path: str, outputs=("n_tokens", "ids", "decoded"), id_col: str = "doc_id", text_col: str = "text", remember: bool = True) -> DataFrame:
     """Encode every whole text by the vocabulary file at ``path`` (a place on every executor), and decode it again.
 
-    ``outputs``: any of n_tokens, ids, decoded, ids_sha256, decoded_sha256. One narrow pass, no shuffle.
+    ``outputs``: any of n_tokens, ids, decoded, ids_sha256, decoded_sha256. ``remember``: whether workers keep what they
+    have learned of words for their next task, or leave the memory to other stages. One narrow pass, no shuffle.
     """
     source = docs.select(id_col, text_bytes(text_col))
     kind = dict(source.dtypes)[id_col]
@@ -214,5 +221,7 @@ def encode_decode(docs: DataFrame, path: str, outputs=("n_tokens", "ids", "decod
                     else:
                         into.append(hashlib.sha256(back.decode("utf-8", "replace").encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(v, KINDS[o]) for o, v in made.items())], names=[id_col, *outputs])
+        if not remember:
+            bpe.forget()
 
     return source.mapInArrow(frugal(run), f"{id_col} {kind}, " + ", ".join(f"{o} {SQL_KINDS[o]}" for o in outputs))

@@ -68,6 +68,14 @@ def test_bad_host_is_held_to_strict_rules(spark):
     assert all(r.kept for i, r in got.items() if i >= 1000)  # elsewhere one odd document is no host's fault
 
 
+def test_prior_weighs_hosts_by_documents():
+    even = quality.prior(3, 300.0, 30_000.0, 30, 3 * 10 * 10 / 100)  # three hosts of 100 documents, 10 failures each
+    assert even[0] == pytest.approx(0.1) and even[1] == quality.WEIGHTS[1] and 0.1 < even[2] < 0.12
+    # a host of one document that fails hardly moves the prior of large ones
+    one = quality.prior(4, 301.0, 30_001.0, 31, 3 * 10 * 10 / 100 + 1)
+    assert one[2] < 0.25 and quality.prior(0, 0.0, 0.0, 0, 0.0) == (0.0, quality.WEIGHTS[1], quality.MOST)
+
+
 # -- 2 ------------------------------------------------------------------------------------------------------------
 
 def test_language_held_out_accuracy(spark):
@@ -676,3 +684,33 @@ def test_pipeline_stages_do_what_their_operators_say(spark):
     for _, stage in P.STAGES:
         gone = stage(spark, gone, SF)
     assert gone.count() == 0
+
+
+# -- pipeline -----------------------------------------------------------------------------------------------------
+
+def test_pipeline_on_awkward_rows(spark, rows):
+    import corpus_pipeline
+    from gleaner.llm.common import keep
+
+    rng = random.Random(12)
+    prose = lambda n: " ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) + str(rng.randrange(10**6)) for _ in range(n))
+    one, two, three, long = prose(80), prose(90), prose(100), prose(30_000)
+    item = max((r.text for r in table(spark, SF, "benchmark").collect() if r.text), key=len)
+    secret = "token = 24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
+    own = [(1, one), (1, one), (2, one + " more"), (3, two), (3, three), (None, prose(70)), (None, two), (4, long), (5, f"{prose(60)} {item} {prose(60)}"), (6, f"{prose(60)} {secret}"), (7, None), (8, ""), (9, "too short")]
+    docs = spark.createDataFrame([(i, t, "en", None if n % 3 else "h", len(t or "")) for n, (i, t) in enumerate(own)], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    left = {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = keep(spark, stage(spark, docs, SF), name)
+        left[name] = Counter(r.doc_id for r in docs.collect())
+    assert left["quality_rules"] == Counter([1, 1, 2, 3, 3, None, None, 4, 5, 6])
+    assert left["near_duplicates"] == Counter([1, 3, 3, None, 4, 5, 6])
+    assert left["decontamination"] == left["secret_scan"] == left["encoding"] == Counter([1, 3, 3, None, 4, 6])
+    got = {r.doc_id: r for r in docs.collect()}
+    v = bpe.vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    assert "[assign]" in v.decode(got[6].ids) and "24be64" not in v.decode(got[6].ids)
+    assert v.decode(got[4].ids) == long and got[4].n_tokens == len(got[4].ids)
+    nothing = spark.createDataFrame([], docs_schema := "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in corpus_pipeline.STAGES:
+        nothing = keep(spark, stage(spark, nothing, SF), name)
+    assert nothing.count() == 0 and docs_schema
