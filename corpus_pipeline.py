@@ -52,7 +52,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of the texts, with digests of the ids and of what they decode to."""
     small_batches(spark)
-    return bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.json"), ("n_tokens", "ids", "ids_sha256", "decoded_sha256"))
+    return bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.json"), ("n_tokens", "ids", "ids_sha256", "decoded_sha256"), remember=False)
 
 
 STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("secret_scan", secret_scan), ("encoding", encoding)]
