@@ -16,9 +16,15 @@ DATE = r"(?U)(January|February|March|April|May|June|July|August|September|Octobe
 
 def codes(text: Column) -> Column:
     """Sorted distinct codes of 8 or 10 digits in a text, but the examples."""
-    hits = F.concat(*[F.coalesce(F.regexp_extract_all(text, F.lit(p), g), F.array().cast("array<string>")) for p, g in CODE_PATTERNS])
-    plain = F.transform(hits, lambda h: F.regexp_replace(h, r"(?U)[.\s]", ""))
-    return F.array_sort(F.array_distinct(F.filter(plain, lambda h: h.rlike(r"^\d+$") & F.length(h).isin(8, 10) & ~h.isin(*DUMMIES))))
+    none = F.array().cast("array<string>")
+
+    def listed(t: Column) -> Column:
+        hits = F.concat(*[F.coalesce(F.regexp_extract_all(t, F.lit(p), g), none) for p, g in CODE_PATTERNS])
+        plain = F.transform(hits, lambda h: F.regexp_replace(h, r"(?U)[.\s]", ""))
+        return F.array_sort(F.array_distinct(F.filter(plain, lambda h: h.rlike(r"^\d+$") & F.length(h).isin(8, 10) & ~h.isin(*DUMMIES))))
+
+    # every way to write a code begins with four digits: most texts need one scan
+    return let(text, lambda t: F.when(t.rlike(r"(?U)\d{4}"), listed(t)).otherwise(none))
 
 
 def padded_code(value: Column) -> Column:

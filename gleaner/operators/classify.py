@@ -22,7 +22,6 @@ LETTERHEAD = (((" LLC",), r"(?U)[A-Z\s] LLC"), ((" GROUP",), r"(?U)[A-Z\s] GROUP
 ABOUT = ("exclusion request is being submitted", "this exclusion request is for", "exclusion would undermine", "respectfully request that you exclude", "we request that you exclude", "section 301 exclusion request")
 VERBS, MORE_VERBS = "Indicate|Provide|List|Identify", "Specify|Enter|Submit"
 QUESTIONS = (rf"(?imdU)^\s*(\d+)\.\s*(?:{VERBS}|{MORE_VERBS})", rf"(?iU)\n\s*(\d+)\.\s*(?:{VERBS}|{MORE_VERBS})", rf"(?iU)(\d+)\.(?:{VERBS})", rf"(?imdU)^\s*(\d+)\s+(?:{VERBS}|Specify)")
-ARGUMENTS = r"(?imdU)^\s*\d+\.\s*(?:The|Given|If|When|While|Although|Because)"
 MARKERS = ("indicate whether", "provide any", "indicate the", "provide the", "complete and correct", "best of your knowledge", "product exclusion request", "section 301")
 GOVERNMENT = ((("form", "request"), r"(?U)form\s+to\s+request"), (("representative",), r"(?U)u\.?s\.?\s+trade\s+representative"), (("office", "trade", "representative"), r"(?d)office.*trade.*representative"), (("china", "acts", "section", "301"), r"(?d)china.*acts.*section.*301"), (("htsus", "subheading"), r"(?d)htsus.*subheading"), (("product", "exclusion", "301"), r"(?d)product.*exclusion.*301"), (("business", "confidential", "information"), r"(?d)business.*confidential.*information"))
 FILLED_WORDS = (("PublicDocument", "Public Document"), ("ContainsBCI", "Contains BCI"), ("U.S.Producer", "U.S. Producer"), ("Pleaseseeattachedsubmission", "Please see attached submission"))
@@ -68,7 +67,8 @@ def detect(docs: DataFrame, first_col: str = "first2", full_col: str = "full") -
     held = X.fenced(held, {"_a": F.concat("_first", "_cf"), "_b": F.concat("_first", "_cl"), "_c": F.concat("_full", "_cl")})
     held = X.fenced(held, {"_la": F.lower("_a"), "_lall": F.lower(F.concat("_a", "_cl")), "_lfull": F.lower("_full"), "_lclean": F.lower("_cl"), "_codes": K.codes(F.concat_ws(" ", "_full", "_cl"))})
     a, b, c, la, lall = (F.col(x) for x in ("_a", "_b", "_c", "_la", "_lall"))
-    numbers = F.array_distinct(F.concat(*[F.regexp_extract_all(b, F.lit(q), 1) for q in QUESTIONS]))
+    asked = X.has_any(F.lower(b), [v.lower() for v in f"{VERBS}|{MORE_VERBS}".split("|")])  # without a verb there is no question
+    numbers = F.when(asked, F.array_distinct(F.concat(*[F.regexp_extract_all(b, F.lit(q), 1) for q in QUESTIONS])))
     pairs = (("section", "301"), ("requestor", "organization"), ("public", "bci"), ("version", "continued"))
     markers = [la.contains(m) for m in MARKERS] + [lall.contains(x) & lall.contains(y) for x, y in pairs]
     markers += [lall.contains("exclusion") & X.has_any(lall, ("form", "request")), guarded(lall, ("indicate",), r"(?dU)\b1\b.*\bindicate\b"), guarded(lall, ("provide",), r"(?dU)\b2\b.*\bprovide\b")]
@@ -78,25 +78,23 @@ def detect(docs: DataFrame, first_col: str = "first2", full_col: str = "full") -
     held = X.fenced(held, {
         "_narrative": X.total([la.contains(p) for p in NARRATIVE]),
         "_head": X.total([guarded(a, w, p) for w, p in LETTERHEAD]),
-        "_questions": F.size(F.array_intersect(numbers, F.array(*[F.lit(str(n)) for n in range(1, 13)]))),
-        "_arguments": F.regexp_count(b, F.lit(ARGUMENTS)),
+        "_questions": F.size(F.array_intersect(F.coalesce(numbers, F.array().cast("array<string>")), F.array(*[F.lit(str(n)) for n in range(1, 13)]))),
         "_markers": X.total(markers),
         "_government": X.total(government),
         "_filled": X.total(filled),
         "_elements": X.total([everywhere(w) for w in ELEMENTS]),
         "_name": c.rlike(r"(?U)[A-Z][a-z]+,\s*[A-Z][a-z]+"),
-        "_company": c.rlike(r"(?U)[A-Za-z\s] (LLC|Inc|Corp|Ltd)"),
+        "_company": X.has_any(c, (" LLC", " Inc", " Corp", " Ltd")) & c.rlike(r"(?U)[A-Za-z\s] (LLC|Inc|Corp|Ltd)"),
     })
     f, n, size = F.col("_elements"), F.size("_codes"), F.length("_full")
-    structure = (F.col("_questions") >= 3) & ~((F.col("_arguments") >= 2) & (F.col("_questions") < 3))
-    is_form = structure | (F.col("_markers") >= 3) | (F.col("_government") >= 2) | (F.col("_filled") >= 4)
+    is_form = (F.col("_questions") >= 3) | (F.col("_markers") >= 3) | (F.col("_government") >= 2) | (F.col("_filled") >= 4)
     told = lambda ok, msg, score: F.struct(F.lit(ok).alias("is_form"), msg.alias("msg"), score.cast("int").alias("score"))
     no = lambda msg, score: told(False, F.lit(msg) if isinstance(msg, str) else msg, F.lit(score))
     letter = ((F.col("_narrative") >= 2) & (size > 3000) & (F.regexp_count("_full", F.lit(r"\n\n")) > 5)) | ((F.col("_narrative") >= 3) & (size > 2000))
     first_code = F.get("_codes", F.lit(0))
     result = (
         F.when(F.length(X.strip(F.col("_full"))) < 50, no("Text extraction failed", 0))
-        .when(a.rlike(DEAR), no("EXCLUDED: Dear letter format", -100))
+        .when(a.contains("Dear") & a.rlike(DEAR), no("EXCLUDED: Dear letter format", -100))
         .when(letter, no(F.format_string("EXCLUDED: Narrative business letter (indicators:%d)", "_narrative"), -100))
         .when(F.col("_head") >= 4, no(F.format_string("EXCLUDED: Business letterhead (indicators:%d)", "_head"), -100))
         .when((F.length(a) > 1000) & X.has_any(la, ABOUT), no("EXCLUDED: Document about exclusion, not the form itself", -100))

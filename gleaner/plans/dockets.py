@@ -571,3 +571,48 @@ def document_details(spark, sf_dir):
     """Details of documents from captured answers that hold any."""
     answers = table(spark, sf_dir, "orders").select(F.from_json(F.expr(BODY), L.DETAIL)["data"].alias("data"))
     return L.details(answers).where("documentId is not null").select("documentId", "Withdrawn", F.coalesce("comment", F.lit("")).alias("comment"))
+
+
+# -- captured pages ---------------------------------------------------------------------------------------------------------
+
+@query("SELECT CAST(o_orderkey AS STRING) AS \"documentId\", o_orderpriority AS title, 'https://www.regulations.gov/document/' || CAST(o_orderkey AS STRING) AS document_url, CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS \"Withdrawn\", CAST(o_custkey % 40 AS INT) AS page_number FROM orders")
+def flattened_listing(spark, sf_dir):
+    """Documents of captured listing pages."""
+    one = F.struct(F.col("o_orderkey").cast("string").alias("id"), F.struct(F.col("o_orderpriority").alias("title"), F.lit("p").alias("postedDate"), F.lit("m").alias("lastModifiedDate"), F.lit("t").alias("documentType"), F.when(F.col("o_orderkey") % 3 == 0, True).alias("withdrawn")).alias("attributes"))
+    pages = table(spark, sf_dir, "orders").select(F.array(one).alias("data"), F.lit("s").alias("sort_strategy"), (F.col("o_custkey") % 40).cast("int").alias("page_number"))
+    return L.flattened(pages).select("documentId", "title", "document_url", "Withdrawn", "page_number")
+
+
+@query("SELECT conv_id AS doc_id, string_agg(coalesce(text, ''), chr(10) ORDER BY turn) AS text FROM conversations WHERE turn <= 3 GROUP BY conv_id")
+def page_texts(spark, sf_dir):
+    """Text of the first pages of files (conversations as files, turns as pages)."""
+    pages = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), F.lit(1).alias("att_no"), F.col("turn").alias("page_no"), "text")
+    return L.first_pages(pages, 3).select("doc_id", "text")
+
+
+@query("SELECT p_partkey, trim(p_name) || chr(10) || trim(p_type) || chr(10) || trim(p_brand) AS text FROM part")
+def layout_lines(spark, sf_dir):
+    """Layout blocks as text, in reading order."""
+    spans = lambda *cs: F.array(F.struct(F.array(*[F.struct(c.alias("text")) for c in cs]).alias("spans")))
+    blocks = F.array(F.struct(spans(F.concat(F.lit("  "), "p_name"), F.lit("   ")).alias("lines")), F.struct(spans(F.col("p_type"), F.lit("")).alias("lines")), F.struct(spans(F.col("p_brand")).alias("lines")))
+    return table(spark, sf_dir, "part").select("p_partkey", L.layout_text(blocks).alias("text"))
+
+
+PIXEL = "CASE WHEN (i * p_partkey) % 97 < p_size % 5 THEN 10 + i % 7 ELSE 250 END"
+IMAGE_SQL = f"SELECT p_partkey, list_transform(range(1, 401), lambda i: {PIXEL}) AS v FROM part"
+
+
+@query(f"""SELECT p_partkey, len(list_filter(v, lambda x: x < 230)) / 400.0 < 0.001 OR list_sum(list_transform(v, lambda x: (x - m) * (x - m))) / 400.0 < 30 AS blank
+  FROM (SELECT *, list_sum(v) / 400.0 AS m FROM ({IMAGE_SQL}))""")
+def blank_images(spark, sf_dir):
+    """Images that are mostly blank."""
+    images = table(spark, sf_dir, "part").select("p_partkey", F.expr(f"transform(sequence(1, 400), i -> {PIXEL})").alias("v"))
+    return images.select("p_partkey", L.mostly_blank(F.col("v")).alias("blank"))
+
+
+@query(f"""SELECT p_partkey, list_transform(w, lambda x: CAST(floor(greatest(0.0, least(255.0, m + (x - m) * 2.5))) AS INT)) AS v
+  FROM (SELECT p_partkey, w, floor(list_sum(w) / 400.0 + 0.5) AS m FROM (SELECT p_partkey, list_transform(v, lambda x: CASE WHEN h > l THEN floor((x - l) * 255.0 / (h - l)) ELSE CAST(x AS DOUBLE) END) AS w FROM (SELECT *, list_min(v) AS l, list_max(v) AS h FROM ({IMAGE_SQL}))))""")
+def enhanced_images(spark, sf_dir):
+    """Images with their gray values stretched, before recognition."""
+    images = table(spark, sf_dir, "part").select("p_partkey", F.expr(f"transform(sequence(1, 400), i -> {PIXEL})").alias("v"))
+    return images.select("p_partkey", L.enhanced(F.col("v")).alias("v"))

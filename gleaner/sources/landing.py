@@ -126,16 +126,22 @@ def mostly_blank(pixels, least_dark: float = 0.001, least_variance: float = 30.0
     n = F.size(pixels)
     dark = F.size(F.filter(pixels, lambda p: p < 230)) / n
     mean = F.aggregate(pixels, F.lit(0.0), lambda a, p: a + p) / n
-    variance = F.aggregate(pixels, F.lit(0.0), lambda a, p: a + (p - mean) * (p - mean)) / n
+    variance = X.let(mean, lambda m: F.aggregate(pixels, F.lit(0.0), lambda a, p: a + (p - m) * (p - m))) / n
     return (dark < least_dark) | (variance < least_variance)
 
 
 def enhanced(pixels, contrast: float = 2.5):
     """Gray values stretched to 0..255 and then away from their mean."""
-    low, high = F.array_min(pixels), F.array_max(pixels)
-    wide = F.transform(pixels, lambda p: F.when(high > low, F.floor((p - low) * 255.0 / (high - low))).otherwise(p).cast("double"))
-    mean = F.floor(F.aggregate(wide, F.lit(0.0), lambda a, p: a + p) / F.size(wide) + 0.5)
-    return F.transform(wide, lambda p: F.floor(F.greatest(F.lit(0.0), F.least(F.lit(255.0), mean + (p - mean) * contrast))).cast("int"))
+    def stretched(ends):
+        low, high = ends["low"], ends["high"]
+        return F.transform(pixels, lambda p: F.when(high > low, F.floor((p - low) * 255.0 / (high - low))).otherwise(p).cast("double"))
+
+    def contrasted(wide):
+        mean = F.floor(F.aggregate(wide, F.lit(0.0), lambda a, p: a + p) / F.size(wide) + 0.5)
+        return X.let(mean, lambda m: F.transform(wide, lambda p: F.floor(F.greatest(F.lit(0.0), F.least(F.lit(255.0), m + (p - m) * contrast))).cast("int")))
+
+    ends = F.struct(F.array_min(pixels).alias("low"), F.array_max(pixels).alias("high"))
+    return X.let(X.let(ends, stretched), contrasted)
 
 
 def cards(pages: DataFrame, html_col: str = "html") -> DataFrame:
