@@ -7,14 +7,11 @@ are put last and most postings of shared passages are skipped. Each posting list
 member to the others; collisions are counted on whole signatures, pairs below MATCHES are dropped, and each
 member's best one is confirmed on the full sets.
 
-What is left apart goes to a second round with a finer posting: the sets of such groups are posted under their
-seldomest shingles, so many that two linked sets must share one (a quarter of the larger set, a seventh of the
-smaller). Sets that share none with another component are done: a widespread passage alone keeps nobody, since its
-shingles are frequent and come last. The rest is compared group by group in blocks, in which pairs inside one
-component are skipped; blocks are bounded by sets and by shingles. A group of two is confirmed by its pair.
+What is left apart is compared in a second round, group by group in blocks, in which pairs inside one component are
+skipped; blocks are bounded by sets and by shingles. A group of two is confirmed by its pair.
 
-The orders use frequency sketches of fixed size. Any common order gives the same guarantee; a sketch only decides how
-long the lists get.
+The order uses a frequency sketch of fixed size. Any common order gives the same candidates' guarantee; the sketch only
+decides how long the lists get.
 
 A pair of similarity 0.75 agrees in fewer than MATCHES = 34 of 64 coordinates with probability 4.4e-5 (binomial), once
 in about 23,000 times. Every set is posted under its whole prefix, so a pair that agrees in MATCHES or more always shares
@@ -124,31 +121,19 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return source.mapInArrow(frugal(run), "doc_id bigint, n_shingles bigint, set_key binary, sig binary")
 
 
-def pair_names(signatures: pa.Array) -> np.ndarray:
-    return tokens(matrix(signatures))
-
-
-def shingle_names(sets: pa.Array) -> np.ndarray:
-    return np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(x.as_py(), np.uint64) * _STEP for x in sets)])
-
-
-def frequency_sketch(sets: DataFrame, column: str = "sig", names=pair_names, each: int | None = None) -> dict[int, int]:
-    """Bucket and rough binary log of the count, for the buckets of what is held often. At most SKETCH entries.
-
-    ``names`` gives the 64-bit names of what values of the column hold; each: how many there are (by default COORDINATES
-    for each row).
-    """
+def frequency_sketch(sets: DataFrame) -> dict[int, int]:
+    """Bucket and rough binary log of the count, for the buckets of pairs that are held often. At most SKETCH entries."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SKETCH, np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
-                total += np.bincount(buckets(names(batch.column(0).slice(at, 500))).ravel(), minlength=SKETCH)
+                total += np.bincount(buckets(tokens(matrix(batch.column(0).slice(at, 500)))).ravel(), minlength=SKETCH)
         at = np.flatnonzero(total >= max(2, NOISE * total.sum() // SKETCH))  # what is often everywhere is so in most tasks
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["bucket", "n"])
 
-    least = max(OFTEN, NOISE * (COORDINATES * sets.count() if each is None else each) // SKETCH)
-    counted = sets.select(column).mapInArrow(frugal(run), "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    least = max(OFTEN, NOISE * COORDINATES * sets.count() // SKETCH)
+    counted = sets.select("sig").mapInArrow(frugal(run), "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     return {r["bucket"]: int(np.log2(r["n"])) for r in counted.toLocalIterator()}
 
 
@@ -198,15 +183,21 @@ def matched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, held: DataFrame) -> DataFrame:
-    """Pairs (a, b) that are linked on their full sets. held: (rep, shingles), of any superset of the pairs' members."""
-    both = pairs.select("a", "b").join(held.select(F.col("rep").alias("b"), F.col("shingles").alias("set_b")), "b").join(held.select(F.col("rep").alias("a"), F.col("shingles").alias("set_a")), "a")
+    """Pairs (a, b) that are linked on their full sets. held: (rep, text), of any superset of the pairs' members."""
+    both = pairs.select("a", "b").join(held.select(F.col("rep").alias("b"), F.col("text").alias("text_b")), "b").join(held.select(F.col("rep").alias("a"), F.col("text").alias("text_a")), "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, own = None, None
         for batch in batches:
-            good = pa.array([linked(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)) for x, y in zip(batch.column(2), batch.column(3))], pa.bool_())
+            good = []
+            for a, ta, tb in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3)):
+                if a != last or own is None:
+                    last, own = a, shingle_set(ta.as_py())
+                good.append(linked(own, shingle_set(tb.as_py())))
+            good = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(good), batch.column(1).filter(good)], names=["a", "b"])
 
-    return both.select("a", "b", "set_a", "set_b").mapInArrow(frugal(run), "a bigint, b bigint")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(frugal(run), "a bigint, b bigint")
 
 
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
@@ -228,76 +219,33 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     return label
 
 
-def seldom_postings(held: DataFrame, often) -> DataFrame:
-    """(h, component): each set of held (rep, component, shingles) under its seldomest shingles.
-
-    Of two linked sets the smaller one shares 6/7 of its shingles at least, the larger one 3/4, so they share one of the
-    first of the smaller's seventh and the larger's quarter; ``small`` marks the seventh.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = often.value
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                names, reps, marks, sizes = [], [], [], []
-                for rep, x in zip(part.column(0).to_pylist(), part.column(2)):
-                    own = shingle_names([x])
-                    n = len(own)
-                    first, seventh = n - -(-3 * n // 4) + 1, n - -(-6 * n // 7) + 1
-                    names.append(own[np.lexsort((own, order[buckets(own)]))[:first]])
-                    reps.append(np.full(first, rep, np.int64))
-                    marks.append(np.arange(first) < seventh)
-                    sizes.append(first)
-                if names:
-                    parents = np.repeat(part.column(1).to_numpy(), sizes)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(names).view(np.int64)), pa.array(np.concatenate(reps)), pa.array(parents), pa.array(np.concatenate(marks))], names=["h", "rep", "component", "small"])
-
-    return held.select("rep", "component", "shingles").mapInArrow(frugal(run), "h bigint, rep bigint, component bigint, small boolean")
-
-
-def left_apart(spark: SparkSession, held: DataFrame) -> DataFrame:
-    """(rep): the sets of held (rep, component, shingles) that may be linked with one of another component."""
-    total = held.agg(F.coalesce(F.sum(F.octet_length("shingles")), F.lit(0))).first()[0] // 8
-    often = spark.sparkContext.broadcast(table_of(frequency_sketch(held, "shingles", shingle_names, total)))
-    posted = keep(spark, seldom_postings(held, often), "seldom")
-    # a list counts if a set of it in its seventh meets one of another component
-    lists = posted.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("small").alias("small")).where("low != high and small").select("h")
-    still = keep(spark, posted.select("h", "rep").join(keep(spark, lists, "seldom_lists"), "h").select("rep").distinct(), "still")
-    drop_kept(spark, posted)
-    return still
-
-
-def second_round(spark: SparkSession, posted: DataFrame, sets: DataFrame, near: DataFrame, best: DataFrame, label: DataFrame, shingles_of) -> DataFrame:
+def second_round(spark: SparkSession, posted: DataFrame, sets: DataFrame, near: DataFrame, best: DataFrame, label: DataFrame, texts_of) -> DataFrame:
     """Links (a, b) between members of different components that share a list.
 
-    Lists with one central member are taken together, so each set stands in a few groups only, and sets that the finer
-    posting shows to be done leave them. A group is cut into blocks, each pair of blocks is a unit of bounded size, and a
-    unit compares signatures, skips what is already connected, and confirms the rest on the full sets. Only links leave
-    it. A group of two has one pair, which is confirmed if it is ``near`` and wasn't its member's ``best`` one.
+    Lists with one central member are taken together, so each set stands in a few groups only. A group is cut into
+    blocks, each pair of blocks is a unit of bounded size, and a unit compares signatures, skips what is already
+    connected, and confirms the rest on the full sets. Only links leave it. A group of two has one pair, which is
+    confirmed if it is ``near`` and wasn't its member's ``best`` one.
     """
-    members = posted.select("a", "rep").distinct().join(label, "rep", "left").select("a", "rep", F.coalesce("component", "rep").alias("component"))
+    members = posted.select("a", "rep").distinct().join(label, "rep", "left").join(sets.select("rep", "n_shingles"), "rep").select("a", "rep", "n_shingles", F.coalesce("component", "rep").alias("component"))
     members = keep(spark, members, "members")
-    groups = members.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
-    groups = keep(spark, groups.select("a", "n"), "apart")
+    groups = members.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"), F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
+    groups = keep(spark, groups.select("a", "n", "s"), "apart")
     single = keep(spark, near.select("a", "b").join(groups.where("n = 2").select("a"), "a", "left_semi").join(best, ["a", "b"], "left_anti"), "single")
-    rows = keep(spark, members.join(groups.where("n > 2").select("a"), "a"), "open")
-    held = shingles_of(rows.select("rep", "component"))
-    still = left_apart(spark, held)
-    rows = keep(spark, rows.join(still, "rep").join(sets.select("rep", "n_shingles"), "rep").select("a", "rep", "component", "n_shingles"), "still_open")
     blocks = F.greatest(F.least(F.ceil(F.col("n") / UNIT), F.lit(MANY)), F.ceil(F.col("n") / LARGE), F.ceil(F.col("s") / SHINGLES)).cast("int")
-    groups = rows.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"), F.min("component").alias("low"), F.max("component").alias("high"))
-    groups = keep(spark, groups.where("low != high").select("a", blocks.alias("blocks")), "groups")
-    rows = rows.join(groups, "a").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    full = rows.drop("component").join(sets.select("rep", "sig"), "rep").join(held, "rep")
+    groups = keep(spark, groups.where("n > 2").select("a", blocks.alias("blocks")), "groups")
+    rows = members.drop("n_shingles").join(groups, "a").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    rows = keep(spark, rows, "open")
+    held = texts_of(rows.select("rep"))
+    full = rows.join(sets.select("rep", "sig"), "rep").join(held, "rep")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    units = full.select("a", "rep", "component", "sig", "shingles", "block", other).select("a", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "component", "sig", "shingles")
+    units = full.select("a", "rep", "component", "sig", "text", "block", other).select("a", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "component", "sig", "text")
 
     def run(unit: pa.Table) -> pa.Table:
         unit = unit.combine_chunks()
         rep, component, block = (unit[c].to_numpy() for c in ("rep", "component", "block"))
         i, j = unit["i"][0].as_py(), unit["j"][0].as_py()
-        signs, found = matrix(unit["sig"]), []
+        signs, found, cache = matrix(unit["sig"]), [], {}
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         root = {int(c): int(c) for c in component}
 
@@ -307,7 +255,9 @@ def second_round(spark: SparkSession, posted: DataFrame, sets: DataFrame, near:
             return c
 
         def of(k: int) -> np.ndarray:
-            return np.frombuffer(unit["shingles"][k].as_py(), np.uint64)
+            if k not in cache:
+                cache[k] = shingle_set(unit["text"][k].as_py())
+            return cache[k]
 
         for x in left:
             same = (signs[x][None, :] == signs[right]).sum(axis=1)
@@ -321,7 +271,7 @@ def second_round(spark: SparkSession, posted: DataFrame, sets: DataFrame, near:
 
     found = keep(spark, units.groupBy("a", "i", "j").applyInArrow(run, "a bigint, b bigint"), "found")
     drop_kept(spark, held)
-    return found.unionByName(confirmed(single, shingles_of(single.select(F.explode(F.array("a", "b"))))))
+    return found.unionByName(confirmed(single, texts_of(single.select(F.explode(F.array("a", "b"))))))
 
 
 def grouped(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -348,42 +298,35 @@ def grouped(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str) ->
     nameless = sets.where("first_id is null").limit(1).count() > 0
     repeated = facts.where("doc_id is not null and set_key is not null").groupBy("doc_id").count().where("count > 1").limit(1).count() > 0
 
-    def shingles_of(reps: DataFrame) -> DataFrame:
-        """(rep, component, shingles) of the given sets, each once, from the text of a row that has the set's smallest id.
-        reps: rep, and component or null."""
-        reps = reps if len(reps.columns) == 2 else reps.toDF("rep").withColumn("component", F.lit(None).cast("bigint"))
-        wanted = keep(spark, sets.select("rep", "first_id", "set_key").join(reps.toDF("rep", "component").distinct(), "rep"), "wanted")
-        if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-            wanted = F.broadcast(wanted)
-        # ids may repeat with other texts: the digest tells the right one
-        both = texts.join(wanted, texts["doc_id"] == wanted["first_id"]).select("rep", "component", "set_key", "text")
-        if nameless:
-            both = both.unionByName(texts.where("doc_id is null").select(F.lit(-1).cast("bigint").alias("rep"), F.lit(None).cast("bigint").alias("component"), F.lit(None).cast("binary").alias("set_key"), "text"))
+    def texts_of(reps: DataFrame) -> DataFrame:
+        """(rep, text) of the given sets, each once, from a row that has the set's smallest id."""
+        wanted = sets.select("rep", "first_id", "set_key").join(reps.toDF("rep").distinct(), "rep")
+        if not (nameless or repeated):  # ids tell the texts
+            wanted = keep(spark, wanted.select("rep", "first_id"), "wanted")
+            few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+            return keep(spark, texts.join(F.broadcast(wanted) if few else wanted, texts["doc_id"] == wanted["first_id"]).select("rep", "text"), "texts")
+        # ids may repeat with other texts or be missing: the digests tell the right ones
+        wanted = keep(spark, wanted, "wanted")
+        both = texts.join(wanted, texts["doc_id"] == wanted["first_id"]).select("rep", "set_key", "text")
+        both = both.unionByName(texts.where("doc_id is null").select(F.lit(-1).cast("bigint").alias("rep"), F.lit(None).cast("binary").alias("set_key"), "text"))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for at in range(0, batch.num_rows, 500):
-                    part = batch.slice(at, 500)
-                    found = [shingle_set(t.as_py()) for t in part.column(3)]
-                    keys = [key_of(x) for x in found]
-                    good = pa.array([len(x) > 0 and sought in (None, k) for x, k, sought in zip(found, keys, part.column(2).to_pylist())], pa.bool_())
-                    yield pa.RecordBatch.from_arrays([c.filter(good) for c in (part.column(0), part.column(1), pa.array(keys, pa.binary()), pa.array([x.tobytes() for x in found], pa.binary()))], names=["rep", "component", "set_key", "shingles"])
-
-        found = both.mapInArrow(frugal(run), "rep bigint, component bigint, set_key binary, shingles binary")
-        if nameless:  # their sets are known by the digest only
-            found = keep(spark, found, "found")
-            own = found.where("rep = -1").drop("rep", "component").join(wanted.where("first_id is null").select("rep", "component", "set_key"), "set_key")
-            found = found.where("rep != -1").unionByName(own.select("rep", "component", "set_key", "shingles"))
-        if nameless or repeated:
-            found = found.dropDuplicates(["rep"])
-        return keep(spark, found.select("rep", "component", "shingles"), "shingles")
+                keys = [key_of(shingle_set(t.as_py())) for t in batch.column(2)]
+                good = pa.array([k is not None and sought in (None, k) for k, sought in zip(keys, batch.column(1).to_pylist())], pa.bool_())
+                yield pa.RecordBatch.from_arrays([c.filter(good) for c in (batch.column(0), pa.array(keys, pa.binary()), batch.column(2))], names=["rep", "set_key", "text"])
+
+        found = keep(spark, both.mapInArrow(frugal(run), "rep bigint, set_key binary, text binary"), "found")
+        own = found.where("rep = -1").drop("rep").join(wanted.where("first_id is null").select("rep", "set_key"), "set_key")
+        found = found.where("rep != -1").unionByName(own.select("rep", "set_key", "text"))
+        return keep(spark, found.select("rep", "text").dropDuplicates(["rep"]), "texts")
 
     best = keep(spark, near.groupBy("b").agg(F.max_by("a", F.struct("matches", -F.col("a"))).alias("a")).select("a", "b"), "best")
-    held = shingles_of(best.select(F.explode(F.array("a", "b"))))
+    held = texts_of(best.select(F.explode(F.array("a", "b"))))
     links = keep(spark, confirmed(best, held), "confirmed")
     drop_kept(spark, held)
     label = components(spark, links)
-    again = keep(spark, second_round(spark, posted, sets, near, best, label, shingles_of), "again")
+    again = keep(spark, second_round(spark, posted, sets, near, best, label, texts_of), "again")
     if again.limit(1).count():
         label = components(spark, links.unionByName(again))
     named = sets.join(label, "rep", "left").select("set_key", "rep", "first_id", F.coalesce("component", "rep").alias("component"))
