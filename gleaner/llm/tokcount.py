@@ -28,7 +28,7 @@ from .common import frugal, text_bytes
 
 BLANK = "▁"
 #: Most words, pairs of tokens and states that a worker remembers since it last forgot; characters of a word that is.
-MEMO_WORDS, MEMO_PAIRS, MEMO_STATES, LONGEST_KEPT = 250_000, 300_000, 100_000, 200
+MEMO_WORDS, MEMO_PAIRS, MEMO_STATES, LONGEST_KEPT = 300_000, 500_000, 200_000, 200
 #: Characters of a chunk inside a word, and of those before it that tell its likely entry state.
 CHUNK, BEFORE = 4096, 64
 #: Text characters whose chunk maps one fold composes before it is folded further.
@@ -164,8 +164,15 @@ class Transducer:
     def word(self, word: str) -> tuple[int, bool]:
         """Tokens of a word with one blank before it, and whether that blank is part of a longer token."""
         text = BLANK + word
-        if len(text) <= CHUNK:
-            exit_state, total = self.span(FIRST, text)
+        if len(text) <= CHUNK:  # the usual case, without a call for the word's only chunk
+            if len(self.content) > MEMO_STATES:
+                self.clear()
+            state, total, table = 0, 0, self.table
+            for c in text:
+                got = table[state].get(c)
+                state, grown = self.step(state, c) if got is None else got
+                total += grown
+            exit_state = self.content[state]
         else:
             maps = [Map(self, text[at : at + CHUNK], text[max(0, at - BEFORE) : at]) for at in range(0, len(text), CHUNK)]
             while len(maps) > 1:
