@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..kept import drop_kept, drop_path, fresh_path, keep, shared_dir  # noqa: F401
+
 #: Words are maximal runs of characters other than these (bytes.split() splits at the same set).
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -20,21 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
-
-    Where it is unset, one JVM that is both driver and executor (tests, benches) gets a temporary folder; a cluster
-    must name its own.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not spark.sparkContext._jsc.sc().isLocal():
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="gleaner-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
 def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """``run`` over Arrow data in a worker that hands memory back to the system once the task is over.
 
@@ -75,34 +60,6 @@ def small_batches(spark: SparkSession, rows: int = 500, size: str = "8m") -> Non
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/gleaner/{name}-{uuid.uuid4().hex}"
-
-
-def keep(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
-
-    Cuts the lineage and computes ``df`` once; survives lost executors, unlike a local checkpoint.
-    The owner of ``spark.checkpoint.dir`` clears that folder, as for Spark's own checkpoints.
-    """
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    kept = spark.read.schema(df.schema).parquet(path)
-    kept.kept_path = path
-    return kept
-
-
-def drop_kept(spark: SparkSession, kept: DataFrame) -> None:
-    """Delete the table that ``keep`` gave, once nothing reads it any more."""
-    drop_path(spark, kept.kept_path)
-
-
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Delete a kept table once nothing reads it any more."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def lower_ascii(col: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(col, UPPER, LOWER)

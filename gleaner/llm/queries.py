@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, langid, neardup, quality, rnnlm, secrets, tokcount, urlfilter, warc
+from . import bpe, bytefold, changes, decontam, langid, neardup, quality, rnnlm, secrets, tokcount, urlfilter, warc
 from .common import table
 
 
@@ -68,5 +68,18 @@ def op10_gru_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rnnlm.score(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_decontamination, op4_url_filter, op5_bpe_roundtrip, op6_token_counts, op7_minhash_neardup, op8_warc, op9_secret_scan, op10_gru_scores)}
+def op12_byte_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents by folded ranked merges and the bytes that they decode to, as digests."""
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    return bytefold.encode_decode(table(spark, sf_dir, "documents"), path, pattern, ("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+def op13_change_applier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What becomes of all changes of clients, applied in sequence by a stateful stream."""
+    done = changes.apply_changes(spark, table(spark, sf_dir, "client_changes"))
+    cents = F.floor(100 * F.col("balance") + 0.5).cast("bigint").alias("cents")
+    return done.select("change_id", "client_id", "status", "batch", "missed", "city", cents, "current")
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_decontamination, op4_url_filter, op5_bpe_roundtrip, op6_token_counts, op7_minhash_neardup, op8_warc, op9_secret_scan, op10_gru_scores, op12_byte_fold, op13_change_applier)}
 SQL: dict[str, str] = {"op1_quality_rules": quality.sql(), "op4_url_filter": urlfilter.sql(), "op8_warc": warc.sql()}
