@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, bytefold, changes, decontam, langid, neardup, quality, rnnlm, secrets, tokcount, urlfilter, warc
+from . import bpe, bytefold, changes, decontam, langid, neardup, phrases, quality, rnnlm, secrets, tokcount, urlfilter, warc
 from .common import table
 
 
@@ -68,6 +68,11 @@ def op10_gru_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rnnlm.score(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's best collocations of two and three words in all documents."""
+    return phrases.mine(spark, table(spark, sf_dir, "documents"))
+
+
 def op12_byte_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents by folded ranked merges and the bytes that they decode to, as digests."""
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
@@ -81,5 +86,5 @@ def op13_change_applier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("change_id", "client_id", "status", "batch", "missed", "city", cents, "current")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_decontamination, op4_url_filter, op5_bpe_roundtrip, op6_token_counts, op7_minhash_neardup, op8_warc, op9_secret_scan, op10_gru_scores, op12_byte_fold, op13_change_applier)}
-SQL: dict[str, str] = {"op1_quality_rules": quality.sql(), "op4_url_filter": urlfilter.sql(), "op8_warc": warc.sql()}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_decontamination, op4_url_filter, op5_bpe_roundtrip, op6_token_counts, op7_minhash_neardup, op8_warc, op9_secret_scan, op10_gru_scores, op11_phrase_mining, op12_byte_fold, op13_change_applier)}
+SQL: dict[str, str] = {"op1_quality_rules": quality.sql(), "op4_url_filter": urlfilter.sql(), "op8_warc": warc.sql(), "op11_phrase_mining": phrases.sql()}
