@@ -13,6 +13,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..kept import keep
+from . import positions
 
 
 # -- picks ---------------------------------------------------------------------------------------------------
@@ -164,9 +166,19 @@ def id_column(df: DataFrame) -> str:
     return "documentId" if "documentId" in df.columns else "Document_ID"
 
 
-def row_range(df: DataFrame, order: list[str], first: int, last: int) -> DataFrame:
-    """Rows first to last, from 1 and inclusive, by an explicit order; sorted and cut, never numbered in one task."""
-    return df.orderBy(*order).offset(first - 1).limit(max(0, last - first + 1))
+#: A range that ends by this row is taken from the few first rows of each task, in one place; a later one by positions.
+FEW_ROWS = 1_000
+
+
+def row_range(df: DataFrame, order: list[Column], first: int, last: int) -> DataFrame:
+    """Rows first to last, from 1 and inclusive, by an explicit order.
+
+    Beyond ``FEW_ROWS`` the rows are sorted into ranges over the cluster, kept, and only the ranges that hold some of them
+    are read on, so that no place holds all rows before ``last``.
+    """
+    if last <= FEW_ROWS:
+        return df.orderBy(*order).offset(first - 1).limit(max(0, last - first + 1))
+    return positions.between(df.sparkSession, df, first, last, *order)
 
 
 def in_order(df: DataFrame, *order: Column) -> DataFrame:
@@ -251,8 +263,8 @@ def value_counts(df: DataFrame, column: str, name: str = "n") -> DataFrame:
 
 def breakdown(df: DataFrame, column: str) -> DataFrame:
     """Counts of values that aren't null, with their percentage of all rows to one place, half to even."""
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    # the total is a scalar subquery, so that values, however many, never meet in one task
+    # kept, since counts and total would each read the input; the total is a scalar subquery, so that values never meet in one task
+    counts = keep(df.sparkSession, df.groupBy(column).agg(F.count(F.lit(1)).alias("n")), "counts")
     every = counts.agg(F.sum("n")).scalar()
     return counts.select(column, "n", F.bround(F.col("n") / every * 100, 1).alias("percentage")).where(F.col(column).isNotNull())
 

@@ -1,7 +1,8 @@
 """Named queries over the driver's tables, and the SQL that gives the same rows.
 
 The tables hold no filings, so inputs are made from their columns by plain SQL that both engines read alike
-(``BASES``); the operators then run on those inputs. Every query covers its whole tables.
+(``BASES``); the operators then run on those inputs. Every query reads whole tables; where the feature needs ids or texts of
+several kinds, an input's rows are told apart by remainders of their keys, as its SQL says.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from ..operators import extract as E
 from ..operators import relational as R
 from ..sources import landing as L
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations", "clicks", "sales", "sale_lines", "clients", "client_changes", "vendors", "items", "stamps")
 DECISIONS = ("Exclusion Denied", "EXCLUSION GRANTED", "exclusion approved", "Exclusion Partially Approved", "Exclusion Partially Granted", "Exclusion Request Withdrawn", "Denied", "Approved", "granted", "Pending Review")
 
 
@@ -320,6 +321,12 @@ def row_range(spark, sf_dir):
     return R.row_range(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), [F.desc("o_totalprice"), F.col("o_orderkey")], 101, 600)
 
 
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 500 OFFSET 9000")
+def late_row_range(spark, sf_dir):
+    """Rows 9,001 to 9,500 by price, found by positions over the cluster."""
+    return R.row_range(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), [F.desc("o_totalprice"), F.col("o_orderkey")], 9001, 9500)
+
+
 @query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
 def drop_date_columns(spark, sf_dir):
     """Without columns whose name holds ``date``."""

@@ -186,13 +186,13 @@ def acceptable_pdf(length: Column, content_type: Column, head: Column, least: in
     return (length > least) & ((kind == "") | kind.contains("pdf")) & F.substring(head, 1, 4).eqNullSafe(F.lit(b"%PDF"))
 
 
-#: Where a listing without a total ends at the latest, as one task; an empty or short page ends it before.
+#: Pages that one task reads at most of a listing without a total; if the last one is still full, that is an error.
 MOST_PAGES = 1000
 
 
 class ListingPartition(InputPartition):
-    def __init__(self, sort: str, first: int, last: int):
-        self.sort, self.first, self.last = sort, first, last
+    def __init__(self, sort: str, first: int, last: int, until_short: bool = False):
+        self.sort, self.first, self.last, self.until_short = sort, first, last, until_short
 
 
 class ListingReader(DataSourceReader):
@@ -227,7 +227,7 @@ class ListingReader(DataSourceReader):
         parts: list[InputPartition] = []
         for s in self.sorts:
             last = self.last_page(s)
-            parts += [ListingPartition(s, 1, MOST_PAGES)] if last is None else [ListingPartition(s, p, min(last, p + self.step - 1)) for p in range(1, last + 1, self.step)]
+            parts += [ListingPartition(s, 1, MOST_PAGES, True)] if last is None else [ListingPartition(s, p, min(last, p + self.step - 1)) for p in range(1, last + 1, self.step)]
         return parts
 
     def read(self, partition: ListingPartition) -> Iterator[tuple]:
@@ -241,6 +241,8 @@ class ListingReader(DataSourceReader):
             total = (body.get("meta") or {}).get("totalElements")
             if len(rows) < self.size or (total is not None and page * self.size >= int(total)):
                 return
+        if partition.until_short:
+            raise Unanswered(f"sort order {partition.sort} goes on after page {partition.last} and tells no total: give maxPages")
 
 
 def listing_source(fetch: Callable[[str, int, int], tuple[int, dict | None]]) -> type[DataSource]:
