@@ -10,7 +10,7 @@ shorter than Q characters contaminate only texts that equal them. Items that mos
 periods) would count every diagonal; for them the filter counts the text's places that hold any of the item's
 Q-grams in sliding windows, and a bit-parallel alignment searches the windows that reach the bound.
 
-The items are taken in blocks of bounded size, each of which all texts pass once; nothing of the texts is shuffled.
+Items that are equal are searched for once. They are taken in blocks of bounded size, each of which all texts pass once.
 The driver holds the characters of one block at a time, and the workers build their own tables of it.
 
 Edge cases: null and empty texts and items match nothing; an empty table on either side gives no rows; rows that
@@ -30,12 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import column_function, frugal, keep
+from .common import column_function, frugal, keep, lower_ascii
 
 Q, BUDGET = 8, 0.1
 #: Characters of items in a block, characters of text that are searched at once, slots of the tables that sift grams and
 #: cells, postings that are expanded at once.
 BLOCK, SEARCHED, SLOTS, CELLS, SLICE = 1 << 20, 1 << 20, 1 << 20, 1 << 20, 1 << 20
+#: Digests of texts that are broadcast to drop rows; more of them are joined by a shuffle.
+BROADCAST_ROWS = 100_000
 #: Mean number of places of an item that hold the same Q-gram, from which on it counts as repeating itself.
 PERIODIC = 8
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -288,13 +290,24 @@ def search(items: Items, texts: list[str]) -> list[list[tuple[int, int, int, int
     return [sorted(x, key=lambda r: (r[1], r[0])) for x in found]
 
 
-def blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[pa.Table]:
-    """The items (id, text) in blocks of about BLOCK characters; the driver holds one at a time."""
-    items = benchmark.select(id_col, text_col).where(F.length(text_col) > 0)
-    size = items.agg(F.sum(F.length(text_col))).first()[0] or 0
-    n = -(-size // BLOCK)
+def keyed(benchmark: DataFrame, text_col: str) -> DataFrame:
+    """Items with ``_text``, as it is searched for (letters A-Z small, white space as one blank), and its digest ``_key``."""
+    blank = F.regexp_replace(lower_ascii(F.col(text_col)), r"[\x20\x09-\x0D]+", " ")
+    text = F.regexp_replace(blank, "^ | $", "")
+    return benchmark.where(F.length(text) > 0).withColumn("_text", text).withColumn("_key", F.sha2(F.col("_text").cast("binary"), 256))
+
+
+def distinct_items(benchmark: DataFrame, text_col: str) -> DataFrame:
+    """Each text of the benchmark once: key, text."""
+    return keyed(benchmark.select(text_col), text_col).select(F.col("_key").alias("key"), F.col("_text").alias("text")).distinct()
+
+
+def blocks(items: DataFrame, most: int) -> Iterator[pa.Table]:
+    """The distinct items (key, text) in blocks of about ``most`` characters; the driver holds one at a time."""
+    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    n = -(-size // most)
     for b in range(n):
-        own = items.where(F.pmod(F.xxhash64(text_col), F.lit(n)) == b) if n > 1 else items
+        own = items.where(F.pmod(F.xxhash64("text"), F.lit(n)) == b) if n > 1 else items
         yield own.toArrow().combine_chunks()
 
 
@@ -322,20 +335,25 @@ def lots(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
         yield first, held
 
 
-def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """One row per document and item that it holds: ids, start and end in code points, and edits."""
+def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block: int = BLOCK) -> DataFrame:
+    """One row per document and item that it holds: ids, start and end in code points, and edits.
+
+    ``block``: characters of items searched for at once, some 50 bytes of a worker's memory for each. Every block is a pass
+    over the texts. Items that are equal are searched for once.
+    """
     source = docs.select(id_col, text_col)
-    kind, item_kind = source.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
-    schema = f"{id_col} {kind}, {item_col} {item_kind}, start int, end int, edits int"
+    kind = source.schema[id_col].dataType.simpleString()
+    schema = f"{id_col} {kind}, _key string, start int, end int, edits int"
+    distinct = distinct_items(benchmark, item_text_col)
     results, last = [], None
-    for block in blocks(benchmark, item_col, item_text_col):
+    for own in blocks(distinct, block):
         if last:  # another block: what the one before found is written, and its items leave the driver
             results.append(keep(spark, last[0], "contaminated"))
             last[1].destroy()
-        held, name = spark.sparkContext.broadcast(block), uuid.uuid4().hex
+        held, name = spark.sparkContext.broadcast(own), uuid.uuid4().hex
 
         def run(batches: Iterator[pa.RecordBatch], held=held, name=name) -> Iterator[pa.RecordBatch]:
-            items, item_ids = items_of(name, held.value.column(1)), held.value.column(0).combine_chunks()
+            items, keys = items_of(name, held.value.column(1)), held.value.column(0).combine_chunks()
             for batch in batches:
                 out: list[list] = [[], [], [], [], []]
                 for first, texts in lots(batch.column(1)):
@@ -343,28 +361,44 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_
                         for found in own:
                             for column, value in zip(out, (first + i, *found)):
                                 column.append(value)
-                columns = [batch.column(0).take(pa.array(out[0], pa.int32())), item_ids.take(pa.array(out[1], pa.int32())), *(pa.array(c, pa.int32()) for c in out[2:])]
-                yield pa.RecordBatch.from_arrays(columns, names=[id_col, item_col, "start", "end", "edits"])
+                columns = [batch.column(0).take(pa.array(out[0], pa.int32())), keys.take(pa.array(out[1], pa.int32())), *(pa.array(c, pa.int32()) for c in out[2:])]
+                yield pa.RecordBatch.from_arrays(columns, names=[id_col, "_key", "start", "end", "edits"])
 
         last = source.mapInArrow(frugal(run), schema), held
     if not last:
-        return spark.createDataFrame([], schema)
-    return reduce(DataFrame.unionByName, [*results, last[0]])
+        return spark.createDataFrame([], f"{id_col} {kind}, {item_col} {benchmark.schema[item_col].dataType.simpleString()}, start int, end int, edits int")
+    found = reduce(DataFrame.unionByName, [*results, last[0]])
+    named = keyed(benchmark, item_text_col).select(item_col, "_key")
+    return found.join(named, "_key").select(id_col, item_col, "start", "end", "edits")
 
 
-def clean_documents(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, that hold no item. No shuffle; only texts go to Python workers."""
-    last = None
-    for block in blocks(benchmark, "item_id", "text"):
-        if last:
-            docs = keep(spark, docs, "clean")
-            last.destroy()
-        last, name = spark.sparkContext.broadcast(block), uuid.uuid4().hex
+def clean_documents(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, text_col: str = "text", block: int = BLOCK) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no item. Only texts go to Python workers.
 
-        def each(batches: Iterator[pa.Array], held=last, name=name) -> Iterator[pa.Array]:
+    With one block there is no shuffle. With more, each block is a pass that keeps the digests of the texts it finds, and rows
+    with such a text go in one join at last; no copy of the texts is written.
+    """
+
+    def holds(own: pa.Table):
+        held, name = spark.sparkContext.broadcast(own), uuid.uuid4().hex
+
+        def each(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             items = items_of(name, held.value.column(1))
             for batch in batches:
-                yield pa.array([not own for _, texts in lots(batch) for own in search(items, texts)], pa.bool_())
+                yield pa.array([bool(own) for _, texts in lots(batch) for own in search(items, texts)], pa.bool_())
+
+        return column_function(each, "boolean")(F.col(text_col)), held
 
-        docs = docs.where(column_function(each, "boolean")(F.col(text_col)))
-    return docs
+    digest, found, last = F.sha2(F.col(text_col).cast("binary"), 256), [], None
+    for own in blocks(distinct_items(benchmark, "text"), block):
+        if last:
+            found.append(keep(spark, docs.where(last[0]).select(digest.alias("_digest")).distinct(), "held"))
+            last[1].destroy()
+        last = holds(own)
+    if not last:
+        return docs
+    if not found:
+        return docs.where(~last[0])
+    held = keep(spark, reduce(DataFrame.unionByName, [*found, docs.where(last[0]).select(digest.alias("_digest"))]).distinct(), "held")
+    held = F.broadcast(held) if held.count() <= BROADCAST_ROWS else held
+    return docs.join(held, digest == held["_digest"], "left_anti")

@@ -9,15 +9,18 @@ template is rejected when its smoothed share of blocked labels reaches REJECT.
 
 DataFrame functions only. Pages are aggregated to shapes before anything is exploded, so a host with a
 third of all rows is a few rows; the verdicts come back by an equi-join whose hot keys Spark can split. There is a pass
-over the shapes for each level, DEPTH at the most.
+for each level over the shapes that still share their merged parent with others: a shape that is alone there can't merge any
+more and gets the rest of its template at once, so one very deep path costs no passes.
 
 Edge cases: a null url or one without ``://`` has an empty host and path and is allowed unless its template is
 rejected; without labels nothing is rejected; an empty table gives no rows; rows that repeat are judged each;
-what follows a path's first DEPTH segments, however long, is one segment; other columns are not carried.
+paths of any depth are judged by all their segments; other columns are not carried.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,8 +28,10 @@ from .common import keep, lower_ascii
 
 #: (verdict, host, path) of the rules for the driver's pages.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
-#: Prior labels of a rate, standard errors that tell branches apart, rejected purity, levels of the tree.
-PRIOR, ERRORS, REJECT, DEPTH = 2.0, 2.0, 0.8, 8
+#: Prior labels of a rate, standard errors that tell branches apart, rejected purity.
+PRIOR, ERRORS, REJECT = 2.0, 2.0, 0.8
+#: Levels that the SQL writes out, since it can't loop; no path of the driver's tables has more than four segments.
+SQL_LEVELS = 8
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
 
@@ -46,16 +51,14 @@ def best_rule(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def shape(path: Column) -> Column:
-    """The segments of a path, with variable ones generalised by how they are written; the last one holds all beyond DEPTH."""
-    cut = F.transform(
+    """The segments of a path, with variable ones generalised by how they are written."""
+    return F.transform(
         F.split(path, "/", -1),
         lambda s: F.when(s.rlike("^[0-9]+$"), F.lit("{n}"))
         .when(s.rlike("^[0-9]+[.][A-Za-z0-9]+$"), F.regexp_replace(s, "^[0-9]+", "{n}"))
         .when(s.rlike("^[0-9a-f-]{16,}$"), F.lit("{h}"))
         .otherwise(s),
     )
-    deep = lambda x: F.concat(F.slice(x, 1, DEPTH), F.array(F.array_join(F.slice(x, DEPTH + 1, F.size(x)), "/")))
-    return F.get(F.transform(F.array(cut), lambda x: F.when(F.size(x) > DEPTH + 1, deep(x)).otherwise(x)), F.lit(0))
 
 
 def posterior(blocked: Column, labels: Column, prior: float) -> tuple[Column, Column]:
@@ -66,21 +69,27 @@ def posterior(blocked: Column, labels: Column, prior: float) -> tuple[Column, Co
 
 def templates(spark: SparkSession, shapes: DataFrame, prior: float) -> DataFrame:
     """(host, shape, template): each shape after the tree's similar branches have merged, from the top down."""
-    found = shapes.select("host", "shape", "blocked", "labels", F.lit("").alias("template"))
-    deepest = shapes.agg(F.max(F.size("shape"))).first()[0] or 0  # at most DEPTH + 1
-    for level in range(1, deepest):
-        steps = found.withColumn("segment", F.get("shape", F.lit(level)))
-        node = steps.where("segment is not null").groupBy("host", "template", "segment").agg(*[F.sum(c).alias(c) for c in ("blocked", "labels")])
-        total = node.groupBy("host", "template").agg(F.count(F.lit(1)).alias("kids"), *[F.sum(c).alias(f"all_{c}") for c in ("blocked", "labels")])
+    active = shapes.select("host", "shape", "blocked", "labels", F.lit("").alias("template"))
+    finished, level = [], 1
+    while True:
+        steps = active.withColumn("segment", F.get("shape", F.lit(level)))
+        node = steps.where("segment is not null").groupBy("host", "template", "segment").agg(*[F.sum(c).alias(c) for c in ("blocked", "labels")], F.count(F.lit(1)).alias("shapes"))
+        total = node.groupBy("host", "template").agg(F.count(F.lit(1)).alias("kids"), F.sum("shapes").alias("all_shapes"), *[F.sum(c).alias(f"all_{c}") for c in ("blocked", "labels")])
         other = F.col("all_labels") - F.col("labels")
         mean, var = posterior(F.col("blocked"), F.col("labels"), prior)
         rest, rest_var = posterior(F.col("all_blocked") - F.col("blocked"), other, prior)
         alike = (other > 0) & ((mean - rest) * (mean - rest) <= F.lit(ERRORS * ERRORS) * (var + rest_var))
         wild = (F.col("kids") > 1) & ((F.col("labels") == 0) | alike)
-        merged = node.join(total, ["host", "template"]).select("host", "template", "segment", F.when(wild, F.lit("*")).otherwise(F.col("segment")).alias("as"))
+        merged = node.join(total, ["host", "template"]).select("host", "template", "segment", F.when(wild, F.lit("*")).otherwise(F.col("segment")).alias("as"), (F.col("all_shapes") == 1).alias("alone"))
         steps = steps.join(merged, ["host", "template", "segment"], "left")
-        found = keep(spark, steps.select("host", "shape", "blocked", "labels", F.when(F.col("as").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), "as")).alias("template")), "tree")
-    return found.select("host", "shape", "template")
+        rest_of = F.array_join(F.slice("shape", level + 1, F.size("shape")), "/")
+        named = F.when(F.col("as").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), F.when(F.col("alone"), rest_of).otherwise(F.col("as"))))
+        over = F.col("as").isNull() | F.col("alone") | (F.size("shape") <= level + 1)
+        kept = keep(spark, steps.select("host", "shape", "blocked", "labels", named.alias("template"), over.alias("over")), "tree")
+        finished.append(kept.where("over"))
+        active, level = kept.where("not over").drop("over"), level + 1
+        if active.isEmpty():
+            return reduce(DataFrame.unionByName, finished).select("host", "shape", "template")
 
 
 def judge(spark: SparkSession, pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -126,7 +135,7 @@ merged{k} AS MATERIALIZED (
   FROM node{k} JOIN total{k} USING (host, template), one),
 tree{k} AS MATERIALIZED (
   SELECT t.host, t.shape, t.blocked, t.labels, CASE WHEN named IS NULL THEN t.template ELSE t.template || '/' || named END AS template
-  FROM tree{k - 1} t LEFT JOIN merged{k} m ON m.host = t.host AND m.template = t.template AND m.segment = t.shape[{k + 1}] AND len(t.shape) > {k}),""" for k in range(1, DEPTH + 1))
+  FROM tree{k - 1} t LEFT JOIN merged{k} m ON m.host = t.host AND m.template = t.template AND m.segment = t.shape[{k + 1}] AND len(t.shape) > {k}),""" for k in range(1, SQL_LEVELS + 1))
     return f"""
 WITH cut AS (
   SELECT page_id, translate(regexp_extract(coalesce(url, ''), '{PARTS}', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -136,14 +145,14 @@ ruled AS (
          list_transform(string_split(path, '/'), lambda s: CASE WHEN regexp_matches(s, '^[0-9]+$') THEN '{{n}}'
            WHEN regexp_matches(s, '^[0-9]+[.][A-Za-z0-9]+$') THEN regexp_replace(s, '^[0-9]+', '{{n}}')
            WHEN regexp_matches(s, '^[0-9a-f-]{{16,}}$') THEN '{{h}}' ELSE s END) AS raw FROM cut),
-shaped AS MATERIALIZED (SELECT page_id, host, path, best, CASE WHEN len(raw) > {DEPTH + 1} THEN list_append(raw[1:{DEPTH}], array_to_string(raw[{DEPTH + 1}:], '/')) ELSE raw END AS shape FROM ruled),
+shaped AS MATERIALIZED (SELECT page_id, host, path, best, raw AS shape FROM ruled),
 shapes AS MATERIALIZED (
   SELECT host, shape, count(*) FILTER (best.verdict = 'block') AS blocked, count(*) FILTER (best IS NOT NULL) AS labels
   FROM shaped GROUP BY host, shape),
 one AS MATERIALIZED (SELECT CASE WHEN sum(labels) > 0 THEN sum(blocked) / sum(labels) ELSE 0.0 END AS prior FROM shapes),
 tree0 AS MATERIALIZED (SELECT host, shape, blocked, labels, '' AS template FROM shapes),{levels}
-judged AS (SELECT host, template, {mean("sum(blocked)", "sum(labels)")} AS purity FROM tree{DEPTH}, one GROUP BY host, template, prior)
+judged AS (SELECT host, template, {mean("sum(blocked)", "sum(labels)")} AS purity FROM tree{SQL_LEVELS}, one GROUP BY host, template, prior)
 SELECT page_id, host, path, best.rule AS rule,
        coalesce(best.verdict, CASE WHEN purity >= {REJECT} THEN 'block' END, 'allow') AS verdict
-FROM shaped LEFT JOIN (SELECT host, shape, purity FROM tree{DEPTH} JOIN judged USING (host, template)) USING (host, shape)
+FROM shaped LEFT JOIN (SELECT host, shape, purity FROM tree{SQL_LEVELS} JOIN judged USING (host, template)) USING (host, shape)
 """
