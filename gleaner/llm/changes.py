@@ -220,7 +220,7 @@ def apply_stream(spark: SparkSession, rows: DataFrame, wait: int, batches: int)
     sentinel = spark.sql(f"SELECT '{SENTINEL}' AS who, 0L AS n, {beyond}L AS day, 0L AS change_id, '' AS op, '' AS city, 0D AS balance, timestamp_seconds({beyond}L * 86400) AS event")
     sentinel.write.parquet(f"{home}/staged/batch={last}")
     spark._jvm.org.apache.hadoop.fs.Path(f"{home}/fed").getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(spark._jvm.org.apache.hadoop.fs.Path(f"{home}/fed"))
-    with settings(spark, stateStore_providerClass="org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", stateStore_rocksdb_changelogCheckpointing_enabled="true", stateStore_rocksdb_allowFAllocate="false", stateStore_unloadOnCommit="true", noDataMicroBatches_enabled="true"):
+    with settings(spark, stateStore_providerClass="org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", stateStore_rocksdb_changelogCheckpointing_enabled="true", stateStore_rocksdb_allowFAllocate="false", stateStore_maintenanceInterval="15s", noDataMicroBatches_enabled="true"):
         for batch in range(1, last + 1):
             move(spark, f"{home}/staged/batch={batch}", f"{home}/fed/batch={batch}")
             began = max([d for b, d in largest.items() if b < batch], default=0) - wait

@@ -11,7 +11,7 @@ import pytest
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, decontam, langid, neardup, quality, rnnlm, secrets, tokcount, urlfilter, warc
+from gleaner.llm import bpe, bytefold, changes, decontam, langid, neardup, phrases, quality, rnnlm, secrets, tokcount, urlfilter, warc
 from gleaner.llm.common import table
 
 SF = "/root/testdata/sf0.001"
@@ -714,3 +714,207 @@ def test_pipeline_on_awkward_rows(spark, rows):
     for name, stage in corpus_pipeline.STAGES:
         nothing = keep(spark, stage(spark, nothing, SF), name)
     assert nothing.count() == 0 and docs_schema
+
+
+def test_words_names_and_paths_are_no_secrets():
+    import json
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        words = sorted({w[1:].lower() for w in json.load(f)["model"]["vocab"] if w[0] == "\u0120" and len(w) >= 9 and w[1:].isalpha() and w[1:].isascii()})
+    assert len(words) > 5000 and sum(bool(secrets.find(f"the key: {w} matters".encode())) for w in words) < 0.01 * len(words)
+    for text in ("The key: understanding the process", "secret: ingredients of soup", "the key -> communication", "key = customer_id", "monkey: zQ8xK2vW9p", "turkey -> zQ8xK2vW9p", "key: https://example.org/docs/index.html", "key: application/json", "credentials: getUserSecretValue"):
+        assert secrets.find(text.encode()) == [], text
+    for text in ("apiKey: zQ8xK2vW", "key: zQ8xK2vW", "DB_KEY=zQ8xK2vW", "passphrase: kqzvwxjhtmplbnrd"):
+        assert [k for k, *_ in secrets.find(text.encode())] == ["guess"], text
+
+
+def test_prose_after_injected_names_is_kept(rows):
+    rng, tried, taken = random.Random(3), 0, 0
+    for _, text, _, _ in rows:
+        words = (text or "").split(" ")
+        for _ in range(8):
+            w = rng.choice(words)
+            if len(w) >= 8 and "\n" not in w and not secrets.find(w.encode()):
+                tried += 1
+                taken += any(k == "guess" for k, *_ in secrets.find(f"{rng.choice(['key', 'secret', 'password', 'token'])}{rng.choice([': ', ' = ', ' ', ' -> '])}{w} and so".encode()))
+    assert tried > 300 and taken <= 0.02 * tried
+
+
+def test_deep_paths_are_judged_by_all_their_segments(spark):
+    deep = "/a/b/c/d/e/f/g/h/i/j"
+    rules = (("block", "x.com", deep + "/spam/"), ("allow", "x.com", deep + "/ok/"))
+    pages = [(i, f"http://x.com{deep}/{'spam' if i % 2 else 'ok'}/x{i // 2}/") for i in range(400)]
+    pages += [(1000, "http://other.com" + "/s" * 3000), (1001, None)]
+    got = {r.page_id: r for r in urlfilter.judge(spark, spark.createDataFrame(pages, "page_id long, url string"), rules).collect()}
+    assert all(got[i].template == f"{deep}/{'spam' if i % 2 else 'ok'}/*/" and (got[i].purity > 0.9) == bool(i % 2) for i in range(400))
+    assert got[1000].template == "/s" * 3000 and got[1000].verdict == "allow"
+    unseen = pages + [(2000, f"http://x.com{deep}/spam/new0/")]
+    some = (("block", "x.com", deep + "/spam/x"), ("allow", "x.com", deep + "/ok/"))
+    assert {r.page_id: r.verdict for r in urlfilter.judge(spark, spark.createDataFrame(unseen, "page_id long, url string"), some).collect()}[2000] == "block"
+
+
+def test_equal_items_are_searched_once_and_blocks_write_no_texts(spark):
+    import time
+
+    item = "What is the capital of the northern province?"
+    docs = spark.createDataFrame([(1, f"Well. {item} Yes."), (2, "nothing"), (3, None), (4, f"Well. {item} Yes.")], "doc_id long, text string")
+    many = spark.createDataFrame([(i, item.upper() if i % 2 else item.replace(" ", "  ")) for i in range(3000)], "item_id long, text string")
+    began = time.time()
+    got = decontam.contaminated(spark, docs, many)
+    assert got.count() == 6000 and got.where("doc_id = 1").select("item_id").distinct().count() == 3000
+    assert time.time() - began < 60
+    rng = random.Random(4)
+    items = [(i, "".join(rng.choice("abcdefgh ") for _ in range(60))) for i in range(40)]
+    texts = [(i, f"so {items[i][1]} then" if i < 40 and i % 3 == 0 else f"clean {i}") for i in range(60)] + [(90, None)]
+    bench, d = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    whole = {(r.doc_id, r.item_id) for r in decontam.contaminated(spark, d, bench).collect()}
+    assert whole == {(i, i) for i in range(0, 40, 3)} == {(r.doc_id, r.item_id) for r in decontam.contaminated(spark, d, bench, block=500).collect()}
+    left = {r.doc_id for r in decontam.clean_documents(spark, d, bench, block=500).collect()}
+    assert left == {i for i, _ in texts} - {i for i, _ in whole} == {r.doc_id for r in decontam.clean_documents(spark, d, bench).collect()}
+
+
+# -- 11 -----------------------------------------------------------------------------------------------------------
+
+def brute_phrases(rows, least, best):
+    count, total = Counter(), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        low = (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", low):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            total[lang] += len(w)
+            for k in (1, 2, 3):
+                count.update((lang, *w[i : i + k]) for i in range(len(w) - k + 1))
+    own = {g: a for g, a in count.items() if len(g) > 2 and a >= least}
+    out = {}
+    for (lang, *w), a in own.items():
+        if len(w) == 2 and any(100 * b >= 50 * a and g[0] == lang and (list(g[1:3]) == w or list(g[2:4]) == w) for g, b in own.items() if len(g) == 4):
+            continue
+        cuts = [(1000000 * a * a // (count[(lang, *w[:k])] * count[(lang, *w[k:])]), k) for k in range(1, len(w))]
+        s, k = min(cuts)
+        out.setdefault(lang, []).append((-s, -a, " ".join(w).encode(), count[(lang, *w[:k])], count[(lang, *w[k:])]))
+    return {(lang, n + 1, p.decode(), -a, left, right, total[lang], -s) for lang, found in out.items() for n, (s, a, p, left, right) in enumerate(sorted(found)[:best])}
+
+
+def test_phrases_equal_brute_force(spark, rows):
+    rng = random.Random(11)
+    texts = [(rng.choice(["en", "fr", None, ""]), " ".join(rng.choice(["A", "b", "c,", "dé", "E.", "f\tg", "\u3000h", "i\x00", "j\n"]) for _ in range(rng.randint(0, 60)))) for _ in range(200)]
+    texts += [("en", None), ("en", ""), ("de", "one two"), ("de", "Ab ab " * 3000), ("en", ",;.")] + [(lang, t) for _, t, lang, _ in rows[:30]]
+    df = spark.createDataFrame([(lang, t, 1, "w") for lang, t in texts], "lang string, text string, n int, word string").repartition(4)
+    for best in (2000, 7):
+        got = phrases.mine(spark, df, best=best).collect()
+        want = brute_phrases(texts, 10, best)
+        assert {tuple(r) for r in got} == want and len(got) == len(want) > 20
+    assert phrases.mine(spark, empty(spark)).count() == 0
+
+
+def test_ids_are_salted_until_each_is_one_word(spark, monkeypatch):
+    words = spark.createDataFrame([("en", "a", 5), ("en", "b", 5), ("fr", "a", 1)], "lang string, word string, n long")
+    real = phrases.id_column
+    monkeypatch.setattr(phrases, "id_column", lambda salt: F.lit(7).cast("bigint") if salt < 2 else real(salt))
+    named, salt = phrases.dictionary(words)
+    assert salt == 2 and {(r.lang, r.word): r.id % 2**64 for r in named.collect()} == {(lang, w): phrases.word_id(phrases.start(lang, 2), w.encode()) for lang, w in (("en", "a"), ("en", "b"), ("fr", "a"))}
+
+
+def test_scores_are_exact_beyond_64_bits(spark):
+    a, left, right = 3_000_000_007, 5_000_000_011, 4_000_000_037
+    row = spark.range(1).select(phrases.score(f"{a}L", f"{left}L", f"{right}L").alias("s")).first()
+    assert row.s == 1000000 * a * a // (left * right)
+
+
+# -- 12 -----------------------------------------------------------------------------------------------------------
+
+def test_byte_fold_equals_the_library(spark, awkward, monkeypatch):
+    import tiktoken
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    theirs = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bytefold.ranks_of(path), special_tokens={})
+    rng = random.Random(12)
+    pool = "abcXYZ 019  \n\t\r\x0b\x0c\x1c\x1f\x85\u00a0\u2003\u3000'sT.,!<|>éßñ漢字かな한글אبا́\u0301\u200d\ufeff😀👍🏽²½Ⅷ१\u1680\u180e"
+    texts = [(i, "".join(rng.choice(pool) for _ in range(rng.randint(0, 50)))) for i in range(1500)]
+    texts += [(i, t) for i, t, _, _ in awkward[1]] + [(5, "x" * 2500), (6, "漢字" * 500), (7, " "), (8, "a  b " * 30), (9, "<|endoftext|> it's we'LL")]
+    monkeypatch.setattr(bytefold, "WORDS", 300)  # numberings begin anew often
+    df = spark.createDataFrame(texts, "doc_id long, text string").withColumn("words", F.lit(1)).withColumn("n_tokens", F.lit("x")).repartition(3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    got = bytefold.encode_decode(df, path, public_tokenizers.PATTERN, ("n_tokens", "ids", "decoded", "ids_sha256", "decoded_sha256")).collect()
+    want = Counter()
+    for i, t in texts:
+        ids = theirs.encode_ordinary(t or "")
+        raw, back = np.array(ids, "<u4").tobytes(), (t or "").encode()
+        want[i, len(ids), tuple(ids), back, hashlib.sha256(raw).hexdigest(), hashlib.sha256(back).hexdigest()] += 1
+    assert Counter((r.doc_id, r.n_tokens, tuple(r.ids), bytes(r.decoded), r.ids_sha256, r.decoded_sha256) for r in got) == want
+    assert bytefold.encode_decode(empty(spark), path, public_tokenizers.PATTERN).count() == 0
+
+
+# -- 13 -----------------------------------------------------------------------------------------------------------
+
+def brute_changes(given, wait=5):
+    import datetime as dt
+    import zlib
+    from collections import defaultdict
+
+    rows = set(given)
+    seqs = defaultdict(set)
+    for r in rows:
+        seqs[r[1]].add(r[2])
+    rank = {c: {s: n + 1 for n, s in enumerate(sorted(own))} for c, own in seqs.items()}
+    batches = defaultdict(list)
+    for cid, client, seq, op, at, city, balance in rows:
+        h = zlib.crc32(str(cid).encode())
+        if at is not None and h % 11:
+            day = (at.date() - dt.date(1970, 1, 1)).days + 2 * (h % 4)
+            batches[min(8, 1 + (day - 19723) * 8 // 160)].append((day, cid, client, rank[client][seq], op, city, balance))
+    due, held, value, out, last, largest = defaultdict(lambda: 1), defaultdict(dict), defaultdict(lambda: (None, None)), {}, {}, None
+
+    def drain(c, b, missed=0):
+        while due[c] in held[c]:
+            _, cid, op, city, balance = held[c].pop(due[c])
+            was = value[c]
+            value[c] = {"I": (city, balance), "D": (None, None), "U": (was[0] if city is None else city, was[1] if balance is None else balance)}.get(op, was)
+            out[cid], last[c], missed = (c, "applied", b, missed, *value[c]), (cid, op), 0
+            due[c] += 1
+
+    for b in range(1, 10):
+        for c in list(held):
+            while held[c] and (b == 9 or largest is not None and min(h[0] for h in held[c].values()) + wait <= largest):
+                n = min(held[c])
+                missed, due[c] = n - due[c], n
+                drain(c, b, missed)
+        for day, cid, c, n, op, city, balance in sorted(batches[b], key=lambda r: r[:2]):
+            if n in held[c] or n < due[c]:
+                out[cid] = (c, "rejected", b, 0, None, None)
+            else:
+                held[c][n] = (day, cid, op, city, balance)
+                drain(c, b)
+        largest = max([r[0] for r in batches[b]] + ([largest] if largest is not None else []), default=None)
+    final = {cid for cid, op in last.values() if op != "D"}
+    return {cid: (*v, cid in final) for cid, v in out.items()}
+
+
+CHANGES = "change_id long, client_id long, seq long, op string, valid_at timestamp_ntz, city string, balance double, status string, n int"
+
+
+def test_changes_equal_brute_force(spark, monkeypatch):
+    import datetime as dt
+
+    monkeypatch.setattr(changes, "INLINE", 3)  # the map in the state store is used, and memory given up while reading
+    monkeypatch.setattr(changes, "MOST_READ", 5)
+    rng = random.Random(13)
+    rows = []
+    for cid in range(900):
+        client = rng.choice([None, 1, 1, 1, 1, *range(2, 12)])
+        day = rng.randint(0, 150)
+        at = None if rng.random() < 0.02 else dt.datetime(2024, 1, 1) + dt.timedelta(days=day, hours=rng.randint(0, 23))
+        if at and 40 <= day < 60:  # an empty batch, but for late days
+            at -= dt.timedelta(days=30)
+        rows.append((cid, client, day // 2 + rng.randint(0, 3), rng.choice("IUUUUD?"), at, rng.choice([None, "x", "y"]), rng.choice([None, 1.005, -2.5, 100.0])))
+    rows += rows[:40]
+    df = spark.createDataFrame([(*r, "s", 1) for r in rows], CHANGES).repartition(3)
+    got = changes.apply_changes(spark, df).collect()
+    want = brute_changes(rows)
+    assert {r.change_id: (r.client_id, r.status, r.batch, r.missed, r.city, r.balance, r.current) for r in got} == want and len(got) == len(want)
+    assert {v[1] for v in want.values()} == {"applied", "rejected"} and any(v[3] for v in want.values()) and any(v[2] == 9 for v in want.values())
+
+
+def test_no_changes_give_no_rows(spark):
+    assert changes.apply_changes(spark, spark.createDataFrame([], CHANGES)).count() == 0
