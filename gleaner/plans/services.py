@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from ..kept import fresh_path
 from ..operators import likeness, positions, versions
+from ..sources import cards as K
 from ..sources import committed as C
 from ..sources import live
-from .catalogue import base, query, table
+from .catalogue import base, cases, query, table
 
 PLAIN = "lower(translate(name, 'äöüÄÖÜéÉ', 'aouAOUeE'))"
 
@@ -81,3 +82,26 @@ def committed_files(spark, sf_dir):
     pages.write.format("committed").mode("append").option("path", folder).save()
     held = C.contents(spark, folder)
     return held.select("name", F.octet_length("content").cast("bigint").alias("size"), F.sha2("content", 256).alias("digest"))
+
+
+KIND = cases("page_id % 3", ("Employment", "accessions", "Separations"))
+#: Two cards after a page's own HTML: the first has no mark and no version of its own, the second may have both.
+CARDS_HTML = f"""coalesce(html, '') || '<div class="grid"><div class="Card card-a"><br><h3>Federal ' || {KIND} || ' Raw Data (July ' || CAST(2000 + page_id % 20 AS STRING) || ')</h3><p>text</div>'
+  || '<section class="card"><div><span class="big-title">Federal <b>Separations</b>&nbsp;Raw Data (May 2020 )</span></div><!-- Current --><p>Version: ' || CAST(page_id % 5 AS STRING) || CASE WHEN page_id % 4 = 0 THEN '<i>Current</i>' ELSE '' END || '</section></div>'"""
+
+
+@query(f"""SELECT page_id, 0::INT AS card_no, {KIND} AS source, 'July ' || CAST(2000 + page_id % 20 AS STRING) AS "dateLabel", '1' AS version, false AS "isCurrent" FROM pages
+  UNION ALL SELECT page_id, 1, 'Separations', 'May 2020', CAST(page_id % 5 AS STRING), page_id % 4 = 0 FROM pages""")
+def structured_cards(spark, sf_dir):
+    """Download cards put after all pages' HTML; a version or a mark counts for its own card only."""
+    return K.structured_cards(table(spark, sf_dir, "pages").select("page_id", F.expr(CARDS_HTML).alias("html")), "page_id")
+
+
+@query("""SELECT page_id, regexp_replace(regexp_replace(h, '<[^>]*>', '', 'g'), '&amp;', '&', 'g') AS heading
+  FROM (SELECT page_id, unnest(regexp_extract_all(html, '(?s)<h1>(.*?)</h1>', 1)) AS h FROM pages)""")
+def page_headings(spark, sf_dir):
+    """The first-level headings of all pages, by their structure."""
+    pages = table(spark, sf_dir, "pages")
+    heads = K.elements(pages, "page_id").where("name = 'h1'")
+    texts = pages.select("page_id", K.page_text(F.col("html")).alias("text"))
+    return heads.join(texts, "page_id").select("page_id", F.substring("text", F.col("start") + 1, F.col("end") - F.col("start")).alias("heading"))

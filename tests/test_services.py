@@ -214,3 +214,23 @@ def test_resumed_lookups_ask_once_and_wait_on_timers(spark):
     assert {r.documentId: (r.value, r.tries) for r in rows} == {"a": (1, 1), "slow": (4, 3), "gone": (None, 1), "had": (7, 0), "null": (None, 0), "new": (3, 1)} and len(rows) == 6
     asked = [f.split("-")[0] for f in os.listdir(log)]
     assert {k: asked.count(k) for k in set(asked)} == {"a": 1, "slow": 3, "gone": 1, "new": 1}
+
+
+# -- cards -------------------------------------------------------------------------------------------------------
+
+def test_cards_keep_their_own_version_and_mark(spark):
+    from gleaner.sources import cards
+
+    head = lambda kind, when: f"<h3>Federal {kind} Raw\nData ({when})</h3>"
+    pages = [
+        (1, f"<div class='card'>{head('Employment', ' May 2020 ')}</div><p>Version: 7 Current<div class='card'>{head('separations', 'June 2021')}<p>Version: 12<span>Current</span></div>"),
+        (2, f"<div><div><div>{head('Accessions', 'X')}</div>Version: 3</div>Current</div>"),  # no card: the parent of its parent
+        (3, f"<div class=wide-card><div class='inner card'>{head('Employment', 'A')}</div>Version: 9 Current</div>"),  # the nearest one
+        (4, f"<div class='card'><!-- Current --><script>if (a < b) {{ 'Version: 5' }}</script><img src='x'>{head('Employment', 'B&amp;C')}<br/><P>Version:4"),  # never closed
+        (5, None), (6, ""), (7, "<h1>Federal Employment</h1> Raw Data (no)"), (8, "< <> </ </div></div>" + f"<div class=\"card\"><b class='the-title'>Federal <i>Employment</i>&nbsp;Raw Data (C)</b></div>"),
+    ]
+    got = {(r.page_id, r.card_no): (r.source, r.dateLabel, r.version, r.isCurrent) for r in cards.structured_cards(spark.createDataFrame(pages, "page_id int, html string"), "page_id").collect()}
+    assert got == {
+        (1, 0): ("Employment", "May 2020", "1", False), (1, 1): ("separations", "June 2021", "12", True), (2, 0): ("Accessions", "X", "3", False),
+        (3, 0): ("Employment", "A", "1", False), (4, 0): ("Employment", "B&C", "1", False), (8, 0): ("Employment", "C", "1", False),
+    }
