@@ -12,6 +12,7 @@ from ..operators import classify as C
 from ..operators import extract as E
 from ..operators import relational as R
 from ..sources import landing as L
+from ..sources import rasters
 from ..sources.config import Config
 
 #: The columns of a final row, in their order.
@@ -192,6 +193,22 @@ def form_score(text: Column, text2: Column, text5: Column, layout: Column, ocr_t
     )
 
 
+def scored_files(files: DataFrame, images: DataFrame, key: str = "path", template=None, recognise=None) -> DataFrame:
+    """``files`` (key, text, text2, text5, layout) with vision, ocr_text and form_score.
+
+    images: key, page_no, pixels, width. The first page of a file is searched for ``template``, which makes its vision score
+    100; files with under 500 characters are recognised by ``recognise`` (a prepared page to its text). Only the images
+    that are needed go to Python workers.
+    """
+    none = files.select(key).limit(0)
+    seen = none.select(key, F.lit(True).alias("found")) if template is None else rasters.holding(images.where("page_no = 1"), template, key).where("found")
+    files = files.join(seen, key, "left").withColumn("vision", F.when(F.col("found"), 100)).drop("found")
+    short = files.where(F.col("vision").isNull() & (F.length(X.strip(F.coalesce("text", F.lit("")))) < 500)).select(key)
+    read = none.select(key, F.lit("").alias("ocr_text")) if recognise is None else rasters.recognised_pages(images.join(short, key, "left_semi"), recognise, key)
+    score = form_score(F.col("text"), F.col("text2"), F.col("text5"), F.col("layout"), F.col("ocr_text"), F.col("vision"))
+    return files.join(read, key, "left").withColumn("form_score", score)
+
+
 def download_cards(pages: DataFrame, files: DataFrame) -> DataFrame:
     """Cards of captured site pages (folder, page_no, html) whose file isn't there: with file_name, the current version only."""
     cards = L.cards(L.until_empty(pages)).where("isCurrent")

@@ -7,13 +7,14 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ..kept import fresh_path
 from ..operators import likeness, positions, versions
 from ..sources import cards as K
 from ..sources import committed as C
-from ..sources import live
+from ..sources import live, rasters
 from .catalogue import base, cases, query, table
 
 PLAIN = "lower(translate(name, 'äöüÄÖÜéÉ', 'aouAOUeE'))"
@@ -105,3 +106,38 @@ def page_headings(spark, sf_dir):
     heads = K.elements(pages, "page_id").where("name = 'h1'")
     texts = pages.select("page_id", K.page_text(F.col("html")).alias("text"))
     return heads.join(texts, "page_id").select("page_id", F.substring("text", F.col("start") + 1, F.col("end") - F.col("start")).alias("heading"))
+
+
+#: 40 by 40 grays from an embedding's values, in SQL that both engines read alike.
+GRAY = "CAST(floor(abs(e[1 + ((i * 7 + i // 40 * 11) % len(e))]) * 1000) AS BIGINT) % 200 + 20"
+GRAY_SPARK = "CAST(floor(abs(element_at(embedding, CAST(1 + ((i * 7 + i div 40 * 11) % size(embedding)) AS INT))) * 1000) AS BIGINT) % 200 + 20"
+
+
+def gray_images(spark, sf_dir):
+    """An image of 40 by 40 for each embedding."""
+    pixels = f"transform(sequence(0, 1599), i -> CAST({GRAY_SPARK} AS INT))"
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.expr(pixels).alias("pixels"), F.lit(40).alias("width"))
+
+
+@query(f"""SELECT vec_id, list_sum(list_transform(c, lambda p: CASE WHEN p < 170 THEN 0 ELSE 1 END))::BIGINT AS white, list_sum(c)::BIGINT AS total FROM (
+  SELECT vec_id, CASE WHEN h > l THEN list_transform(v, lambda p: greatest(0, least(255, trunc(p * (255.0::DOUBLE / (h - l)) - l * (255.0::DOUBLE / (h - l)))::INT))) ELSE v END AS c FROM (
+  SELECT vec_id, v, list_sort(v)[33] AS l, list_sort(v)[1568] AS h FROM (
+  SELECT vec_id, list_transform(range(0, 1600), lambda i: CAST({GRAY} AS INT)) AS v FROM (SELECT vec_id, embedding AS e FROM embeddings))))""")
+def prepared_images(spark, sf_dir):
+    """Images made from all embeddings, stretched without 2 % of their grays at either end: grays and white places."""
+    wide = gray_images(spark, sf_dir).select("vec_id", rasters.autocontrast(F.col("pixels"), 2.0).alias("c"))
+    add = lambda a, p: a + p
+    return wide.select("vec_id", F.aggregate(rasters.bilevel(F.col("c")), F.lit(0).cast("bigint"), lambda a, p: a + (p / 255).cast("bigint")).alias("white"), F.aggregate("c", F.lit(0).cast("bigint"), add).alias("total"))
+
+
+@query("SELECT vec_id, vec_id % 3 = 0 AS found FROM embeddings")
+def template_images(spark, sf_dir):
+    """Which images hold a template that was put into every third one, at places that differ."""
+    rng = np.random.default_rng(5)
+    template = np.kron(rng.integers(0, 2, (8, 8)) * 255, np.ones((3, 3)))
+    mark = F.array(*[F.array(*[F.lit(int(p)) for p in row]) for row in template])
+    images = gray_images(spark, sf_dir)
+    top, left = (F.col("vec_id") % 16).cast("int"), (F.col("vec_id") % 13).cast("int")
+    inside = lambda i: ((F.floor(i / 40) - top).between(0, 23)) & ((i % 40 - left).between(0, 23))
+    put = F.transform("pixels", lambda p, i: F.when(inside(i), F.get(F.get(mark, (F.floor(i / 40) - top).cast("int")), (i % 40 - left).cast("int"))).otherwise(p))
+    return rasters.holding(images.withColumn("pixels", F.when(F.col("vec_id") % 3 == 0, put).otherwise(F.col("pixels"))), template, "vec_id")

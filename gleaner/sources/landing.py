@@ -10,6 +10,7 @@ import re
 import time
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -71,8 +72,6 @@ def read_sheet(spark: SparkSession, path: str, sheet: str | None = None) -> Data
     """
     kind = path.rsplit(".", 1)[-1].lower()
     if kind == "xlsx":
-        import pandas as pd
-
         book = pd.ExcelFile(path)
         return spark.createDataFrame(book.parse(sheet if sheet in book.sheet_names else book.sheet_names[0], dtype=str))
     reader = spark.read.option("header", "true") if kind == "csv" else spark.read
@@ -113,8 +112,6 @@ def pdf_pages(files: DataFrame, most: int | None = None) -> DataFrame:
 
 def recognised(files: DataFrame, recognise: Callable[[bytes], str]) -> DataFrame:
     """ocr_text of files by a pluggable function from a file's bytes to its text; give only rows that need it."""
-    import pandas as pd
-
     def run(content: pd.Series) -> pd.Series:
         return content.map(recognise)
 
@@ -286,8 +283,6 @@ def pdf_widgets(files: DataFrame) -> DataFrame:
 
     def run(batches: Iterator) -> Iterator:
         import fitz
-        import pandas as pd
-
         for batch in batches:
             rows = []
             for path, content in zip(batch["path"], batch["content"]):
@@ -296,24 +291,3 @@ def pdf_widgets(files: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=["doc_id", "page_no", "widget_no", "field_name", "field_value"])
 
     return files.select("path", "content").mapInPandas(run, WIDGETS)
-
-
-def contains_template(page, template, least: float = 0.65, scales: tuple[float, ...] = (0.5, 0.75, 1.0, 1.25)) -> bool:
-    """Whether a gray page holds a gray template at one of several scales, by normalised cross-correlation (numpy arrays)."""
-    import numpy as np
-
-    page = np.asarray(page, float)
-    for scale in scales:
-        h, w = int(template.shape[0] * scale), int(template.shape[1] * scale)
-        if min(h, w) < 20 or h > page.shape[0] or w > page.shape[1]:
-            continue
-        small = np.asarray(template, float)[(np.arange(h) / scale).astype(int)][:, (np.arange(w) / scale).astype(int)]
-        small -= small.mean()
-        size = [page.shape[0] + h, page.shape[1] + w]
-        cross = np.fft.irfft2(np.fft.rfft2(page, size) * np.fft.rfft2(small[::-1, ::-1], size), size)[h - 1 : page.shape[0], w - 1 : page.shape[1]]
-        sums = [np.pad(np.cumsum(np.cumsum(x, 0), 1), ((1, 0), (1, 0))) for x in (page, page * page)]
-        one, two = (s[h:, w:] - s[:-h, w:] - s[h:, :-w] + s[:-h, :-w] for s in sums)
-        spread = np.sqrt(np.maximum(two - one * one / (h * w), 1e-9) * max((small * small).sum(), 1e-9))
-        if (cross / spread).max() > least:
-            return True
-    return False

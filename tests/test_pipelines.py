@@ -7,6 +7,7 @@ from gleaner.operators import classify as C
 from gleaner.operators import extract as E
 from gleaner.plans import pipelines as P
 from gleaner.sources import landing as L
+from gleaner.sources import rasters
 from gleaner.sources.config import Config
 
 FORM = "1. Public Document\n2. Please provide the concern: a long description of a forged and polished machine part made of steel\n3. 10-digit 8711600000\n4. Requestor Information Name: Smith John\nOrganization Name: Acme Corp\n6. YES 7. P 8. NO 9. N/A 10. 2015 Value: 5\nVERSION CONTINUED BCI Section 301 " + "word " * 50
@@ -103,9 +104,31 @@ def test_config_and_template(tmp_path):
     assert Config.load(str(tmp_path / "none.json")) == Config()
     Config(form_score=9).save(str(tmp_path / "c.json"))
     assert Config.load(str(tmp_path / "c.json")).form_score == 9
-    rng = np.random.default_rng(1)
-    logo = rng.integers(0, 255, (40, 30))
-    page = np.full((200, 150), 255)
-    page[60:100, 50:80] = logo
-    assert L.contains_template(page, logo) and not L.contains_template(rng.integers(0, 255, (200, 150)), logo)
     assert C.FORM_SCORE == 8 and E.ENOUGH == 5
+
+
+def test_images_are_prepared_searched_and_read(spark):
+    rng = np.random.default_rng(1)
+    logo = np.kron(rng.integers(0, 2, (10, 8)) * 255, np.ones((4, 4), int))  # 40 by 32
+    page = np.full((120, 90), 255)
+    page[60:100, 50:82] = logo
+    larger = np.full((120, 90), 200)
+    larger[5:55, 3:43] = rasters.resized(logo, 1.25)
+    noise = rng.integers(0, 255, (120, 90))
+    rows = [("a", 1, page), ("b", 1, larger), ("c", 1, noise), ("d", 2, page), ("e", 1, np.full((120, 90), 7)), ("f", 1, page[:10, :10])]
+    images = spark.createDataFrame([(k, n, p.ravel().tolist(), p.shape[1]) for k, n, p in rows] + [("g", 1, None, None)], "path string, page_no int, pixels array<int>, width int")
+    assert {r.path for r in rasters.holding(images, logo, "path").where("found").collect()} == {"a", "b", "d"}
+    own = {r.path: r.pixels for r in rasters.prepared(images.where("path in ('c', 'e')"), 1.0).collect()}
+    flat, cut = np.sort(noise.ravel()), noise.size // 100
+    low, high = flat[cut], flat[-1 - cut]
+    want = np.clip((noise.ravel() * (255.0 / (high - low)) - low * (255.0 / (high - low))).astype(int), 0, 255)
+    assert own["c"] == np.where(want < 170, 0, 255).tolist() and set(own["e"]) == {0}
+
+    def recognise(array):
+        assert set(np.unique(array)) <= {0, 255}
+        return "2015 value 2016 value" if array.shape == (120, 90) else 1 / 0
+
+    text = F.lit("x").alias("text"), F.lit("x").alias("text2"), F.lit("x").alias("text5"), F.lit(0).alias("layout")
+    got = {r.path: (r.vision, r.ocr_text, r.form_score) for r in P.scored_files(images.select("path", *text).distinct(), images, template=logo, recognise=recognise).collect()}
+    assert got["a"] == got["b"] == (100, None, 100) and got["c"] == (None, "2015 value 2016 value\n", 10) and got["f"] == (None, "\n", 0)
+    assert P.scored_files(images.select("path", *text).distinct(), images).count() == 7
