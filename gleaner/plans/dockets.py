@@ -247,6 +247,24 @@ def classify_messages(spark, sf_dir):
     return C.detect(rows, "first2", "full").select("doc_id", "is_form", "msg", "score")
 
 
+#: Whole texts whose first pages say something else than all of them.
+TWO_TEXTS = f"""SELECT doc_id, {cases("doc_id % 16", INJECTED)} || left(coalesce(text, ''), 700) AS first2, {cases("doc_id % 16", INJECTED)} || coalesce(text, '') || {cases("doc_id % 7", ("", " Public Document of Smith,John Inc code 8711600000 ", " section 301 form to request, htsus subheading ", None, " version continued 1234567890 LLC ", " provide any bci ", " Dear Ambassador Smith, "))} AS full_text FROM documents"""
+TWO_SQL = (
+    f"WITH two_texts AS ({TWO_TEXTS}), raw AS (SELECT doc_id * 2 AS doc_id, coalesce(first2, '') AS t FROM two_texts UNION ALL SELECT doc_id * 2 + 1, coalesce(full_text, '') FROM two_texts), one AS "
+    + DETECT_SQL.split(", one AS ", 1)[1].split("four AS (", 1)[0]
+    + """four AS (SELECT f.doc_id // 2 AS doc_id, g.full_text AS full_text, g.cl AS cl, f.full_text || f.cl AS a, f.full_text || g.cl AS b, g.full_text || g.cl AS c, lower(f.full_text || f.cl) AS la, lower(f.full_text || f.cl || g.cl) AS lall
+    FROM three f JOIN three g ON g.doc_id = f.doc_id + 1 WHERE f.doc_id % 2 = 0),
+  five AS ("""
+    + DETECT_SQL.split("five AS (", 1)[1]
+)
+
+
+@query(TWO_SQL)
+def classify_two_texts(spark, sf_dir):
+    """The form detector over all whole documents, whose first pages differ from the rest."""
+    return C.detect(values(spark, sf_dir, TWO_TEXTS, "documents"), "first2", "full_text").select("doc_id", "is_form", "msg", "score")
+
+
 KINDS_TEXT = (
     "", "HTS subheading: 8711.60.0090 of Primex ", "Item: 12ab part for ECM Industries I. Product Description ", "RE: Product Exclusion Request Number: 7 ", "Dear Ambassador, we hereby submit this request ", "requestor information Dear Ambassador section 301 investigation 2015 value ",
     "Request for Exclusion from Section 301; Subject: Procedures To Consider ", "Attachment A - drawing ", "Public Document, attachment ", "respectfully submits supplemental data, petitioner name ",
