@@ -350,7 +350,8 @@ def kept_documents(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     """The rows of ``docs``, with all their columns, of one document of each component, and all without words.
 
     Of a component the row of the smallest id stays; where that id has several of its texts, that of one set; of rows
-    that repeat, any one; rows without an id only where no row of the component has one.
+    that repeat, any one; rows without an id only where no row of the component has one. Columns may have any names but
+    ``_gone_id`` and ``_gone_mixed``.
     """
     facts, sets = grouped(spark, docs, id_col, text_col)
     chosen = sets.where(F.col("first_id").eqNullSafe(F.col("component_id"))).groupBy("component").agg(F.min("rep").alias("rep"))
@@ -360,12 +361,12 @@ def kept_documents(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     rows = keep(spark, rows.select("doc_id", "set_key", stays.alias("stays")), "verdicts")
     ids = rows.where("doc_id is not null").groupBy("doc_id").agg(F.count_if("stays").alias("stay"), F.count(F.lit(1)).alias("n"))
     # an id of one row, or none of whose rows stays, decides by itself; the others are told apart by their sets
-    gone = keep(spark, ids.where("stay = 0 or (stay > 0 and n > 1)").select(F.col("doc_id").alias("_id"), (F.col("stay") > 0).alias("_mixed")), "gone")
+    gone = keep(spark, ids.where("stay = 0 or (stay > 0 and n > 1)").select(F.col("doc_id").alias("_gone_id"), (F.col("stay") > 0).alias("_gone_mixed")), "gone")
     if gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
     number = F.col(id_col).cast("bigint")
-    kept = docs.where(number.isNotNull()).join(gone, number == F.col("_id"), "left_anti")
-    mixed = docs.join(gone.where("_mixed"), number == F.col("_id"), "left_semi").unionByName(docs.where(number.isNull()))
+    kept = docs.where(number.isNotNull()).join(gone, number == F.col("_gone_id"), "left_anti")
+    mixed = docs.join(gone.where("_gone_mixed"), number == F.col("_gone_id"), "left_semi").unionByName(docs.where(number.isNull()))
     if not mixed.limit(1).count():
         return kept
 

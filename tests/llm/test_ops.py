@@ -918,3 +918,10 @@ def test_changes_equal_brute_force(spark, monkeypatch):
 
 def test_no_changes_give_no_rows(spark):
     assert changes.apply_changes(spark, spark.createDataFrame([], CHANGES)).count() == 0
+
+
+def test_survivors_keep_columns_of_any_name(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    df = spark.createDataFrame([(1, text, "a"), (2, text, "b"), (3, "other words here that differ from those", "c"), (3, text + " end", "d"), (None, text, "e")], "doc_id long, text string, _id string")
+    got = neardup.kept_documents(spark, df.withColumn("_key", F.lit(1)).withColumn("set_key", F.lit("x")).withColumn("stays", F.lit(2)))
+    assert got.columns == ["doc_id", "text", "_id", "_key", "set_key", "stays"] and {r["_id"] for r in got.collect()} == {"a", "c"}
