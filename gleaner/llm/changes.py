@@ -168,7 +168,7 @@ SENTINEL = "-"
 
 def sequenced(spark: SparkSession, changes: DataFrame, first_day: int, days: int, batches: int) -> DataFrame:
     """Distinct changes with their number, day and batch; ``who`` is the key as text."""
-    rows = changes.distinct()
+    rows = changes.distinct().select("change_id", "client_id", "seq", "op", "valid_at", "city", "balance")
     ranks = dense_ranks(spark, rows, "client_id", "seq", "n").withColumnsRenamed({"client_id": "_client", "seq": "_seq"})
     code = F.crc32(F.col("change_id").cast("string").cast("binary"))
     day = F.unix_date(F.col("valid_at").cast("date")).cast("bigint") + 2 * (code % 4)
