@@ -210,3 +210,40 @@ def looked_up(ids: DataFrame, fetch: Callable[[str], tuple[int, dict | None]], k
 
     dealt = ids.select(key).repartition(tasks)
     return dealt.mapInArrow(run, f"{key} {kind}, {LOOKED_UP}", barrier=bool(per_hour))
+
+
+FETCHED = "status int, content_type string, content binary"
+
+
+def fetched_files(urls: DataFrame, fetch: Callable[[str], tuple[int, str | None, bytes | None]], url: str = "url", tries: int = 2, wait: float = 30.0, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+    """``urls`` with status, content_type and the content of what was fetched, null where it is no acceptable PDF.
+
+    ``fetch``: url to (status, content type, bytes). Each url is tried again after a wait, twice in all if not told otherwise; only
+    urls go to Python workers, and a few files at once come back.
+    """
+    from pyspark.sql import functions as F
+
+    from .landing import acceptable_pdf
+
+    kind = urls.schema[url].dataType.simpleString()
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            for value in batch.column(0).to_pylist():
+                answer: tuple = (0, None, None)
+                for n in range(tries if value is not None else 0):
+                    try:
+                        answer = fetch(value)
+                    except OSError:
+                        answer = (0, None, None)
+                    if answer[0] in (200, 404):
+                        break
+                    if n + 1 < tries:
+                        sleep(wait * (n + 1))
+                yield pa.RecordBatch.from_arrays([pa.array([value], batch.column(0).type), pa.array([answer[0]], pa.int32()), pa.array([answer[1]], pa.string()), pa.array([answer[2]], pa.binary())], names=["_url", "status", "content_type", "content"])
+
+    got = urls.select(url).distinct().mapInArrow(run, f"_url {kind}, {FETCHED}")
+    good = (F.col("status") == 200) & acceptable_pdf(F.length("content"), F.col("content_type"), F.substring("content", 1, 4))
+    return urls.join(got.withColumn("content", F.when(good, F.col("content"))), F.col(url) == F.col("_url"), "left").drop("_url")

@@ -169,6 +169,25 @@ def test_tasks_share_the_quota(spark):
     assert [live.pace(4, k, 3600)[1] for k in range(4)] == [0.0, 1.0, 2.0, 3.0]
 
 
+def test_only_acceptable_files_are_kept(spark):
+    log = tempfile.mkdtemp()
+
+    def fetch(url, log=log):
+        with open(f"{log}/{url}-{uuid.uuid4().hex}", "w"):
+            pass
+        if url == "bad":
+            raise OSError("no")
+        body = b"%PDF-1.4" + b"x" * 2000
+        return {"pdf": (200, "application/pdf", body), "blank": (200, "", body), "html": (200, "text/html", body), "small": (200, "application/pdf", b"%PDF"), "other": (200, "", b"GIF8" + body), "gone": (404, None, None), "busy": (503, None, body)}[url]
+
+    names = ["pdf", "blank", "html", "small", "other", "gone", "busy", "bad"]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate([*names, "pdf", None])], "n int, url string")
+    got = live.fetched_files(df, fetch, wait=0.0).collect()
+    assert len(got) == 10 and {r.url for r in got if r.content is not None} == {"pdf", "blank"} and {r.url: r.status for r in got}["bad"] == 0
+    asked = [f.split("-")[0] for f in os.listdir(log)]
+    assert {u: asked.count(u) for u in names} == {**dict.fromkeys(names, 1), "busy": 2, "bad": 2}
+
+
 # -- committed files ---------------------------------------------------------------------------------------------
 
 def test_files_of_a_failed_write_are_not_seen(spark):
