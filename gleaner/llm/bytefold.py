@@ -155,10 +155,9 @@ class Numbering:
                 self.of_segment[held] = numbers
         found += numbers
 
-    def text(self, text: str) -> list[int]:
-        """Numbers of a text's words. A blank between two visible characters always begins a word, so texts are cut there
+    def text(self, text: str, found: list[int]) -> None:
+        """Add the numbers of a text's words. A blank between two visible characters always begins a word, so texts are cut there
         first; blanks beside other white space stay inside."""
-        found: list[int] = []
         parts = iter(text.split(" "))
         held, known = next(parts), self.of_segment
         for part in parts:
@@ -172,7 +171,6 @@ class Numbering:
             else:
                 held = f"{held} {part}"
         self.segment(held, found)
-        return found
 
 
 def encode_decode(docs: DataFrame, path: str, pattern: str, outputs=("n_tokens", "ids", "decoded"), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -191,15 +189,18 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, outputs=("n_tokens",
             if anew := len(known.number) >= WORDS:
                 known.forget()
             known.new = []
-            found = [known.text(raw.as_py().decode("utf-8", "replace")) for raw in batch.column(1)]
+            numbers: list[int] = []
+            ends_at = [0]
+            for raw in batch.column(1):
+                known.text(raw.as_py().decode("utf-8", "replace"), numbers)
+                ends_at.append(len(numbers))
             words = [w.encode() for w in known.new]
             sizes = np.fromiter(map(len, words), np.int32, len(words))
             octets = np.frombuffer(b"".join(words), np.uint8).astype(np.int16)
             struct = pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.ListArray.from_arrays(ends(sizes), pa.array(octets))], names=["word", "octets"])
-            counts = np.fromiter(map(len, found), np.int32, len(found))
-            numbers = np.fromiter((n for f in found for n in f), np.int32, int(counts.sum()))
+            counts = np.diff(np.array(ends_at, np.int32))
             one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-            yield pa.RecordBatch.from_arrays([pa.array([anew]), one(batch.column(0)), one(pa.array(counts)), one(pa.array(numbers)), one(struct)], names=["anew", "keys", "counts", "numbers", "words"])
+            yield pa.RecordBatch.from_arrays([pa.array([anew]), one(batch.column(0)), one(pa.array(counts)), one(pa.array(np.array(numbers, np.int32))), one(struct)], names=["anew", "keys", "counts", "numbers", "words"])
 
     def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[bytes] = []
@@ -215,12 +216,13 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, outputs=("n_tokens",
                 ids += [raw[4 * a : 4 * b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
                 pieces += encoded.field(1).to_pylist()
                 keys, at = batch.column(1)[row].values, 0
-                numbers = batch.column(3)[row].values.to_pylist()
+                numbers = batch.column(3)[row].values.to_numpy()
+                ids_of, pieces_of = np.array([*ids, None], object), np.array([*pieces, None], object)
                 made: dict[str, list] = {o: [] for o in outputs}
                 for count in batch.column(2)[row].values.to_pylist():
                     own = numbers[at : at + count]
                     at += count
-                    coded = b"".join(map(ids.__getitem__, own))
+                    coded = b"".join(ids_of[own].tolist())
                     for o, into in made.items():
                         if o == "n_tokens":
                             into.append(len(coded) // 4)
@@ -229,7 +231,7 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, outputs=("n_tokens",
                         elif o == "ids_sha256":
                             into.append(hashlib.sha256(coded).hexdigest())
                         else:
-                            back = b"".join(map(pieces.__getitem__, own))
+                            back = b"".join(pieces_of[own].tolist())
                             into.append(back if o == "decoded" else hashlib.sha256(back).hexdigest())
                 yield pa.RecordBatch.from_arrays([keys, *(pa.array(v, KINDS[o]) for o, v in made.items())], names=[id_col, *outputs])
 
