@@ -19,14 +19,14 @@ HEADING, VERSION = r"(?iU)Federal\s+(Employment|Accessions|Separations)\s+Raw\s+
 ENTITIES = (("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#40;", "("), ("&#41;", ")"), ("&amp;", "&"))
 
 
-def decoded(text: Column) -> Column:
-    """Texts with the usual entities as characters."""
-    for name, character in ENTITIES:
+def decoded(text: Column, entities=ENTITIES) -> Column:
+    """Texts with entities, the usual ones if none are named, as characters."""
+    for name, character in entities:
         text = F.replace(text, F.lit(name), F.lit(character))
     return text
 
 
-def elements(pages: DataFrame, key: str, html_col: str = "html") -> DataFrame:
+def elements(pages: DataFrame, key: str, html_col: str = "html", entities=ENTITIES) -> DataFrame:
     """Elements of pages: key, name, class, level, first and last (places of its tags), start and end (in the page's text).
 
     ``key`` must be one page's. Elements that are never closed, and those of ``UNCLOSED``, are left out; null pages have none.
@@ -35,7 +35,7 @@ def elements(pages: DataFrame, key: str, html_col: str = "html") -> DataFrame:
     name = F.lower(F.regexp_extract("part", r"^</?([a-zA-Z][a-zA-Z0-9]*)", 1))
     tag = (name != "") & ~name.isin(*UNCLOSED) & ~F.col("part").endswith("/>") & ~name.isin("script", "style")
     step = F.when(tag & F.col("part").startswith("</"), -1).when(tag, 1).otherwise(0)
-    text = F.when(F.col("part").startswith("<") & (F.length("part") > 1), "").otherwise(decoded(F.col("part")))
+    text = F.when(F.col("part").startswith("<") & (F.length("part") > 1), "").otherwise(decoded(F.col("part"), entities))
     before = W.partitionBy(key).orderBy("place").rowsBetween(W.unboundedPreceding, W.currentRow)
     placed = parts.select(key, "place", "part", name.alias("name"), step.alias("step"), F.length(text).alias("size"))
     placed = placed.withColumn("depth", F.sum("step").over(before)).withColumn("at", F.sum("size").over(before)).where("step <> 0")
@@ -46,10 +46,10 @@ def elements(pages: DataFrame, key: str, html_col: str = "html") -> DataFrame:
     return paired.where("step = 1 AND closes = -1").select(key, "name", F.regexp_replace(found, "^[\"']|[\"']$", "").alias("class"), "level", F.col("place").alias("first"), "last", F.col("at").alias("start"), "end")
 
 
-def page_text(html: Column) -> Column:
-    """The text of a page, in which ``elements`` has its places."""
+def page_text(html: Column, entities=ENTITIES) -> Column:
+    """The text of a page, in which ``elements`` of the same entities has its places."""
     parts = F.regexp_extract_all(html, F.lit(PARTS), F.lit(0))
-    return F.array_join(F.transform(parts, lambda p: F.when(p.startswith("<") & (F.length(p) > 1), "").otherwise(decoded(p))), "")
+    return F.array_join(F.transform(parts, lambda p: F.when(p.startswith("<") & (F.length(p) > 1), "").otherwise(decoded(p, entities))), "")
 
 
 def structured_cards(pages: DataFrame, key: str, html_col: str = "html") -> DataFrame:
