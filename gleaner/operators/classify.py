@@ -173,10 +173,14 @@ def scanned_v1(first_pages: Column) -> Column:
     return _page_text(first_pages) < SCANNED_V1
 
 
-def scanned_v2(first_pages: Column, raw: Column) -> Column:
-    """Under 300 characters on two pages, under 200 after decoding, or text in a font without a proper encoding."""
+def scanned_v2(first_pages: Column, raw: Column, decoded: Column | None = None) -> Column:
+    """Under 300 characters on two pages, under 200 after decoding, or text in a font without a proper encoding.
+
+    ``decoded``: a column that holds ``X.decode_garbled(raw)``, if there is one.
+    """
+    decoded = X.decode_garbled(raw) if decoded is None else decoded
     garbled = X.has_any(raw, [g for g, _ in X.GARBLED[:20]]) & (F.length(X.strip(raw)) > 300)
-    return (_page_text(first_pages) < SCANNED_V2) | (F.length(X.strip(X.decode_garbled(raw))) < 200) | garbled
+    return (_page_text(first_pages) < SCANNED_V2) | (F.length(X.strip(decoded)) < 200) | garbled
 
 
 def _page_text(pages: Column) -> Column:

@@ -91,9 +91,12 @@ def status_of(code: Column) -> Column:
     return X.let(code, lambda x: F.when(x.isNotNull(), X.bci_status(x)))
 
 
-def from_text_v1(text: Column) -> dict[str, Column]:
-    """The fields of the first docket's plain text; rules see line ends as they are."""
-    clean = X.prepare_v1(text)
+def from_text_v1(text: Column, clean: Column | None = None) -> dict[str, Column]:
+    """The fields of the first docket's plain text; rules see line ends as they are.
+
+    ``clean``: a column that holds ``X.prepare_v1(text)``, so that the four answers don't each prepare the text.
+    """
+    clean = X.prepare_v1(text) if clean is None else clean
     named = lambda p: X.repair_v1(X.found(text, p))
     head = X.found(F.substring(text, 1, 500), r"(?idU)1\..*?(P|PV|B|BCI)")
     out = {"q1_bci_status": F.when(text.contains("Public Document"), "Public Document").otherwise(status_of(head))}
@@ -210,7 +213,8 @@ def extract_v1(docs: DataFrame, widgets: DataFrame, doc_col: str = "doc_id") ->
     forms, rest = merged_widgets(docs, widgets, doc_col)
     plain = F.array_join(F.slice(F.coalesce("pages", F.array()), 1, 3), "\n")
     rest = X.fenced(rest, {"_text": F.when(C.scanned_v1(F.col("pages")) & F.col("ocr_text").isNotNull(), F.col("ocr_text")).otherwise(plain)})
-    rest = X.fenced(rest, completed(from_text_v1(F.col("_text")))).drop("_text")
+    rest = X.fenced(rest, {"_clean": X.prepare_v1(F.col("_text"))})
+    rest = X.fenced(rest, completed(from_text_v1(F.col("_text"), F.col("_clean")))).drop("_text", "_clean")
     return forms.unionByName(finished(rest, F.lit("Scanned (OCR)")))
 
 
@@ -222,16 +226,16 @@ def extract_v2(docs: DataFrame, widgets: DataFrame, doc_col: str = "doc_id", kee
     pages = F.array_join(F.slice(F.coalesce("pages", F.array()), 1, 5), "\n")
     raw = F.when(F.length(X.strip(F.coalesce("raw_text", F.lit("")))) < 100, pages).otherwise(F.col("raw_text"))
     rest = X.fenced(rest, {"_raw": raw})
-    scanned = C.scanned_v2(F.col("pages"), F.col("_raw"))
-    read = F.length(X.strip(X.decode_garbled(F.coalesce("ocr_text", F.lit(""))))) >= 200
-    rest = X.fenced(rest, {"_kind": F.when(scanned & read, "Scanned+OCR").when(scanned, "Scanned").otherwise("Text")})
-    rest = X.fenced(rest, {"_text": X.prepare_v2(F.when(F.col("_kind") == "Text", F.col("_raw")).otherwise(F.col("ocr_text")), keep_newlines)})
+    rest = X.fenced(rest, {"_seen": X.decode_garbled(F.col("_raw")), "_read": X.decode_garbled(F.coalesce("ocr_text", F.lit("")))})
+    scanned = C.scanned_v2(F.col("pages"), F.col("_raw"), F.col("_seen"))
+    rest = X.fenced(rest, {"_kind": F.when(scanned & (F.length(X.strip(F.col("_read"))) >= 200), "Scanned+OCR").when(scanned, "Scanned").otherwise("Text")})
+    rest = X.fenced(rest, {"_text": X.unruled_v2(F.when(F.col("_kind") == "Text", F.col("_seen")).otherwise(F.col("_read")), keep_newlines)})
     kind = F.when(F.col("_kind") == "Scanned", "none").when(likely_form(F.col("_text")), "form").when(likely_new_pattern(F.col("_text")), "letter").otherwise("none")
     rest = X.fenced(rest, {"_rule": kind})
-    # frames, not branches of one expression: each rule set runs only over its own rows
-    parts = [X.fenced(rest.where(F.col("_rule") == k), completed(f(F.col("_text")))) for k, f in (("form", from_form_v2), ("letter", from_letter), ("none", lambda _: {}))]
-    rest = reduce(DataFrame.unionByName, parts)
-    return forms.unionByName(finished(rest, F.col("_kind")).drop("_raw", "_kind", "_text", "_rule"))
+    # native branches run only for their own rows; one frame for each rule would read and prepare everything once more
+    form, letter = (completed(f(F.col("_text"))) for f in (from_form_v2, from_letter))
+    rest = X.fenced(rest, {f: F.when(F.col("_rule") == "form", form[f]).when(F.col("_rule") == "letter", letter[f]).otherwise("") for f in FIELDS})
+    return forms.unionByName(finished(rest, F.col("_kind")).drop("_raw", "_seen", "_read", "_kind", "_text", "_rule"))
 
 
 def with_llm_fields(docs: DataFrame, ask, text_col: str = "text") -> DataFrame:

@@ -17,7 +17,7 @@ from ..operators import extract as E
 from ..operators import relational as R
 from ..sources import landing as L
 from . import pipelines as P
-from .catalogue import BASES, base, cases, query, table
+from .catalogue import BASES, base, cases, query, spread, table
 
 # -- SQL of the building blocks ------------------------------------------------------------------------------------
 
@@ -114,9 +114,11 @@ ODD_NAMES = ("I Smith__ John -- left", "...Acme ln_c of;; the: Coast", "|_ln_c_
 NAMED = f"SELECT o_orderkey, {cases('o_orderkey % 12', ODD_NAMES)} || CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE ' ' || o_orderpriority END AS v FROM orders"
 
 
-def values(spark, sf_dir, text: str, name: str = "orders"):
+def values(spark, sf_dir, text: str, name: str = "orders", costly: bool = False):
+    """Rows made by SQL from a table, which is dealt over all cores beforehand if what follows is ``costly``."""
     text = re.sub(rf"FROM {name}\b", f"FROM {{{name}}}", text.replace("{", "{{").replace("}", "}}"))
-    return spark.sql(text, **{name: table(spark, sf_dir, name)})
+    rows = table(spark, sf_dir, name)
+    return spark.sql(text, **{name: spread(rows) if costly else rows})
 
 
 @query(f"SELECT o_orderkey, {repair1('v')} AS first, {repair2('v')} AS second FROM ({NAMED})")
@@ -378,7 +380,8 @@ PREPARED_V1 = squeezed(f"replace(regexp_replace(t, '[~_=]+', ' ', 'g'), {lit(X.B
 @query(f"WITH f AS ({FORMS}) SELECT o_orderkey, {', '.join(f'{sanitized(V1[n])} AS {n}' for n in E.FIELDS)} FROM (SELECT *, {PREPARED_V1} AS c FROM f)")
 def form_fields_v1(spark, sf_dir):
     """All fields of the first docket's plain texts, of many shapes."""
-    return X.fenced(values(spark, sf_dir, FORMS), E.completed(E.from_text_v1(F.col("t")))).select("o_orderkey", *E.FIELDS)
+    rows = X.fenced(values(spark, sf_dir, FORMS, costly=True), {"c": X.prepare_v1(F.col("t"))})
+    return X.fenced(rows, E.completed(E.from_text_v1(F.col("t"), F.col("c")))).select("o_orderkey", *E.FIELDS)
 
 
 def gated(field: str, value: str) -> str:
@@ -405,7 +408,7 @@ V2 = {
 @query(f"WITH f AS ({FORMS}) SELECT o_orderkey, {', '.join((sanitized(gated(n, V2[n])) if n in V2 else lit('')) + f' AS {n}' for n in E.FIELDS)} FROM (SELECT *, lower(t) AS l FROM f)")
 def form_fields_v2(spark, sf_dir):
     """All fields of the second docket's standard forms, of many shapes, with line ends kept."""
-    return X.fenced(values(spark, sf_dir, FORMS), E.completed(E.from_form_v2(F.col("t")))).select("o_orderkey", *E.FIELDS)
+    return X.fenced(values(spark, sf_dir, FORMS, costly=True), E.completed(E.from_form_v2(F.col("t")))).select("o_orderkey", *E.FIELDS)
 
 
 LETTERS_TEXT = (
@@ -448,7 +451,7 @@ EXTRACTED = """SELECT o_orderkey AS doc_id, CASE o_orderkey % 4 WHEN 0 THEN 'sho
 
 
 def _extracted(spark, sf_dir):
-    rows = values(spark, sf_dir, EXTRACTED).select("doc_id", F.array("page").alias("pages"), "ocr_text", F.lit(None).cast("string").alias("raw_text"), "has_widgets")
+    rows = values(spark, sf_dir, EXTRACTED, costly=True).select("doc_id", F.array("page").alias("pages"), "ocr_text", F.lit(None).cast("string").alias("raw_text"), "has_widgets")
     names = (("bci", "P"), ("hts", "8711.60.00"), ("relationship", "Importer"), ("attachments", "yes"), ("2015 value", "$1,000"), ("comments", "Off"))
     widgets = rows.where("has_widgets").select("doc_id", F.lit(1).alias("page_no"), F.inline(F.array(*[F.struct(F.lit(i).alias("widget_no"), F.lit(n).alias("field_name"), F.lit(v).alias("field_value")) for i, (n, v) in enumerate(names)])))
     return rows.drop("has_widgets"), widgets
@@ -624,7 +627,7 @@ IMAGE_SQL = f"SELECT p_partkey, list_transform(range(1, 401), lambda i: {PIXEL})
   FROM (SELECT *, list_sum(v) / 400.0 AS m FROM ({IMAGE_SQL}))""")
 def blank_images(spark, sf_dir):
     """Images that are mostly blank."""
-    images = table(spark, sf_dir, "part").select("p_partkey", F.expr(f"transform(sequence(1, 400), i -> {PIXEL})").alias("v"))
+    images = spread(table(spark, sf_dir, "part").select("p_partkey", "p_size")).select("p_partkey", F.expr(f"transform(sequence(1, 400), i -> {PIXEL})").alias("v"))
     return images.select("p_partkey", L.mostly_blank(F.col("v")).alias("blank"))
 
 
@@ -632,5 +635,5 @@ def blank_images(spark, sf_dir):
   FROM (SELECT p_partkey, w, floor(list_sum(w) / 400.0 + 0.5) AS m FROM (SELECT p_partkey, list_transform(v, lambda x: CASE WHEN h > l THEN floor((x - l) * 255.0 / (h - l)) ELSE CAST(x AS DOUBLE) END) AS w FROM (SELECT *, list_min(v) AS l, list_max(v) AS h FROM ({IMAGE_SQL}))))""")
 def enhanced_images(spark, sf_dir):
     """Images with their gray values stretched, before recognition."""
-    images = table(spark, sf_dir, "part").select("p_partkey", F.expr(f"transform(sequence(1, 400), i -> {PIXEL})").alias("v"))
+    images = spread(table(spark, sf_dir, "part").select("p_partkey", "p_size")).select("p_partkey", F.expr(f"transform(sequence(1, 400), i -> {PIXEL})").alias("v"))
     return images.select("p_partkey", L.enhanced(F.col("v")).alias("v"))

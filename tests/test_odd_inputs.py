@@ -4,8 +4,11 @@ import os
 import tempfile
 
 import duckdb
+import pytest
+from pyspark.sql import functions as F
 from test_catalogue import spark_rows
 
+from gleaner.functions import text as X
 from gleaner.plans import catalogue
 
 
@@ -31,3 +34,28 @@ def test_grays_are_of_float_products(spark):
     # as float these thousandfold values are whole numbers, as double a little less
     rows = [(i, [0.7799999713897705, 0.671999990940094, 0.6269999742507935, 0.1 * i, -0.35]) for i in range(6)]
     agrees(spark, "prepared_images", embeddings=spark.createDataFrame(rows, "vec_id bigint, embedding array<float>"))
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_second_dispatcher_prepares_its_rows_once(spark):
+    assert plan(catalogue.QUERIES["extract_second"](spark, "/root/testdata/sf0.001")).count("LeftAnti") == 1
+
+
+@pytest.mark.parametrize("name", ["extract_second", "form_fields_v1", "form_fields_v2", "blank_images", "enhanced_images"])
+def test_costly_rows_of_small_files_are_dealt_over_all_cores(spark, name):
+    assert "REPARTITION_BY_NUM" in plan(catalogue.QUERIES[name](spark, "/root/testdata/sf0.001"))
+
+
+def test_quicker_text_steps_give_what_patterns_give(spark):
+    ends = ["", *"\t\n\x0b\x0c\r\x1c\x85\xa0 ᠎  ​    　 ", "\r\n", " \n\n", "　\xa0"]
+    rows = [(a + m + b,) for a in ends for b in ends for m in ("", "x", "x  y")] + [(None,)]
+    df = spark.createDataFrame(rows, "v string")
+    assert df.where(~X.strip(F.col("v")).eqNullSafe(F.regexp_replace("v", r"(?U)^\s+|\s+$", ""))).count() == 0
+    words = spark.createDataFrame([("3FRVFTUPS*OGPSNBUJPO",), ("3FRVFTU3FRVFTUPS/BNF QVCMJDEPDVNFOU",), ("7&34*0",), ("",), (None,)], "v string")
+    plain = F.col("v")
+    for a, b in X.GARBLED:
+        plain = F.replace(plain, F.lit(a), F.lit(b))
+    assert words.where(~X.replaced(F.col("v"), X.GARBLED).eqNullSafe(plain)).count() == 0
