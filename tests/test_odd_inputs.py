@@ -1,6 +1,7 @@
 """Queries against their SQL on inputs that the test tables lack."""
 
 import os
+import random
 import tempfile
 
 import duckdb
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from test_catalogue import spark_rows
 
 from gleaner.functions import text as X
+from gleaner.operators import likeness
 from gleaner.plans import catalogue
 
 
@@ -59,3 +61,11 @@ def test_quicker_text_steps_give_what_patterns_give(spark):
     for a, b in X.GARBLED:
         plain = F.replace(plain, F.lit(a), F.lit(b))
     assert words.where(~X.replaced(F.col("v"), X.GARBLED).eqNullSafe(plain)).count() == 0
+
+
+def test_names_of_few_syllables_seldom_meet(spark):
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice(("an", "ma", "jo", "el", "to", "ren", "vic", "son", "dal", "ber", "tan", "lo")) for _ in range(n))
+    names = spark.createDataFrame([(n,) for n in {f"{word(3)} {word(4)}" for _ in range(600)}], "name string")
+    met = likeness.shorter_tokens(names, 80).join(likeness.longer_tokens(names, 80), "token").where("a <> b").count()
+    assert met < 0.05 * names.count() ** 2 / 2  # by seldom q-grams alone most pairs met
