@@ -23,8 +23,8 @@ def codes(text: Column) -> Column:
         plain = F.transform(hits, lambda h: F.regexp_replace(h, r"(?U)[.\s]", ""))
         return F.array_sort(F.array_distinct(F.filter(plain, lambda h: h.rlike(r"^\d+$") & F.length(h).isin(8, 10) & ~h.isin(*DUMMIES))))
 
-    # every way to write a code begins with four digits: most texts need one scan
-    return let(text, lambda t: F.when(t.rlike(r"(?U)\d{4}"), listed(t)).otherwise(none))
+    # every way to write a code has four, two and two digits with a dot or a blank between at most: most texts need one scan
+    return let(text, lambda t: F.when(t.rlike(r"(?U)\d{4}[.\s]?\d{2}[.\s]?\d{2}"), listed(t)).otherwise(none))
 
 
 def padded_code(value: Column) -> Column:

@@ -47,12 +47,18 @@ def any_case(c: Column, patterns) -> list[Column]:
     return [c.rlike(f"(?iU){p}") for p in patterns]
 
 
-def clean_texts(first: Column, full: Column) -> tuple[Column, Column]:
-    """Both texts without control characters, decoded, and, if the first is doubled, with runs collapsed."""
-    first, full = (X.controls_to_blanks(c) for c in (first, full))
-    first, full = (X.decode_cid(c) for c in (first, full))
-    doubled = X.is_doubled(first)
-    return tuple(X.replaced(F.when(doubled, X.collapse_runs(c)).otherwise(c), X.GARBLED_SHORT) for c in (first, full))
+def clean_texts(docs: DataFrame, first: str, full: str) -> DataFrame:
+    """``docs`` with _cf and _cl: both texts without control characters, decoded, and, if the first is doubled, with runs collapsed.
+
+    Each step has a fence of its own, so that it runs once for a text; a text that equals the other isn't cleaned again.
+    """
+    decoded = lambda c: X.let(X.controls_to_blanks(F.col(c)), X.decode_cid)
+    even = lambda c: X.replaced(F.when(F.col("_doubled"), X.collapse_runs(F.col(c))).otherwise(F.col(c)), X.GARBLED_SHORT)
+    held = X.fenced(docs, {"_df": decoded(first)})
+    held = X.fenced(held, {"_dl": F.when(F.col(first) == F.col(full), F.col("_df")).otherwise(decoded(full)), "_doubled": X.is_doubled(F.col("_df"))})
+    held = X.fenced(held, {"_cf": even("_df")})
+    held = X.fenced(held, {"_cl": F.when(F.col("_dl") == F.col("_df"), F.col("_cf")).otherwise(even("_dl"))})
+    return held.drop("_df", "_dl", "_doubled")
 
 
 def detect(docs: DataFrame, first_col: str = "first2", full_col: str = "full") -> DataFrame:
@@ -61,8 +67,7 @@ def detect(docs: DataFrame, first_col: str = "first2", full_col: str = "full") -
     Exclusions come first and in order; then the form rules; codes in messages are the smallest found.
     """
     held = X.fenced(docs, {"_first": F.coalesce(first_col, F.lit("")), "_full": F.coalesce(full_col, F.lit(""))})
-    clean_first, clean_full = clean_texts(F.col("_first"), F.col("_full"))
-    held = X.fenced(held, {"_cf": clean_first, "_cl": clean_full})
+    held = clean_texts(held, "_first", "_full")
     # one copy of each joined text and its lower case, so that no rule builds its own
     held = X.fenced(held, {"_a": F.concat("_first", "_cf"), "_b": F.concat("_first", "_cl"), "_c": F.concat("_full", "_cl")})
     held = X.fenced(held, {"_la": F.lower("_a"), "_lall": F.lower(F.concat("_a", "_cl")), "_lfull": F.lower("_full"), "_lclean": F.lower("_cl"), "_codes": K.codes(F.concat_ws(" ", "_full", "_cl"))})

@@ -245,7 +245,7 @@ DETECT_SQL = f"""WITH raw AS ({DETECTED}), one AS (SELECT doc_id, t AS full_text
 @query(DETECT_SQL)
 def classify_messages(spark, sf_dir):
     """The form detector over every document with an injected phrase."""
-    rows = values(spark, sf_dir, DETECTED, "documents").select("doc_id", F.col("t").alias("first2"), F.col("t").alias("full"))
+    rows = values(spark, sf_dir, DETECTED, "documents", costly=True).select("doc_id", F.col("t").alias("first2"), F.col("t").alias("full"))
     return C.detect(rows, "first2", "full").select("doc_id", "is_form", "msg", "score")
 
 
@@ -286,7 +286,7 @@ NEW_SQL = f"""((({matches("l", r"hts\s+subheading\s*:\s*\d{4}\.\d{2}\.\d{4}")} O
 def document_kinds(spark, sf_dir):
     """The second docket's tests over every document with an injected phrase."""
     t = F.col("d")
-    rows = X.fenced(values(spark, sf_dir, KINDS, "documents"), {"d": X.decode_garbled(F.col("t"))})
+    rows = X.fenced(values(spark, sf_dir, KINDS, "documents", costly=True), {"d": X.decode_garbled(F.col("t"))})
     return rows.select("doc_id", C.new_pattern(t).alias("new_pattern"), C.response_letter(t).alias("response"), C.cover_letter(t, t).alias("cover"), C.product_attachment(t).alias("product"), C.wrong_type(t, t, t).alias("wrong"), C.rescue_score(t).alias("rescue"))
 
 
@@ -296,7 +296,7 @@ def document_kinds(spark, sf_dir):
 def field_gates(spark, sf_dir):
     """The words that let a field be looked for, and the tests of the two layouts."""
     t = F.col("t")
-    return values(spark, sf_dir, KINDS, "documents").select("doc_id", *[E.gate(t, f).alias(f) for f in E.GATES], E.likely_form(t).alias("likely_form"), E.likely_new_pattern(t).alias("likely_letter"))
+    return values(spark, sf_dir, KINDS, "documents", costly=True).select("doc_id", *[E.gate(t, f).alias(f) for f in E.GATES], E.likely_form(t).alias("likely_form"), E.likely_new_pattern(t).alias("likely_letter"))
 
 
 PAGED = "SELECT doc_id, left(coalesce(text, ''), CAST(doc_id % 400 AS INT)) || CASE WHEN doc_id % 7 = 0 THEN ' 3FRVFTUPS ' || left(coalesce(text, ''), 350) ELSE '' END AS one, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE substr(text, 300, CAST(doc_id % 90 AS INT)) END AS two FROM documents"
@@ -307,7 +307,7 @@ PAGES_SIZE = f"(length({stripped('coalesce(one, {0})').format(chr(39) * 2)}) + l
 def scanned_pages(spark, sf_dir):
     """Whether the first pages count as scanned, for both dockets."""
     pages = F.array("one", "two")
-    return values(spark, sf_dir, PAGED, "documents").select("doc_id", C.scanned_v1(pages).alias("first"), C.scanned_v2(pages, F.col("one")).alias("second"))
+    return values(spark, sf_dir, PAGED, "documents", costly=True).select("doc_id", C.scanned_v1(pages).alias("first"), C.scanned_v2(pages, F.col("one")).alias("second"))
 
 
 LAYOUT = f"SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'HTSUS;Product Description;x' WHEN 1 THEN '2015 Value;Requestor Name' END AS names, p_size % 25 AS boxes, rpad(p_name, CAST(p_partkey % 7 * 100 + 20 AS INT), 'x') AS v FROM part"

@@ -70,6 +70,11 @@ def test_picks_use_no_windows(spark):
         assert "Window" not in plan and "CartesianProduct" not in plan
 
 
+@pytest.mark.parametrize("name", ["classify_messages", "document_kinds", "field_gates", "scanned_pages"])
+def test_costly_documents_are_dealt_over_all_cores(spark, name):
+    assert "RoundRobinPartitioning" in catalogue.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     plan = catalogue.QUERIES["drop_date_columns"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "l_shipdate" not in plan and "l_comment" not in plan

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from gleaner.functions import codes as K
 from gleaner.operators import classify as C
 from gleaner.operators import extract as E
 from gleaner.operators import relational as R
@@ -194,3 +195,21 @@ def test_landing_stream_takes_each_file_once(spark, tmp_path):
     spark.range(3, 5).write.mode("append").parquet(src)
     run()
     assert sorted(r.x for r in spark.read.parquet(out).collect()) == [0, 2, 4, 6, 8]
+
+
+def test_detector_cleans_a_text_once(spark):
+    """The optimizer must not copy a cleaning step into its uses: each would clean the text anew."""
+    df = spark.createDataFrame([(1, "a", "b")], "id int, first2 string, full string")
+    plan = C.detect(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(r"[\x00-\x1f\x7f-\x9f]") <= 2 and plan.count(r"\(cid:[0-9]+\)") <= 2
+    garbled = "vveerrssiioonn" * 10 + "\x07" + "7&34*0/" + "(cid:72)" * 12
+    rows = C.clean_texts(spark.createDataFrame([(garbled, garbled), (garbled, "aabcd"), ("aabcd", garbled), ("", "")], "a string, b string"), "a", "b").select("_cf", "_cl").collect()
+    assert rows[0]._cf == rows[0]._cl == "version" * 10 + " VERSIONH" and (rows[1]._cf, rows[1]._cl) == (rows[0]._cf, "abcd")
+    assert rows[2]._cf == "aabcd" and rows[2]._cl == "vveerrssiioonn" * 10 + " VERSION" + "H" * 12 and rows[3]._cf == rows[3]._cl == ""
+
+
+def test_codes_in_every_way_to_write_them(spark):
+    text = "a 8711600000 b 8711.60.00.01 c 8711 60 00 02 d 8711.60.0003 e HTS: 87116004 f HTSUS#8711 60 0005x"
+    alone = {w: flag(spark, K.codes(F.col("t")), t=w) for w in ("8711600000", "8711.60.00.01", "8711 60 00 02", "8711.60.0003", "HTS: 87116004", "HTSUS#8711 60.0005x", "8711 6", "1234")}
+    assert [v for v in alone.values()] == [["8711600000"], ["8711600001"], ["8711600002"], ["8711600003"], ["87116004"], ["8711600005"], [], []]
+    assert flag(spark, K.codes(F.col("t")), t=text) == sorted(v[0] for v in list(alone.values())[:6])
