@@ -264,7 +264,7 @@ TWO_SQL = (
 @query(TWO_SQL)
 def classify_two_texts(spark, sf_dir):
     """The form detector over all whole documents, whose first pages differ from the rest."""
-    return C.detect(values(spark, sf_dir, TWO_TEXTS, "documents"), "first2", "full_text").select("doc_id", "is_form", "msg", "score")
+    return C.detect(values(spark, sf_dir, TWO_TEXTS, "documents", costly=True), "first2", "full_text").select("doc_id", "is_form", "msg", "score")
 
 
 KINDS_TEXT = (

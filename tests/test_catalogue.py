@@ -70,7 +70,7 @@ def test_picks_use_no_windows(spark):
         assert "Window" not in plan and "CartesianProduct" not in plan
 
 
-@pytest.mark.parametrize("name", ["classify_messages", "document_kinds", "field_gates", "scanned_pages"])
+@pytest.mark.parametrize("name", ["classify_messages", "classify_two_texts", "document_kinds", "field_gates", "scanned_pages"])
 def test_costly_documents_are_dealt_over_all_cores(spark, name):
     assert "RoundRobinPartitioning" in catalogue.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
 
