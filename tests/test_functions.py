@@ -1,5 +1,7 @@
 """Golden rows of the scalar functions, quirks included."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,3 +62,18 @@ def test_file_name(spark):
 
 def test_similarity(spark):
     assert one(spark, X.similarity, "requestor", "requester") == pytest.approx(8 / 9)
+
+
+@pytest.mark.parametrize(("title", "material"), [
+    ("Denied, Acme, pump, HTS 12345678", "pump"), ("Denied, Acme, pump HTSUS12345678", "pump"), ("Denied, Acme, HTS 12345678", None), ("Denied, Acme, a, , HTS 12345678", "a,"),
+    ("Denied, Acme, HTS 12345678, b", "HTS 12345678, b"), ("Denied, Acme, a,", "a,"), ("Denied, Acme,", None), ("Denied, Acme", None), ("Acme, a, xHTS 12345678 ", "a, x"), (None, None),
+])
+def test_material_of_titles(spark, title, material):
+    assert spark.createDataFrame([(title,)], "t string").select(T.parse_title(F.col("t")).alias("p")).first().p.material == material
+
+
+@pytest.mark.parametrize("title", ["Denied, Acme, a{}b, HTS 12345678", "Denied, Acme, a{}b HTS 12345678"])
+def test_titles_with_long_runs_of_blanks_take_time_by_their_length(spark, title):
+    began = time.monotonic()
+    found = spark.createDataFrame([(title.format(" " * 400_000),)], "t string").select(T.parse_title(F.col("t")).alias("p")).first().p
+    assert found.material == f"a{' ' * 400_000}b" and found.hts == "12345678" and time.monotonic() - began < 20
