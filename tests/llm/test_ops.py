@@ -658,6 +658,24 @@ def test_state_is_carried_over_windows_and_documents_are_apart():
         assert np.allclose(got, net.output(out.reshape(-1, rnnlm.WIDTH), d), atol=1e-4)
 
 
+def test_network_reads_and_predicts_every_token(spark):
+    words = [f"w{i}" for i in range(3000)]
+    h = np.concatenate([rnnlm.hashed(w.encode())[:1] for w in words])
+    counts = spark.createDataFrame([(int(x), 3000 - i) for i, x in enumerate(h.view(np.int64))], "h bigint, c bigint")
+    totals = [tuple(r) for r in rnnlm.shared_totals(counts)]
+    found = rnnlm.Vocabulary([(r.h, r.c) for r in counts.collect()], totals)
+    never = rnnlm.hashed(" ".join(f"n{i}" for i in range(2000)).encode())[:-1]
+    ids, c = found.look(np.concatenate([h, never]))
+    assert len(set(ids[: rnnlm.OWN - 1])) == rnnlm.OWN - 1 and ids[: rnnlm.OWN - 1].max() < rnnlm.OWN
+    # all others, seen or not, aren't one token to the network
+    assert ids[rnnlm.OWN - 1 :].min() >= rnnlm.OWN and len(set(ids[3000:])) > rnnlm.SHARED // 2 and (c[3000:] == -1).all()
+    # a shared id's tokens and one that was never seen have all of its probability
+    rest = np.zeros(rnnlm.SHARED) + 10.0 ** -found.rest
+    tail = ids[:3000] >= rnnlm.OWN
+    np.add.at(rest, ids[:3000][tail] - rnnlm.OWN, (c[:3000][tail] + 1) / 10.0 ** found.rest[ids[:3000][tail] - rnnlm.OWN])
+    assert np.allclose(rest, 1) and found.rest_n.sum() == c[:3000][tail].sum()
+
+
 # -- pipeline -----------------------------------------------------------------------------------------------------
 
 def test_pipeline_stages_do_what_their_operators_say(spark):
