@@ -1,8 +1,11 @@
 """Each operator against brute force, and on awkward rows: nulls, empty and long texts, ties, no rows, clashing columns."""
 
+import base64
 import hashlib
 import random
 import re
+import sys
+import time
 from collections import Counter
 from math import log10
 
@@ -864,6 +867,74 @@ def test_byte_fold_equals_the_library(spark, awkward, monkeypatch):
     assert bytefold.encode_decode(empty(spark), path, public_tokenizers.PATTERN).count() == 0
 
 
+def library_of(path):
+    import tiktoken
+
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bytefold.ranks_of(path), special_tokens={})
+
+
+def folded(spark, texts, path):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [list(r.ids) for r in bytefold.encode_decode(df, path, public_tokenizers.PATTERN, ("ids",)).orderBy("doc_id").collect()]
+
+
+def test_byte_fold_takes_merges_by_rank_not_by_place(spark):
+    """A step for each merge over all its neighbours took minutes for such words."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    rng = random.Random(121)
+    texts = ["".join(rng.choice(letters) for _ in range(20_000)) for letters in ("etaoinshr", "ab", "éàtion")] + ["a" * 20_001]
+    folded(spark, ["warm"], path)
+    start = time.monotonic()
+    got = folded(spark, texts, path)
+    assert time.monotonic() - start < 60
+    assert got == [library_of(path).encode_ordinary(t) for t in texts]
+
+
+@pytest.mark.parametrize("tokens, ordered", [(["ab", "abc", "bc", "abcd", "aa", "aaa"], True), (["abc", "bc", "ab", "aaa"], False), (["bcd", "abcd", "bc", "ab"], False)])
+def test_byte_fold_takes_any_ranks(spark, tmp_path, tokens, ordered):
+    """Ranks by which no merges lead to a token, or only later ones, too: a whole word can still be that token."""
+    rng = random.Random(122)
+    octets = [bytes([b]) for b in range(256)]
+    rng.shuffle(octets)
+    path = tmp_path / "own.tiktoken"
+    path.write_text("".join(f"{base64.b64encode(t).decode()} {i}\n" for i, t in enumerate([*octets, *(t.encode() for t in tokens)])))
+    assert (bytefold.halves_of(str(path)) is not None) == ordered
+    texts = ["".join(rng.choice("aabbcd ") for _ in range(rng.randint(0, 20))) for _ in range(300)] + tokens + ["a" * 9, "é漢", ""]
+    assert folded(spark, texts, str(path)) == [library_of(str(path)).encode_ordinary(t) for t in texts]
+
+
+def test_byte_fold_deals_words_and_texts_in_small_rows(spark, monkeypatch):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    rng = random.Random(124)
+    texts = [" ".join("".join(rng.choice("abcdeé1,") for _ in range(rng.randint(1, 9))) for _ in range(rng.randint(0, 12))) for _ in range(400)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    want = [library_of(path).encode_ordinary(t) for t in texts]
+    for words, row_words, row_texts in ((10**6, 7, 3), (200, 7, 3), (200, 1, 50), (1, 500, 1)):
+        for name, value in (("WORDS", words), ("ROW_WORDS", row_words), ("ROW_TEXTS", row_texts)):
+            monkeypatch.setattr(bytefold, name, value)
+        assert folded(spark, texts, path) == want
+
+
+def test_byte_fold_cuts_segments_as_the_pattern_does():
+    import regex
+
+    words_of = regex.compile(public_tokenizers.PATTERN).findall
+    letters = [chr(c) for c in range(sys.maxunicode + 1) if chr(c).isalpha()]
+    assert all(words_of(" " + c) == [" " + c] for c in letters)
+    rng = random.Random(123)
+    for pool in ("ab \n", "a1.'s \n", "a \n\t\r\x1c\x85\u00a0\u2003", "aé漢\u0301 \n'll"):
+        texts = ["".join(rng.choice(pool) for _ in range(rng.randint(0, 30))) for _ in range(2000)]
+        known = bytefold.Numbering(public_tokenizers.PATTERN)
+        segments, at = [], [0]
+        for t in texts:
+            known.text(t, segments)
+            at.append(len(segments))
+        numbers, counts = known.numbers(segments, at)
+        words = [words_of(t) for t in texts]
+        assert [known.new[n] for n in numbers] == [w for ws in words for w in ws]
+        assert counts.tolist() == [len(ws) for ws in words]
+
+
 # -- 13 -----------------------------------------------------------------------------------------------------------
 
 def brute_changes(given, wait=5):
