@@ -69,7 +69,8 @@ def like_pairs(df: DataFrame, name_col: str, percent: int = 80, q: int = 2) -> D
         raise ValueError(f"names {percent} % alike may share no {q} characters")
     names = df.select(F.col(name_col).alias("name")).where(F.length("name") > 0).distinct()
     same = F.length("a") == F.length("b")
-    met = shorter_tokens(names, percent).join(longer_tokens(names, percent), "token").where(~same | (F.col("a") < F.col("b")))
+    # the rows made of a name aren't in Spark's estimate, which would take them for few and send them all through the driver
+    met = shorter_tokens(names, percent).join(longer_tokens(names, percent).hint("merge"), "token").where(~same | (F.col("a") < F.col("b")))
     most = edits(F.greatest(F.length("a"), F.length("b")), percent)
     near = met.select("a", "b", F.call_function("levenshtein", "a", "b", most).alias("edits")).where("edits >= 0 AND a <> b")
     return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("edits").cast("bigint").alias("edits")).distinct()

@@ -85,6 +85,16 @@ def test_like_pairs_need_no_cross_join(spark):
         likeness.like_pairs(df, "name", 40, 2)
 
 
+def test_like_pairs_never_meet_on_the_driver(spark):
+    from gleaner.plans.services import like_clients
+
+    pairs = like_clients(spark, "/root/testdata/sf0.001")
+    pairs.collect()
+    # a name's pieces are many times its size, which Spark's estimate doesn't know
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 # -- versions ----------------------------------------------------------------------------------------------------
 
 def test_versions_are_added_and_the_table_stays(spark):
