@@ -679,6 +679,49 @@ def test_network_reads_and_predicts_every_token(spark):
     assert np.allclose(rest, 1) and found.rest_n.sum() == c[:3000][tail].sum()
 
 
+def test_ids_grow_with_the_corpus_and_sum_to_one():
+    assert [rnnlm.ids_for(n) for n in (0, 340_000, 3_400_000, 17_000_000, 88_000_000)] == [1024, 1024, 2048, 4096, 8192]
+    ids = rnnlm.ids_for(17_000_000)
+    h = np.concatenate([rnnlm.hashed(f"w{i}".encode())[:1] for i in range(6000)])
+    c, places = 6000 - np.arange(6000), rnnlm.shared_place(h, ids // 4)
+    totals = [(int(p), int(c[places == p].sum()), int((places == p).sum())) for p in np.unique(places)]
+    found = rnnlm.Vocabulary(list(zip(h.view(np.int64).tolist(), c.tolist())), totals, ids)
+    got, _ = found.look(h)
+    assert len(set(got[: found.own - 1])) == found.own - 1 == 3071 and got[: found.own - 1].max() < found.own <= got[found.own - 1 :].min()
+    rest, tail = np.zeros(found.shared) + 10.0 ** -found.rest, got >= found.own
+    np.add.at(rest, got[tail] - found.own, (c[tail] + 1) / 10.0 ** found.rest[got[tail] - found.own])
+    assert np.allclose(rest, 1)
+    net, rng = rnnlm.Network(shares=found.shares), np.random.default_rng(1)
+    net.flat[:] += rng.standard_normal(len(net.flat)).astype(np.float32) * 0.3
+    state = rng.standard_normal((1, rnnlm.WIDTH)).astype(np.float32)
+    order = rng.permutation(ids)
+    logp = net.output(np.repeat(state, ids, axis=0), order).astype(np.float64)
+    assert np.exp(logp).sum() == pytest.approx(1, abs=1e-4)
+    # the plain way: each class, and the word inside it
+    lse = lambda x: np.log(np.exp(x).sum(axis=-1, keepdims=True))
+    outer = state @ net.classes + net.class_bias
+    inner = np.stack([state[0] @ w for w in net.words]) + net.word_bias
+    assert np.allclose(logp, ((outer - lse(outer))[0][:, None] + inner - lse(inner)).ravel()[order], atol=1e-4)
+
+
+def test_narrow_windows_are_long_and_leave_no_place_out():
+    lanes = rnnlm.Lanes(np.array([5000, 40, 7, 3000, 1]))
+    seen, windows = np.zeros(int(lanes.sizes.sum()), int), 0
+    for n, places, there in lanes.windows():
+        assert places.shape == there.shape and places.shape[1] == n and there.any(axis=0).all()
+        np.add.at(seen, places[there], 1)
+        windows += 1
+    assert (seen == 1).all() and windows < 5000 // rnnlm.WINDOW // 8
+
+
+def test_ends_count_even_if_too_many_tokens_are_as_frequent(spark, monkeypatch):
+    monkeypatch.setattr(rnnlm, "HEAD", 2)
+    df = spark.createDataFrame([(2, " ".join(f"w{i}" for i in range(3000)))], "doc_id long, text string")
+    r = rnnlm.score(spark, df).first()
+    assert not r.held_out and r.n_known == r.n_tokens == r.train_tokens == 3001  # the end was taken for one that was never seen
+    assert r.base_score == pytest.approx(3001 * log10(2 / 6003), abs=1e-6)
+
+
 # -- pipeline -----------------------------------------------------------------------------------------------------
 
 def test_pipeline_stages_do_what_their_operators_say(spark):
